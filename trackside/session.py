@@ -30,6 +30,7 @@ def build_session(master: str = "local[*]", app: str = "trackside",
     """Local session for tests and the bench (a cluster passes its own)."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))

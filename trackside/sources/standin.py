@@ -41,12 +41,20 @@ STANDIN_BODY_FIELDS = ["event_type", "variation_status", "actual_timestamp",
                        "route"]
 
 
-def standin_fields(events: DataFrame) -> DataFrame:
-    """events -> (event_id, _ms, msg_type, body fields) by the stand-in rules."""
+def _ms(shift_days: int = 0) -> Column:
+    # epoch microseconds of ts, integer-divided to milliseconds (+ optional shift)
+    ms = F.expr("unix_micros(CAST(ts AS TIMESTAMP)) div 1000")
+    return ms + F.lit(shift_days * 86_400_000) if shift_days else ms
+
+
+def standin_fields(events: DataFrame, shift_days: int = 0) -> DataFrame:
+    """events -> (event_id, _ms, msg_type, body fields) by the stand-in rules.
+
+    ``shift_days`` moves every time forward (the summer-time variant).
+    """
     k = F.get_json_object("props", "$.k").cast("int")
     uid, eid = F.col("user_id"), F.col("event_id")
-    # epoch microseconds of ts, integer-divided to milliseconds
-    ms = F.expr("unix_micros(CAST(ts AS TIMESTAMP)) div 1000")
+    ms = _ms(shift_days)
     base = events.select(eid, uid, F.col("event_type").alias("_src"),
                          k.alias("_k"), ms.alias("_ms"))
     k = F.col("_k")
@@ -75,13 +83,13 @@ def standin_fields(events: DataFrame) -> DataFrame:
         F.when(k % 25 == 24, null_s).otherwise((k % 4).cast("string")).alias("route"))
 
 
-def standin_messages(events: DataFrame) -> DataFrame:
+def standin_messages(events: DataFrame, shift_days: int = 0) -> DataFrame:
     """One feed message per event: ``event_id``, ``message`` (JSON object text).
 
     Absent body fields are left out of the JSON (``to_json`` drops NULL
     struct fields), exactly like a feed message that does not carry them.
     """
-    f = standin_fields(events)
+    f = standin_fields(events, shift_days)
     header = F.struct(F.col("msg_type"),
                       F.col("_ms").cast("string").alias("msg_queue_timestamp"))
     body = F.struct(*[F.col(c) for c in STANDIN_BODY_FIELDS])
@@ -90,13 +98,14 @@ def standin_messages(events: DataFrame) -> DataFrame:
                     .alias("message"))
 
 
-def standin_movements(events: DataFrame, processed_at: str = STANDIN_PROCESSED_AT) -> DataFrame:
+def standin_movements(events: DataFrame, processed_at: str = STANDIN_PROCESSED_AT,
+                      shift_days: int = 0) -> DataFrame:
     """The movements table the stand-in feed loads into (32 columns + uk_date).
 
     Equivalent to frames -> decode -> lake -> load_day, minus the codec; the
     codec path is checked against it in the tests.
     """
-    f = standin_fields(events).where(F.col("msg_type") == MOVEMENT_MSG_TYPE)
+    f = standin_fields(events, shift_days).where(F.col("msg_type") == MOVEMENT_MSG_TYPE)
     ts = F.timestamp_millis(F.col("_ms"))
     cols = {
         "event_type": F.col("event_type"),
@@ -116,3 +125,60 @@ def standin_movements(events: DataFrame, processed_at: str = STANDIN_PROCESSED_A
                      for c in TABLE_COLUMNS])
     # key-completeness: train_id and actual_timestamp are always present here
     return out.where(F.col("toc_id").isNotNull())
+
+
+# Frame fixtures -------------------------------------------------------------
+# A feed frame holds FRAME_SIZE consecutive messages and one planted non-object
+# element; one extra frame is not JSON at all.
+FRAME_SIZE = 50
+PLANTED_ELEMENT = "5"
+PLANTED_BAD_FRAME = "not json"
+
+
+def _frames_of(items: DataFrame, size: int, planted: str | None) -> DataFrame:
+    """Group (event_id, message) rows into JSON-array frames of ``size`` ids.
+
+    The grouping is a hash shuffle on ``event_id div size``: each group is
+    bounded by ``size`` rows, so no task ever collects more than one frame.
+    """
+    tail = f",{planted}]" if planted else "]"
+    return (items.groupBy(F.expr(f"event_id div {size}").alias("frame_id"))
+            .agg(F.sort_array(F.collect_list(F.struct("event_id", "message"))).alias("_items"))
+            .select("frame_id",
+                    F.concat(F.lit("["),
+                             F.array_join(F.transform("_items", lambda x: x["message"]), ","),
+                             F.lit(tail)).alias("value")))
+
+
+def standin_frames(events: DataFrame, size: int = FRAME_SIZE, plant: bool = True,
+                   shift_days: int = 0) -> DataFrame:
+    """Feed frames (``frame_id``, ``value``) built from the stand-in messages."""
+    frames = _frames_of(standin_messages(events, shift_days), size,
+                        PLANTED_ELEMENT if plant else None)
+    if plant:
+        spark = events.sparkSession
+        bad = spark.createDataFrame([(-1, PLANTED_BAD_FRAME)], "frame_id bigint, value string")
+        frames = frames.unionByName(bad)
+    return frames
+
+
+# Train-describer message types assigned by event_id mod 4.
+STANDIN_TD_TYPES = ["CA", "CB", "CC", "SF"]
+
+
+def standin_td_frames(events: DataFrame, size: int = FRAME_SIZE) -> DataFrame:
+    """Train-describer frames: one ``{"<type>_MSG": {...}}`` element per event."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    uid, eid = F.col("user_id"), F.col("event_id")
+    t = F.element_at(F.array(*[F.lit(x) for x in STANDIN_TD_TYPES]), (eid % 4 + 1).cast("int"))
+    null_s = F.lit(None).cast("string")
+    inner = F.struct(
+        t.alias("msg_type"), _ms().cast("string").alias("time"),
+        F.concat(F.lit("A"), F.lpad((uid % 100).cast("string"), 2, "0")).alias("area_id"),
+        F.when(k % 5 == 0, null_s).otherwise(F.lpad(k.cast("string"), 4, "0")).alias("descr"),
+        F.when(t.isin("CA", "CB"), F.lpad(((7 * uid + k) % 10000).cast("string"), 4, "0"))
+         .otherwise(null_s).alias("from"),
+        F.when(t.isin("CA", "CC"), F.lpad(((11 * uid + k) % 10000).cast("string"), 4, "0"))
+         .otherwise(null_s).alias("to"))
+    msg = F.to_json(F.create_map(F.concat(t, F.lit("_MSG")), inner))
+    return _frames_of(events.select("event_id", msg.alias("message")), size, None)
