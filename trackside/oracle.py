@@ -55,16 +55,17 @@ _NULL_COLS = ["gbtt_timestamp", "timetable_variation", "delay_monitoring_point",
 
 
 def movements_cte(shift_days: int = 0, off_h: int = 0,
-                  processed_at: str = "2024-01-31T00:00:00") -> str:
+                  processed_at: str | None = "2024-01-31T00:00:00") -> str:
     """WITH-clause body defining ``movements`` (events shifted by ``shift_days``)."""
-    ms = "ms" if not shift_days else f"(ms + {shift_days} * 86400000)"
+    ms = "ms" if not shift_days else f"(ms + {shift_days} * CAST(86400000 AS BIGINT))"
     nulls = ",\n    ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in _NULL_COLS)
+    proc = "CAST(NULL AS VARCHAR)" if processed_at is None else f"'{processed_at}'"
     return MESSAGES_CTE + f""",
 movements AS (
   SELECT event_type, toc_id, variation_status,
     {_iso(ms, off_h)} AS uk_datetime,
     {ms} / 1000e0 AS "timestamp",
-    '{processed_at}' AS processed_at,
+    {proc} AS processed_at,
     make_timestamp({ms} * 1000) AS actual_timestamp,
     loc_stanox,
     CAST({ms} - 1000 * delay_s AS VARCHAR) AS planned_timestamp,
@@ -226,6 +227,165 @@ ORDER BY punctuality_percentage DESC, train_operating_company ASC NULLS LAST LIM
 }
 
 
+TABLE_SELECT = """
+SELECT event_type, toc_id, variation_status, uk_datetime, "timestamp", processed_at,
+       actual_timestamp, gbtt_timestamp, loc_stanox, planned_timestamp, timetable_variation,
+       train_id, delay_monitoring_point, next_report_run_time, reporting_stanox,
+       correction_ind, event_source, train_file_address, division_code, train_terminated,
+       offroute_ind, train_service_code, auto_expected, route, planned_event_type,
+       next_report_stanox, original_loc_stanox, original_loc_timestamp, current_train_id,
+       platform, direction_ind, line_ind, uk_date
+FROM movements"""
+
+STAGING_SELECT = """
+SELECT event_type, gbtt_timestamp, original_loc_stanox, planned_timestamp, timetable_variation,
+       original_loc_timestamp, current_train_id, delay_monitoring_point, next_report_run_time,
+       reporting_stanox, actual_timestamp, correction_ind, event_source, train_file_address,
+       platform, division_code, train_terminated, train_id, offroute_ind, variation_status,
+       train_service_code, toc_id, loc_stanox, auto_expected, direction_ind, route,
+       planned_event_type, next_report_stanox, line_ind
+FROM movements"""
+
+# London wall clock of the (possibly shifted) message time, for lake keys.
+def _local(off_h: int, shift_days: int = 0) -> str:
+    return f"make_timestamp((ms + {shift_days} * CAST(86400000 AS BIGINT) + {off_h} * 3600000) * 1000)"
+
+
+def _pipeline() -> dict[str, str]:
+    q = {}
+    q["frames_to_movements"] = with_movements(TABLE_SELECT)
+    q["ndjson_roundtrip"] = with_movements(TABLE_SELECT)
+    q["topic_lane"] = with_movements(TABLE_SELECT)
+    q["load_day_replay"] = with_movements(TABLE_SELECT)
+    q["stream_ingest_available_now"] = with_movements(TABLE_SELECT)
+    q["stream_late_day_replay"] = with_movements(TABLE_SELECT)
+    q["flatten_complete"] = with_movements(TABLE_SELECT, processed_at=None)
+    q["lake_roundtrip_day"] = with_movements(
+        TABLE_SELECT + " WHERE uk_date = DATE '2024-01-15'")
+    q["stg_movements"] = with_movements(STAGING_SELECT)
+    q["uk_datetime_text"] = with_movements(
+        'SELECT actual_timestamp, uk_datetime, "timestamp", uk_date FROM movements',
+        shift_days=150, off_h=1)
+    q["stream_dedup"] = with_movements(
+        "SELECT DISTINCT train_id, loc_stanox, event_type, actual_timestamp FROM movements")
+    frames = "(SELECT COUNT(DISTINCT event_id // 50) FROM ev)"
+    q["rejected_frames"] = "WITH " + MESSAGES_CTE + f"""
+SELECT status, messages FROM (
+  SELECT 'ok' AS status, COUNT(*) AS messages FROM msg WHERE msg_type = '0003'
+  UNION ALL SELECT 'skipped', COUNT(*) FROM msg WHERE msg_type <> '0003'
+  UNION ALL SELECT 'bad_element', {frames}
+  UNION ALL SELECT 'bad_frame', 1
+) WHERE messages > 0"""
+    q["ingest_stats"] = "WITH " + MESSAGES_CTE + f"""
+SELECT COUNT(CASE WHEN msg_type = '0003' THEN 1 END) AS ok,
+       COUNT(CASE WHEN msg_type <> '0003' THEN 1 END) AS skipped,
+       0::BIGINT AS bad_time, {frames} AS bad_element, 1::BIGINT AS bad_frame,
+       COUNT(*) + {frames} AS elements
+FROM msg"""
+    q["partition_keys"] = "WITH " + MESSAGES_CTE + f"""
+SELECT CAST(year({_local(1, 150)}) AS INTEGER) AS year,
+       lpad(CAST(month({_local(1, 150)}) AS VARCHAR), 2, '0') AS month,
+       lpad(CAST(day({_local(1, 150)}) AS VARCHAR), 2, '0') AS day,
+       COUNT(*) AS movements
+FROM msg WHERE msg_type = '0003' GROUP BY 1, 2, 3"""
+    name = (f"strftime({_local(0)}, '%Y%m%d-%H%M%S') || '-' || COALESCE(toc_id, 'None') "
+            "|| '.json'")
+    q["object_names"] = "WITH " + MESSAGES_CTE + f"""
+SELECT {name} AS object_name, COUNT(*) AS movements
+FROM msg WHERE msg_type = '0003' GROUP BY 1"""
+    q["object_key_dedup"] = "WITH " + MESSAGES_CTE + f"""
+SELECT object_name, toc_id, train_id, variation_status FROM (
+  SELECT {name} AS object_name, toc_id, train_id, variation_status,
+         row_number() OVER (PARTITION BY {name} ORDER BY event_id DESC) AS rn
+  FROM msg WHERE msg_type = '0003') WHERE rn = 1"""
+    day = "CAST(make_timestamp(ms * 1000) AS DATE) = DATE '2024-01-15'"
+    q["load_report"] = "WITH " + MESSAGES_CTE + f""",
+day AS (SELECT * FROM msg WHERE msg_type = '0003' AND {day}),
+alld AS (SELECT COUNT(*) AS n FROM msg WHERE msg_type = '0003' AND toc_id IS NOT NULL)
+SELECT '2024-01-15' AS days, 'loaded' AS status, COUNT(*) AS total_rows,
+       COUNT(toc_id) AS valid_rows, COUNT(toc_id) AS written, 0::BIGINT AS misfiled,
+       COUNT(toc_id) AS deleted, (SELECT n FROM alld) AS table_rows,
+       COUNT(*) AS non_null_train_id, COUNT(*) AS non_null_actual_timestamp,
+       COUNT(toc_id) AS non_null_toc_id, 0::BIGINT AS null_actual_timestamp,
+       0::BIGINT AS null_train_id, 0::BIGINT AS null_event_type
+FROM day"""
+    q["quality_report"] = "WITH " + MESSAGES_CTE + """
+SELECT COUNT(*) AS total_rows, COUNT(train_id) AS non_null_train_id,
+       COUNT(ms) AS non_null_actual_timestamp, COUNT(toc_id) AS non_null_toc_id,
+       COUNT(*) - COUNT(ms) AS null_actual_timestamp, COUNT(*) - COUNT(train_id) AS null_train_id,
+       COUNT(*) - COUNT(event_type) AS null_event_type,
+       COUNT(CASE WHEN train_id IS NOT NULL AND ms IS NOT NULL AND toc_id IS NOT NULL
+                  THEN 1 END) AS valid_rows
+FROM msg WHERE msg_type = '0003'"""
+    q["td_berth_events"] = """
+WITH ev AS (
+  SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         epoch_us(ts) // 1000 AS ms
+  FROM events),
+td AS (
+  SELECT *, CASE event_id % 4 WHEN 0 THEN 'CA' WHEN 1 THEN 'CB' WHEN 2 THEN 'CC'
+                 ELSE 'SF' END AS msg_type
+  FROM ev)
+SELECT strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS uk_time, msg_type,
+       'A' || lpad(CAST(user_id % 100 AS VARCHAR), 2, '0') AS area_id,
+       CASE WHEN k % 5 = 0 THEN '' ELSE lpad(CAST(k AS VARCHAR), 4, '0') END AS descr,
+       CASE WHEN msg_type IN ('CA', 'CB')
+            THEN lpad(CAST((7 * user_id + k) % 10000 AS VARCHAR), 4, '0') ELSE '' END
+         AS from_berth,
+       CASE WHEN msg_type IN ('CA', 'CC')
+            THEN lpad(CAST((11 * user_id + k) % 10000 AS VARCHAR), 4, '0') ELSE '' END
+         AS to_berth
+FROM td WHERE msg_type IN ('CA', 'CB', 'CC')"""
+    q.update(_quality_tests())
+    return q
+
+
+# Planted data-quality failures, by the stored epoch ms of each movement.
+PLANT = {"pass_event": 97, "cancelled": 89, "null_status": 83, "null_train": 79,
+         "null_time": 73, "null_event": 71}
+
+
+def _planted_cte() -> str:
+    p = PLANT
+    t = "epoch_ms(actual_timestamp)"
+    return f""",
+planted AS (
+  SELECT
+    CASE WHEN {t} % {p['null_event']} = 0 THEN NULL
+         WHEN {t} % {p['pass_event']} = 0 THEN 'PASS' ELSE event_type END AS event_type,
+    CASE WHEN {t} % {p['null_status']} = 0 THEN NULL
+         WHEN {t} % {p['cancelled']} = 0 THEN 'CANCELLED' ELSE variation_status END
+      AS variation_status,
+    CASE WHEN {t} % {p['null_train']} = 0 THEN NULL ELSE train_id END AS train_id,
+    CASE WHEN {t} % {p['null_time']} = 0 THEN NULL ELSE actual_timestamp END AS actual_timestamp,
+    toc_id, {COMPANY} AS train_operating_company
+  FROM movements
+)"""
+
+
+def _quality_tests() -> dict[str, str]:
+    base = "WITH " + movements_cte() + _planted_cte()
+    nn = [("stg_movements", "event_type"), ("stg_movements", "variation_status"),
+          ("operating_company_performance", "actual_timestamp"),
+          ("operating_company_performance", "train_operating_company"),
+          ("operating_company_performance", "variation_status"),
+          ("stg_movements_keys", "event_type"), ("stg_movements_keys", "actual_timestamp"),
+          ("stg_movements_keys", "train_id"), ("stg_movements_keys", "toc_id")]
+    parts = [f"SELECT '{m}' AS model, 'not_null' AS test, '{c}' AS column_name, "
+             f"COUNT(*) - COUNT({c}) AS failures FROM planted" for m, c in nn]
+    acc = [("stg_movements", "event_type", "('ARRIVAL', 'DEPARTURE')"),
+           ("stg_movements", "variation_status", "('ON TIME', 'EARLY', 'LATE', 'OFF ROUTE')"),
+           ("operating_company_performance", "variation_status",
+            "('ON TIME', 'EARLY', 'LATE', 'OFF ROUTE')"),
+           ("stg_movements_keys", "event_type", "('ARRIVAL', 'DEPARTURE')")]
+    aparts = [f"SELECT '{m}' AS model, '{c}' AS column_name, {c} AS value, "
+              f"COUNT(*) AS n_records FROM planted WHERE {c} IS NOT NULL AND {c} NOT IN {v} "
+              f"GROUP BY {c}" for m, c, v in acc]
+    return {"not_null_failures": base + "\n" + "\nUNION ALL ".join(parts),
+            "accepted_value_failures": base + "\n" + "\nUNION ALL ".join(aparts)}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {k: with_movements(v) for k, v in ANALYTICS.items()}
+    out.update(_pipeline())
     return out

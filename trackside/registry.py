@@ -15,8 +15,24 @@ from pyspark.sql import types as T
 
 from trackside.operators import analytics as A
 from trackside.operators import views as V
-from trackside.session import use_utc
-from trackside.sources.standin import standin_movements
+from trackside.operators.decode import (decode_frames, explode_messages,
+                                        frames_to_envelopes, only_movements)
+from trackside.operators.dedup import dedup_object_key
+from trackside.operators.describer import td_berth_events
+from trackside.operators.flatten import complete_rows, flatten
+from trackside.operators.quality import (check_accepted, ingest_stats, quality_report,
+                                         run_checks)
+from trackside.plans.ingest import ingest_frames
+from trackside.plans.load_day import load_day, load_days, report_frame
+from trackside.schema import EVENT_TYPES, TABLE_COLUMNS, VARIATION_STATUSES
+from trackside.session import scratch_dir, use_utc
+from trackside.sinks.lake import lake_rows, publish_messages, write_ndjson
+from trackside.sources.feed import read_frames, read_topic, single_message_frames
+from trackside.sources.lake import read_lake, read_ndjson
+from trackside.sources.standin import (plant_quality_failures, standin_frames,
+                                       standin_movements, standin_td_frames)
+from trackside.streaming.ingest import (DEDUP_KEYS, dedup_stream, stream_ingest,
+                                        stream_to_table)
 
 AS_OF = "2024-01-31 00:00:00"
 GAUGE_DATE = "2024-01-30"
@@ -102,5 +118,241 @@ def analytics_queries() -> dict[str, Query]:
     }
 
 
+# --- feed codec, lake, load, quality, streaming ------------------------------
+
+PROCESSED_AT = "2024-01-31T00:00:00"
+REPLAY_DAY = "2024-01-15"
+SUMMER_SHIFT_DAYS = 150
+
+
+def _table(df: DataFrame) -> DataFrame:
+    return as_ntz(complete_rows(df).select(*TABLE_COLUMNS))
+
+
+def _frames(spark, sf_dir, **kw) -> DataFrame:
+    use_utc(spark)
+    return standin_frames(events(spark, sf_dir), **kw)
+
+
+def _envelopes(spark, sf_dir, shift_days: int = 0) -> DataFrame:
+    return frames_to_envelopes(_frames(spark, sf_dir, shift_days=shift_days),
+                               processed_at=PROCESSED_AT, keep=["frame_id"])
+
+
+def q_frames_to_movements(spark, sf_dir):
+    return _table(flatten(_envelopes(spark, sf_dir)))
+
+
+def q_rejected_frames(spark, sf_dir):
+    d = decode_frames(_frames(spark, sf_dir))
+    return d.groupBy("status").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def q_ingest_stats(spark, sf_dir):
+    return ingest_stats(decode_frames(_frames(spark, sf_dir)))
+
+
+def q_uk_datetime_text(spark, sf_dir):
+    t = complete_rows(flatten(_envelopes(spark, sf_dir, SUMMER_SHIFT_DAYS)))
+    return as_ntz(t.select("actual_timestamp", "uk_datetime", "timestamp", "uk_date"))
+
+
+def q_partition_keys(spark, sf_dir):
+    rows = lake_rows(_envelopes(spark, sf_dir, SUMMER_SHIFT_DAYS))
+    return rows.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("movements"))
+
+
+def q_object_names(spark, sf_dir):
+    rows = lake_rows(_envelopes(spark, sf_dir))
+    return rows.groupBy("object_name").agg(F.count(F.lit(1)).alias("movements"))
+
+
+def q_object_key_dedup(spark, sf_dir):
+    rows = lake_rows(_envelopes(spark, sf_dir), extra=["frame_id", "pos"])
+    kept = dedup_object_key(rows, order_cols=["frame_id", "pos"])
+    return kept.select("object_name", "toc_id",
+                       F.col("raw_data").getItem("train_id").alias("train_id"),
+                       "variation_status")
+
+
+def _lake(spark, sf_dir) -> str:
+    base = scratch_dir(spark, "lake")
+    ingest_frames(_frames(spark, sf_dir), base, processed_at=PROCESSED_AT)
+    return base
+
+
+def q_lake_roundtrip_day(spark, sf_dir):
+    base = _lake(spark, sf_dir)
+    return _table(flatten(read_lake(spark, base, REPLAY_DAY)))
+
+
+def q_ndjson_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "ndjson")
+    write_ndjson(lake_rows(_envelopes(spark, sf_dir)), path)
+    return _table(flatten(read_ndjson(spark, path)))
+
+
+def q_topic_lane(spark, sf_dir):
+    path = scratch_dir(spark, "topic")
+    publish_messages(explode_messages(_frames(spark, sf_dir)), path)
+    records = read_topic(spark, {"path": path}, streaming=False, fmt="text")
+    env = frames_to_envelopes(single_message_frames(records), processed_at=PROCESSED_AT)
+    return _table(flatten(env))
+
+
+def q_flatten_complete(spark, sf_dir):
+    """Older lane: bare movement bodies (no envelope) -> flatten -> key filter."""
+    path = scratch_dir(spark, "bare")
+    msgs = only_movements(decode_frames(_frames(spark, sf_dir)))
+    msgs.select(F.to_json("body").alias("value")).write.mode("overwrite").text(path)
+    return _table(flatten(read_ndjson(spark, path)))
+
+
+def _load_replay(spark, sf_dir):
+    base = _lake(spark, sf_dir)
+    table = scratch_dir(spark, "table")
+    load_days(spark, base, table)
+    report = load_day(spark, base, table, REPLAY_DAY)
+    return table, report
+
+
+def q_load_day_replay(spark, sf_dir):
+    table, _ = _load_replay(spark, sf_dir)
+    return as_ntz(spark.read.parquet(table).select(*TABLE_COLUMNS))
+
+
+def q_load_report(spark, sf_dir):
+    _, report = _load_replay(spark, sf_dir)
+    return report_frame(spark, report)
+
+
+def q_quality_report(spark, sf_dir):
+    return quality_report(flatten(_envelopes(spark, sf_dir)))
+
+
+def q_stg_movements(spark, sf_dir):
+    return as_ntz(V.stg_movements(movements(spark, sf_dir)))
+
+
+# Declared data tests per model: (not_null columns, accepted values).
+DATA_TESTS = {
+    "stg_movements": (["event_type", "variation_status"],
+                      {"event_type": EVENT_TYPES, "variation_status": VARIATION_STATUSES}),
+    "operating_company_performance": (
+        ["actual_timestamp", "train_operating_company", "variation_status"],
+        {"variation_status": VARIATION_STATUSES}),
+    "stg_movements_keys": (["event_type", "actual_timestamp", "train_id", "toc_id"],
+                           {"event_type": EVENT_TYPES}),
+}
+
+
+def _planted_models(spark, sf_dir) -> dict[str, DataFrame]:
+    stg = V.stg_movements(plant_quality_failures(movements(spark, sf_dir)))
+    return {"stg_movements": stg,
+            "operating_company_performance": V.operating_company_performance(stg),
+            "stg_movements_keys": stg}
+
+
+def q_not_null_failures(spark, sf_dir):
+    models = _planted_models(spark, sf_dir)
+    out = None
+    for name, (nn, _) in DATA_TESTS.items():
+        r = run_checks(models[name], name, nn, {})
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def q_accepted_value_failures(spark, sf_dir):
+    models = _planted_models(spark, sf_dir)
+    out = None
+    for name, (_, acc) in DATA_TESTS.items():
+        for col, vals in acc.items():
+            r = (check_accepted(models[name], col, vals)
+                 .select(F.lit(name).alias("model"), F.lit(col).alias("column_name"),
+                         F.col(col).alias("value"), "n_records"))
+            out = r if out is None else out.unionByName(r)
+    return out
+
+
+def q_td_berth_events(spark, sf_dir):
+    use_utc(spark)
+    return td_berth_events(standin_td_frames(events(spark, sf_dir)))
+
+
+def _frames_dir(spark, sf_dir, label: str, part=None) -> str:
+    path = scratch_dir(spark, label)
+    f = _frames(spark, sf_dir)
+    if part is not None:
+        f = f.where(part)
+    f.select("value").write.mode("append").text(path)
+    return path
+
+
+def q_stream_ingest_available_now(spark, sf_dir):
+    src = _frames_dir(spark, sf_dir, "frames")
+    lake, ckpt = scratch_dir(spark, "slake"), scratch_dir(spark, "sckpt")
+    q = stream_ingest(read_frames(spark, src, streaming=True), lake, ckpt,
+                      processed_at=PROCESSED_AT)
+    q.awaitTermination()
+    return _table(flatten(read_lake(spark, lake)))
+
+
+def q_stream_late_day_replay(spark, sf_dir):
+    """Two runs of one stream: the second run brings movements of days already loaded."""
+    src = scratch_dir(spark, "frames")
+    lake, table, ckpt = (scratch_dir(spark, "slake"), scratch_dir(spark, "stable"),
+                         scratch_dir(spark, "sckpt"))
+    f = _frames(spark, sf_dir).select("frame_id", "value")
+    for run, part in enumerate([F.col("frame_id") % 3 != 0, F.col("frame_id") % 3 == 0]):
+        f.where(part).select("value").write.mode("append").text(f"{src}/run={run}")
+        q = stream_to_table(read_frames(spark, f"{src}/run=*", streaming=True), lake, table,
+                            ckpt, processed_at=PROCESSED_AT)
+        q.awaitTermination()
+    return as_ntz(spark.read.parquet(table).select(*TABLE_COLUMNS))
+
+
+def q_stream_dedup(spark, sf_dir):
+    """Every frame delivered twice; the stream keeps one movement per key."""
+    src = scratch_dir(spark, "frames")
+    f = _frames(spark, sf_dir).select("value")
+    f.write.mode("append").text(f"{src}/copy=0")
+    f.write.mode("append").text(f"{src}/copy=1")
+    out, ckpt = scratch_dir(spark, "dedup"), scratch_dir(spark, "sckpt")
+    env = frames_to_envelopes(read_frames(spark, f"{src}/copy=*", streaming=True),
+                              processed_at=PROCESSED_AT)
+    moves = complete_rows(flatten(env))
+    q = (dedup_stream(moves, delay="40 days").select(*DEDUP_KEYS)
+         .writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return as_ntz(spark.read.parquet(out))
+
+
+def pipeline_queries() -> dict[str, Query]:
+    return {
+        "frames_to_movements": q_frames_to_movements,
+        "rejected_frames": q_rejected_frames,
+        "ingest_stats": q_ingest_stats,
+        "uk_datetime_text": q_uk_datetime_text,
+        "partition_keys": q_partition_keys,
+        "object_names": q_object_names,
+        "object_key_dedup": q_object_key_dedup,
+        "lake_roundtrip_day": q_lake_roundtrip_day,
+        "ndjson_roundtrip": q_ndjson_roundtrip,
+        "topic_lane": q_topic_lane,
+        "flatten_complete": q_flatten_complete,
+        "load_day_replay": q_load_day_replay,
+        "load_report": q_load_report,
+        "quality_report": q_quality_report,
+        "stg_movements": q_stg_movements,
+        "not_null_failures": q_not_null_failures,
+        "accepted_value_failures": q_accepted_value_failures,
+        "td_berth_events": q_td_berth_events,
+        "stream_ingest_available_now": q_stream_ingest_available_now,
+        "stream_late_day_replay": q_stream_late_day_replay,
+        "stream_dedup": q_stream_dedup,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return dict(analytics_queries())
+    return {**analytics_queries(), **pipeline_queries()}

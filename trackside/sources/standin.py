@@ -182,3 +182,28 @@ def standin_td_frames(events: DataFrame, size: int = FRAME_SIZE) -> DataFrame:
          .otherwise(null_s).alias("to"))
     msg = F.to_json(F.create_map(F.concat(t, F.lit("_MSG")), inner))
     return _frames_of(events.select("event_id", msg.alias("message")), size, None)
+
+
+# Planted data-quality failures (a movement is hit when its epoch ms is a
+# multiple of the modulus), used to exercise the declared column tests.
+PLANT_MODULI = {"pass_event": 97, "cancelled": 89, "null_status": 83, "null_train": 79,
+                "null_time": 73, "null_event": 71}
+
+
+def plant_quality_failures(m: DataFrame) -> DataFrame:
+    """Movements with planted bad values: event type PASS, status CANCELLED and NULLs."""
+    p = PLANT_MODULI
+    t = F.unix_millis("actual_timestamp")
+    null_s = F.lit(None).cast("string")
+    repl = {
+        "event_type": F.when(t % p["null_event"] == 0, null_s)
+                       .when(t % p["pass_event"] == 0, F.lit("PASS"))
+                       .otherwise(F.col("event_type")),
+        "variation_status": F.when(t % p["null_status"] == 0, null_s)
+                             .when(t % p["cancelled"] == 0, F.lit("CANCELLED"))
+                             .otherwise(F.col("variation_status")),
+        "train_id": F.when(t % p["null_train"] == 0, null_s).otherwise(F.col("train_id")),
+        "actual_timestamp": F.when(t % p["null_time"] == 0, F.lit(None).cast("timestamp"))
+                             .otherwise(F.col("actual_timestamp")),
+    }
+    return m.select(*[repl[c].alias(c) if c in repl else F.col(c) for c in m.columns])
