@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trackside.functions.times import epoch_seconds, iso_london, london_date, ms_to_ts
 from trackside.schema import (FLATTENED_BODY_FIELDS, KEY_COLUMNS, MOVEMENTS_SCHEMA,
-                              STAGING_ONLY_FIELDS, TABLE_COLUMNS)
+                              STAGING_ONLY_FIELDS, TABLE_COLUMNS, documented)
 
 
 class MissingColumns(ValueError):
@@ -54,8 +54,9 @@ def flatten(envelopes: DataFrame, keep: list[str] | None = None) -> DataFrame:
     }
     for f in FLATTENED_BODY_FIELDS + STAGING_ONLY_FIELDS:
         cols.setdefault(f, raw.getItem(f))
-    return envelopes.select(*(keep or []), *[cols[c].cast(MOVEMENTS_SCHEMA[c].dataType).alias(c)
-                                             for c in TABLE_COLUMNS])
+    return documented(envelopes.select(
+        *(keep or []), *[cols[c].cast(MOVEMENTS_SCHEMA[c].dataType).alias(c)
+                         for c in TABLE_COLUMNS]))
 
 
 def complete_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:

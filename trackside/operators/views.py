@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackside.functions.exprs import toc_name
-from trackside.schema import COLUMN_DOCS, STAGING_COLUMNS
+from trackside.schema import STAGING_COLUMNS, documented
 
 
 def stg_movements(m: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def operating_company_performance(stg: DataFrame) -> DataFrame:
 
 def document(df: DataFrame, docs: dict | None = None) -> DataFrame:
     """Attach column comments (StructField metadata) to a DataFrame."""
-    docs = docs or COLUMN_DOCS
+    if docs is None:
+        return documented(df)
     return df.select(*[F.col(c).alias(c, metadata={"comment": docs[c]}) if c in docs
                        else F.col(c) for c in df.columns])
 

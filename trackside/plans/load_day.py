@@ -105,7 +105,7 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     ensure_compatible(spark, table_path, allow_drop)
     env = read_lake(spark, lake_base, None, whole_objects)
     if days:
-        env = env.where(_days_filter(days))
+        env = env.where(_days_filter(days) if "year" in env.columns else F.lit(False))
     flat = flatten(env)
     require_columns(flat, TABLE_COLUMNS)
     day_set = [_dt.date.fromisoformat(d) for d in days] if days else None

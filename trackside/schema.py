@@ -157,3 +157,10 @@ ENVELOPE_SCHEMA = T.StructType([
 ])
 
 MESSAGE_DDL = "struct<header: map<string,string>, body: map<string,string>>"
+
+
+def documented(df):
+    """Attach ``COLUMN_DOCS`` as column comments (StructField metadata)."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.col(c).alias(c, metadata={"comment": COLUMN_DOCS[c]})
+                       if c in COLUMN_DOCS else F.col(c) for c in df.columns])

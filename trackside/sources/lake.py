@@ -31,7 +31,10 @@ def read_lake_text(spark: SparkSession, base: str, ds: str | None = None,
     """Raw text of lake objects (one row per line, or per file with ``whole_objects``)."""
     r = spark.read.option("ignoreMissingFiles", "true").option("basePath", base)
     df = r.text(base, wholetext=whole_objects)
-    return df.where(day_predicate(ds)) if ds else df
+    if not ds:
+        return df
+    # a lake with no day directories yet has no rows for any day
+    return df.where(day_predicate(ds)) if "year" in df.columns else df.where(F.lit(False))
 
 
 def parse_objects(text: DataFrame, value: str = "value") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.functions.times import epoch_seconds, iso_london, london_date
-from trackside.schema import MOVEMENT_MSG_TYPE, MOVEMENTS_SCHEMA, TABLE_COLUMNS
+from trackside.schema import MOVEMENT_MSG_TYPE, MOVEMENTS_SCHEMA, TABLE_COLUMNS, documented
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (stand-in rules, FIXTURES.md section 6)
@@ -124,7 +124,7 @@ def standin_movements(events: DataFrame, processed_at: str = STANDIN_PROCESSED_A
     out = f.select(*[cols.get(c, F.lit(None)).cast(MOVEMENTS_SCHEMA[c].dataType).alias(c)
                      for c in TABLE_COLUMNS])
     # key-completeness: train_id and actual_timestamp are always present here
-    return out.where(F.col("toc_id").isNotNull())
+    return documented(out.where(F.col("toc_id").isNotNull()))
 
 
 # Frame fixtures -------------------------------------------------------------
