@@ -25,25 +25,40 @@ from trackside.schema import MESSAGE_DDL, MOVEMENT_MSG_TYPE
 STATUSES = ["ok", "skipped", "bad_time", "bad_element", "bad_frame"]
 
 
+def _is_object(x: Column) -> Column:
+    return F.coalesce(F.startswith(F.ltrim(x), F.lit("{")), F.lit(False))
+
+
 def explode_messages(frames: DataFrame, value: str = "value",
                      keep: list[str] | None = None) -> DataFrame:
-    """One row per array element: ``frame_ok, pos, element, header, body``.
+    """One row per array element: ``frame_ok, pos, element, is_object, header, body``.
 
     Columns in ``keep`` (e.g. a frame id or arrival order) are carried along.
     An empty array yields no rows; a frame that is not an array yields one
     row with ``frame_ok = false``.
+
+    Each element is parsed inside ``transform`` before the explode, so the
+    parsed maps are generator outputs: later filters on the status read them
+    instead of re-parsing the element text (a filter pushed through a
+    projection would otherwise inline and repeat ``from_json``).
     """
     keep = keep or []
     arr = F.from_json(F.col(value).cast("string"), "array<string>")
-    rows = (frames.select(*keep, arr.alias("_arr"))
-            .select(*keep, F.col("_arr").isNotNull().alias("frame_ok"),
-                    F.posexplode_outer("_arr").alias("pos", "element"))
-            .where(~F.col("frame_ok") | F.col("pos").isNotNull()))
-    is_obj = F.coalesce(F.startswith(F.ltrim(F.col("element")), F.lit("{")), F.lit(False))
-    msg = F.when(is_obj, F.from_json(F.col("element"), MESSAGE_DDL))
-    return rows.select(*keep, "frame_ok", "pos", "element", is_obj.alias("is_object"),
-                       msg.getField("header").alias("header"),
-                       msg.getField("body").alias("body"))
+    items = F.transform(arr, lambda x: F.struct(
+        x.alias("element"), _is_object(x).alias("is_object"),
+        F.when(_is_object(x), F.from_json(x, MESSAGE_DDL)).alias("msg"),
+        F.lit(True).alias("frame_ok")))
+    bad_frame = F.array(F.struct(
+        F.lit(None).cast("string").alias("element"), F.lit(False).alias("is_object"),
+        F.lit(None).cast(MESSAGE_DDL).alias("msg"), F.lit(False).alias("frame_ok")))
+    it = F.col("_it")
+    return (frames.select(*keep, F.posexplode(F.coalesce(items, bad_frame)).alias("_pos", "_it"))
+            .select(*keep, it.getField("frame_ok").alias("frame_ok"),
+                    F.when(it.getField("frame_ok"), F.col("_pos")).alias("pos"),
+                    it.getField("element").alias("element"),
+                    it.getField("is_object").alias("is_object"),
+                    it.getField("msg").getField("header").alias("header"),
+                    it.getField("msg").getField("body").alias("body")))
 
 
 def classify(msgs: DataFrame, compat: bool = False) -> DataFrame:

@@ -12,19 +12,33 @@ from pyspark.sql import functions as F
 
 from trackside.operators.decode import (STATUSES, decode_frames, only_movements,
                                         to_envelope)
-from trackside.sinks.lake import write_lake
+from trackside.operators.dedup import dedup_object_key
+from trackside.sinks.lake import lake_rows, write_lake
 
 
 def ingest_frames(frames: DataFrame, lake_base: str, processed_at=None,
                   compat: bool = False, value: str = "value", keep: list[str] | None = None,
-                  mode: str = "append") -> dict:
-    """Decode frames and append the movements to the lake; return the counters."""
+                  mode: str = "append", last_writer_wins: bool = False,
+                  order_cols: list[str] | None = None) -> dict:
+    """Decode frames and append the movements to the lake; return the counters.
+
+    ``last_writer_wins`` reproduces the object-per-key lake, where a second
+    movement of one operator in one London second replaced the first; the
+    arrival order is ``order_cols`` (default: the carried ``keep`` columns,
+    then the element position).  Off by default: both movements are kept.
+    """
     keep = keep or []
     obs = Observation("ingest")
     decoded = decode_frames(frames, value, compat, keep).observe(
         obs, *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES])
     env = to_envelope(only_movements(decoded), processed_at, keep + ["pos"])
-    write_lake(env, lake_base, mode=mode)
+    if last_writer_wins:
+        order = order_cols or keep + ["pos"]
+        rows = dedup_object_key(lake_rows(env, extra=order), order)
+        (rows.drop(*order).write.mode(mode).partitionBy("year", "month", "day")
+         .json(lake_base))
+    else:
+        write_lake(env, lake_base, mode=mode)
     stats = dict(obs.get)
     stats["written"] = stats.get("ok", 0)
     return stats

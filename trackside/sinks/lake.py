@@ -54,3 +54,9 @@ def publish_messages(frames_exploded: DataFrame, path: str, mode: str = "append"
     """
     (frames_exploded.where(F.col("is_object"))
      .select(F.col(element).alias("value")).write.mode(mode).text(path))
+
+
+def write_topic(records: DataFrame, options: dict, value: str = "value") -> None:
+    """Publish ``value`` records to a Kafka topic (connector jar required)."""
+    records.select(F.col(value).cast("string").alias("value")).write.format("kafka") \
+        .options(**options).save()

@@ -17,7 +17,24 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.schema import ENVELOPE_SCHEMA
+from pyspark.sql import types as T
+
+from trackside.schema import ENVELOPE_SCHEMA, STAGING_COLUMNS
+
+_ENVELOPE_KEYS = ["message_type", "event_type", "toc_id", "variation_status", "uk_datetime",
+                  "timestamp", "processed_at", "object_name"]
+_BARE_KEYS = [c for c in STAGING_COLUMNS if c not in _ENVELOPE_KEYS]
+CORRUPT = "_corrupt_record"
+
+# Read schema of lake objects: envelope keys, the raw body map, and the body
+# fields at top level for the bare layout.  Every scalar is read as text
+# (a number where text is expected must not void the whole object), typed
+# later per row with try_cast.
+LAKE_READ_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in _ENVELOPE_KEYS]
+    + [T.StructField("raw_data", T.MapType(T.StringType(), T.StringType()))]
+    + [T.StructField(c, T.StringType()) for c in _BARE_KEYS]
+    + [T.StructField(CORRUPT, T.StringType())])
 
 
 def day_predicate(ds: str) -> Column:
@@ -62,21 +79,64 @@ def parse_objects(text: DataFrame, value: str = "value") -> DataFrame:
         raw.alias("raw_data"))
 
 
+def read_json_objects(spark: SparkSession, path: str, multiline: bool = False,
+                      base: str | None = None) -> DataFrame:
+    """Lake objects through the JSON reader: one parse per object, ``ok`` flag.
+
+    ``multiline`` reads each file as one (pretty-printed) object; otherwise
+    one object per line, blank lines skipped.  A damaged object keeps only
+    ``ok = false``.  Both layouts come out as envelopes: a bare body becomes
+    its own ``raw_data`` (fields it does not carry stay absent).
+    """
+    r = (spark.read.schema(LAKE_READ_SCHEMA).option("mode", "PERMISSIVE")
+         .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreMissingFiles", "true")
+         .option("multiLine", "true" if multiline else "false"))
+    if base:
+        r = r.option("basePath", base)
+    return normalize_objects(r.json(path))
+
+
+def normalize_objects(df: DataFrame) -> DataFrame:
+    bare = F.map_filter(F.create_map(*[x for c in _BARE_KEYS + ["event_type", "toc_id",
+                                                                 "variation_status"]
+                                       for x in (F.lit(c), F.col(c))]),
+                        lambda k, v: v.isNotNull())
+    parts = [c for c in df.columns if c not in LAKE_READ_SCHEMA.fieldNames()]
+    # ``ok`` also reads raw_data: the JSON reader refuses (or, after pruning,
+    # cannot judge) a query whose only column is the corrupt-record one, so
+    # the flag must make the reader parse the object.
+    ok = F.col(CORRUPT).isNull() & (F.coalesce(F.size("raw_data"), F.lit(0)) >= 0)
+    return df.select(
+        *parts, ok.alias("ok"),
+        *[F.col(c) for c in ["message_type", "event_type", "toc_id", "variation_status",
+                             "uk_datetime"]],
+        F.col("timestamp").try_cast("double").alias("timestamp"),
+        "processed_at", "object_name",
+        F.when(F.col("raw_data").isNotNull(), F.col("raw_data"))
+         .when(F.col(CORRUPT).isNull(), bare).alias("raw_data"))
+
+
 def read_lake(spark: SparkSession, base: str, ds: str | None = None,
               whole_objects: bool = False) -> DataFrame:
-    """Envelopes of one London day (or all days) of the lake; invalid objects dropped."""
-    return parse_objects(read_lake_text(spark, base, ds, whole_objects)).where("ok")
+    """Envelopes of one London day (or all days) of the lake; invalid objects dropped.
+
+    The day is a predicate on the partition columns, so only that day's
+    directory is listed and read (``PartitionFilters`` in the plan).
+    """
+    df = read_json_objects(spark, base, multiline=whole_objects, base=base)
+    if ds:
+        df = df.where(day_predicate(ds) if "year" in df.columns else F.lit(False))
+    return df.where("ok")
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
     """Whole-object read (one pretty-printed JSON object per file) with ``ok`` flag."""
-    return parse_objects(spark.read.option("ignoreMissingFiles", "true")
-                         .text(path, wholetext=True))
+    return read_json_objects(spark, path, multiline=True)
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     """NDJSON day file: one object per line; blank lines skipped, bad lines flagged."""
-    return parse_objects(spark.read.text(path))
+    return read_json_objects(spark, path)
 
 
 ENVELOPE_DDL = ENVELOPE_SCHEMA.simpleString()

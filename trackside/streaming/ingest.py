@@ -25,8 +25,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.operators.decode import (STATUSES, decode_frames, only_movements,
-                                        to_envelope)
+from trackside.operators.decode import (STATUSES, decode_frames, explode_messages,
+                                        only_movements, to_envelope)
 from trackside.plans.load_day import load_days
 from trackside.sinks.lake import lake_rows
 
@@ -90,6 +90,22 @@ def stream_to_table(frames: DataFrame, lake_base: str, table_path: str, checkpoi
     return _trigger(w, trigger).start()
 
 
+def stream_publish(frames: DataFrame, checkpoint: str, sink: dict, fmt: str = "kafka",
+                   trigger: dict | None = None):
+    """First stage of the topic lane (T5): every message of every frame, unfiltered.
+
+    ``fmt="kafka"`` needs ``sink`` with ``kafka.bootstrap.servers`` and
+    ``topic``; a file format (``text``) with ``path`` gives the same records
+    for tests.  The second stage is ``stream_ingest`` over
+    ``single_message_frames(read_topic(...))``.
+    """
+    records = (explode_messages(frames).where(F.col("is_object"))
+               .select(F.col("element").alias("value")))
+    w = (records.writeStream.format(fmt).options(**sink)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
 def dedup_stream(movements: DataFrame, keys: list[str] | None = None,
                  delay: str = "2 hours", event_time: str = "actual_timestamp") -> DataFrame:
     """Drop repeated movements within the watermark delay (T4)."""
