@@ -113,3 +113,15 @@ def test_ndjson_blank_and_bad_lines(spark, scratch):
     assert df.count() == 3
     assert df.where(~F.col("ok")).count() == 1
     assert sorted(r.event_type for r in df.where("ok").collect()) == ["ARRIVAL", "DEPARTURE"]
+
+
+def test_append_then_replace(spark, lake, scratch):
+    from trackside.plans.load_day import append_table, read_table
+    base, _, m = lake
+    table = scratch("append")
+    day = m.where("uk_date = '2024-01-08'")
+    append_table(day.drop("route"), table)          # missing column -> NULL, schema kept
+    t = read_table(spark, table)
+    assert t.count() == day.count() and t.where("route IS NOT NULL").count() == 0
+    load_day(spark, base, table, "2024-01-08")      # replacement restores the full rows
+    assert read_table(spark, table).exceptAll(day).count() == 0

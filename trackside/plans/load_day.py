@@ -163,3 +163,16 @@ def report_frame(spark: SparkSession, report: LoadReport) -> DataFrame:
     schema = ", ".join(f"{k} {'string' if isinstance(v, str) else 'bigint'}"
                        for k, v in row.items())
     return spark.createDataFrame([tuple(row.values())], schema)
+
+
+def append_table(df: DataFrame, table_path: str) -> None:
+    """Typed append under the fixed schema (K5): columns cast, ``uk_date`` partitions."""
+    cols = [(F.col(c) if c in df.columns else F.lit(None))
+            .cast(MOVEMENTS_SCHEMA[c].dataType).alias(c) for c in TABLE_COLUMNS]
+    (df.select(*cols).sortWithinPartitions("uk_date", "actual_timestamp")
+     .write.mode("append").partitionBy("uk_date").parquet(table_path))
+
+
+def read_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """The movements table (S7); filters on ``uk_date`` prune directories."""
+    return spark.read.parquet(table_path)
