@@ -86,3 +86,19 @@ def test_local_zone_option(spark):
     m = _m(spark, [("20", "ON TIME", "ARRIVAL", _ts("2024-06-30 23:30:00"), None, "T", "1", "1")])
     assert A.hourly_patterns(m).first().hour_of_day == 23
     assert A.hourly_patterns(m, tz="Europe/London").first().hour_of_day == 0
+
+
+def test_summary_counts_equal_direct_counts(spark):
+    from trackside.operators.summary import movement_summary, company_summary
+    from trackside.registry import movements
+    from conftest import SF_SMALL
+    m = movements(spark, SF_SMALL)
+    s = movement_summary(m)
+    assert s.count() < m.count()
+    for f in [A.toc_ranking, A.hourly_patterns, A.weekly_calendar, A.daily_trends,
+              A.route_performance, A.punctuality_share, A.row_count]:
+        a, b = f(m), f(s)
+        assert a.schema == b.schema and a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
+    mart = V.operating_company_performance(V.stg_movements(m))
+    assert A.company_tree(mart).exceptAll(A.company_tree(company_summary(s))).count() == 0
+    assert A.realtime_gauge(s.limit(0), "2024-01-02").first()[0] is None

@@ -30,13 +30,50 @@ ON_TIME = "ON TIME"
 LATE = "LATE"
 
 
+# Column holding the row weight of a pre-aggregated movement summary
+# (``operators.summary``); every count below is a sum of it when present, so
+# the count-only queries run unchanged over the summary.
+WEIGHT = "movements"
+
+
 def _ts(tz: str) -> Column:
     ts = F.col("actual_timestamp")
     return ts if tz.upper() == "UTC" else to_london(ts, tz)
 
 
-def _on_time() -> Column:
-    return count_when(F.col("variation_status") == ON_TIME)
+def _weighted(m: DataFrame) -> bool:
+    return WEIGHT in m.columns
+
+
+def _rows(m: DataFrame) -> Column:
+    """COUNT(*) - or the summed weight of a summary (0 on empty input)."""
+    if _weighted(m):
+        return F.coalesce(F.sum(WEIGHT), F.lit(0).cast("bigint"))
+    return F.count(F.lit(1))
+
+
+def _rows_when(m: DataFrame, cond: Column) -> Column:
+    """COUNT(CASE WHEN cond THEN 1 END) - a NULL condition is not counted."""
+    if _weighted(m):
+        return F.coalesce(F.sum(F.when(cond, F.col(WEIGHT)).otherwise(F.lit(0).cast("bigint"))),
+                          F.lit(0).cast("bigint"))
+    return count_when(cond)
+
+
+def _on_time(m: DataFrame) -> Column:
+    return _rows_when(m, F.col("variation_status") == ON_TIME)
+
+
+def _hour(m: DataFrame, tz: str) -> Column:
+    if "hour_of_day" in m.columns and "actual_timestamp" not in m.columns:
+        return F.col("hour_of_day")
+    return F.hour(_ts(tz))
+
+
+def _date(m: DataFrame, tz: str) -> Column:
+    if "date" in m.columns and "actual_timestamp" not in m.columns:
+        return F.col("date")
+    return F.to_date(_ts(tz))
 
 
 def _asof(value) -> Column:
@@ -63,9 +100,9 @@ def basic_stats(m: DataFrame) -> DataFrame:
 def movements_by_toc(m: DataFrame, limit: int = 20) -> DataFrame:
     """Movements, departures and arrivals per operator; busiest first."""
     return (m.groupBy("toc_id")
-            .agg(F.count(F.lit(1)).alias("movement_count"),
-                 count_when(F.col("event_type") == "DEPARTURE").alias("departures"),
-                 count_when(F.col("event_type") == "ARRIVAL").alias("arrivals"))
+            .agg(_rows(m).alias("movement_count"),
+                 _rows_when(m, F.col("event_type") == "DEPARTURE").alias("departures"),
+                 _rows_when(m, F.col("event_type") == "ARRIVAL").alias("arrivals"))
             .orderBy(F.desc("movement_count"), F.asc_nulls_last("toc_id"))
             .limit(limit))
 
@@ -82,7 +119,7 @@ def punctuality_share(m: DataFrame) -> DataFrame:
     The window runs over the aggregated rows (one per status), never over
     the movements, so its single partition holds a handful of rows.
     """
-    per_status = m.groupBy("variation_status").agg(F.count(F.lit(1)).alias("count"))
+    per_status = m.groupBy("variation_status").agg(_rows(m).alias("count"))
     total = F.sum("count").over(Window.partitionBy())
     return (per_status.withColumn("percentage", pct(F.col("count"), total))
             .orderBy(F.desc("count"), F.asc_nulls_last("variation_status")))
@@ -91,10 +128,10 @@ def punctuality_share(m: DataFrame) -> DataFrame:
 # --- Q4 ---------------------------------------------------------------------
 def hourly_patterns(m: DataFrame, tz: str = "UTC") -> DataFrame:
     """Movements, departures and arrivals per hour of day (0-23)."""
-    return (m.groupBy(F.hour(_ts(tz)).alias("hour_of_day"))
-            .agg(F.count(F.lit(1)).alias("total_movements"),
-                 count_when(F.col("event_type") == "DEPARTURE").alias("departures"),
-                 count_when(F.col("event_type") == "ARRIVAL").alias("arrivals"))
+    return (m.groupBy(_hour(m, tz).alias("hour_of_day"))
+            .agg(_rows(m).alias("total_movements"),
+                 _rows_when(m, F.col("event_type") == "DEPARTURE").alias("departures"),
+                 _rows_when(m, F.col("event_type") == "ARRIVAL").alias("arrivals"))
             .orderBy("hour_of_day"))
 
 
@@ -117,11 +154,11 @@ def recent_movements(m: DataFrame, as_of, hours: int = 24, limit: int = 50) -> D
 
 # --- Q7 / Q8 ----------------------------------------------------------------
 def event_type_distribution(m: DataFrame) -> DataFrame:
-    return m.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
+    return m.groupBy("event_type").agg(_rows(m).alias("count"))
 
 
 def punctuality_distribution(m: DataFrame) -> DataFrame:
-    return (m.groupBy("variation_status").agg(F.count(F.lit(1)).alias("movement_count"))
+    return (m.groupBy("variation_status").agg(_rows(m).alias("movement_count"))
             .orderBy(F.desc("movement_count"), F.asc_nulls_last("variation_status")))
 
 
@@ -130,7 +167,7 @@ def toc_ranking(m: DataFrame, min_total: int = 10, limit: int = 20,
                 key: str = "toc_id") -> DataFrame:
     """Punctuality per operator with strictly more than ``min_total`` movements."""
     return (m.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("total_movements"), _on_time().alias("on_time_count"))
+            .agg(_rows(m).alias("total_movements"), _on_time(m).alias("on_time_count"))
             .where(F.col("total_movements") > min_total)
             .withColumn("punctuality_percentage",
                         pct(F.col("on_time_count"), F.col("total_movements")))
@@ -146,15 +183,15 @@ def leaderboard(m: DataFrame, min_total: int = 20, limit: int = 15) -> DataFrame
 # --- Q10 --------------------------------------------------------------------
 def toc_status_heatmap(m: DataFrame) -> DataFrame:
     return (m.groupBy("toc_id", "variation_status")
-            .agg(F.count(F.lit(1)).alias("movement_count"))
+            .agg(_rows(m).alias("movement_count"))
             .orderBy(F.asc_nulls_last("toc_id"), F.asc_nulls_last("variation_status")))
 
 
 # --- Q11 --------------------------------------------------------------------
 def daily_trends(m: DataFrame, limit: int = 30, tz: str = "UTC") -> DataFrame:
     """Movements per date x status, newest date first; ``limit`` counts rows."""
-    return (m.groupBy(F.to_date(_ts(tz)).alias("date"), "variation_status")
-            .agg(F.count(F.lit(1)).alias("movement_count"))
+    return (m.groupBy(_date(m, tz).alias("date"), "variation_status")
+            .agg(_rows(m).alias("movement_count"))
             .orderBy(F.desc("date"), F.asc_nulls_last("variation_status"))
             .limit(limit))
 
@@ -162,9 +199,9 @@ def daily_trends(m: DataFrame, limit: int = 30, tz: str = "UTC") -> DataFrame:
 # --- Q12 --------------------------------------------------------------------
 def weekly_calendar(m: DataFrame, tz: str = "UTC") -> DataFrame:
     """Punctuality per weekday (1 = Sunday) x hour."""
-    ts = _ts(tz)
-    return (m.groupBy(F.dayofweek(ts).alias("day_of_week"), F.hour(ts).alias("hour_of_day"))
-            .agg(pct(_on_time(), F.count(F.lit(1))).alias("punctuality_percentage"))
+    return (m.groupBy(F.dayofweek(_date(m, tz)).alias("day_of_week"),
+                      _hour(m, tz).alias("hour_of_day"))
+            .agg(pct(_on_time(m), _rows(m)).alias("punctuality_percentage"))
             .orderBy("day_of_week", "hour_of_day"))
 
 
@@ -172,7 +209,7 @@ def weekly_calendar(m: DataFrame, tz: str = "UTC") -> DataFrame:
 def top_stations(m: DataFrame, min_count: int = 5, limit: int = 20) -> DataFrame:
     return (m.where(F.col("loc_stanox").isNotNull())
             .groupBy(F.col("loc_stanox").alias("station_code"))
-            .agg(F.count(F.lit(1)).alias("movement_count"), _on_time().alias("on_time_count"))
+            .agg(F.count(F.lit(1)).alias("movement_count"), _on_time(m).alias("on_time_count"))
             .where(F.col("movement_count") > min_count)
             .withColumn("punctuality_percentage",
                         pct(F.col("on_time_count"), F.col("movement_count")))
@@ -184,7 +221,7 @@ def top_stations(m: DataFrame, min_count: int = 5, limit: int = 20) -> DataFrame
 def route_performance(m: DataFrame) -> DataFrame:
     return (m.where(F.col("route").isNotNull() & (F.col("route") != "0"))
             .groupBy("toc_id", "route", "variation_status")
-            .agg(F.count(F.lit(1)).alias("movement_count"))
+            .agg(_rows(m).alias("movement_count"))
             .orderBy(F.asc_nulls_last("toc_id"), "route", F.asc_nulls_last("variation_status")))
 
 
@@ -201,8 +238,8 @@ def delay_distribution(m: DataFrame) -> DataFrame:
 
 # --- Q16 --------------------------------------------------------------------
 def toc_hour_matrix(m: DataFrame, min_count: int = 5, tz: str = "UTC") -> DataFrame:
-    return (m.groupBy("toc_id", F.hour(_ts(tz)).alias("hour_of_day"))
-            .agg(F.count(F.lit(1)).alias("_n"), _on_time().alias("_on"))
+    return (m.groupBy("toc_id", _hour(m, tz).alias("hour_of_day"))
+            .agg(_rows(m).alias("_n"), _on_time(m).alias("_on"))
             .where(F.col("_n") > min_count)
             .select("toc_id", "hour_of_day",
                     pct(F.col("_on"), F.col("_n")).alias("punctuality_percentage"))
@@ -217,8 +254,8 @@ def realtime_gauge(m: DataFrame, as_of_date, tz: str = "UTC") -> DataFrame:
     on the instant and pushed to the Parquet scan.
     """
     d = F.lit(as_of_date).cast("date") if not isinstance(as_of_date, Column) else as_of_date
-    return (m.where(F.to_date(_ts(tz)) == d)
-            .agg(pct(_on_time(), F.count(F.lit(1))).alias("current_punctuality_percentage")))
+    return (m.where(_date(m, tz) == d)
+            .agg(pct(_on_time(m), _rows(m)).alias("current_punctuality_percentage")))
 
 
 # --- Q19 --------------------------------------------------------------------
@@ -227,7 +264,7 @@ def kpi_scorecard(m: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_movements"),
         F.count_distinct("train_id").alias("unique_trains"),
         F.count_distinct("toc_id").alias("active_tocs"),
-        pct(_on_time(), F.count(F.lit(1))).alias("overall_punctuality_percentage"))
+        pct(_on_time(m), F.count(F.lit(1))).alias("overall_punctuality_percentage"))
 
 
 # --- Q20 --------------------------------------------------------------------
@@ -235,7 +272,7 @@ def network_health(m: DataFrame, diversity_base: int = 50) -> DataFrame:
     """Four 0-100 scores; a NULL status is not counted as 'not LATE'."""
     n = F.count(F.lit(1))
     return m.agg(
-        pct(_on_time(), n).alias("punctuality_score"),
+        pct(_on_time(m), n).alias("punctuality_score"),
         pct(F.count_distinct("train_id"), n).alias("coverage_score"),
         pct(count_when(F.col("variation_status") != LATE), n).alias("reliability_score"),
         pct(F.count_distinct("toc_id"), F.lit(diversity_base)).alias("diversity_score"))
@@ -262,7 +299,7 @@ def journey_flow(m: DataFrame) -> DataFrame:
 
 # --- Q22 / Q23 / Q24 --------------------------------------------------------
 def row_count(m: DataFrame) -> DataFrame:
-    return m.agg(F.count(F.lit(1)).alias("total_rows"))
+    return m.agg(_rows(m).alias("total_rows"))
 
 
 def sample_rows(m: DataFrame, n: int = 5) -> DataFrame:
@@ -292,7 +329,7 @@ def company_tree(mart: DataFrame) -> DataFrame:
     ``grouping_id`` keeps subtotal rows apart from groups whose key is NULL.
     """
     return (mart.rollup("train_operating_company", "variation_status")
-            .agg(F.count(F.lit(1)).alias("movement_count"))
+            .agg(_rows(mart).alias("movement_count"))
             .orderBy(F.asc_nulls_last("train_operating_company"),
                      F.asc_nulls_last("variation_status")))
 

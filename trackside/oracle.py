@@ -388,4 +388,7 @@ def _quality_tests() -> dict[str, str]:
 def oracle_sql() -> dict[str, str]:
     out = {k: with_movements(v) for k, v in ANALYTICS.items()}
     out.update(_pipeline())
+    # the summary path must give exactly the base queries' answers
+    from trackside.registry import SUMMARY_QUERIES
+    out.update({f"summary_{n}": out[n] for n in SUMMARY_QUERIES})
     return out

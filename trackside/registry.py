@@ -20,6 +20,7 @@ from trackside.operators.decode import (decode_frames, explode_messages,
 from trackside.operators.dedup import dedup_object_key
 from trackside.operators.describer import td_berth_events
 from trackside.operators.flatten import complete_rows, flatten
+from trackside.operators.summary import dashboard
 from trackside.operators.quality import (check_accepted, ingest_stats, quality_report,
                                          run_checks)
 from trackside.plans.ingest import ingest_frames
@@ -354,5 +355,25 @@ def pipeline_queries() -> dict[str, Query]:
     }
 
 
+# --- the count-only charts over the one-pass movement summary ----------------
+
+SUMMARY_QUERIES = ["movements_by_toc", "top_toc", "punctuality_share", "hourly_patterns",
+                   "event_type_distribution", "punctuality_distribution", "toc_ranking",
+                   "toc_status_heatmap", "daily_trends", "weekly_calendar",
+                   "route_performance", "toc_hour_matrix", "realtime_gauge", "leaderboard",
+                   "row_count", "company_tree", "company_ranking"]
+
+
+def _via_summary(name: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return as_ntz(dashboard(spark, movements(spark, sf_dir), GAUGE_DATE)[name])
+    q.__name__ = f"summary_{name}"
+    return q
+
+
+def summary_queries() -> dict[str, Query]:
+    return {f"summary_{n}": _via_summary(n) for n in SUMMARY_QUERIES}
+
+
 def queries() -> dict[str, Query]:
-    return {**analytics_queries(), **pipeline_queries()}
+    return {**analytics_queries(), **pipeline_queries(), **summary_queries()}
