@@ -12,6 +12,11 @@ into ``header``/``body`` maps.  Every element keeps a ``status``:
                     absent (unless ``compat``: absent then reads as 0, 1970);
 * ``bad_element`` - an element that is not a JSON object (``5``, ``null``...);
 * ``bad_frame``   - the frame itself is not a JSON array (one row per frame).
+
+Limit: splitting with ``array<string>`` returns an object element as its
+JSON text and a string element as its content, so a string whose content is
+itself a valid message object is taken as that object.  Malformed text, a
+non-object header or body, numbers and plain strings are all caught.
 """
 
 from __future__ import annotations
@@ -25,8 +30,12 @@ from trackside.schema import MESSAGE_DDL, MOVEMENT_MSG_TYPE
 STATUSES = ["ok", "skipped", "bad_time", "bad_element", "bad_frame"]
 
 
-def _is_object(x: Column) -> Column:
-    return F.coalesce(F.startswith(F.ltrim(x), F.lit("{")), F.lit(False))
+# Element parse schema: a message is an object whose header and body are
+# objects.  The corrupt-record field catches everything else - a number, a
+# string, malformed text, a header that is not an object - in the same parse.
+_CORRUPT = "_corrupt_record"
+_ELEMENT_DDL = f"struct<header: map<string,string>, body: map<string,string>, {_CORRUPT}: string>"
+_PARSE_OPTS = {"columnNameOfCorruptRecord": _CORRUPT}
 
 
 def explode_messages(frames: DataFrame, value: str = "value",
@@ -44,21 +53,26 @@ def explode_messages(frames: DataFrame, value: str = "value",
     """
     keep = keep or []
     arr = F.from_json(F.col(value).cast("string"), "array<string>")
-    items = F.transform(arr, lambda x: F.struct(
-        x.alias("element"), _is_object(x).alias("is_object"),
-        F.when(_is_object(x), F.from_json(x, MESSAGE_DDL)).alias("msg"),
+    parsed = F.transform(arr, lambda x: F.struct(
+        x.alias("element"), F.from_json(x, _ELEMENT_DDL, _PARSE_OPTS).alias("m")))
+    items = F.transform(parsed, lambda p: F.struct(
+        p["element"].alias("element"),
+        (F.coalesce(F.startswith(F.ltrim(p["element"]), F.lit("{")), F.lit(False))
+         & p["m"][_CORRUPT].isNull()).alias("is_object"),
+        p["m"]["header"].alias("header"), p["m"]["body"].alias("body"),
         F.lit(True).alias("frame_ok")))
+    null_map = F.lit(None).cast("map<string,string>")
     bad_frame = F.array(F.struct(
         F.lit(None).cast("string").alias("element"), F.lit(False).alias("is_object"),
-        F.lit(None).cast(MESSAGE_DDL).alias("msg"), F.lit(False).alias("frame_ok")))
+        null_map.alias("header"), null_map.alias("body"), F.lit(False).alias("frame_ok")))
     it = F.col("_it")
     return (frames.select(*keep, F.posexplode(F.coalesce(items, bad_frame)).alias("_pos", "_it"))
             .select(*keep, it.getField("frame_ok").alias("frame_ok"),
                     F.when(it.getField("frame_ok"), F.col("_pos")).alias("pos"),
                     it.getField("element").alias("element"),
                     it.getField("is_object").alias("is_object"),
-                    it.getField("msg").getField("header").alias("header"),
-                    it.getField("msg").getField("body").alias("body")))
+                    it.getField("header").alias("header"),
+                    it.getField("body").alias("body")))
 
 
 def classify(msgs: DataFrame, compat: bool = False) -> DataFrame:
