@@ -45,12 +45,13 @@ def test_day_read_prunes_partitions(spark, lake):
 def test_load_two_days_replay_one_keeps_other(spark, lake, scratch):
     base, _, m = lake
     table = scratch("table")
-    r1 = load_days(spark, base, table, ["2024-01-05", "2024-01-06"])
+    r1 = load_days(spark, base, table, ["2024-01-05", "2024-01-06"], verify="table")
     want5 = m.where("uk_date = '2024-01-05'").count()
     want6 = m.where("uk_date = '2024-01-06'").count()
     assert r1.written == want5 + want6 and r1.table_rows == want5 + want6
     r2 = load_day(spark, base, table, "2024-01-05")
-    assert r2.deleted == want5 and r2.written == want5
+    assert r2.deleted == want5 and r2.written == want5 == r2.day_rows
+    assert r2.table_rows is None
     t = spark.read.parquet(table)
     assert t.where("uk_date = '2024-01-06'").count() == want6
     assert t.count() == want5 + want6

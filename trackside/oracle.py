@@ -304,7 +304,7 @@ day AS (SELECT * FROM msg WHERE msg_type = '0003' AND {day}),
 alld AS (SELECT COUNT(*) AS n FROM msg WHERE msg_type = '0003' AND toc_id IS NOT NULL)
 SELECT '2024-01-15' AS days, 'loaded' AS status, COUNT(*) AS total_rows,
        COUNT(toc_id) AS valid_rows, COUNT(toc_id) AS written, 0::BIGINT AS misfiled,
-       COUNT(toc_id) AS deleted, (SELECT n FROM alld) AS table_rows,
+       COUNT(toc_id) AS deleted, COUNT(toc_id) AS day_rows, (SELECT n FROM alld) AS table_rows,
        COUNT(*) AS non_null_train_id, COUNT(*) AS non_null_actual_timestamp,
        COUNT(toc_id) AS non_null_toc_id, 0::BIGINT AS null_actual_timestamp,
        0::BIGINT AS null_train_id, 0::BIGINT AS null_event_type

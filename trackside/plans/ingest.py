@@ -30,7 +30,9 @@ def ingest_frames(frames: DataFrame, lake_base: str, processed_at=None,
     keep = keep or []
     obs = Observation("ingest")
     decoded = decode_frames(frames, value, compat, keep).observe(
-        obs, *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES])
+        obs, *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES],
+        # frames with at least one element, plus unparseable frames
+        F.count_if((F.col("pos") == 0) | ~F.col("frame_ok")).alias("frames"))
     env = to_envelope(only_movements(decoded), processed_at, keep + ["pos"])
     if last_writer_wins:
         order = order_cols or keep + ["pos"]

@@ -213,7 +213,7 @@ def _load_replay(spark, sf_dir):
     base = _lake(spark, sf_dir)
     table = scratch_dir(spark, "table")
     load_days(spark, base, table)
-    report = load_day(spark, base, table, REPLAY_DAY)
+    report = load_day(spark, base, table, REPLAY_DAY, verify="table")
     return table, report
 
 
