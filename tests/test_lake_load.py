@@ -126,3 +126,32 @@ def test_append_then_replace(spark, lake, scratch):
     assert t.count() == day.count() and t.where("route IS NOT NULL").count() == 0
     load_day(spark, base, table, "2024-01-08")      # replacement restores the full rows
     assert read_table(spark, table).exceptAll(day).count() == 0
+
+
+def test_summer_midnight_goes_to_next_london_day(spark, scratch):
+    """Delete, load and partition all use the London date (no UTC/London split)."""
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    base, table = scratch("slake"), scratch("stable")
+    ingest_frames(standin_frames(ev, shift_days=150), base, processed_at="P")
+    m = standin_movements(ev, processed_at="P", shift_days=150)
+    late = m.where(F.hour("actual_timestamp") == 23)          # 00:xx London, next day
+    assert late.where(F.to_date("actual_timestamp") != F.col("uk_date")).count() == late.count() > 0
+    load_days(spark, base, table)
+    day = late.select("uk_date").first().uk_date.isoformat()
+    r = load_day(spark, base, table, day)                     # replay that London day
+    t = spark.read.parquet(table)
+    assert r.deleted == r.written == m.where(F.col("uk_date") == day).count()
+    assert t.count() == m.count() and t.exceptAll(m).count() == 0
+
+
+def test_catalog_views_over_table(spark, lake, scratch):
+    from trackside.operators.views import register_catalog_views
+    base, _, m = lake
+    table = scratch("vtable")
+    load_days(spark, base, table)
+    names = register_catalog_views(spark, table, scratch("dbs"))
+    stg = spark.table(names[0])
+    assert stg.count() == m.count() and len(stg.columns) == 29
+    got = {r[0] for r in spark.table(names[1]).select("train_operating_company").distinct()
+           .collect()}
+    assert "Unknown" in got and "Southeastern" in got

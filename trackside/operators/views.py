@@ -50,3 +50,25 @@ def register_views(spark: SparkSession, movements: DataFrame,
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views
+
+
+def register_catalog_views(spark: SparkSession, table_path: str, location: str,
+                           staging_db: str = "staging", reporting_db: str = "reporting") -> list[str]:
+    """Catalog views in a staging and a reporting schema over the table path.
+
+    The views are SQL over the Parquet path, so every read expands them
+    against the current files (a replaced day is visible at once) and keeps
+    pruning and pushdown.  ``location`` holds the databases' own folders.
+    """
+    from trackside.schema import TOC_NAMES, UNKNOWN_COMPANY
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {staging_db} LOCATION '{location}/{staging_db}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {reporting_db} "
+              f"LOCATION '{location}/{reporting_db}'")
+    cols = ", ".join(STAGING_COLUMNS)
+    src = f"parquet.`{table_path}`"
+    spark.sql(f"CREATE OR REPLACE VIEW {staging_db}.stg_movements AS SELECT {cols} FROM {src}")
+    cases = " ".join(f"WHEN toc_id = '{k}' THEN '{v}'" for k, v in TOC_NAMES.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {reporting_db}.operating_company_performance AS "
+              f"SELECT actual_timestamp, CASE {cases} ELSE '{UNKNOWN_COMPANY}' END "
+              f"AS train_operating_company, variation_status FROM {staging_db}.stg_movements")
+    return [f"{staging_db}.stg_movements", f"{reporting_db}.operating_company_performance"]
