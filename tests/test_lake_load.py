@@ -53,6 +53,7 @@ def test_load_two_days_replay_one_keeps_other(spark, lake, scratch):
     assert r2.deleted == want5 and r2.written == want5 == r2.day_rows
     assert r2.table_rows is None
     t = spark.read.parquet(table)
+    assert t.schema["train_id"].metadata["comment"]          # docs survive the write
     assert t.where("uk_date = '2024-01-06'").count() == want6
     assert t.count() == want5 + want6
     # replay = first load, row for row

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from trackside.operators.dedup import dedup_exact
 from trackside.operators.flatten import complete_rows, flatten, require_columns
 from trackside.operators.quality import quality_aggs
-from trackside.schema import KEY_COLUMNS, MOVEMENTS_SCHEMA, TABLE_COLUMNS
+from trackside.schema import KEY_COLUMNS, MOVEMENTS_SCHEMA, TABLE_COLUMNS, documented
 from trackside.sources.lake import day_predicate, read_lake
 
 
@@ -135,7 +135,8 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     # Sorting each task's rows by (uk_date, actual_timestamp) is the sort the
     # partitioned writer needs anyway, extended by the time: row groups then
     # hold narrow time ranges, and time filters skip them by min/max stats.
-    (clean.select(*TABLE_COLUMNS).sortWithinPartitions("uk_date", "actual_timestamp")
+    # column comments are attached here, at the table boundary (Parquet keeps them)
+    (documented(clean.select(*TABLE_COLUMNS)).sortWithinPartitions("uk_date", "actual_timestamp")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("uk_date").parquet(table_path))
     m = obs.get
@@ -178,7 +179,7 @@ def append_table(df: DataFrame, table_path: str) -> None:
     """Typed append under the fixed schema (K5): columns cast, ``uk_date`` partitions."""
     cols = [(F.col(c) if c in df.columns else F.lit(None))
             .cast(MOVEMENTS_SCHEMA[c].dataType).alias(c) for c in TABLE_COLUMNS]
-    (df.select(*cols).sortWithinPartitions("uk_date", "actual_timestamp")
+    (documented(df.select(*cols)).sortWithinPartitions("uk_date", "actual_timestamp")
      .write.mode("append").partitionBy("uk_date").parquet(table_path))
 
 

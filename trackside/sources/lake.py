@@ -26,13 +26,16 @@ _ENVELOPE_KEYS = ["message_type", "event_type", "toc_id", "variation_status", "u
 _BARE_KEYS = [c for c in STAGING_COLUMNS if c not in _ENVELOPE_KEYS]
 CORRUPT = "_corrupt_record"
 
-# Read schema of lake objects: envelope keys, the raw body map, and the body
+# Read schema of lake objects: envelope keys, the raw body, and the body
 # fields at top level for the bare layout.  Every scalar is read as text
 # (a number where text is expected must not void the whole object), typed
-# later per row with try_cast.
+# later per row with try_cast.  The body is read as a struct of the known
+# feed fields: the reader fills each slot directly, where a map would cost
+# a key scan per field per row in the flatten (about half its time).
+BODY_STRUCT = T.StructType([T.StructField(c, T.StringType()) for c in STAGING_COLUMNS])
 LAKE_READ_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in _ENVELOPE_KEYS]
-    + [T.StructField("raw_data", T.MapType(T.StringType(), T.StringType()))]
+    + [T.StructField("raw_data", BODY_STRUCT)]
     + [T.StructField(c, T.StringType()) for c in _BARE_KEYS]
     + [T.StructField(CORRUPT, T.StringType())])
 
@@ -97,15 +100,13 @@ def read_json_objects(spark: SparkSession, path: str, multiline: bool = False,
 
 
 def normalize_objects(df: DataFrame) -> DataFrame:
-    bare = F.map_filter(F.create_map(*[x for c in _BARE_KEYS + ["event_type", "toc_id",
-                                                                 "variation_status"]
-                                       for x in (F.lit(c), F.col(c))]),
-                        lambda k, v: v.isNotNull())
+    bare = F.struct(*[F.col(c) for c in STAGING_COLUMNS])
     parts = [c for c in df.columns if c not in LAKE_READ_SCHEMA.fieldNames()]
-    # ``ok`` also reads raw_data: the JSON reader refuses (or, after pruning,
-    # cannot judge) a query whose only column is the corrupt-record one, so
-    # the flag must make the reader parse the object.
-    ok = F.col(CORRUPT).isNull() & (F.coalesce(F.size("raw_data"), F.lit(0)) >= 0)
+    # ``ok`` also reads a body field: the JSON reader refuses (or, after
+    # pruning, cannot judge) a query whose only column is the corrupt-record
+    # one, so the flag must make the reader parse the object.
+    ok = F.col(CORRUPT).isNull() & (
+        F.length(F.coalesce(F.col("raw_data")["train_id"], F.lit(""))) >= 0)
     return df.select(
         *parts, ok.alias("ok"),
         *[F.col(c) for c in ["message_type", "event_type", "toc_id", "variation_status",
