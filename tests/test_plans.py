@@ -76,3 +76,22 @@ def test_last_writer_wins_compat(spark, scratch):
     ingest_frames(standin_frames(ev), lake, processed_at="P", keep=["frame_id"],
                   last_writer_wins=True)
     assert read_lake(spark, lake).count() == 7981         # 7,983 movements, 2 collisions
+
+
+def test_time_filters_prune_day_partitions(spark, table):
+    m = spark.read.parquet(table[1])
+    p = plan(A.recent_movements(m, as_of="2024-01-31 00:00:00"))
+    assert "PartitionFilters: [isnotnull(uk_date" in p and "uk_date" in p.split("PartitionFilters")[1]
+    p = plan(A.realtime_gauge(m, "2024-01-05"))
+    assert "PartitionFilters: [isnotnull(uk_date" in p
+    # the window is a superset: the answer is unchanged
+    full = A.realtime_gauge(m.drop("uk_date"), "2024-01-05").first()[0]
+    assert A.realtime_gauge(m, "2024-01-05").first()[0] == full
+
+
+def test_approx_distinct_option(spark, table):
+    m = spark.read.parquet(table[1])
+    exact = A.kpi_scorecard(m).first()
+    approx = A.kpi_scorecard(m, approx=0.01).first()
+    assert abs(approx.unique_trains - exact.unique_trains) <= 0.05 * exact.unique_trains
+    assert "Expand" not in plan(A.kpi_scorecard(m, approx=0.01))
