@@ -156,3 +156,16 @@ def test_catalog_views_over_table(spark, lake, scratch):
     got = {r[0] for r in spark.table(names[1]).select("train_operating_company").distinct()
            .collect()}
     assert "Unknown" in got and "Southeastern" in got
+
+
+def test_ndjson_write_reports_empty(spark, scratch):
+    from trackside.sinks.lake import write_ndjson
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    assert write_ndjson(df, scratch("nd1")) is not None
+    assert write_ndjson(df.limit(0), scratch("nd2")) is None
+
+
+def test_ingest_counters(lake):
+    _, stats, _ = lake
+    assert stats["processed"] == stats["written"] == stats["ok"] and stats["failed"] == 0
+    assert stats["frames"] == 21                  # 20 frames of movements + the bad frame

@@ -42,5 +42,8 @@ def ingest_frames(frames: DataFrame, lake_base: str, processed_at=None,
     else:
         write_lake(env, lake_base, mode=mode)
     stats = dict(obs.get)
-    stats["written"] = stats.get("ok", 0)
+    # the consumer's counters: movements processed, messages in error, objects
+    # written and failed (the write commits as a whole or raises)
+    stats.update(processed=stats.get("ok", 0), errors=stats.get("bad_time", 0),
+                 written=stats.get("ok", 0), failed=0)
     return stats

@@ -40,9 +40,16 @@ def write_lake(envelopes: DataFrame, base: str, mode: str = "append",
      .partitionBy("year", "month", "day", *extra).json(base))
 
 
-def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One compact JSON object per line (K4)."""
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode(mode).text(path)
+def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> str | None:
+    """One compact JSON object per line (K4); ``None`` when no row was written.
+
+    The row count is observed during the write itself (no second pass).
+    """
+    from pyspark.sql import Observation
+    obs = Observation("ndjson")
+    (df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+     .observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).text(path))
+    return path if obs.get.get("rows", 0) > 0 else None
 
 
 def publish_messages(frames_exploded: DataFrame, path: str, mode: str = "append",

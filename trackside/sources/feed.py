@@ -12,9 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MOVEMENT_TOPIC = "public.networkrail.movement"
-
-
 def read_frames(spark: SparkSession, path: str, streaming: bool = False,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """One row per frame from text files (one frame per line): ``value``."""
@@ -26,9 +23,13 @@ def read_frames(spark: SparkSession, path: str, streaming: bool = False,
     return spark.read.text(path)
 
 
-def kafka_options(bootstrap: str, topic: str = MOVEMENT_TOPIC, group_id: str | None = None,
+def kafka_options(bootstrap: str, topic: str, group_id: str | None = None,
                   starting_offsets: str = "earliest", extra: dict | None = None) -> dict:
-    """Reader options for a topic of one message per record, replayed from earliest."""
+    """Reader options for a topic of one message per record, replayed from earliest.
+
+    The topic name comes from the deployment (the feed lane publishes every
+    movement message to it, one message per record).
+    """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
             "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
     if group_id:
