@@ -95,3 +95,11 @@ def test_decoder_plan_is_narrow_and_native(spark):
     plan = env._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert "PythonUDF" not in plan and "EvalPython" not in plan
+
+
+def test_envelope_matches_contract(spark):
+    from trackside.schema import ENVELOPE_SCHEMA
+    env = frames_to_envelopes(frames_df(spark, [json.dumps([msg()])]), processed_at="P")
+    got = env.select(*ENVELOPE_SCHEMA.fieldNames()).schema
+    assert [(f.name, f.dataType) for f in got] == \
+        [(f.name, f.dataType) for f in ENVELOPE_SCHEMA]

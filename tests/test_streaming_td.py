@@ -38,3 +38,29 @@ def test_td_berth_projection(spark):
     assert [(r.msg_type, r.descr, r.from_berth, r.to_berth) for r in rows] == [
         ("CA", "1A01", "0101", "0103"), ("CB", "", "0101", "")]
     assert rows[0].uk_time == "2024-07-01 00:30:00"      # 23:30 UTC in summer time
+
+
+def test_topic_lane_two_stages(spark, scratch):
+    """Stage 1 publishes every message (unfiltered); stage 2 lands the movements."""
+    from trackside.sources.feed import kafka_options, read_topic, single_message_frames
+    from trackside.streaming.ingest import stream_ingest, stream_publish
+    from trackside.sources.lake import read_lake
+    src = scratch("frames").replace("file:", "")
+    msgs = [{"header": {"msg_type": "0003"},
+             "body": {"actual_timestamp": "1704067207179", "toc_id": "88", "train_id": "T1"}},
+            {"header": {"msg_type": "0001"}, "body": {}}]
+    with open(f"{src}/f.txt", "w") as f:
+        f.write(json.dumps(msgs + [5]) + "\n")
+    topic = scratch("topic")
+    q = stream_publish(read_frames(spark, src, streaming=True), scratch("ck1"),
+                       {"path": topic}, fmt="text")
+    q.awaitTermination()
+    assert spark.read.text(topic).count() == 2            # both messages, not the 5
+    records = read_topic(spark, {"path": topic}, streaming=True, fmt="text")
+    lake = scratch("lake")
+    q = stream_ingest(single_message_frames(records), lake, scratch("ck2"), processed_at="P")
+    q.awaitTermination()
+    rows = read_lake(spark, lake).collect()
+    assert [r.raw_data["train_id"] for r in rows] == ["T1"]
+    opts = kafka_options("broker:9092", "movements", group_id="g")
+    assert opts["subscribe"] == "movements" and opts["startingOffsets"] == "earliest"

@@ -24,8 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackside.functions.times import epoch_seconds, iso_london, ms_to_ts
-from trackside.schema import MESSAGE_DDL, MOVEMENT_MSG_TYPE
+from trackside.functions.times import epoch_seconds, iso_london
+from trackside.schema import MOVEMENT_MSG_TYPE
 
 STATUSES = ["ok", "skipped", "bad_time", "bad_element", "bad_frame"]
 
@@ -140,7 +140,3 @@ def frames_to_envelopes(frames: DataFrame, processed_at=None, compat: bool = Fal
     keep = keep or []
     return to_envelope(only_movements(decode_frames(frames, value, compat, keep)),
                        processed_at, keep + ["pos"])
-
-
-def message_ms_to_ts(col: str = "actual_ms") -> Column:
-    return ms_to_ts(F.col(col))

@@ -156,8 +156,6 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("raw_data", T.MapType(T.StringType(), T.StringType())),
 ])
 
-MESSAGE_DDL = "struct<header: map<string,string>, body: map<string,string>>"
-
 
 def documented(df):
     """Attach ``COLUMN_DOCS`` as column comments (StructField metadata)."""

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from trackside.schema import ENVELOPE_SCHEMA, STAGING_COLUMNS
+from trackside.schema import STAGING_COLUMNS
 
 _ENVELOPE_KEYS = ["message_type", "event_type", "toc_id", "variation_status", "uk_datetime",
                   "timestamp", "processed_at", "object_name"]
@@ -46,42 +46,6 @@ def day_predicate(ds: str) -> Column:
             & (F.col("day").cast("int") == d.day))
 
 
-def read_lake_text(spark: SparkSession, base: str, ds: str | None = None,
-                   whole_objects: bool = False) -> DataFrame:
-    """Raw text of lake objects (one row per line, or per file with ``whole_objects``)."""
-    r = spark.read.option("ignoreMissingFiles", "true").option("basePath", base)
-    df = r.text(base, wholetext=whole_objects)
-    if not ds:
-        return df
-    # a lake with no day directories yet has no rows for any day
-    return df.where(day_predicate(ds)) if "year" in df.columns else df.where(F.lit(False))
-
-
-def parse_objects(text: DataFrame, value: str = "value") -> DataFrame:
-    """Lake object text -> envelope columns + ``ok`` (False = invalid JSON, dropped by callers).
-
-    Bare bodies (no ``raw_data`` key) become their own ``raw_data``.
-    """
-    top = F.from_json(F.col(value), "map<string,string>")
-    df = text.select("*", top.alias("_top")).where(
-        F.length(F.trim(F.col(value))) > 0)  # blank lines / empty objects are skipped
-    t = F.col("_top")
-    is_env = F.coalesce(F.map_contains_key(t, F.lit("raw_data")), F.lit(False))
-    raw = F.when(is_env, F.from_json(t.getItem("raw_data"), "map<string,string>")).otherwise(t)
-    cols = [F.col(c) for c in text.columns if c != value]
-    return df.select(
-        *cols,
-        t.isNotNull().alias("ok"),
-        t.getItem("message_type").alias("message_type"),
-        t.getItem("event_type").alias("event_type"),
-        t.getItem("toc_id").alias("toc_id"),
-        t.getItem("variation_status").alias("variation_status"),
-        t.getItem("uk_datetime").alias("uk_datetime"),
-        t.getItem("timestamp").try_cast("double").alias("timestamp"),
-        t.getItem("processed_at").alias("processed_at"),
-        raw.alias("raw_data"))
-
-
 def read_json_objects(spark: SparkSession, path: str, multiline: bool = False,
                       base: str | None = None) -> DataFrame:
     """Lake objects through the JSON reader: one parse per object, ``ok`` flag.
@@ -139,5 +103,3 @@ def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     """NDJSON day file: one object per line; blank lines skipped, bad lines flagged."""
     return read_json_objects(spark, path)
 
-
-ENVELOPE_DDL = ENVELOPE_SCHEMA.simpleString()
