@@ -1,7 +1,8 @@
 """Benchmark: the pipeline stages and every analytics query at one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 2).  Prints ONE JSON line.
+BENCH_RUNS (default 2), BENCH_EVENT_LOG (a folder: write Spark's event log
+there for stage and task times).  Prints ONE JSON line.
 
 Stages timed: frame building + decode + lake write (ingest), lake -> table
 (load_days), replay of one day; then each analytics query over the loaded
@@ -68,8 +69,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "2"))
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
     spark = build_session(master=f"local[{cpus}]", app="trackside-bench",
-                          shuffle_partitions=cpus)
+                          shuffle_partitions=cpus, extra=extra)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     lake, table = scratch_dir(spark, "bench-lake"), scratch_dir(spark, "bench-table")
 
