@@ -259,6 +259,7 @@ def _pipeline() -> dict[str, str]:
     q["load_day_replay"] = with_movements(TABLE_SELECT)
     q["stream_ingest_available_now"] = with_movements(TABLE_SELECT)
     q["stream_late_day_replay"] = with_movements(TABLE_SELECT)
+    q["stream_table_append"] = with_movements(TABLE_SELECT)
     q["flatten_complete"] = with_movements(TABLE_SELECT, processed_at=None)
     q["lake_roundtrip_day"] = with_movements(
         TABLE_SELECT + " WHERE uk_date = DATE '2024-01-15'")

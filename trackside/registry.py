@@ -33,7 +33,7 @@ from trackside.sources.lake import read_lake, read_ndjson
 from trackside.sources.standin import (plant_quality_failures, standin_frames,
                                        standin_movements, standin_td_frames)
 from trackside.streaming.ingest import (DEDUP_KEYS, dedup_stream, stream_ingest,
-                                        stream_to_table)
+                                        stream_to_table, stream_to_table_append)
 
 AS_OF = "2024-01-31 00:00:00"
 GAUGE_DATE = "2024-01-30"
@@ -312,6 +312,19 @@ def q_stream_late_day_replay(spark, sf_dir):
     return as_ntz(spark.read.parquet(table).select(*TABLE_COLUMNS))
 
 
+def q_stream_table_append(spark, sf_dir):
+    """Two runs of one append-only stream; the second brings late movements."""
+    src = scratch_dir(spark, "frames")
+    table, ckpt = scratch_dir(spark, "atable"), scratch_dir(spark, "sckpt")
+    f = _frames(spark, sf_dir).select("frame_id", "value")
+    for run, part in enumerate([F.col("frame_id") % 3 != 0, F.col("frame_id") % 3 == 0]):
+        f.where(part).select("value").write.mode("append").text(f"{src}/run={run}")
+        q = stream_to_table_append(read_frames(spark, f"{src}/run=*", streaming=True), table,
+                                   ckpt, processed_at=PROCESSED_AT)
+        q.awaitTermination()
+    return as_ntz(spark.read.parquet(table).select(*TABLE_COLUMNS))
+
+
 def q_stream_dedup(spark, sf_dir):
     """Every frame delivered twice; the stream keeps one movement per key."""
     src = scratch_dir(spark, "frames")
@@ -352,6 +365,7 @@ def pipeline_queries() -> dict[str, Query]:
         "stream_ingest_available_now": q_stream_ingest_available_now,
         "stream_late_day_replay": q_stream_late_day_replay,
         "stream_dedup": q_stream_dedup,
+        "stream_table_append": q_stream_table_append,
     }
 
 

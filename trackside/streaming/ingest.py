@@ -10,6 +10,13 @@
   the lake and replaces its table partition.  Late movements are therefore
   never dropped: they re-open their day.  Only the touched-day list (a few
   dates per batch) reaches the driver.
+* ``stream_to_table_append`` (T3, O(batch)): the complete movements of each
+  micro-batch go straight into the day-partitioned table through the
+  checkpointed file sink.  A late movement is appended to its own old day,
+  a retried batch cannot land twice (the sink's commit log), and each
+  trigger costs only its own rows.  Readers see committed files only.  Use
+  this table on its own: day replacement by ``load_day`` writes outside the
+  sink's log, so it belongs to the lake-fed table of ``stream_to_table``.
 * ``dedup_stream`` (T4): ``dropDuplicatesWithinWatermark`` on the movement
   keys; the watermark bounds the state.  Rows arriving after the watermark
   are dropped by Spark's stateful operators, so this is for live views; the
@@ -90,6 +97,26 @@ def stream_to_table(frames: DataFrame, lake_base: str, table_path: str, checkpoi
     return _trigger(w, trigger).start()
 
 
+def stream_to_table_append(frames: DataFrame, table_path: str, checkpoint: str,
+                           processed_at=None, compat: bool = False,
+                           trigger: dict | None = None, dedup_delay: str | None = None):
+    """Start frames -> typed complete movements -> table, append-only (T3).
+
+    ``dedup_delay`` (e.g. ``"2 hours"``) drops repeats of a movement within
+    the watermark before they reach the table.
+    """
+    from trackside.operators.flatten import complete_rows, flatten
+    from trackside.schema import TABLE_COLUMNS, documented
+    env = to_envelope(only_movements(decode_frames(frames, compat=compat)), processed_at)
+    rows = complete_rows(flatten(env))
+    if dedup_delay:
+        rows = dedup_stream(rows, delay=dedup_delay)
+    w = (documented(rows.select(*TABLE_COLUMNS)).writeStream.format("parquet")
+         .outputMode("append").option("path", table_path)
+         .option("checkpointLocation", checkpoint).partitionBy("uk_date"))
+    return _trigger(w, trigger).start()
+
+
 def stream_publish(frames: DataFrame, checkpoint: str, sink: dict, fmt: str = "kafka",
                    trigger: dict | None = None):
     """First stage of the topic lane (T5): every message of every frame, unfiltered.
