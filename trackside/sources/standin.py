@@ -156,8 +156,8 @@ def standin_frames(events: DataFrame, size: int = FRAME_SIZE, plant: bool = True
     frames = _frames_of(standin_messages(events, shift_days), size,
                         PLANTED_ELEMENT if plant else None)
     if plant:
-        spark = events.sparkSession
-        bad = spark.createDataFrame([(-1, PLANTED_BAD_FRAME)], "frame_id bigint, value string")
+        bad = events.sparkSession.range(1).select(F.lit(-1).cast("bigint").alias("frame_id"),
+                                                  F.lit(PLANTED_BAD_FRAME).alias("value"))
         frames = frames.unionByName(bad)
     return frames
 
