@@ -95,3 +95,13 @@ def test_approx_distinct_option(spark, table):
     approx = A.kpi_scorecard(m, approx=0.01).first()
     assert abs(approx.unique_trains - exact.unique_trains) <= 0.05 * exact.unique_trains
     assert "Expand" not in plan(A.kpi_scorecard(m, approx=0.01))
+
+
+def test_cluster_settings_scale_with_input():
+    from trackside.session import cluster_settings
+    tb = 1024 ** 4
+    big = cluster_settings(100 * tb, total_cores=8000)
+    small = cluster_settings(10 * 1024 ** 2, total_cores=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000       # capped, ~1 per split
+    assert int(small["spark.sql.shuffle.partitions"]) == 16          # two waves of cores
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)

@@ -74,3 +74,30 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def cluster_settings(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    * scan splits of ``target_partition_bytes`` (row groups permitting), so
+      a task's input and its sort/aggregation buffers fit executor memory;
+    * an initial shuffle width of about one partition per split, and at
+      least two waves of the cluster's cores, which AQE then coalesces
+      towards the same advisory size (the analytics shuffles are tiny after
+      partial aggregation and collapse to a few partitions);
+    * AQE skew handling on, so a hot key in a sort-based operator is split.
+    Pass the result to ``SparkSession.builder.config`` or set it at runtime.
+    """
+    splits = max(1, -(-input_bytes // target_partition_bytes))
+    shuffle = max(2 * total_cores, min(splits, 100_000))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
