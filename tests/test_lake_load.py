@@ -169,3 +169,14 @@ def test_ingest_counters(lake):
     _, stats, _ = lake
     assert stats["processed"] == stats["written"] == stats["ok"] and stats["failed"] == 0
     assert stats["frames"] == 21                  # 20 frames of movements + the bad frame
+
+
+def test_parquet_lake_loads_the_same_table(spark, scratch):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    lake, table = scratch("plake"), scratch("ptable")
+    ingest_frames(standin_frames(ev), lake, processed_at="P", lake_format="parquet")
+    r = load_days(spark, lake, table, lake_format="parquet")
+    m = standin_movements(ev, processed_at="P")
+    t = spark.read.parquet(table)
+    assert r.written == m.count() == t.count() and t.exceptAll(m).count() == 0
+    assert read_lake(spark, lake, "2024-01-05", fmt="parquet").count() > 0

@@ -255,6 +255,7 @@ def _pipeline() -> dict[str, str]:
     q = {}
     q["frames_to_movements"] = with_movements(TABLE_SELECT)
     q["ndjson_roundtrip"] = with_movements(TABLE_SELECT)
+    q["parquet_lake_load"] = with_movements(TABLE_SELECT)
     q["topic_lane"] = with_movements(TABLE_SELECT)
     q["load_day_replay"] = with_movements(TABLE_SELECT)
     q["stream_ingest_available_now"] = with_movements(TABLE_SELECT)

@@ -19,7 +19,7 @@ from trackside.sinks.lake import lake_rows, write_lake
 def ingest_frames(frames: DataFrame, lake_base: str, processed_at=None,
                   compat: bool = False, value: str = "value", keep: list[str] | None = None,
                   mode: str = "append", last_writer_wins: bool = False,
-                  order_cols: list[str] | None = None) -> dict:
+                  order_cols: list[str] | None = None, lake_format: str = "json") -> dict:
     """Decode frames and append the movements to the lake; return the counters.
 
     ``last_writer_wins`` reproduces the object-per-key lake, where a second
@@ -38,9 +38,9 @@ def ingest_frames(frames: DataFrame, lake_base: str, processed_at=None,
         order = order_cols or keep + ["pos"]
         rows = dedup_object_key(lake_rows(env, extra=order), order)
         (rows.drop(*order).write.mode(mode).partitionBy("year", "month", "day")
-         .json(lake_base))
+         .format(lake_format).save(lake_base))
     else:
-        write_lake(env, lake_base, mode=mode)
+        write_lake(env, lake_base, mode=mode, fmt=lake_format)
     stats = dict(obs.get)
     # the consumer's counters: movements processed, messages in error, objects
     # written and failed (the write commits as a whole or raises)

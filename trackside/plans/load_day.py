@@ -101,7 +101,7 @@ def _days_filter(days: list[str]):
 def load_days(spark: SparkSession, lake_base: str, table_path: str,
               days: list[str] | None = None, whole_objects: bool = False,
               dedup_keys: list[str] | None = None, verify: str | bool | None = "days",
-              allow_drop: bool = False) -> LoadReport:
+              allow_drop: bool = False, lake_format: str = "json") -> LoadReport:
     """Load the given London days (all lake days when ``None``) into the table.
 
     ``verify``: ``"days"`` (default) counts the rows now in the loaded days,
@@ -109,7 +109,7 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     on a large table means reading every file footer; ``None`` skips both.
     """
     ensure_compatible(spark, table_path, allow_drop)
-    env = read_lake(spark, lake_base, None, whole_objects)
+    env = read_lake(spark, lake_base, None, whole_objects, fmt=lake_format)
     if days:
         env = env.where(_days_filter(days) if "year" in env.columns else F.lit(False))
     flat = flatten(env)

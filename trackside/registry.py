@@ -187,6 +187,15 @@ def q_lake_roundtrip_day(spark, sf_dir):
     return _table(flatten(read_lake(spark, base, REPLAY_DAY)))
 
 
+def q_parquet_lake_load(spark, sf_dir):
+    """The columnar lake option: frames -> Parquet lake -> load all days -> table."""
+    lake, table = scratch_dir(spark, "plake"), scratch_dir(spark, "ptable")
+    ingest_frames(_frames(spark, sf_dir), lake, processed_at=PROCESSED_AT,
+                  lake_format="parquet")
+    load_days(spark, lake, table, lake_format="parquet", verify=None)
+    return as_ntz(spark.read.parquet(table).select(*TABLE_COLUMNS))
+
+
 def q_ndjson_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "ndjson")
     write_ndjson(lake_rows(_envelopes(spark, sf_dir)), path)
@@ -353,6 +362,7 @@ def pipeline_queries() -> dict[str, Query]:
         "object_key_dedup": q_object_key_dedup,
         "lake_roundtrip_day": q_lake_roundtrip_day,
         "ndjson_roundtrip": q_ndjson_roundtrip,
+        "parquet_lake_load": q_parquet_lake_load,
         "topic_lane": q_topic_lane,
         "flatten_complete": q_flatten_complete,
         "load_day_replay": q_load_day_replay,

@@ -82,13 +82,18 @@ def normalize_objects(df: DataFrame) -> DataFrame:
 
 
 def read_lake(spark: SparkSession, base: str, ds: str | None = None,
-              whole_objects: bool = False) -> DataFrame:
+              whole_objects: bool = False, fmt: str = "json") -> DataFrame:
     """Envelopes of one London day (or all days) of the lake; invalid objects dropped.
 
     The day is a predicate on the partition columns, so only that day's
     directory is listed and read (``PartitionFilters`` in the plan).
+    ``fmt="parquet"`` reads a columnar lake written by ``write_lake``.
     """
-    df = read_json_objects(spark, base, multiline=whole_objects, base=base)
+    if fmt == "parquet":
+        df = (spark.read.option("basePath", base).option("ignoreMissingFiles", "true")
+              .parquet(base).withColumn("ok", F.lit(True)))
+    else:
+        df = read_json_objects(spark, base, multiline=whole_objects, base=base)
     if ds:
         df = df.where(day_predicate(ds) if "year" in df.columns else F.lit(False))
     return df.where("ok")
