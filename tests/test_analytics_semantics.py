@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from trackside.functions.exprs import pct, round_half_away
 from trackside.operators import analytics as A

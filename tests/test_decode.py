@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from trackside.operators.decode import decode_frames, frames_to_envelopes
 from trackside.operators.dedup import dedup_object_key

@@ -1,7 +1,6 @@
 """Lake layouts, NDJSON, and the daily load with day replacement."""
 
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F

@@ -1,9 +1,7 @@
 """Streaming lanes (availableNow) and the train-describer projection."""
 
 import json
-import os
 
-from pyspark.sql import functions as F
 
 from trackside.operators.describer import td_berth_events
 from trackside.sources.feed import read_frames
