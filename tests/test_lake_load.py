@@ -179,3 +179,17 @@ def test_parquet_lake_loads_the_same_table(spark, scratch):
     t = spark.read.parquet(table)
     assert r.written == m.count() == t.count() and t.exceptAll(m).count() == 0
     assert read_lake(spark, lake, "2024-01-05", fmt="parquet").count() > 0
+
+
+def test_summary_maintained_by_the_load(spark, lake, scratch):
+    from trackside.operators import analytics as A
+    from trackside.operators.summary import movement_summary
+    base, _, m = lake
+    table, summ = scratch("stable"), scratch("summary")
+    load_days(spark, base, table, summary_path=summ)
+    load_day(spark, base, table, "2024-01-05", summary_path=summ)      # replay one day
+    kept = spark.read.parquet(summ)
+    fresh = movement_summary(spark.read.parquet(table))
+    assert kept.count() == fresh.count() == movement_summary(m.drop("uk_date")).count()
+    for f in [A.toc_ranking, A.weekly_calendar, A.daily_trends]:
+        assert f(kept).exceptAll(f(m)).count() == 0 == f(m).exceptAll(f(kept)).count()

@@ -26,12 +26,36 @@ SUMMARY_KEYS = ["toc_id", "variation_status", "event_type", "route", "date", "ho
 
 
 def movement_summary(m: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Movements counted by operator, status, event type, route, date and hour."""
+    """Movements counted by operator, status, event type, route, date and hour.
+
+    When the input carries the table's ``uk_date`` partition column it is
+    kept as a key: a London day starts on a UTC hour boundary, so every
+    (date, hour) cell lies in one London day and the extra key adds no rows,
+    while it lets the summary be partitioned - and maintained - by day.
+    """
     ts = F.col("actual_timestamp")
     ts = ts if tz.upper() == "UTC" else to_london(ts, tz)
-    return (m.groupBy("toc_id", "variation_status", "event_type", "route",
-                      F.to_date(ts).alias("date"), F.hour(ts).alias("hour_of_day"))
-            .agg(F.count(F.lit(1)).alias(A.WEIGHT)))
+    keys = [F.col(c) for c in ["toc_id", "variation_status", "event_type", "route"]]
+    keys += [F.to_date(ts).alias("date"), F.hour(ts).alias("hour_of_day")]
+    if "uk_date" in m.columns:
+        keys.append(F.col("uk_date"))
+    return m.groupBy(*keys).agg(F.count(F.lit(1)).alias(A.WEIGHT))
+
+
+def refresh_summary(spark: SparkSession, table_path: str, summary_path: str,
+                    days: list[str] | None = None) -> None:
+    """Re-summarise the given London days of the table into the summary table.
+
+    Reads only those day partitions of the facts and replaces only the same
+    partitions of the summary (dynamic overwrite), so keeping the dashboard
+    current costs one day's scan per daily load, not a scan of the table.
+    """
+    import datetime as _dt
+    m = spark.read.parquet(table_path)
+    if days:
+        m = m.where(F.col("uk_date").isin([_dt.date.fromisoformat(d) for d in days]))
+    (movement_summary(m).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("uk_date").parquet(summary_path))
 
 
 def company_summary(summary: DataFrame) -> DataFrame:
@@ -54,7 +78,11 @@ def materialize_summary(spark: SparkSession, m: DataFrame, path: str | None = No
 def dashboard(spark: SparkSession, m: DataFrame, as_of_date, path: str | None = None,
               tz: str = "UTC") -> dict[str, DataFrame]:
     """The count-only charts, all over one materialised summary."""
-    s = materialize_summary(spark, m, path, tz)
+    return charts(materialize_summary(spark, m, path, tz), as_of_date)
+
+
+def charts(s: DataFrame, as_of_date) -> dict[str, DataFrame]:
+    """The count-only charts over a summary (fresh, or kept by ``load_days``)."""
     c = company_summary(s)
     return {
         "movements_by_toc": A.movements_by_toc(s),

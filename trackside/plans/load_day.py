@@ -101,9 +101,13 @@ def _days_filter(days: list[str]):
 def load_days(spark: SparkSession, lake_base: str, table_path: str,
               days: list[str] | None = None, whole_objects: bool = False,
               dedup_keys: list[str] | None = None, verify: str | bool | None = "days",
-              allow_drop: bool = False, lake_format: str = "json") -> LoadReport:
+              allow_drop: bool = False, lake_format: str = "json",
+              summary_path: str | None = None) -> LoadReport:
     """Load the given London days (all lake days when ``None``) into the table.
 
+    With ``summary_path`` the movement summary of the loaded days is
+    refreshed after the write (one day's scan, see ``operators.summary``).
+
     ``verify``: ``"days"`` (default) counts the rows now in the loaded days,
     a partition-pruned count; ``"table"`` also counts the whole table, which
     on a large table means reading every file footer; ``None`` skips both.
@@ -153,6 +157,9 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
         misfiled=m.get("misfiled", 0), deleted=deleted,
         non_null={k: m.get(f"non_null_{k}", 0) for k in KEY_COLUMNS},
         nulls={k: v for k, v in ((c[5:], m[c]) for c in m if c.startswith("null_"))})
+    if summary_path and status == "loaded":
+        from trackside.operators.summary import refresh_summary
+        refresh_summary(spark, table_path, summary_path, days)
     if verify and table_exists(spark, table_path):
         t = spark.read.parquet(table_path)
         report.day_rows = (t.where(F.col("uk_date").isin(day_set)) if day_set else t).count()

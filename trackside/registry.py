@@ -20,7 +20,7 @@ from trackside.operators.decode import (decode_frames, explode_messages,
 from trackside.operators.dedup import dedup_object_key
 from trackside.operators.describer import td_berth_events
 from trackside.operators.flatten import complete_rows, flatten
-from trackside.operators.summary import dashboard
+from trackside.operators.summary import charts, dashboard
 from trackside.operators.quality import (check_accepted, ingest_stats, quality_report,
                                          run_checks)
 from trackside.plans.ingest import ingest_frames
@@ -376,6 +376,7 @@ def pipeline_queries() -> dict[str, Query]:
         "stream_late_day_replay": q_stream_late_day_replay,
         "stream_dedup": q_stream_dedup,
         "stream_table_append": q_stream_table_append,
+        "maintained_summary_toc_ranking": q_maintained_summary_toc_ranking,
     }
 
 
@@ -399,5 +400,14 @@ def summary_queries() -> dict[str, Query]:
     return {f"summary_{n}": _via_summary(n) for n in SUMMARY_QUERIES}
 
 
+def q_maintained_summary_toc_ranking(spark, sf_dir):
+    """Ranking from the summary the daily load keeps (all days, then a replay)."""
+    base = _lake(spark, sf_dir)
+    table, summ = scratch_dir(spark, "table"), scratch_dir(spark, "summary")
+    load_days(spark, base, table, summary_path=summ, verify=None)
+    load_day(spark, base, table, REPLAY_DAY, summary_path=summ, verify=None)
+    return charts(spark.read.parquet(summ), GAUGE_DATE)["toc_ranking"]
+
+
 def queries() -> dict[str, Query]:
     return {**analytics_queries(), **pipeline_queries(), **summary_queries()}
