@@ -84,7 +84,12 @@ def replace_touched_days(spark: SparkSession, env: DataFrame, batch_id: int, lak
 def stream_to_table(frames: DataFrame, lake_base: str, table_path: str, checkpoint: str,
                     processed_at=None, compat: bool = False, trigger: dict | None = None,
                     **load_kw):
-    """Start frames -> lake -> day-replaced table via ``foreachBatch`` (T3)."""
+    """Start frames -> lake -> day-replaced table via ``foreachBatch`` (T3).
+
+    The lake below ``lake_base`` has the layout ``year=/month=/day=/batch=``
+    and must be written only by this stream (a lake of ``stream_ingest`` has
+    no ``batch`` level; one directory cannot hold both layouts).
+    """
     spark = frames.sparkSession
     env = to_envelope(only_movements(decode_frames(frames, compat=compat)), processed_at,
                       ["pos"])
