@@ -1,7 +1,7 @@
 """Benchmark: the pipeline stages and every analytics query at one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 2), BENCH_EVENT_LOG (a folder: write Spark's event log
+BENCH_RUNS (default 3), BENCH_EVENT_LOG (a folder: write Spark's event log
 there for stage and task times).  Prints ONE JSON line.
 
 Stages timed: frame building + decode + lake write (ingest), lake -> table
@@ -68,7 +68,7 @@ def timed(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     extra = {}
     if os.environ.get("BENCH_EVENT_LOG"):
         extra = {"spark.eventLog.enabled": "true",
