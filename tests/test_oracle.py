@@ -47,7 +47,10 @@ def test_every_query_has_an_oracle_or_is_declared_rows_only():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan and "InPandas" not in plan
+    got = df.toPandas()
     want = duck.sql(E.oracle_sql()[name]).to_arrow_table().to_pandas(date_as_object=True)
     gc, gr = _canon(got)
     wc, wr = _canon(want)
