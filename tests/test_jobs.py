@@ -22,3 +22,19 @@ def test_jobs_end_to_end(spark, scratch):
     assert n == r["written"]
     jobs.main(["refresh-summary", "--table", table, "--summary", summ, "--ds", "2024-01-05"])
     assert spark.read.parquet(summ).count() > 0
+
+
+def test_dashboard_job_writes_every_chart(spark, scratch):
+    from trackside.operators import analytics as A
+    from trackside.plans.ingest import ingest_frames
+    from trackside.plans.load_day import load_days
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    lake, table, summ, out = scratch("lake"), scratch("table"), scratch("s"), scratch("out")
+    ingest_frames(standin_frames(ev), lake, processed_at="P")
+    load_days(spark, lake, table, summary_path=summ)
+    paths = jobs.main(["dashboard", "--summary", summ, "--out", out,
+                       "--as-of-date", "2024-01-30"])
+    assert len(paths) == 17
+    m = spark.read.parquet(table)
+    got = spark.read.parquet(paths["toc_ranking"])
+    assert got.exceptAll(A.toc_ranking(m)).count() == 0 == A.toc_ranking(m).exceptAll(got).count()

@@ -3,6 +3,7 @@
     ingest         feed frame files or a topic -> London-date lake (streaming)
     load-day       replace London day(s) of the movements table from the lake
     refresh-summary  rebuild the kept movement summary for some days
+    dashboard      write the 17 count-only charts from the kept summary
     query          run one analytics query or ad-hoc SQL over the table
 
 The scheduler passes the run date (``--ds``); every job reads the cluster's
@@ -52,6 +53,12 @@ def cmd_refresh_summary(a) -> dict:
     return {"summary": a.summary, "days": a.ds or "*"}
 
 
+def cmd_dashboard(a) -> dict:
+    from trackside.operators.summary import charts, write_charts
+    spark = _spark()
+    return write_charts(charts(spark.read.parquet(a.summary), a.as_of_date), a.out)
+
+
 def cmd_query(a) -> list:
     from trackside.operators import analytics as A
     from trackside.operators import views as V
@@ -82,12 +89,16 @@ def main(argv: list[str] | None = None):
     s = sub.add_parser("refresh-summary")
     s.add_argument("--table", required=True), s.add_argument("--summary", required=True)
     s.add_argument("--ds", action="append")
+    s = sub.add_parser("dashboard")
+    s.add_argument("--summary", required=True), s.add_argument("--out", required=True)
+    s.add_argument("--as-of-date", required=True)
     s = sub.add_parser("query")
     s.add_argument("--table", required=True), s.add_argument("--name", default="toc_ranking")
     s.add_argument("--sql"), s.add_argument("--max-rows", type=int, default=1000)
     a = p.parse_args(argv)
     out = {"ingest": cmd_ingest, "load-day": cmd_load_day,
-           "refresh-summary": cmd_refresh_summary, "query": cmd_query}[a.cmd](a)
+           "refresh-summary": cmd_refresh_summary, "dashboard": cmd_dashboard,
+           "query": cmd_query}[a.cmd](a)
     print(json.dumps(out, default=str))
     return out
 

@@ -103,3 +103,25 @@ def charts(s: DataFrame, as_of_date) -> dict[str, DataFrame]:
         "company_tree": A.company_tree(c),
         "company_ranking": A.company_ranking(c),
     }
+
+
+def write_charts(charts_by_name: dict[str, DataFrame], out_dir: str,
+                 max_workers: int = 8) -> dict[str, str]:
+    """Write every chart's result below ``out_dir/<name>``, jobs in parallel.
+
+    The charts are small independent jobs over the same summary; Spark runs
+    jobs submitted from separate threads concurrently, so a refresh takes
+    about as long as its slowest chart instead of the sum.  Each result is
+    bounded by its keys (operators x hours, 30 rows, 168 cells ...), so one
+    output file per chart is enough.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(item):
+        name, df = item
+        path = f"{out_dir.rstrip('/')}/{name}"
+        df.coalesce(1).write.mode("overwrite").parquet(path)
+        return name, path
+
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        return dict(pool.map(one, charts_by_name.items()))
