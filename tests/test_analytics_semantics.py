@@ -101,3 +101,22 @@ def test_summary_counts_equal_direct_counts(spark):
     mart = V.operating_company_performance(V.stg_movements(m))
     assert A.company_tree(mart).exceptAll(A.company_tree(company_summary(s))).count() == 0
     assert A.realtime_gauge(s.limit(0), "2024-01-02").first()[0] is None
+
+
+def test_as_of_is_session_zone_not_process_zone(spark):
+    import os
+    import time as _time
+    m = _m(spark, [("20", "ON TIME", "ARRIVAL", _ts("2024-01-30 23:30:00"), None, "T", "1", "1")])
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    _time.tzset()
+    try:
+        for as_of in ["2024-01-31 00:00:00", dt.datetime(2024, 1, 31),
+                      dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)]:
+            assert A.recent_movements(m, as_of=as_of, hours=1).count() == 1
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        _time.tzset()

@@ -105,11 +105,16 @@ def _distinct(col, approx: float | None) -> Column:
 
 
 def _asof(value) -> Column:
+    """An as-of instant.  Text is parsed by Spark in the session zone (UTC);
+    a naive Python datetime would be converted in the driver process's
+    local zone instead, so it is passed on as text too."""
     if isinstance(value, Column):
         return value
-    if isinstance(value, str):
-        value = _dt.datetime.fromisoformat(value)
-    return F.lit(value).cast("timestamp")
+    if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        value = value.isoformat(sep=" ")
+    return F.to_timestamp(F.lit(str(value)))
 
 
 # --- Q1 ---------------------------------------------------------------------
