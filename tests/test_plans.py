@@ -105,3 +105,10 @@ def test_cluster_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000       # capped, ~1 per split
     assert int(small["spark.sql.shuffle.partitions"]) == 16          # two waves of cores
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+
+
+def test_unordered_sample_is_a_plain_limit(spark, table):
+    m = spark.read.parquet(table[1])
+    p = plan(A.sample_rows(m, ordered=False))
+    assert "CollectLimit" in p and "Exchange" not in p and "Sort" not in p
+    assert A.sample_rows(m, ordered=False).count() == 5
