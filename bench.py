@@ -1,4 +1,4 @@
-"""Benchmark: the pipeline stages and every analytics query at one scale factor.
+"""Benchmark: the feed and load stages and every analytics query at one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (default 3), BENCH_EVENT_LOG (a folder: write Spark's event log
@@ -78,7 +78,7 @@ def main() -> None:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     lake, table = scratch_dir(spark, "bench-lake"), scratch_dir(spark, "bench-table")
 
-    # Untimed warm-up of the same pipeline (JIT, codegen caches, file listing).
+    # Untimed warm-up of the same stages (JIT, codegen caches, file listing).
     wl, wt = scratch_dir(spark, "bench-warm-lake"), scratch_dir(spark, "bench-warm-table")
     ingest_frames(standin_frames(events), wl, processed_at=PROCESSED_AT)
     load_days(spark, wl, wt, verify=False)

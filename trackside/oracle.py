@@ -251,7 +251,7 @@ def _local(off_h: int, shift_days: int = 0) -> str:
     return f"make_timestamp((ms + {shift_days} * CAST(86400000 AS BIGINT) + {off_h} * 3600000) * 1000)"
 
 
-def _pipeline() -> dict[str, str]:
+def _feed_and_load() -> dict[str, str]:
     q = {}
     q["frames_to_movements"] = with_movements(TABLE_SELECT)
     q["ndjson_roundtrip"] = with_movements(TABLE_SELECT)
@@ -389,7 +389,7 @@ def _quality_tests() -> dict[str, str]:
 
 def oracle_sql() -> dict[str, str]:
     out = {k: with_movements(v) for k, v in ANALYTICS.items()}
-    out.update(_pipeline())
+    out.update(_feed_and_load())
     # the summary path must give exactly the base queries' answers
     from trackside.registry import SUMMARY_QUERIES
     out.update({f"summary_{n}": out[n] for n in SUMMARY_QUERIES})

@@ -351,7 +351,7 @@ def q_stream_dedup(spark, sf_dir):
     return as_ntz(spark.read.parquet(out))
 
 
-def pipeline_queries() -> dict[str, Query]:
+def feed_and_load_queries() -> dict[str, Query]:
     return {
         "frames_to_movements": q_frames_to_movements,
         "rejected_frames": q_rejected_frames,
@@ -410,4 +410,4 @@ def q_maintained_summary_toc_ranking(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return {**analytics_queries(), **pipeline_queries(), **summary_queries()}
+    return {**analytics_queries(), **feed_and_load_queries(), **summary_queries()}
