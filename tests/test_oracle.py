@@ -64,3 +64,16 @@ def test_entry_smoke(spark):
     assert df.columns == ["toc_id", "total_movements", "on_time_count",
                           "punctuality_percentage"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", ["hourly_patterns", "daily_trends", "uk_datetime_text",
+                                  "realtime_gauge"])
+def test_queries_pin_utc_in_a_foreign_session_zone(spark, duck, name):
+    """A driver's session may run in another zone; the queries pin UTC themselves."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = E.queries()[name](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    want = duck.sql(E.oracle_sql()[name]).to_arrow_table().to_pandas(date_as_object=True)
+    assert _canon(got) == _canon(want)
