@@ -54,8 +54,11 @@ def refresh_summary(spark: SparkSession, table_path: str, summary_path: str,
     m = spark.read.parquet(table_path)
     if days:
         m = m.where(F.col("uk_date").isin([_dt.date.fromisoformat(d) for d in days]))
-    (movement_summary(m).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("uk_date").parquet(summary_path))
+    # The summary of a day is small and bounded (operators x statuses x types
+    # x routes x 24 hours), so gathering each day into one task is a cheap
+    # shuffle and leaves one file per day instead of one per task per day.
+    (movement_summary(m).repartition("uk_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("uk_date").parquet(summary_path))
 
 
 def company_summary(summary: DataFrame) -> DataFrame:
