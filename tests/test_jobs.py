@@ -38,3 +38,15 @@ def test_dashboard_job_writes_every_chart(spark, scratch):
     m = spark.read.parquet(table)
     got = spark.read.parquet(paths["toc_ranking"])
     assert got.exceptAll(A.toc_ranking(m)).count() == 0 == A.toc_ranking(m).exceptAll(got).count()
+
+
+def test_parquet_lake_through_the_jobs(spark, scratch):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    frames = scratch("frames")
+    standin_frames(ev).select("value").write.mode("overwrite").text(frames)
+    lake, table, ck = scratch("lake"), scratch("table"), scratch("ck")
+    jobs.main(["ingest", "--frames", frames, "--lake", lake, "--checkpoint", ck, "--once",
+               "--lake-format", "parquet"])
+    r = jobs.main(["load-day", "--lake", lake, "--table", table, "--ds", "2024-01-05",
+                   "--lake-format", "parquet"])
+    assert r["status"] == "loaded" and r["written"] > 0

@@ -35,7 +35,7 @@ def cmd_ingest(a) -> dict:
     else:
         frames = read_frames(spark, a.frames, streaming=True)
     trigger = {"availableNow": True} if a.once else {"processingTime": a.every}
-    q = stream_ingest(frames, a.lake, a.checkpoint, trigger=trigger)
+    q = stream_ingest(frames, a.lake, a.checkpoint, trigger=trigger, lake_format=a.lake_format)
     q.awaitTermination()
     return {"query": q.name or str(q.id), "progress": q.lastProgress}
 
@@ -81,7 +81,7 @@ def main(argv: list[str] | None = None):
     s.add_argument("--frames"), s.add_argument("--bootstrap"), s.add_argument("--topic")
     s.add_argument("--group-id"), s.add_argument("--lake", required=True)
     s.add_argument("--checkpoint", required=True), s.add_argument("--every", default="1 minute")
-    s.add_argument("--once", action="store_true")
+    s.add_argument("--once", action="store_true"), s.add_argument("--lake-format", default="json")
     s = sub.add_parser("load-day")
     s.add_argument("--lake", required=True), s.add_argument("--table", required=True)
     s.add_argument("--ds", action="append", required=True)

@@ -52,11 +52,14 @@ def _trigger(writer, trigger: dict | None):
 
 def stream_ingest(frames: DataFrame, lake_base: str, checkpoint: str,
                   processed_at=None, compat: bool = False, trigger: dict | None = None,
-                  query_name: str | None = None):
-    """Start frames -> lake (file sink, exactly once).  Returns the StreamingQuery."""
+                  query_name: str | None = None, lake_format: str = "json"):
+    """Start frames -> lake (file sink, exactly once).  Returns the StreamingQuery.
+
+    ``lake_format="parquet"`` lands the columnar lake (see ``sinks.lake``).
+    """
     env = to_envelope(only_movements(ingest_observed(frames, compat=compat)), processed_at,
                       ["pos"])
-    w = (lake_rows(env).writeStream.format("json").outputMode("append")
+    w = (lake_rows(env).writeStream.format(lake_format).outputMode("append")
          .option("path", lake_base).option("checkpointLocation", checkpoint)
          .partitionBy("year", "month", "day"))
     if query_name:
