@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from trackside import registry
 
 TABLES = ["events"]
 
@@ -41,11 +42,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.queries()) - set(E.oracle_sql())
     assert missing == set()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
