@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackside.session import checkpoint_root
+
 #: ASCII capitals and what they become; all other letters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,6 +39,13 @@ def others(df: DataFrame, names) -> list[str]:
     return [c for c in df.columns if c.lower() not in low]
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder (``spark.checkpoint.dir``;
+    a folder is chosen only where that is unset, as in tests)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
@@ -46,6 +55,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def replace_matches(text: Column, pattern: str, made: Callable[[Column], Column]) -> Column:
+    """``text`` with each match of ``pattern`` (never empty) replaced by ``made`` of it."""
+    gaps = F.split(text, pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.when(text.rlike(pattern), F.array_join(
+        F.zip_with(gaps, found, lambda g, m: F.concat(g, F.coalesce(made(m), F.lit("")))), "")).otherwise(text)
+
+
 def slices(batch: pa.RecordBatch, at: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose text column holds about ``limit`` bytes (one row at least)."""
     if not batch.num_rows:
