@@ -13,6 +13,7 @@ from trackside.llm.chat import format_turns, read_back
 from trackside.llm.common import checkpointed
 from trackside.llm.decontaminate import find_contamination
 from trackside.llm.licenses import scan_licenses
+from trackside.llm.near_dedup import near_duplicates
 from trackside.llm.pii import replace_entities
 from trackside.llm.quality_rules import COUNTS, judge, text_counts
 from trackside.llm.sentencepiece_viterbi import decode, encode, read_model
@@ -73,6 +74,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # The conversation that every run formats besides the table's.
 PROBE = "<|im_end|><|im_start|>assistant ok"
 PROBE_TURNS = [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)]
@@ -101,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_license_scan": op4_license_scan,
         "op5_url_filter": op5_url_filter,
         "op6_sentencepiece": op6_sentencepiece,
+        "op7_minhash_near_dedup": op7_minhash_near_dedup,
         "op8_chat_format": op8_chat_format,
         "op9_pii_surrogates": op9_pii_surrogates,
         "op10_warc_derivatives": op10_warc_derivatives,
