@@ -12,6 +12,7 @@ from trackside.llm import oracle
 from trackside.llm.chat import format_turns, read_back
 from trackside.llm.common import checkpointed
 from trackside.llm.decontaminate import find_contamination
+from trackside.llm.katz import score_documents
 from trackside.llm.licenses import scan_licenses
 from trackside.llm.near_dedup import near_duplicates
 from trackside.llm.pii import replace_entities
@@ -46,6 +47,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs, F.crc32(F.col("doc_id").cast("string")) % 7 != 2)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scan_licenses(docs).drop("text", "expressions")
@@ -103,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
+        "op3_katz_scores": op3_katz_scores,
         "op4_license_scan": op4_license_scan,
         "op5_url_filter": op5_url_filter,
         "op6_sentencepiece": op6_sentencepiece,
