@@ -204,3 +204,10 @@ def quality_rules(docs: DataFrame, text: str = "text", keep_at: float = 0.5) ->
     return judge(row, "counts", keep_at).select(
         *[F.col("row")[x].alias(x) for x in others(docs, new)],
         *[F.col("counts")[x].alias(x) for x in COUNTS], "p_good", "base_failed", "kept")
+
+
+def keep_good(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, columns as they were."""
+    row = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"),
+                      text_counts(F.col(quoted(text))).alias("counts"))
+    return judge(row, "counts", keep_at).where("kept").select("row.*")
