@@ -52,6 +52,29 @@ best AS (
   GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM q LEFT JOIN best USING (r)"""
 
+NEAR_DEDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+link AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 75 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT reach.doc_id, b FROM reach JOIN both_ways ON other = a),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
 CHAT = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -78,5 +101,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_benchmark_decontamination": DECONTAMINATION,
         "op5_url_filter": URL_FILTER,
+        "op7_minhash_near_dedup": NEAR_DEDUP,
         "op8_chat_format": CHAT,
     }
