@@ -54,7 +54,7 @@ _END = r"(?![\p{L}\p{N}])"
 #: What may be an entity, in the order of the alternation: kind, pattern, what must not follow.
 #: All start where no letter or digit stands before.
 PATTERNS = [
-    ("secret", rf"{_LABEL}[^\s\"']{{8,128}}+", ""),
+    ("secret", rf"{_LABEL}[^\s\"']{{7,127}}[^\s\"'.,;:!?)]", ""),
     ("address", rf"(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}", r"(?![\p{L}\p{N}]|\.[0-9])"),
     ("card", r"[0-9](?:[ -]?[0-9]){12,18}", _END),
     ("social", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![\p{L}\p{N}-])"),
