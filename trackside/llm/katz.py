@@ -53,8 +53,8 @@ from trackside.session import scratch_dir
 
 K = 5
 RESERVE = 0.01
-PLACES = 6_000_000
-BLOCK_BYTES, BLOCK_ROWS = 32 << 20, 50_000
+PLACES = 2_500_000
+BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 50_000
 END, START = 1, 2   # hashes of the two marks; a word's hash is above them
 DOCS, PART, CONTEXT, EVENT, HIST, VALUE = range(6)
 
@@ -185,8 +185,9 @@ def _score_bucket(rows: list[tuple[int, tuple]], words: Words, buckets: int) ->
     w = np.concatenate([np.repeat(p[0], p[1]) for _, p in rows])
     u = np.concatenate([p[2] for _, p in rows])
     places = np.concatenate([p[3] for _, p in rows]).astype(np.int64)
-    doc = np.concatenate([p[4].astype(np.int64) + o for (_, p), o in zip(rows, base)])
+    doc = np.concatenate([p[4].astype(np.int32) + np.int32(o) for (_, p), o in zip(rows, base)])
     trains = np.concatenate([p[5] for _, p in rows])
+    rows.clear()
     in_training = np.add.reduceat(trains[doc].astype(np.int64), np.concatenate(([0], np.cumsum(places)[:-1])))
 
     order = np.lexsort((u, w))
@@ -221,7 +222,7 @@ def _score_bucket(rows: list[tuple[int, tuple]], words: Words, buckets: int) ->
     known = e_w > 0
     logs = np.where(known & (w != END), -np.log10(np.maximum(e_w, 1)), 0.0)
     logs += np.where(e_c > K, np.log10(np.maximum(e_c, 1)), np.where(e_c == 0, np.log10(e_p), 0.0))
-    at_place = np.repeat(np.arange(len(w)), places)
+    at_place = np.repeat(np.arange(len(w), dtype=np.int32), places)
     total = base[-1]
 
     def by_doc(value: np.ndarray) -> np.ndarray:
