@@ -15,11 +15,11 @@ def test_jobs_end_to_end(spark, scratch):
     r = jobs.main(["load-day", "--lake", lake, "--table", table, "--ds", "2024-01-05",
                    "--ds", "2024-01-06", "--summary", summ])
     assert r["status"] == "loaded" and r["written"] == r["day_rows"] > 0
-    rows = jobs.main(["query", "--table", table, "--name", "toc_ranking"])
-    assert rows and "punctuality_percentage" in rows[0]
-    n = jobs.main(["query", "--table", table, "--sql",
-                   "SELECT COUNT(*) AS n FROM stg_movements"])[0]["n"]
-    assert n == r["written"]
+    out = jobs.main(["query", "--table", table, "--name", "toc_ranking", "--out", scratch("q1")])["out"]
+    assert "punctuality_percentage" in spark.read.json(out).columns
+    out = jobs.main(["query", "--table", table, "--format", "parquet", "--out", scratch("q2"), "--sql",
+                     "SELECT * FROM stg_movements"])["out"]
+    assert spark.read.parquet(out).count() == r["written"]
     jobs.main(["refresh-summary", "--table", table, "--summary", summ, "--ds", "2024-01-05"])
     assert spark.read.parquet(summ).count() > 0
 

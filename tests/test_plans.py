@@ -102,7 +102,7 @@ def test_cluster_settings_scale_with_input():
     tb = 1024 ** 4
     big = cluster_settings(100 * tb, total_cores=8000)
     small = cluster_settings(10 * 1024 ** 2, total_cores=8)
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000       # capped, ~1 per split
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * tb // (256 * 1024 ** 2)   # one per split, no cap
     assert int(small["spark.sql.shuffle.partitions"]) == 16          # two waves of cores
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
 

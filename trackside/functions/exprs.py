@@ -39,8 +39,8 @@ def pct(num, den, digits: int = 2) -> Column:
 
 
 def delay_ms(actual_ts="actual_timestamp", planned_ms="planned_timestamp") -> Column:
-    """Actual minus planned time in milliseconds (planned is epoch-ms text)."""
-    return F.unix_millis(_c(actual_ts)) - _c(planned_ms).try_cast("bigint")
+    """Actual minus planned time in milliseconds (planned is epoch-ms text); NULL on overflow."""
+    return F.try_subtract(F.unix_millis(_c(actual_ts)), _c(planned_ms).try_cast("bigint"))
 
 
 def delay_minutes(actual_ts="actual_timestamp", planned_ms="planned_timestamp") -> Column:

@@ -20,9 +20,20 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The instants a TIMESTAMP can name: years 1 to 9999, a day short at either end
+# so that the London wall clock stays inside as well.
+MIN_MS, MAX_MS = -62_135_510_400_000, 253_402_214_399_999
+
+
+def valid_ms(ms) -> Column:
+    """Epoch milliseconds (text or number) -> BIGINT; bad text or a time out of range -> NULL."""
+    n = _try_bigint(ms)
+    return F.when(n.between(MIN_MS, MAX_MS), n)
+
+
 def ms_to_ts(ms) -> Column:
-    """Epoch milliseconds (text or number) -> TIMESTAMP; bad text -> NULL."""
-    return F.timestamp_millis(_try_bigint(ms))
+    """Epoch milliseconds (text or number) -> TIMESTAMP; bad text or out of range -> NULL."""
+    return F.timestamp_millis(valid_ms(ms))
 
 
 def _try_bigint(c) -> Column:

@@ -4,7 +4,7 @@
     load-day       replace London day(s) of the movements table from the lake
     refresh-summary  rebuild the kept movement summary for some days
     dashboard      write the 17 count-only charts from the kept summary
-    query          run one analytics query or ad-hoc SQL over the table
+    query          run one analytics query or ad-hoc SQL over the table, whole result to --out
 
 The scheduler passes the run date (``--ds``); every job reads the cluster's
 own session settings and ``spark.checkpoint.dir``.
@@ -43,7 +43,7 @@ def cmd_ingest(a) -> dict:
 def cmd_load_day(a) -> dict:
     from trackside.plans.load_day import load_days
     r = load_days(_spark(), a.lake, a.table, a.ds, lake_format=a.lake_format,
-                  summary_path=a.summary, verify="days")
+                  whole_objects=a.whole_objects, summary_path=a.summary, verify="days")
     return r.to_row()
 
 
@@ -59,7 +59,7 @@ def cmd_dashboard(a) -> dict:
     return write_charts(charts(spark.read.parquet(a.summary), a.as_of_date), a.out)
 
 
-def cmd_query(a) -> list:
+def cmd_query(a) -> dict:
     from trackside.operators import analytics as A
     from trackside.operators import views as V
     spark = _spark()
@@ -71,7 +71,9 @@ def cmd_query(a) -> list:
         fn = getattr(A, a.name)
         df = fn(V.operating_company_performance(V.stg_movements(m))) \
             if a.name in ("company_tree", "company_ranking") else fn(m)
-    return [r.asDict() for r in df.limit(a.max_rows).collect()]
+    # the whole result goes to files; nothing passes through the driver
+    df.write.mode("overwrite").format(a.format).save(a.out)
+    return {"out": a.out, "format": a.format}
 
 
 def main(argv: list[str] | None = None):
@@ -86,6 +88,7 @@ def main(argv: list[str] | None = None):
     s.add_argument("--lake", required=True), s.add_argument("--table", required=True)
     s.add_argument("--ds", action="append", required=True)
     s.add_argument("--lake-format", default="json"), s.add_argument("--summary")
+    s.add_argument("--whole-objects", action="store_true")
     s = sub.add_parser("refresh-summary")
     s.add_argument("--table", required=True), s.add_argument("--summary", required=True)
     s.add_argument("--ds", action="append")
@@ -94,7 +97,8 @@ def main(argv: list[str] | None = None):
     s.add_argument("--as-of-date", required=True)
     s = sub.add_parser("query")
     s.add_argument("--table", required=True), s.add_argument("--name", default="toc_ranking")
-    s.add_argument("--sql"), s.add_argument("--max-rows", type=int, default=1000)
+    s.add_argument("--sql"), s.add_argument("--out", required=True)
+    s.add_argument("--format", default="json")
     a = p.parse_args(argv)
     out = {"ingest": cmd_ingest, "load-day": cmd_load_day,
            "refresh-summary": cmd_refresh_summary, "dashboard": cmd_dashboard,

@@ -8,8 +8,9 @@ into ``header``/``body`` maps.  Every element keeps a ``status``:
 
 * ``ok``          - a movement (msg_type 0003) with a usable actual time;
 * ``skipped``     - any other message type (silently ignored by the feed lane);
-* ``bad_time``    - a movement whose actual time is null or not a number, or
-                    absent (unless ``compat``: absent then reads as 0, 1970);
+* ``bad_time``    - a movement whose actual time is null, not a number or outside
+                    the years 1 to 9999, or absent (unless ``compat``: absent
+                    then reads as 0, 1970);
 * ``bad_element`` - an element that is not a JSON object (``5``, ``null``...);
 * ``bad_frame``   - the frame itself is not a JSON array (one row per frame).
 
@@ -29,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackside.functions.times import epoch_seconds, iso_london
+from trackside.functions.times import epoch_seconds, iso_london, valid_ms
 from trackside.schema import MOVEMENT_MSG_TYPE
 
 STATUSES = ["ok", "skipped", "bad_time", "bad_element", "bad_frame"]
@@ -86,7 +87,7 @@ def classify(msgs: DataFrame, compat: bool = False) -> DataFrame:
     msg_type = F.col("header").getItem("msg_type")
     has_key = F.coalesce(F.map_contains_key(body, F.lit("actual_timestamp")), F.lit(False))
     raw = body.getItem("actual_timestamp")
-    parsed = raw.try_cast("bigint")
+    parsed = valid_ms(raw)
     actual_ms = F.when(has_key, parsed).otherwise(F.lit(0 if compat else None).cast("bigint"))
     status = (F.when(~F.col("frame_ok"), F.lit("bad_frame"))
               .when(~F.col("is_object"), F.lit("bad_element"))

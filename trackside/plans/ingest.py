@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from trackside.operators.decode import (STATUSES, decode_frames, only_movements,
                                         to_envelope)
 from trackside.operators.dedup import dedup_object_key
-from trackside.sinks.lake import lake_rows, write_lake
+from trackside.sinks.lake import lake_rows, refuse_sink_log, write_lake
 
 
 def ingest_frames(frames: DataFrame, lake_base: str, processed_at=None,
@@ -33,17 +33,22 @@ def ingest_frames(frames: DataFrame, lake_base: str, processed_at=None,
         obs, *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES],
         # frames with at least one element, plus unparseable frames
         F.count_if((F.col("pos") == 0) | ~F.col("frame_ok")).alias("frames"))
+    refuse_sink_log(frames.sparkSession, lake_base)
     env = to_envelope(only_movements(decoded), processed_at, keep + ["pos"])
+    landed = Observation("landed")
+    count = F.count(F.lit(1)).alias("written")
     if last_writer_wins:
         order = order_cols or keep + ["pos"]
         rows = dedup_object_key(lake_rows(env, extra=order), order)
-        (rows.drop(*order).write.mode(mode).partitionBy("year", "month", "day")
+        (rows.drop(*order).observe(landed, count).write.mode(mode).partitionBy("year", "month", "day")
          .format(lake_format).save(lake_base))
     else:
-        write_lake(env, lake_base, mode=mode, fmt=lake_format)
+        write_lake(env.observe(landed, count), lake_base, mode=mode, fmt=lake_format)
     stats = dict(obs.get)
     # the consumer's counters: movements processed, messages in error, objects
-    # written and failed (the write commits as a whole or raises)
-    stats.update(processed=stats.get("ok", 0), errors=stats.get("bad_time", 0),
-                 written=stats.get("ok", 0), failed=0)
+    # written (counted at the writer) and failed: the write commits as a whole or
+    # raises, so what was to be written and is not was replaced by a later object
+    written = landed.get.get("written", 0)
+    stats.update(processed=stats.get("ok", 0), errors=stats.get("bad_time", 0), written=written,
+                 replaced=stats.get("ok", 0) - written, failed=0)
     return stats

@@ -12,6 +12,8 @@ One Spark job per call, whatever the number of days:
   data stays (the "abort" of the load gates, without a delete-then-load gap).
 * One date definition (the London date) drives the lake directory, the
   table partition and the replacement.
+* Only the directories of the days are opened, in the lake and in the table,
+  and each once: a load costs its own days, whatever lies beside them.
 * The quality report is collected with ``observe`` during the same pass,
   so the day is read once; the input size never reaches the driver.
 * Executor loss is handled by task retry and the output commit protocol:
@@ -30,13 +32,20 @@ from trackside.operators.dedup import dedup_exact
 from trackside.operators.flatten import complete_rows, flatten, require_columns
 from trackside.operators.quality import quality_aggs
 from trackside.schema import KEY_COLUMNS, MOVEMENTS_SCHEMA, TABLE_COLUMNS, documented
-from trackside.sources.lake import day_predicate, read_lake
+from trackside.session import jvm_path, path_exists
+from trackside.sources.lake import read_lake_objects
 
 
 @dataclasses.dataclass
 class LoadReport:
+    """Counts of one load.  ``status``: ``loaded`` (every day), ``partly loaded``, or why nothing
+    was; ``day_status`` says it for each day.  ``deleted`` counts the old rows of the days that
+    were replaced, ``written`` the rows in their place."""
+
     days: list[str] | None
     status: str
+    day_status: dict = dataclasses.field(default_factory=dict)
+    invalid_objects: int = 0
     total_rows: int = 0
     valid_rows: int = 0
     written: int = 0
@@ -49,6 +58,8 @@ class LoadReport:
 
     def to_row(self) -> dict:
         row = {"days": ",".join(self.days) if self.days else "*", "status": self.status,
+               "day_status": ",".join(f"{d}: {s}" for d, s in sorted(self.day_status.items())),
+               "invalid_objects": self.invalid_objects,
                "total_rows": self.total_rows, "valid_rows": self.valid_rows,
                "written": self.written, "misfiled": self.misfiled, "deleted": self.deleted,
                "day_rows": self.day_rows, "table_rows": self.table_rows}
@@ -57,15 +68,24 @@ class LoadReport:
         return row
 
 
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _entries(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a directory, hidden files aside (none if it is not there)."""
+    fs, p = jvm_path(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in names if n[0] not in "._")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _jvm_fs(spark, path)
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
+    return bool(_entries(spark, path))
+
+
+def _read_days(spark: SparkSession, table_path: str, days: list[str] | None) -> DataFrame | None:
+    """The table's rows of some days (all: None), their directories opened alone; None if there are none."""
+    if days is None:
+        return spark.read.parquet(table_path) if table_exists(spark, table_path) else None
+    there = [f"{table_path.rstrip('/')}/uk_date={d}" for d in days]
+    there = [d for d in there if path_exists(spark, d)]
+    return spark.read.option("basePath", table_path).parquet(*there) if there else None
 
 
 def ensure_compatible(spark: SparkSession, table_path: str, allow_drop: bool = False) -> str:
@@ -74,9 +94,11 @@ def ensure_compatible(spark: SparkSession, table_path: str, allow_drop: bool = F
     Returns ``"absent"``, ``"ok"`` or ``"dropped"``; an incompatible table
     (e.g. ``raw_data`` stored as text) is removed only with ``allow_drop``.
     """
-    if not table_exists(spark, table_path):
+    entries = _entries(spark, table_path)
+    if not entries:
         return "absent"
-    existing = spark.read.parquet(table_path).schema
+    # all days have one schema: one of them tells it
+    existing = spark.read.parquet(f"{table_path.rstrip('/')}/{entries[-1]}").schema
     want = {f.name: f.dataType for f in MOVEMENTS_SCHEMA.fields}
     have = {f.name: f.dataType for f in existing.fields}
     bad = [n for n, t in have.items() if n in want and t != want[n]]
@@ -86,18 +108,11 @@ def ensure_compatible(spark: SparkSession, table_path: str, allow_drop: bool = F
     if not allow_drop:
         raise ValueError(f"table at {table_path} has incompatible columns {bad}; "
                          "pass allow_drop=True to replace it")
-    fs, p = _jvm_fs(spark, table_path)
+    fs, p = jvm_path(spark, table_path)
     fs.delete(p, True)
     return "dropped"
 
 
-def _days_filter(days: list[str]):
-    cond = F.lit(False)
-    for d in days:
-        cond = cond | day_predicate(d)
-    return cond
-
-
 def load_days(spark: SparkSession, lake_base: str, table_path: str,
               days: list[str] | None = None, whole_objects: bool = False,
               dedup_keys: list[str] | None = None, verify: str | bool | None = "days",
@@ -105,6 +120,10 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
               summary_path: str | None = None) -> LoadReport:
     """Load the given London days (all lake days when ``None``) into the table.
 
+    ``whole_objects`` reads lakes of one (pretty-printed) object a file.  Objects that
+    are no JSON object are counted (``invalid_objects``) and skipped.  A lake or a day
+    that is not there loads nothing and leaves the table as it was.
+
     With ``summary_path`` the movement summary of the loaded days is
     refreshed after the write (one day's scan, see ``operators.summary``).
 
@@ -113,11 +132,10 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     on a large table means reading every file footer; ``None`` skips both.
     """
     ensure_compatible(spark, table_path, allow_drop)
-    env = read_lake(spark, lake_base, None, whole_objects, fmt=lake_format)
-    if days:
-        env = env.where(_days_filter(days) if "year" in env.columns else F.lit(False))
-    flat = flatten(env)
-    require_columns(flat, TABLE_COLUMNS)
+    found = Observation("objects")
+    objects = read_lake_objects(spark, lake_base, days, whole_objects, lake_format)
+    require_columns(objects, ["event_type", "toc_id", "variation_status", "raw_data"])
+    flat = flatten(objects.observe(found, F.count_if(~F.col("ok")).alias("invalid")).where("ok"))
     day_set = [_dt.date.fromisoformat(d) for d in days] if days else None
     in_days = F.col("uk_date").isin(day_set) if day_set else F.lit(True)
     complete = F.lit(True)
@@ -125,16 +143,17 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
         complete = complete & F.col(k).isNotNull()
     obs = Observation("load_day")
     observed = flat.observe(obs, *quality_aggs(),
-                            F.count_if(complete & ~in_days).alias("misfiled"),
-                            F.count_if(complete & in_days).alias("written"))
+                            F.count_if(complete & ~in_days).alias("misfiled"))
     clean = complete_rows(observed).where(in_days)
     if dedup_keys:
         clean = dedup_exact(clean, dedup_keys)
+    # counted at the writer, by day (a day list is short; a London day is one number)
+    landed = Observation("landed")
+    clean = clean.observe(landed, F.count(F.lit(1)).alias("rows"),
+                          *[F.count_if(F.col("uk_date") == d).alias(f"day_{d}") for d in day_set or []])
 
-    deleted = 0
-    if table_exists(spark, table_path):
-        old = spark.read.parquet(table_path)
-        deleted = (old.where(F.col("uk_date").isin(day_set)) if day_set else old).count()
+    old = _read_days(spark, table_path, days)
+    before = {r.uk_date.isoformat(): r["count"] for r in old.groupBy("uk_date").count().collect()} if old else {}
 
     # Sorting each task's rows by (uk_date, actual_timestamp) is the sort the
     # partitioned writer needs anyway, extended by the time: row groups then
@@ -143,28 +162,32 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     (documented(clean.select(*TABLE_COLUMNS)).sortWithinPartitions("uk_date", "actual_timestamp")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("uk_date").parquet(table_path))
-    m = obs.get
-    status = "loaded"
-    if m.get("total_rows", 0) == 0:
-        status = "aborted: no rows"
-    elif m.get("valid_rows", 0) == 0:
-        status = "aborted: no complete row"
-    if status != "loaded":
-        deleted = 0
+    m, w = obs.get, landed.get
+    written = w.get("rows", 0)
+    why = "aborted: no rows" if m.get("total_rows", 0) == 0 else "aborted: no complete row"
+    if days:
+        day_status = {d: "loaded" if w.get(f"day_{d}", 0) else why for d in days}
+        replaced = [d for d, s in day_status.items() if s == "loaded"]
+    else:
+        # a whole-lake load replaces the days that it wrote
+        replaced = [r.uk_date.isoformat() for r in complete_rows(flat).select("uk_date").distinct().collect()] \
+            if written else []
+        day_status = {d: "loaded" for d in replaced}
+    status = why if not written else "loaded" if not days or len(replaced) == len(days) else "partly loaded"
     report = LoadReport(
-        days=days, status=status, total_rows=m.get("total_rows", 0),
-        valid_rows=m.get("valid_rows", 0), written=m.get("written", 0),
-        misfiled=m.get("misfiled", 0), deleted=deleted,
+        days=days, status=status, day_status=day_status, invalid_objects=found.get.get("invalid", 0),
+        total_rows=m.get("total_rows", 0), valid_rows=m.get("valid_rows", 0), written=written,
+        misfiled=m.get("misfiled", 0), deleted=sum(before.get(d, 0) for d in replaced),
         non_null={k: m.get(f"non_null_{k}", 0) for k in KEY_COLUMNS},
         nulls={k: v for k, v in ((c[5:], m[c]) for c in m if c.startswith("null_"))})
-    if summary_path and status == "loaded":
+    if summary_path and written:
         from trackside.operators.summary import refresh_summary
-        refresh_summary(spark, table_path, summary_path, days)
-    if verify and table_exists(spark, table_path):
-        t = spark.read.parquet(table_path)
-        report.day_rows = (t.where(F.col("uk_date").isin(day_set)) if day_set else t).count()
+        refresh_summary(spark, table_path, summary_path, replaced if days else None)
+    if verify:
+        now = _read_days(spark, table_path, days)
+        report.day_rows = now.count() if now else 0
         if verify == "table" or verify is True:
-            report.table_rows = t.count()
+            report.table_rows = spark.read.parquet(table_path).count() if table_exists(spark, table_path) else 0
     return report
 
 

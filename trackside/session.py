@@ -8,7 +8,6 @@ and hour, while London wall-clock values are derived explicitly with
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,13 +52,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be a shared file
-    system; it is only filled in here when unset (local tests).
+    system; it is only filled in here when unset in local mode (tests).
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="trackside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -67,12 +68,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def jvm_path(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path on it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = jvm_path(spark, path)
+    return fs.exists(p)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique directory below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     path = f"{root}/trackside/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    fs, p = jvm_path(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)   # with the session: what a query reads from it is needed until then
     return path
 
 
@@ -90,7 +103,7 @@ def cluster_settings(input_bytes: int, total_cores: int,
     Pass the result to ``SparkSession.builder.config`` or set it at runtime.
     """
     splits = max(1, -(-input_bytes // target_partition_bytes))
-    shuffle = max(2 * total_cores, min(splits, 100_000))
+    shuffle = max(2 * total_cores, splits)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackside.functions.times import object_name, partition_keys
+from trackside.sources.lake import has_sink_log
 
 ENVELOPE_FIELDS = ["message_type", "event_type", "toc_id", "variation_status",
                    "uk_datetime", "timestamp", "processed_at", "raw_data"]
@@ -26,6 +27,25 @@ def lake_rows(envelopes: DataFrame, ts: str = "actual_ts",
                             object_name(F.col(ts), F.col("toc_id")).alias("object_name"))
 
 
+def refuse_sink_log(spark, base: str) -> None:
+    """Readers of a file sink's directory see the files of its log alone: no other writer may add to it."""
+    if has_sink_log(spark, base):
+        raise ValueError(f"{base} belongs to a streaming file sink; write to another lake")
+
+
+def land_batch(rows: DataFrame, base: str, batch: str, fmt: str = "json",
+               max_records_per_file: int = 1_000_000) -> None:
+    """Lake rows of one micro-batch, below their days in a directory ``batch=`` of its own.
+
+    Only that directory is overwritten, so a batch that runs again replaces itself;
+    ``batch`` must therefore be unique to the stream and its batch.
+    """
+    refuse_sink_log(rows.sparkSession, base)
+    (rows.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy("year", "month", "day", "batch").format(fmt).save(base))
+
+
 def write_lake(envelopes: DataFrame, base: str, mode: str = "append",
                max_records_per_file: int = 1_000_000, extra_partition: list[str] | None = None,
                ts: str = "actual_ts", fmt: str = "json") -> None:
@@ -38,6 +58,7 @@ def write_lake(envelopes: DataFrame, base: str, mode: str = "append",
     (e.g. a micro-batch id) and dynamic partition overwrite, a retried write
     replaces exactly its own files.
     """
+    refuse_sink_log(envelopes.sparkSession, base)
     extra = extra_partition or []
     rows = lake_rows(envelopes, ts, extra)
     (rows.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)

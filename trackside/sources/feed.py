@@ -27,11 +27,13 @@ def kafka_options(bootstrap: str, topic: str, group_id: str | None = None,
                   starting_offsets: str = "earliest", extra: dict | None = None) -> dict:
     """Reader options for a topic of one message per record, replayed from earliest.
 
+    Offsets that the broker has already dropped fail the query (an operator may
+    decide otherwise through ``extra``): nothing is skipped in silence.
     The topic name comes from the deployment (the feed lane publishes every
     movement message to it, one message per record).
     """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets, "failOnDataLoss": "true"}
     if group_id:
         opts["kafka.group.id"] = group_id
     opts.update(extra or {})

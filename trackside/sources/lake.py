@@ -1,10 +1,11 @@
 """Lake sources: day-partition scan, whole-object JSON, NDJSON.
 
 The lake is partitioned ``year=YYYY/month=MM/day=DD`` by the London date of
-each movement.  A day read puts the partition values in the predicate so
-the listing is pruned to that directory (``PartitionFilters`` in the plan);
-the directories keep two-digit months, which partition inference reads as
-integers, so the keys are compared as integers.
+each movement; below a day, a stream's micro-batches have directories of
+their own.  A day is read by opening its directory, so only its files are
+listed, whatever the size of the lake; ``year``, ``month`` and ``day`` come from
+the path.  A lake that a file sink wrote (it has a ``_spark_metadata`` log) is
+read through that log, which knows the committed files.
 
 Two object layouts are read by one parser: the envelope (8 keys with the
 body under ``raw_data``) and the bare body of the older topic lane.
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackside.schema import STAGING_COLUMNS
+from trackside.session import jvm_path, path_exists
 
 _ENVELOPE_KEYS = ["message_type", "event_type", "toc_id", "variation_status", "uk_datetime",
                   "timestamp", "processed_at", "object_name"]
@@ -46,6 +48,27 @@ def day_predicate(ds: str) -> Column:
             & (F.col("day").cast("int") == d.day))
 
 
+def day_dir(base: str, ds: str) -> str:
+    d = _dt.date.fromisoformat(ds)
+    return f"{base.rstrip('/')}/year={d.year}/month={d.month:02}/day={d.day:02}"
+
+
+def has_sink_log(spark: SparkSession, base: str) -> bool:
+    """Was this directory written by a streaming file sink?"""
+    return path_exists(spark, f"{base.rstrip('/')}/_spark_metadata")
+
+
+def _files(spark: SparkSession, base: str, days: list[str] | None) -> list[str]:
+    """The directories to open: those of the days that are there, or the whole lake."""
+    wanted = [day_dir(base, d) for d in days] if days else [base]
+    return [p for p in wanted if path_exists(spark, p)]
+
+
+def _path_keys() -> list[Column]:
+    path = F.col("_metadata.file_path")
+    return [F.regexp_extract(path, f"/{k}=([0-9]+)/", 1).alias(k) for k in ("year", "month", "day")]
+
+
 def read_json_objects(spark: SparkSession, path: str, multiline: bool = False,
                       base: str | None = None) -> DataFrame:
     """Lake objects through the JSON reader: one parse per object, ``ok`` flag.
@@ -56,7 +79,7 @@ def read_json_objects(spark: SparkSession, path: str, multiline: bool = False,
     its own ``raw_data`` (fields it does not carry stay absent).
     """
     r = (spark.read.schema(LAKE_READ_SCHEMA).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreMissingFiles", "true")
+         .option("columnNameOfCorruptRecord", CORRUPT)
          .option("multiLine", "true" if multiline else "false"))
     if base:
         r = r.option("basePath", base)
@@ -81,22 +104,52 @@ def normalize_objects(df: DataFrame) -> DataFrame:
          .when(F.col(CORRUPT).isNull(), bare).alias("raw_data"))
 
 
-def read_lake(spark: SparkSession, base: str, ds: str | None = None,
-              whole_objects: bool = False, fmt: str = "json") -> DataFrame:
-    """Envelopes of one London day (or all days) of the lake; invalid objects dropped.
+def read_lake_objects(spark: SparkSession, base: str, days: list[str] | None = None,
+                      whole_objects: bool = False, fmt: str = "json") -> DataFrame:
+    """Objects of some London days (or all) of the lake, with ``ok`` (false: not a JSON object).
 
-    The day is a predicate on the partition columns, so only that day's
-    directory is listed and read (``PartitionFilters`` in the plan).
-    ``fmt="parquet"`` reads a columnar lake written by ``write_lake``.
+    ``whole_objects`` reads each file as one (pretty-printed) object, else each line.
+    ``fmt="parquet"`` reads a columnar lake written by ``write_lake``.  A day or a lake
+    that is not there has no objects.
     """
+    if has_sink_log(spark, base):
+        if fmt == "parquet":
+            df = spark.read.option("basePath", base).parquet(base).withColumn("ok", F.lit(True))
+        else:
+            df = read_json_objects(spark, base, multiline=whole_objects, base=base)
+        if days is not None:
+            cond = F.lit(False)
+            for d in days:
+                cond = cond | day_predicate(d)
+            df = df.where(cond if "year" in df.columns else F.lit(False))
+        return df
+    paths = _files(spark, base, days)
+    if not paths or (fmt == "parquet" and not _holds_files(spark, paths)):
+        return normalize_objects(spark.createDataFrame([], LAKE_READ_SCHEMA))
+    r = spark.read.option("recursiveFileLookup", "true")
     if fmt == "parquet":
-        df = (spark.read.option("basePath", base).option("ignoreMissingFiles", "true")
-              .parquet(base).withColumn("ok", F.lit(True)))
-    else:
-        df = read_json_objects(spark, base, multiline=whole_objects, base=base)
-    if ds:
-        df = df.where(day_predicate(ds) if "year" in df.columns else F.lit(False))
-    return df.where("ok")
+        return r.parquet(*paths).select("*", *_path_keys(), F.lit(True).alias("ok"))
+    raw = (r.schema(LAKE_READ_SCHEMA).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT)
+           .option("multiLine", "true" if whole_objects else "false").json(paths))
+    return normalize_objects(raw.select("*", *_path_keys()))
+
+
+def _holds_files(spark: SparkSession, paths: list[str]) -> bool:
+    """Is there anything below? (A Parquet read needs a file to know its schema.)"""
+    for path in paths:
+        fs, p = jvm_path(spark, path)
+        found = fs.listFiles(p, True)
+        while found.hasNext():
+            if found.next().getPath().getName().endswith(".parquet"):
+                return True
+    return False
+
+
+def read_lake(spark: SparkSession, base: str, ds: str | None = None,
+              whole_objects: bool = False, fmt: str = "json") -> DataFrame:
+    """Envelopes of one London day (or all days) of the lake; invalid objects dropped."""
+    return read_lake_objects(spark, base, [ds] if ds else None, whole_objects, fmt).where("ok")
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:

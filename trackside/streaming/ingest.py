@@ -1,12 +1,13 @@
 """Streaming lanes.
 
 * ``stream_ingest`` (T1/T2): frames -> movement envelopes -> London-date
-  lake through the checkpointed file sink, so each frame is landed exactly
-  once across restarts (the feed client acknowledged before processing and
-  could lose a frame; here the source offsets and the sink commit together).
-* ``stream_to_table`` (T3): each micro-batch is first appended to the lake
-  under its own ``batch`` partition (a retried batch overwrites only its own
-  files), then every London day the batch touched is re-loaded whole from
+  lake.  Each micro-batch has a directory of its own below its days, named by
+  the stream's persistent id and the batch's number: a batch that runs again
+  after a restart replaces itself, so each frame is landed exactly once, and
+  no other stream, checkpoint or batch job can touch it (the feed client
+  acknowledged before processing and could lose a frame).
+* ``stream_to_table`` (T3): each micro-batch is first landed in the lake
+  in the same way, then every London day the batch touched is re-loaded whole from
   the lake and replaces its table partition.  Late movements are therefore
   never dropped: they re-open their day.  Only the touched-day list (a few
   dates per batch) reaches the driver.
@@ -19,8 +20,9 @@
   sink's log, so it belongs to the lake-fed table of ``stream_to_table``.
 * ``dedup_stream`` (T4): ``dropDuplicatesWithinWatermark`` on the movement
   keys; the watermark bounds the state.  Rows arriving after the watermark
-  are dropped by Spark's stateful operators, so this is for live views; the
-  table path (T3) de-duplicates exactly per day instead.
+  are dropped by Spark's stateful operators, so this is for live views alone
+  and no lane to a table uses it; the day load (T3) de-duplicates exactly
+  per day instead (``dedup_keys``).
 * ``ingest_observed`` (T6): status counters via ``observe``; each
   micro-batch's values appear in ``query.lastProgress["observedMetrics"]``.
 """
@@ -28,6 +30,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from trackside.operators.decode import (STATUSES, decode_frames, explode_messages,
                                         only_movements, to_envelope)
 from trackside.plans.load_day import load_days
-from trackside.sinks.lake import lake_rows
+from trackside.sinks.lake import lake_rows, land_batch, refuse_sink_log
 
 DEDUP_KEYS = ["train_id", "loc_stanox", "event_type", "actual_timestamp"]
 
@@ -57,23 +60,31 @@ def stream_ingest(frames: DataFrame, lake_base: str, checkpoint: str,
 
     ``lake_format="parquet"`` lands the columnar lake (see ``sinks.lake``).
     """
+    refuse_sink_log(frames.sparkSession, lake_base)
     env = to_envelope(only_movements(ingest_observed(frames, compat=compat)), processed_at,
                       ["pos"])
-    w = (lake_rows(env).writeStream.format(lake_format).outputMode("append")
-         .option("path", lake_base).option("checkpointLocation", checkpoint)
-         .partitionBy("year", "month", "day"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        land_batch(batch, lake_base, batch_name(batch.sparkSession, checkpoint, batch_id), lake_format)
+
+    w = lake_rows(env).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
 
 
-def replace_touched_days(spark: SparkSession, env: DataFrame, batch_id: int, lake_base: str,
+def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """A name no other batch has: the stream's id is kept in its checkpoint, numbers start anew in each."""
+    stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+    return f"{stream}-{batch_id}"
+
+
+def replace_touched_days(spark: SparkSession, env: DataFrame, batch: str, lake_base: str,
                          table_path: str, **load_kw):
-    """One micro-batch of envelopes -> lake (own partition) -> re-load touched days."""
-    rows = lake_rows(env.withColumn("batch", F.lit(batch_id)), extra=["batch"]).persist()
+    """One micro-batch of envelopes -> lake (own directory) -> re-load touched days."""
+    rows = lake_rows(env).persist()
     try:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("year", "month", "day", "batch").json(lake_base))
+        land_batch(rows, lake_base, batch)
         touched = rows.select("year", "month", "day").distinct().collect()
     finally:
         rows.unpersist()
@@ -89,17 +100,16 @@ def stream_to_table(frames: DataFrame, lake_base: str, table_path: str, checkpoi
                     **load_kw):
     """Start frames -> lake -> day-replaced table via ``foreachBatch`` (T3).
 
-    The lake below ``lake_base`` has the layout ``year=/month=/day=/batch=``
-    and must be written only by this stream (a lake of ``stream_ingest`` has
-    no ``batch`` level; one directory cannot hold both layouts).
+    The lake below ``lake_base`` may have other writers (streams with their own
+    checkpoints, batch ingest): a day is always re-loaded with all its objects.
     """
     spark = frames.sparkSession
     env = to_envelope(only_movements(decode_frames(frames, compat=compat)), processed_at,
                       ["pos"])
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        replace_touched_days(spark, batch, batch_id, lake_base, table_path,
-                             verify=False, **load_kw)
+        replace_touched_days(spark, batch, batch_name(spark, checkpoint, batch_id), lake_base,
+                             table_path, verify=False, **load_kw)
 
     w = env.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
@@ -107,18 +117,12 @@ def stream_to_table(frames: DataFrame, lake_base: str, table_path: str, checkpoi
 
 def stream_to_table_append(frames: DataFrame, table_path: str, checkpoint: str,
                            processed_at=None, compat: bool = False,
-                           trigger: dict | None = None, dedup_delay: str | None = None):
-    """Start frames -> typed complete movements -> table, append-only (T3).
-
-    ``dedup_delay`` (e.g. ``"2 hours"``) drops repeats of a movement within
-    the watermark before they reach the table.
-    """
+                           trigger: dict | None = None):
+    """Start frames -> typed complete movements -> table, append-only (T3); late rows are kept."""
     from trackside.operators.flatten import complete_rows, flatten
     from trackside.schema import TABLE_COLUMNS, documented
     env = to_envelope(only_movements(decode_frames(frames, compat=compat)), processed_at)
     rows = complete_rows(flatten(env))
-    if dedup_delay:
-        rows = dedup_stream(rows, delay=dedup_delay)
     w = (documented(rows.select(*TABLE_COLUMNS)).writeStream.format("parquet")
          .outputMode("append").option("path", table_path)
          .option("checkpointLocation", checkpoint).partitionBy("uk_date"))
