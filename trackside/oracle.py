@@ -304,7 +304,8 @@ SELECT object_name, toc_id, train_id, variation_status FROM (
     q["load_report"] = "WITH " + MESSAGES_CTE + f""",
 day AS (SELECT * FROM msg WHERE msg_type = '0003' AND {day}),
 alld AS (SELECT COUNT(*) AS n FROM msg WHERE msg_type = '0003' AND toc_id IS NOT NULL)
-SELECT '2024-01-15' AS days, 'loaded' AS status, COUNT(*) AS total_rows,
+SELECT '2024-01-15' AS days, 'loaded' AS status, '2024-01-15: loaded' AS day_status,
+       0::BIGINT AS invalid_objects, COUNT(*) AS total_rows,
        COUNT(toc_id) AS valid_rows, COUNT(toc_id) AS written, 0::BIGINT AS misfiled,
        COUNT(toc_id) AS deleted, COUNT(toc_id) AS day_rows, (SELECT n FROM alld) AS table_rows,
        COUNT(*) AS non_null_train_id, COUNT(*) AS non_null_actual_timestamp,
@@ -338,10 +339,72 @@ SELECT strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS uk_time, msg_
             THEN lpad(CAST((11 * user_id + k) % 10000 AS VARCHAR), 4, '0') ELSE '' END
          AS to_berth
 FROM td WHERE msg_type IN ('CA', 'CB', 'CC')"""
+    for same in ("stream_new_checkpoint", "mixed_lane_lake", "topic_lane_streams"):
+        q[same] = with_movements(TABLE_SELECT)
+    q["append_table"] = with_movements(TABLE_SELECT.replace(
+        " route,", " CASE WHEN event_type = 'ARRIVAL' THEN route END AS route,"))
+    q["live_counters"] = "WITH " + MESSAGES_CTE + f"""
+SELECT COUNT(CASE WHEN msg_type = '0003' THEN 1 END) AS ok,
+       COUNT(CASE WHEN msg_type <> '0003' THEN 1 END) AS skipped,
+       0::BIGINT AS bad_time, {frames} AS bad_element, 1::BIGINT AS bad_frame
+FROM msg"""
+    q["bad_times"] = "WITH " + MESSAGES_CTE + """,
+s AS (SELECT ms, CASE WHEN msg_type <> '0003' THEN 'skipped'
+             WHEN event_id % 11 BETWEEN 3 AND 8 THEN 'bad_time' ELSE 'ok' END AS status FROM msg)
+SELECT status, COUNT(*) AS messages FROM s GROUP BY status
+UNION ALL SELECT 'latest ms', MAX(ms) FROM s WHERE status = 'ok'"""
+    # position of a message among its frame's elements
+    pos = "event_id - MIN(event_id) OVER (PARTITION BY event_id // 50)"
+    q["ndjson_bad_lines"] = "WITH " + MESSAGES_CTE + f""",
+p AS (SELECT msg_type, {pos} AS pos FROM msg)
+SELECT pos % 10 <> 3 AS ok, COUNT(*) AS lines FROM p WHERE msg_type = '0003' GROUP BY 1"""
+    q["whole_objects_load"] = "WITH " + MESSAGES_CTE + f""",
+p AS (SELECT msg_type, toc_id, {pos} AS pos FROM msg),
+m AS (SELECT * FROM p WHERE msg_type = '0003')
+SELECT 'loaded' AS status, COUNT(CASE WHEN pos % 10 = 8 THEN 1 END) AS invalid_objects,
+       COUNT(CASE WHEN pos % 10 <> 8 THEN 1 END) AS total_rows,
+       COUNT(CASE WHEN pos % 10 <> 8 THEN toc_id END) AS valid_rows,
+       COUNT(CASE WHEN pos % 10 <> 8 THEN toc_id END) AS written, 0::BIGINT AS deleted,
+       COUNT(CASE WHEN pos % 10 <> 8 THEN toc_id END) AS day_rows
+FROM m"""
+    q["load_report_partial"] = "WITH " + MESSAGES_CTE + f""",
+day AS (SELECT * FROM msg WHERE msg_type = '0003' AND {day}),
+one AS (SELECT DISTINCT train_id, loc_stanox, event_type, ms FROM day WHERE toc_id IS NOT NULL)
+SELECT '2024-01-15,2031-01-01' AS days, 'partly loaded' AS status,
+       '2024-01-15: loaded,2031-01-01: aborted: no complete row' AS day_status,
+       2 * COUNT(*) AS total_rows, (SELECT COUNT(*) FROM one) AS written, 2 * COUNT(toc_id) AS deleted,
+       (SELECT COUNT(*) FROM one) AS day_rows
+FROM day"""
+    q["full_body_fields"] = _full_body(TABLE_SELECT)
+    q["full_body_staging"] = _full_body(STAGING_SELECT)
     q.update(_quality_tests())
     return q
 
 
+# The variant with every body field: see FULL_* in sources/standin.py; k is the field's place in the view.
+_FULL_TEXT = {"gbtt_timestamp": 1, "original_loc_stanox": 2, "timetable_variation": 4, "original_loc_timestamp": 5,
+              "current_train_id": 6, "delay_monitoring_point": 7, "reporting_stanox": 9, "event_source": 12,
+              "train_file_address": 13, "train_service_code": 20, "loc_stanox": 22, "direction_ind": 24, "route": 25,
+              "planned_event_type": 26, "next_report_stanox": 27}
+_FULL_BOOLEAN = {"correction_ind": 11, "train_terminated": 16, "offroute_ind": 18, "auto_expected": 23}
+_FULL_NUMBER = {"next_report_run_time": 8, "division_code": 15, "line_ind": 28}
+
+
+def _full_body(select: str) -> str:
+    cols = [f"'{c}-' || event_id AS {c}" for c in _FULL_TEXT]
+    cols += [f"CASE WHEN (event_id + {k}) % 2 = 0 THEN 'true' ELSE 'false' END AS {c}" for c, k in _FULL_BOOLEAN.items()]
+    cols += [f"CAST(event_id * 100 + {k} AS VARCHAR) AS {c}" for c, k in _FULL_NUMBER.items()]
+    cols.append("CASE WHEN event_id % 5 <> 0 THEN 'platform-' || event_id END AS platform")
+    return "WITH " + MESSAGES_CTE + f""",
+movements AS (
+  SELECT event_type, toc_id, variation_status, {_iso('ms', 0)} AS uk_datetime, ms / 1000e0 AS "timestamp",
+    '2024-01-31T00:00:00' AS processed_at, make_timestamp(ms * 1000) AS actual_timestamp,
+    CAST(ms - 1000 * delay_s AS VARCHAR) AS planned_timestamp, train_id,
+    CAST(make_timestamp(ms * 1000) AS DATE) AS uk_date, {', '.join(cols)}
+  FROM msg WHERE msg_type = '0003' AND toc_id IS NOT NULL AND event_id % 50 <> 0)
+{select}"""
+
+
 # Planted data-quality failures, by the stored epoch ms of each movement.
 PLANT = {"pass_event": 97, "cancelled": 89, "null_status": 83, "null_train": 79,
          "null_time": 73, "null_event": 71}

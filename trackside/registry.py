@@ -24,15 +24,16 @@ from trackside.operators.summary import charts, dashboard
 from trackside.operators.quality import (check_accepted, ingest_stats, quality_report,
                                          run_checks)
 from trackside.plans.ingest import ingest_frames
-from trackside.plans.load_day import load_day, load_days, report_frame
+from trackside.plans.load_day import append_table, load_day, load_days, report_frame
 from trackside.schema import EVENT_TYPES, TABLE_COLUMNS, VARIATION_STATUSES
 from trackside.session import scratch_dir, use_utc
 from trackside.sinks.lake import lake_rows, publish_messages, write_ndjson
 from trackside.sources.feed import read_frames, read_topic, single_message_frames
 from trackside.sources.lake import read_lake, read_ndjson
-from trackside.sources.standin import (plant_quality_failures, standin_frames,
+from trackside.sources.standin import (plant_quality_failures, standin_bad_time_frames,
+                                       standin_frames, standin_full_frames,
                                        standin_movements, standin_td_frames)
-from trackside.streaming.ingest import (DEDUP_KEYS, dedup_stream, stream_ingest,
+from trackside.streaming.ingest import (DEDUP_KEYS, dedup_stream, stream_ingest, stream_publish,
                                         stream_to_table, stream_to_table_append)
 
 AS_OF = "2024-01-31 00:00:00"
@@ -351,6 +352,119 @@ def q_stream_dedup(spark, sf_dir):
     return as_ntz(spark.read.parquet(out))
 
 
+def _half_frames(spark, sf_dir, keep) -> str:
+    return _frames_dir(spark, sf_dir, "frames", keep)
+
+
+def q_stream_new_checkpoint(spark, sf_dir):
+    """Two streams with checkpoints of their own land on one lake and load one table."""
+    lake, table = scratch_dir(spark, "slake"), scratch_dir(spark, "stable")
+    for part in (F.col("frame_id") % 3 != 0, F.col("frame_id") % 3 == 0):
+        src = _half_frames(spark, sf_dir, part)
+        stream_to_table(read_frames(spark, src, streaming=True), lake, table, scratch_dir(spark, "sckpt"),
+                        processed_at=PROCESSED_AT).awaitTermination()
+    return as_ntz(spark.read.parquet(table).select(*TABLE_COLUMNS))
+
+
+def q_mixed_lane_lake(spark, sf_dir):
+    """A stream and a batch ingest share a lake; all of it is read."""
+    lake = scratch_dir(spark, "mlake")
+    src = _half_frames(spark, sf_dir, F.col("frame_id") % 2 == 0)
+    stream_ingest(read_frames(spark, src, streaming=True), lake, scratch_dir(spark, "sckpt"),
+                  processed_at=PROCESSED_AT).awaitTermination()
+    ingest_frames(_frames(spark, sf_dir).where(F.col("frame_id") % 2 != 0), lake, processed_at=PROCESSED_AT)
+    return _table(flatten(read_lake(spark, lake)))
+
+
+def q_topic_lane_streams(spark, sf_dir):
+    """Both stages of the topic lane as streams: publish every message, then land the movements."""
+    src, topic, lake = _frames_dir(spark, sf_dir, "frames"), scratch_dir(spark, "topic"), scratch_dir(spark, "lake")
+    stream_publish(read_frames(spark, src, streaming=True), scratch_dir(spark, "ck1"), {"path": topic},
+                   fmt="text").awaitTermination()
+    records = read_topic(spark, {"path": topic}, streaming=True, fmt="text")
+    stream_ingest(single_message_frames(records), lake, scratch_dir(spark, "ck2"),
+                  processed_at=PROCESSED_AT).awaitTermination()
+    return _table(flatten(read_lake(spark, lake)))
+
+
+def q_live_counters(spark, sf_dir):
+    """The stream's own status counters, summed over its micro-batches."""
+    src = _frames_dir(spark, sf_dir, "frames")
+    q = stream_ingest(read_frames(spark, src, streaming=True, max_files_per_trigger=1), scratch_dir(spark, "lake"),
+                      scratch_dir(spark, "ck"), processed_at=PROCESSED_AT)
+    q.awaitTermination()
+    seen = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p["observedMetrics"].get("ingest")]
+    names = ["ok", "skipped", "bad_time", "bad_element", "bad_frame"]
+    return spark.createDataFrame([tuple(sum(m[n] for m in seen) for n in names)],
+                                 ", ".join(f"{n} bigint" for n in names))
+
+
+def q_bad_times(spark, sf_dir):
+    """Status counts of frames with unusable times, and the rows that are left."""
+    use_utc(spark)
+    d = decode_frames(standin_bad_time_frames(events(spark, sf_dir)))
+    landed = flatten(frames_to_envelopes(standin_bad_time_frames(events(spark, sf_dir)), processed_at=PROCESSED_AT))
+    counts = d.groupBy("status").agg(F.count(F.lit(1)).alias("messages"))
+    times = landed.agg(F.lit("latest ms").alias("status"), F.max(F.unix_millis("actual_timestamp")).alias("messages"))
+    return counts.unionByName(times)
+
+
+def q_full_body_fields(spark, sf_dir):
+    """All 29 body fields, JSON booleans, numbers and nulls among them, through decode and flatten."""
+    use_utc(spark)
+    return _table(flatten(frames_to_envelopes(standin_full_frames(events(spark, sf_dir)), processed_at=PROCESSED_AT)))
+
+
+def q_full_body_staging(spark, sf_dir):
+    return as_ntz(V.stg_movements(complete_rows(flatten(frames_to_envelopes(
+        standin_full_frames(events(spark, sf_dir)), processed_at=PROCESSED_AT)))))
+
+
+def q_ndjson_bad_lines(spark, sf_dir):
+    """An NDJSON file with blank and damaged lines: objects and bad lines."""
+    path = scratch_dir(spark, "ndjson")
+    rows = lake_rows(_envelopes(spark, sf_dir), extra=["frame_id", "pos"])
+    text = F.to_json(F.struct(*[c for c in rows.columns if c not in ("frame_id", "pos")]))
+    line = F.when(F.col("pos") % 10 == 3, F.substr(text, F.lit(1), F.lit(40))).otherwise(text)
+    rows.select(F.concat(line, F.when(F.col("pos") % 7 == 2, F.lit("\n   \n")).otherwise(F.lit("")))
+                .alias("value")).write.mode("overwrite").text(path)
+    return read_ndjson(spark, path).groupBy("ok").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def q_whole_objects_load(spark, sf_dir):
+    """A lake of one pretty-printed object a file, both layouts, some damaged: the load's counts."""
+    lake, table = scratch_dir(spark, "wlake"), scratch_dir(spark, "wtable")
+    rows = lake_rows(_envelopes(spark, sf_dir), extra=["frame_id", "pos"])
+    pretty = {"pretty": "true"}
+    whole = F.to_json(F.struct("message_type", "event_type", "toc_id", "variation_status", "uk_datetime",
+                               "timestamp", "processed_at", "raw_data"), pretty)
+    n = F.col("pos") % 10
+    text = F.when(n == 4, F.to_json("raw_data", pretty)).when(n == 8, F.substr(whole, F.lit(1), F.lit(60))).otherwise(whole)
+    (rows.select("year", "month", "day", text.alias("value")).write.option("maxRecordsPerFile", 1)
+     .partitionBy("year", "month", "day").mode("append").text(lake))
+    report = load_days(spark, lake, table, whole_objects=True)
+    cols = ["status", "invalid_objects", "total_rows", "valid_rows", "written", "deleted", "day_rows"]
+    return report_frame(spark, report).select(*cols)
+
+
+def q_load_report_partial(spark, sf_dir):
+    """Two days loaded again with exact de-duplication: one is there twice over, one is absent."""
+    lake, table = _lake(spark, sf_dir), scratch_dir(spark, "table")
+    ingest_frames(_frames(spark, sf_dir), lake, processed_at=PROCESSED_AT)     # every object twice
+    load_days(spark, lake, table, verify=None)
+    report = load_days(spark, lake, table, [REPLAY_DAY, "2031-01-01"], dedup_keys=DEDUP_KEYS)
+    cols = ["days", "status", "day_status", "total_rows", "written", "deleted", "day_rows"]
+    return report_frame(spark, report).select(*cols)
+
+
+def q_append_table(spark, sf_dir):
+    """Typed append in two parts, one without a column of the schema."""
+    table, m = scratch_dir(spark, "atable"), movements(spark, sf_dir)
+    append_table(m.where("event_type = 'ARRIVAL'"), table)
+    append_table(m.where("event_type = 'DEPARTURE'").drop("route"), table)
+    return as_ntz(spark.read.parquet(table).select(*TABLE_COLUMNS))
+
+
 def feed_and_load_queries() -> dict[str, Query]:
     return {
         "frames_to_movements": q_frames_to_movements,
@@ -376,6 +490,17 @@ def feed_and_load_queries() -> dict[str, Query]:
         "stream_late_day_replay": q_stream_late_day_replay,
         "stream_dedup": q_stream_dedup,
         "stream_table_append": q_stream_table_append,
+        "stream_new_checkpoint": q_stream_new_checkpoint,
+        "mixed_lane_lake": q_mixed_lane_lake,
+        "topic_lane_streams": q_topic_lane_streams,
+        "live_counters": q_live_counters,
+        "bad_times": q_bad_times,
+        "full_body_fields": q_full_body_fields,
+        "full_body_staging": q_full_body_staging,
+        "ndjson_bad_lines": q_ndjson_bad_lines,
+        "whole_objects_load": q_whole_objects_load,
+        "load_report_partial": q_load_report_partial,
+        "append_table": q_append_table,
         "maintained_summary_toc_ranking": q_maintained_summary_toc_ranking,
     }
 

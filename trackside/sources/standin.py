@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.functions.times import epoch_seconds, iso_london, london_date
-from trackside.schema import MOVEMENT_MSG_TYPE, MOVEMENTS_SCHEMA, TABLE_COLUMNS, documented
+from trackside.schema import (MOVEMENT_MSG_TYPE, MOVEMENTS_SCHEMA, STAGING_COLUMNS, TABLE_COLUMNS,
+                              documented)
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (stand-in rules, FIXTURES.md section 6)
@@ -207,3 +208,55 @@ def plant_quality_failures(m: DataFrame) -> DataFrame:
                              .otherwise(F.col("actual_timestamp")),
     }
     return m.select(*[repl[c].alias(c) if c in repl else F.col(c) for c in m.columns])
+
+
+# Planted times, by event_id mod 11: a movement's actual time is this text, or null, or absent.
+PLANTED_TIMES = {3: "9223372036854775807", 4: "-9223372036854775808", 5: None, 6: "soon",
+                 7: "253402300800000"}
+PLANTED_TIME_ABSENT = 8
+
+
+def standin_bad_time_frames(events: DataFrame, size: int = FRAME_SIZE) -> DataFrame:
+    """Frames whose movements partly carry unusable actual times."""
+    f = standin_fields(events)
+    r = F.col("event_id") % 11
+    time = F.col("actual_timestamp")
+    for residue, text in PLANTED_TIMES.items():
+        time = F.when(r == residue, F.lit(text)).otherwise(time)
+    header = F.struct("msg_type")
+    with_time = F.struct(time.alias("actual_timestamp"), "train_id", "toc_id")
+    without = F.struct("train_id", "toc_id")
+    message = F.when(r == PLANTED_TIME_ABSENT, F.to_json(F.struct(header.alias("header"), without.alias("body")))) \
+        .otherwise(F.to_json(F.struct(header.alias("header"), with_time.alias("body")), {"ignoreNullFields": "false"}))
+    return _frames_of(f.select("event_id", message.alias("message")), size, None)
+
+
+# The variant with every body field: text fields hold their own name and the event's id; these
+# are JSON booleans and numbers; platform is a JSON null for every fifth event; and every
+# FULL_BODY_TEXT-th event's body is a text.
+FULL_BOOLEANS = ["train_terminated", "offroute_ind", "correction_ind", "auto_expected"]
+FULL_NUMBERS = ["division_code", "next_report_run_time", "line_ind"]
+FULL_BODY_TEXT = 50
+FULL_KEPT = ["event_type", "variation_status", "actual_timestamp", "planned_timestamp", "toc_id", "train_id"]
+
+
+def standin_full_frames(events: DataFrame, size: int = FRAME_SIZE) -> DataFrame:
+    """Frames of movements whose bodies carry all 29 fields, with values of several JSON types."""
+    f = standin_fields(events)
+    eid = F.col("event_id")
+    fields = []
+    for k, c in enumerate(STAGING_COLUMNS):
+        if c in FULL_KEPT:
+            value = F.col(c)
+        elif c in FULL_BOOLEANS:
+            value = (eid + k) % 2 == 0
+        elif c in FULL_NUMBERS:
+            value = eid * 100 + k
+        else:
+            value = F.concat(F.lit(f"{c}-"), eid.cast("string"))
+            value = F.when(eid % 5 != 0, value) if c == "platform" else value
+        fields.append(value.alias(c))
+    header = F.struct("msg_type").alias("header")
+    message = F.when(eid % FULL_BODY_TEXT == 0, F.to_json(F.struct(header, F.lit("no object").alias("body")))) \
+        .otherwise(F.to_json(F.struct(header, F.struct(*fields).alias("body")), {"ignoreNullFields": "false"}))
+    return _frames_of(f.select("event_id", message.alias("message")), size, None)
