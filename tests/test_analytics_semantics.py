@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 
 from trackside.functions.exprs import pct, round_half_away
 from trackside.operators import analytics as A
@@ -120,3 +121,31 @@ def test_as_of_is_session_zone_not_process_zone(spark):
         else:
             os.environ["TZ"] = old
         _time.tzset()
+
+
+def test_a_summary_answers_in_its_own_zone_alone(spark):
+    from trackside.operators.summary import charts, movement_summary
+    from trackside.sources.standin import standin_movements
+    m = standin_movements(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), shift_days=150)
+    london = movement_summary(m, "Europe/London")
+    with pytest.raises(ValueError, match="Europe/London"):
+        A.hourly_patterns(london)
+    assert A.hourly_patterns(london, "Europe/London").collect() == A.hourly_patterns(m, "Europe/London").collect()
+    assert charts(london, "2024-06-10")["hourly_patterns"].collect() == A.hourly_patterns(m, "Europe/London").collect()
+
+
+def test_a_foreign_session_zone_is_refused(spark):
+    m = spark.createDataFrame([("1",)], "toc_id string").selectExpr("toc_id", "timestamp'2024-01-15 00:00:00' AS actual_timestamp")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="New_York"):
+            A.hourly_patterns(m)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_delays_that_overflow_are_null(spark):
+    m = spark.sql("SELECT 'LATE' AS variation_status, 'ARRIVAL' AS event_type, timestamp'2024-01-15 00:00:00' AS "
+                  "actual_timestamp, '-9223372036854775808' AS planned_timestamp")
+    assert [r.delay_minutes for r in A.delay_distribution(m).collect()] == [None]
+    assert A.journey_flow(m).first().avg_delay_minutes is None

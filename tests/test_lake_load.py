@@ -193,3 +193,41 @@ def test_summary_maintained_by_the_load(spark, lake, scratch):
     assert kept.count() == fresh.count() == movement_summary(m.drop("uk_date")).count()
     for f in [A.toc_ranking, A.weekly_calendar, A.daily_trends]:
         assert f(kept).exceptAll(f(m)).count() == 0 == f(m).exceptAll(f(kept)).count()
+
+
+def test_a_missing_lake_loads_nothing(spark, scratch):
+    table = scratch("table")
+    r = load_day(spark, scratch("none") + "/not/there", table, "2024-01-07")
+    assert (r.status, r.total_rows, r.written, r.day_rows) == ("aborted: no rows", 0, 0, 0)
+
+
+def test_pretty_objects_need_the_switch_and_damage_is_counted(spark, scratch):
+    d = _local(scratch("objects"))
+    import os
+    os.makedirs(f"{d}/year=2024/month=01/day=01")
+    body = {"event_type": "ARRIVAL", "toc_id": "88", "train_id": "T9", "actual_timestamp": "1704067207179"}
+    for name, text in {"a": json.dumps({"raw_data": body}, indent=2), "b": json.dumps(body, indent=2),
+                       "c": '{"raw_data": {'}.items():
+        with open(f"{d}/year=2024/month=01/day=01/{name}.json", "w") as f:
+            f.write(text)
+    r = load_days(spark, d, scratch("t1"), ["2024-01-01"], whole_objects=True)
+    assert (r.status, r.written, r.invalid_objects) == ("loaded", 2, 1)
+    r = load_days(spark, d, scratch("t2"), ["2024-01-01"])
+    assert r.written == 0 and r.invalid_objects > 2          # said, not silent
+
+
+def test_counters_after_dedup_and_last_writer(spark, scratch):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    base, table = scratch("dlake"), scratch("dtable")
+    for _ in range(2):
+        ingest_frames(standin_frames(ev), base, processed_at="P")
+    m = standin_movements(ev, processed_at="P")
+    r = load_days(spark, base, table, dedup_keys=["train_id", "loc_stanox", "event_type", "actual_timestamp"])
+    assert r.written == spark.read.parquet(table).count() < 2 * m.count() and r.deleted == 0
+    again = load_days(spark, base, table, ["2024-01-05", "2031-01-01"])
+    assert again.status == "partly loaded"
+    assert again.day_status == {"2024-01-05": "loaded", "2031-01-01": "aborted: no complete row"}
+    assert again.deleted < again.written == 2 * m.where("uk_date = '2024-01-05'").count()
+    last = scratch("llake")
+    s = ingest_frames(standin_frames(ev), last, processed_at="P", last_writer_wins=True)
+    assert s["written"] + s["replaced"] == s["ok"] and s["written"] == read_lake(spark, last).count()

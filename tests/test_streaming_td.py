@@ -118,3 +118,60 @@ def test_append_table_late_rows_and_restart(spark, scratch):
     got = sorted((r.train_id, r.uk_date.isoformat()) for r in t.collect())
     assert got == [("A", "2024-07-01"), ("LATE", "2024-06-30")]
     assert t.where("uk_date = '2024-06-30'").count() == 1          # partition pruning works
+
+
+def test_td_bad_frames_are_counted_and_bad_times_are_null(spark):
+    from trackside.operators.describer import td_frame_counts
+    far = json.dumps([{"CA_MSG": {"msg_type": "CA", "time": "9223372036854775807", "area_id": "AB"}}])
+    df = spark.createDataFrame([(far,), ("not json",), ('{"CA_MSG": {}}',), ("[]",)], "value string")
+    assert tuple(td_frame_counts(df).first()) == (4, 2, 1)
+    assert [r.uk_time for r in td_berth_events(df).collect()] == [None]
+
+
+def _movement(train, ms=1704067207179):
+    return json.dumps([{"header": {"msg_type": "0003"},
+                        "body": {"actual_timestamp": str(ms), "toc_id": "88", "train_id": train}}]) + "\n"
+
+
+def test_a_new_checkpoint_and_a_batch_leave_the_lake_whole(spark, scratch):
+    from trackside.plans.ingest import ingest_frames
+    from trackside.sources.lake import read_lake
+    from trackside.streaming.ingest import stream_ingest, stream_to_table
+    lake, table = scratch("lake"), scratch("table")
+    for train in "AB":
+        src = scratch("frames").replace("file:", "")
+        with open(f"{src}/f.txt", "w") as f:
+            f.write(_movement(train))
+        stream_to_table(read_frames(spark, src, streaming=True), lake, table, scratch("ck"),
+                        processed_at="P").awaitTermination()
+    assert sorted(r.train_id for r in spark.read.parquet(table).collect()) == ["A", "B"]
+    ingest_frames(spark.createDataFrame([(_movement("C"),)], "value string"), lake, processed_at="P")
+    src = scratch("frames").replace("file:", "")
+    with open(f"{src}/f.txt", "w") as f:
+        f.write(_movement("D"))
+    stream_ingest(read_frames(spark, src, streaming=True), lake, scratch("ck"), processed_at="P").awaitTermination()
+    assert sorted(r.raw_data["train_id"] for r in read_lake(spark, lake).collect()) == ["A", "B", "C", "D"]
+
+
+def test_no_other_writer_into_a_file_sinks_lake(spark, scratch):
+    import pytest
+    from trackside.plans.ingest import ingest_frames
+    lake = scratch("lake")
+    spark.createDataFrame([("x",)], "value string").write.text(lake + "/_spark_metadata")
+    with pytest.raises(ValueError, match="file sink"):
+        ingest_frames(spark.createDataFrame([(_movement("C"),)], "value string"), lake, processed_at="P")
+
+
+def test_out_of_range_times_are_bad_and_do_not_stop_a_stream(spark, scratch):
+    from trackside.sources.lake import read_lake
+    from trackside.streaming.ingest import stream_ingest
+    src = scratch("frames").replace("file:", "")
+    with open(f"{src}/f.txt", "w") as f:
+        for ms in ("9223372036854775807", "-9223372036854775808", "253402300800000", "1704067207179"):
+            f.write(_movement("T", ms))
+    lake = scratch("lake")
+    q = stream_ingest(read_frames(spark, src, streaming=True), lake, scratch("ck"), processed_at="P")
+    q.awaitTermination()
+    assert read_lake(spark, lake).count() == 1
+    seen = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p["observedMetrics"].get("ingest")]
+    assert sum(m["bad_time"] for m in seen) == 3

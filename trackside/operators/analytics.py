@@ -64,18 +64,39 @@ def _on_time(m: DataFrame) -> Column:
     return _rows_when(m, F.col("variation_status") == ON_TIME)
 
 
+def summary_tz(s: DataFrame) -> str:
+    """The zone whose dates and hours a summary holds."""
+    return s.schema["hour_of_day"].metadata.get("tz", "UTC")
+
+
 def _hour(m: DataFrame, tz: str) -> Column:
     if "hour_of_day" in m.columns and "actual_timestamp" not in m.columns:
-        return F.col("hour_of_day")
+        _same_zone(m, tz)
+        return F.col("hour_of_day").cast("int")   # without the column's metadata
+    _require_utc(m)
     return F.hour(_ts(tz))
 
 
 def _date(m: DataFrame, tz: str) -> Column:
     if "date" in m.columns and "actual_timestamp" not in m.columns:
-        return F.col("date")
+        _same_zone(m, tz)
+        return F.col("date").cast("date")
+    _require_utc(m)
     return F.to_date(_ts(tz))
 
 
+def _same_zone(s: DataFrame, tz: str) -> None:
+    if summary_tz(s).upper() != tz.upper():
+        raise ValueError(f"the summary holds dates and hours of {summary_tz(s)}, not of {tz}")
+
+
+def _require_utc(m: DataFrame) -> None:
+    """Dates and hours are taken in the session's zone, which must therefore be UTC."""
+    zone = m.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"the session's zone is {zone}; call trackside.session.use_utc first")
+
+
 def _day_window(m: DataFrame, lo: Column | None, hi: Column | None = None) -> DataFrame:
     """Add a partition predicate on ``uk_date`` implied by a time predicate.
 
@@ -104,6 +125,22 @@ def _distinct(col, approx: float | None) -> Column:
     return F.approx_count_distinct(col, approx) if approx else F.count_distinct(col)
 
 
+def _pre_counted(m: DataFrame, *keys) -> DataFrame:
+    """Movements counted by train and operator (and ``keys``).
+
+    Several distinct counts need several copies of their input rows; these are
+    copied instead of the movements themselves, and only they are shuffled.
+    """
+    return m.groupBy("train_id", "toc_id", *keys).agg(
+        F.count(F.lit(1)).alias("_n"), _on_time(m).alias("_on_time"),
+        count_when(F.col("variation_status") != LATE).alias("_not_late"),
+        F.min("actual_timestamp").alias("_first"), F.max("actual_timestamp").alias("_last"))
+
+
+def _summed(c: str) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+
+
 def _asof(value) -> Column:
     """An as-of instant.  Text is parsed by Spark in the session zone (UTC);
     a naive Python datetime would be converted in the driver process's
@@ -120,13 +157,20 @@ def _asof(value) -> Column:
 # --- Q1 ---------------------------------------------------------------------
 def basic_stats(m: DataFrame, approx: float | None = None) -> DataFrame:
     """Rows, distinct trains / operators / UTC dates, first and last movement."""
-    return m.agg(
-        F.count(F.lit(1)).alias("total_movements"),
+    _require_utc(m)
+    if approx:
+        per, n = m.withColumn("_date", F.to_date("actual_timestamp")), F.count(F.lit(1))
+        first, last = F.min("actual_timestamp"), F.max("actual_timestamp")
+    else:
+        per, n = _pre_counted(m, F.to_date("actual_timestamp").alias("_date")), _summed("_n")
+        first, last = F.min("_first"), F.max("_last")
+    return per.agg(
+        n.alias("total_movements"),
         _distinct("train_id", approx).alias("unique_trains"),
         _distinct("toc_id", approx).alias("unique_tocs"),
-        _distinct(F.to_date("actual_timestamp"), approx).alias("unique_dates"),
-        F.min("actual_timestamp").alias("earliest_movement"),
-        F.max("actual_timestamp").alias("latest_movement"))
+        _distinct("_date", approx).alias("unique_dates"),
+        first.alias("earliest_movement"),
+        last.alias("latest_movement"))
 
 
 # --- Q2 / Q6 ----------------------------------------------------------------
@@ -293,6 +337,11 @@ def realtime_gauge(m: DataFrame, as_of_date, tz: str = "UTC") -> DataFrame:
 
 # --- Q19 --------------------------------------------------------------------
 def kpi_scorecard(m: DataFrame, approx: float | None = None) -> DataFrame:
+    if not approx:
+        return _pre_counted(m).agg(
+            _summed("_n").alias("total_movements"), F.count_distinct("train_id").alias("unique_trains"),
+            F.count_distinct("toc_id").alias("active_tocs"),
+            pct(_summed("_on_time"), _summed("_n")).alias("overall_punctuality_percentage"))
     return m.agg(
         F.count(F.lit(1)).alias("total_movements"),
         _distinct("train_id", approx).alias("unique_trains"),
@@ -304,6 +353,13 @@ def kpi_scorecard(m: DataFrame, approx: float | None = None) -> DataFrame:
 def network_health(m: DataFrame, diversity_base: int = 50,
                    approx: float | None = None) -> DataFrame:
     """Four 0-100 scores; a NULL status is not counted as 'not LATE'."""
+    if not approx:
+        n = _summed("_n")
+        return _pre_counted(m).agg(
+            pct(_summed("_on_time"), n).alias("punctuality_score"),
+            pct(F.count_distinct("train_id"), n).alias("coverage_score"),
+            pct(_summed("_not_late"), n).alias("reliability_score"),
+            pct(F.count_distinct("toc_id"), F.lit(diversity_base)).alias("diversity_score"))
     n = F.count(F.lit(1))
     return m.agg(
         pct(_on_time(m), n).alias("punctuality_score"),
@@ -368,12 +424,16 @@ def run_sql(spark: SparkSession, sql: str, args: dict | None = None) -> DataFram
 def company_tree(mart: DataFrame) -> DataFrame:
     """Movements by company, then status, with subtotals (ROLLUP).
 
-    ``grouping_id`` keeps subtotal rows apart from groups whose key is NULL.
+    ``level`` tells the rows apart: 0 a company's status (which may be NULL), 1 a
+    company's subtotal, 3 the total.  The movements are counted first; only
+    those few counts are rolled up.
     """
-    return (mart.rollup("train_operating_company", "variation_status")
-            .agg(_rows(mart).alias("movement_count"))
+    counts = (mart.groupBy("train_operating_company", "variation_status")
+              .agg(_rows(mart).alias("_n")))
+    return (counts.rollup("train_operating_company", "variation_status")
+            .agg(_summed("_n").alias("movement_count"), F.grouping_id().cast("int").alias("level"))
             .orderBy(F.asc_nulls_last("train_operating_company"),
-                     F.asc_nulls_last("variation_status")))
+                     F.asc_nulls_last("variation_status"), "level"))
 
 
 def company_ranking(mart: DataFrame, min_total: int = 10, limit: int = 20) -> DataFrame:

@@ -2,14 +2,15 @@
 
 ``dedup_object_key`` reproduces the lake's last-writer-wins behaviour when
 two movements map to one object name (same London second, same operator).
-It is ``max_by`` per key, which Spark aggregates partially before the
-shuffle, so only one candidate per key per task crosses the network; a
-window with ``row_number`` would shuffle and sort every row.
+It is a window over each key: one exchange of the rows and one sort after it.
+(``max_by`` of a whole row cannot be hash-aggregated: it sorts every row both
+before and after the exchange, and with keys that are nearly unique the
+first step removes nothing.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,11 +18,8 @@ def dedup_object_key(df: DataFrame, order_cols: list[str],
                      keys: list[str] | None = None) -> DataFrame:
     """One row per object key: the last in ``order_cols`` order (arrival order)."""
     keys = keys or ["year", "month", "day", "object_name"]
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_cols])
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_w"))
-            .select(*keys, *[F.col("_w").getField(c).alias(c) for c in rest]))
+    last = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_cols])
+    return df.withColumn("_nth", F.row_number().over(last)).where("_nth = 1").drop("_nth")
 
 
 def dedup_exact(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -26,6 +26,16 @@ def explode_td(frames: DataFrame, value: str = "value") -> DataFrame:
                     F.map_values("_m").getItem(0).alias("msg")))
 
 
+def td_frame_counts(frames: DataFrame, value: str = "value") -> DataFrame:
+    """Frames by whether they are a JSON array, one row: ``frames``, ``bad_frames``, ``elements``.
+
+    A frame that is no array has no events; here it is counted."""
+    arr = F.from_json(F.col(value).cast("string"), "array<string>")
+    return frames.select(arr.alias("a")).agg(
+        F.count(F.lit(1)).alias("frames"), F.count_if(F.col("a").isNull()).alias("bad_frames"),
+        F.coalesce(F.sum(F.when(F.col("a").isNotNull(), F.size("a"))), F.lit(0)).cast("bigint").alias("elements"))
+
+
 def td_berth_events(frames: DataFrame, value: str = "value") -> DataFrame:
     """C-class berth events with London time text and '' defaults."""
     m = F.col("msg")

@@ -25,6 +25,19 @@ def check_accepted(df: DataFrame, col: str, values: list[str]) -> DataFrame:
             .groupBy(col).agg(F.count(F.lit(1)).alias("n_records")))
 
 
+def accepted_failures(df: DataFrame, model: str, accepted: dict[str, list[str]]) -> DataFrame:
+    """Failing values of several columns with their counts, in one pass over the model.
+
+    Only a row's failing values leave the scan: model, column_name, value, n_records.
+    """
+    tested = F.array(*[F.when(F.col(c).isNotNull() & ~F.col(c).isin(vals),
+                              F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")))
+                       for c, vals in accepted.items()])
+    return (df.select(F.explode(F.array_compact(tested)).alias("t"))
+            .groupBy("t.column_name", "t.value").agg(F.count(F.lit(1)).alias("n_records"))
+            .select(F.lit(model).alias("model"), "column_name", "value", "n_records"))
+
+
 def run_checks(df: DataFrame, model: str, not_null: list[str],
                accepted: dict[str, list[str]]) -> DataFrame:
     """All declared tests of one model in a single aggregate pass.

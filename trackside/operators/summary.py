@@ -36,10 +36,13 @@ def movement_summary(m: DataFrame, tz: str = "UTC") -> DataFrame:
     ts = F.col("actual_timestamp")
     ts = ts if tz.upper() == "UTC" else to_london(ts, tz)
     keys = [F.col(c) for c in ["toc_id", "variation_status", "event_type", "route"]]
+    zone = {"tz": tz}    # kept with the columns, in files too: charts refuse another zone
     keys += [F.to_date(ts).alias("date"), F.hour(ts).alias("hour_of_day")]
     if "uk_date" in m.columns:
         keys.append(F.col("uk_date"))
-    return m.groupBy(*keys).agg(F.count(F.lit(1)).alias(A.WEIGHT))
+    s = m.groupBy(*keys).agg(F.count(F.lit(1)).alias(A.WEIGHT))
+    return s.select(*[F.col(c).alias(c, metadata=zone) if c in ("date", "hour_of_day") else F.col(c)
+                      for c in s.columns])
 
 
 def refresh_summary(spark: SparkSession, table_path: str, summary_path: str,
@@ -51,9 +54,11 @@ def refresh_summary(spark: SparkSession, table_path: str, summary_path: str,
     current costs one day's scan per daily load, not a scan of the table.
     """
     import datetime as _dt
-    m = spark.read.parquet(table_path)
     if days:
-        m = m.where(F.col("uk_date").isin([_dt.date.fromisoformat(d) for d in days]))
+        m = spark.read.option("basePath", table_path).parquet(
+            *[f"{table_path.rstrip('/')}/uk_date={_dt.date.fromisoformat(d)}" for d in days])
+    else:
+        m = spark.read.parquet(table_path)
     # The summary of a day is small and bounded (operators x statuses x types
     # x routes x 24 hours), so gathering each day into one task is a cheap
     # shuffle and leaves one file per day instead of one per task per day.
@@ -87,20 +92,21 @@ def dashboard(spark: SparkSession, m: DataFrame, as_of_date, path: str | None =
 def charts(s: DataFrame, as_of_date) -> dict[str, DataFrame]:
     """The count-only charts over a summary (fresh, or kept by ``load_days``)."""
     c = company_summary(s)
+    tz = A.summary_tz(s)
     return {
         "movements_by_toc": A.movements_by_toc(s),
         "top_toc": A.top_toc(s),
         "punctuality_share": A.punctuality_share(s),
-        "hourly_patterns": A.hourly_patterns(s),
+        "hourly_patterns": A.hourly_patterns(s, tz),
         "event_type_distribution": A.event_type_distribution(s),
         "punctuality_distribution": A.punctuality_distribution(s),
         "toc_ranking": A.toc_ranking(s),
         "toc_status_heatmap": A.toc_status_heatmap(s),
-        "daily_trends": A.daily_trends(s),
-        "weekly_calendar": A.weekly_calendar(s),
+        "daily_trends": A.daily_trends(s, tz=tz),
+        "weekly_calendar": A.weekly_calendar(s, tz),
         "route_performance": A.route_performance(s),
-        "toc_hour_matrix": A.toc_hour_matrix(s),
-        "realtime_gauge": A.realtime_gauge(s, as_of_date),
+        "toc_hour_matrix": A.toc_hour_matrix(s, tz=tz),
+        "realtime_gauge": A.realtime_gauge(s, as_of_date, tz),
         "leaderboard": A.leaderboard(s),
         "row_count": A.row_count(s),
         "company_tree": A.company_tree(c),

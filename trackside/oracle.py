@@ -217,8 +217,10 @@ GROUP BY toc_id""",
 SELECT actual_timestamp, {COMPANY} AS train_operating_company, variation_status
 FROM movements""",
     "company_tree": f"""
-SELECT {COMPANY} AS train_operating_company, variation_status, COUNT(*) AS movement_count
-FROM movements GROUP BY ROLLUP (1, 2)""",
+SELECT train_operating_company, variation_status, COUNT(*) AS movement_count,
+       CAST(GROUPING_ID(train_operating_company, variation_status) AS INTEGER) AS level
+FROM (SELECT {COMPANY} AS train_operating_company, variation_status FROM movements)
+GROUP BY ROLLUP (train_operating_company, variation_status)""",
     "company_ranking": f"""
 SELECT {COMPANY} AS train_operating_company, COUNT(*) AS total_movements,
        {ON} AS on_time_count, {PCT_ON} AS punctuality_percentage

@@ -21,7 +21,7 @@ from trackside.operators.dedup import dedup_object_key
 from trackside.operators.describer import td_berth_events
 from trackside.operators.flatten import complete_rows, flatten
 from trackside.operators.summary import charts, dashboard
-from trackside.operators.quality import (check_accepted, ingest_stats, quality_report,
+from trackside.operators.quality import (accepted_failures, ingest_stats, quality_report,
                                          run_checks)
 from trackside.plans.ingest import ingest_frames
 from trackside.plans.load_day import append_table, load_day, load_days, report_frame
@@ -277,11 +277,8 @@ def q_accepted_value_failures(spark, sf_dir):
     models = _planted_models(spark, sf_dir)
     out = None
     for name, (_, acc) in DATA_TESTS.items():
-        for col, vals in acc.items():
-            r = (check_accepted(models[name], col, vals)
-                 .select(F.lit(name).alias("model"), F.lit(col).alias("column_name"),
-                         F.col(col).alias("value"), "n_records"))
-            out = r if out is None else out.unionByName(r)
+        r = accepted_failures(models[name], name, acc)
+        out = r if out is None else out.unionByName(r)
     return out
 
 
