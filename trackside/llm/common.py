@@ -75,10 +75,10 @@ def slices(batch: pa.RecordBatch, at: int, limit: int = SLICE_BYTES) -> Iterator
 
 
 def add_columns(df: DataFrame, text: str, fields: list[T.StructField],
-                make: Callable[[list], list[pa.Array]]) -> DataFrame:
+                make: Callable[[list], list[pa.Array]], limit: int = SLICE_BYTES) -> DataFrame:
     """``df`` with columns that ``make`` derives from column ``text``.
 
-    ``make`` gets the texts of some rows as UTF-8 bytes (None for null) and
+    ``make`` gets the texts of some rows (about ``limit`` bytes) as UTF-8 bytes (None for null) and
     returns an Arrow array for each of ``fields``; every row is whole in one
     call.  The other columns pass through unseen; an input column that bears
     the name of a new one is replaced.
@@ -93,7 +93,7 @@ def add_columns(df: DataFrame, text: str, fields: list[T.StructField],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, at):
+            for part in slices(batch, at, limit):
                 texts = part.column(at).cast(pa.binary()).to_pylist()
                 made = make(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *made], names=names)

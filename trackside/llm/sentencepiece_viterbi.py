@@ -21,7 +21,7 @@ drops the leading space.  A mark character (U+2581) in a text is not a space: it
 is encoded by bytes, so every text comes back unchanged.
 
 The work stays in the tasks that read the rows (no shuffle): memory is bounded by
-the words of some 16 MB of text and a cache of at most ``CACHE_WORDS`` words.
+the words of some 8 MB of text and a cache of at most ``CACHE_WORDS`` words.
 
 Defined cases: a null text has null ids and decodes to null, an empty text has no
 ids.  Bytes that are not UTF-8 become U+FFFD before encoding.  Repeated rows give
@@ -30,12 +30,15 @@ repeated results.  Extra columns pass through; those named like a result are rep
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -43,7 +46,8 @@ from trackside.llm.common import add_columns
 
 MARK = "▁"
 WORD = re.compile(r" *[^ \n]+| +|\n")
-CACHE_WORDS = 300_000
+#: Bounds of what a task holds: text encoded at once, words kept for later, rows decoded at once.
+SLICE_BYTES, CACHE_WORDS, DECODE_ROWS = 8 << 20, 200_000, 1000
 RANK_OFFSET = 100
 
 
@@ -75,42 +79,56 @@ class Model:
         if all(s == int(s) for _, s in self.pieces.values()):
             self.pieces = {p: (i, -math.log(RANK_OFFSET - s)) for p, (i, s) in self.pieces.items()}
         self.unknown = min(s for _, s in self.pieces.values()) - 10
-        #: lengths of the pieces that end in a character, longest first
-        ends: dict[str, set[int]] = {}
-        for p in self.pieces:
-            ends.setdefault(p[-1], set()).add(len(p))
-        self.ends = {c: tuple(sorted(n, reverse=True)) for c, n in ends.items()}
+        #: the pieces as a trie: a node is [children by character, id (-1: no piece), score]
+        self.root: list = [{}, -1, 0.0]
+        for piece, (i, score) in self.pieces.items():
+            node = self.root
+            for c in piece:
+                node = node[0].setdefault(c, [{}, -1, 0.0])
+            node[1:] = i, score
+        self.sizes = np.array([len(b) for b in self.bytes_of])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
     def segment(self, words: list[str]) -> dict[str, bytes]:
-        """Ids (32-bit) of each of some distinct words."""
+        """Ids (32-bit) of each of some distinct words.
+
+        At each depth stand the best score of the prefix, the start and id of its last
+        piece, and the pieces begun in it that may go on: (their start's score, start, node)."""
         out = {}
-        score, back, ids = [0.0], [0], [-1]
+        first = self.root[0]
+        score, back, ids, begun = [0.0], [0], [-1], [()]
         last = ""
-        pieces, ends, unknown = self.pieces, self.ends, self.unknown
         for word in sorted(words):
             shared = 0
             for a, b in zip(last, word):
                 if a != b:
                     break
                 shared += 1
-            del score[shared + 1:], back[shared + 1:], ids[shared + 1:]
-            for end in range(shared + 1, len(word) + 1):
-                best, at, piece = None, 0, -1
-                for n in ends.get(word[end - 1], ()):
-                    if n > end:
-                        continue
-                    found = pieces.get(word[end - n:end])
-                    if found is not None:
-                        s = score[end - n] + found[1]
-                        if best is None or s > best:
-                            best, at, piece = s, end - n, found[0]
-                if (end - 1 != at or piece < 0) and word[end - 1] not in pieces:
-                    s = score[end - 1] + unknown
-                    if best is None or s > best:
-                        best, at, piece = s, end - 1, -1
+            del score[shared + 1:], back[shared + 1:], ids[shared + 1:], begun[shared + 1:]
+            for at in range(shared, len(word)):
+                c = word[at]
+                best, start, piece, going = None, at, -1, []
+                for s, from_, node in begun[at]:   # those that began first come first
+                    node = node[0].get(c)
+                    if node is not None:
+                        if node[1] >= 0 and (best is None or s + node[2] > best):
+                            best, start, piece = s + node[2], from_, node[1]
+                        if node[0]:
+                            going.append((s, from_, node))
+                node = first.get(c)
+                if node is not None:
+                    s = score[at]
+                    if node[1] >= 0 and (best is None or s + node[2] > best):
+                        best, start, piece = s + node[2], at, node[1]
+                    if node[0]:
+                        going.append((s, at, node))
+                if (node is None or node[1] < 0) and (best is None or score[at] + self.unknown > best):
+                    best, start, piece = score[at] + self.unknown, at, -1
                 score.append(best)
-                back.append(at)
+                back.append(start)
                 ids.append(piece)
+                begun.append(going)
             path, end = [], len(word)
             while end:
                 if ids[end] >= 0:
@@ -118,13 +136,19 @@ class Model:
                 else:
                     path.extend(self.byte_ids[b] for b in reversed(word[end - 1].encode()))
                 end = back[end]
-            out[word] = np.array(path[::-1], np.int32).tobytes()
+            path.reverse()
+            out[word] = array("i", path).tobytes()
             last = word
         return out
 
-    def decode(self, ids) -> str:
-        text = b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes of each row of ids; ``ends`` are the rows' ends among all ids, after a 0."""
+        size = self.sizes[ids]
+        stop = np.cumsum(size)
+        place = np.arange(stop[-1] if len(stop) else 0) + np.repeat(self.starts[ids] - (stop - size), size)
+        text = self.all_bytes[place].tobytes()
+        cut = np.concatenate(([0], stop))[ends].tolist()
+        return [text[a + text.startswith(b" ", a, b):b] for a, b in zip(cut, cut[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -143,24 +167,22 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids") ->
 
     def make(texts: list) -> list[pa.Array]:
         m, known = _model(sent.value)
-        rows = [None if t is None else WORD.findall(" " + t.decode("utf-8", "replace")) if t else [] for t in texts]
-        new = {w for words in rows if words for w in words}
-        if len(known) + len(new) > CACHE_WORDS:
+        numbers: dict[str, int] = {}
+        number = numbers.setdefault
+        rows = [[number(w, len(numbers)) for w in WORD.findall(" " + t.decode("utf-8", "replace"))] if t else ()
+                for t in texts]
+        known.update(m.segment([w for w in numbers if w not in known]))
+        parts = [known[w] for w in numbers]
+        if len(known) > CACHE_WORDS:
+            # words of these rows are the likeliest to come again
             known.clear()
-        found = known
-        if new := [w for w in new if w not in known]:
-            made = m.segment(new)
-            if len(known) + len(made) <= CACHE_WORDS:
-                known.update(made)
-            else:
-                found = {**known, **made}
-        parts = [b"" if words is None else b"".join([found[w] for w in words]) for words in rows]
-        ends = np.cumsum([0, *[len(p) // 4 for p in parts]]).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join(parts), np.int32))
-        mask = pa.array([words is None for words in rows])
-        return [pa.ListArray.from_arrays(pa.array(ends), values, mask=mask)]
-
-    return add_columns(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make)
+            known.update(itertools.islice(zip(numbers, parts), CACHE_WORDS))
+        coded = [b"".join([parts[i] for i in row]) for row in rows]
+        ends = np.cumsum([0, *[len(c) // 4 for c in coded]]).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)),
+                                         mask=pa.array([t is None for t in texts]))]
+
+    return add_columns(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make, SLICE_BYTES)
 
 
 def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -173,7 +195,13 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded")
     def run(batches):
         m, _ = _model(sent.value)
         for batch in batches:
-            texts = [None if row is None else m.decode(row) for row in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keep, text])
+            for start in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(start, DECODE_ROWS)
+                rows = part.column(at)
+                ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy())))
+                texts = m.decode_all(rows.flatten().to_numpy(), ends)
+                made = pa.array([t.decode("utf-8", "replace") if ok else None
+                                 for t, ok in zip(texts, rows.is_valid().to_pylist())], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*keep, text])
 
     return src.mapInArrow(run, T.StructType([*src.schema.fields, T.StructField(text, T.StringType())]))
