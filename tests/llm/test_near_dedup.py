@@ -54,7 +54,9 @@ def corpus():
     return list(enumerate(out))
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("sent", [N.BROADCAST_DIGESTS, 0])
+def test_matches_brute_force(spark, sent, monkeypatch):
+    monkeypatch.setattr(N, "BROADCAST_DIGESTS", sent)
     data = corpus()
     want = plain(data)
     df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)

@@ -9,7 +9,7 @@ Sketch.  One hash of each shingle says both its bin and its value; a bin keeps i
 smallest value, and an empty bin takes the value of the first non-empty one in an
 order of its own that is the same for all texts (optimal densification).  ``BANDS``
 bands of ``ROWS`` bins are the buckets a text falls into.  At similarity 0.75 two texts
-share no bucket with a probability of 2e-6.  Sets of one or two shingles can be
+share no bucket with a probability of 5e-6.  Sets of one or two shingles can be
 linked to equal sets only and need no buckets.
 
 Groups of copies.  Texts with equal sets have one digest and are one node from the
@@ -43,10 +43,12 @@ from trackside.llm.common import add_columns, checkpointed, quoted
 from trackside.llm.components import connected_components
 
 SHINGLE = 5
-BANDS, ROWS = 48, 5
+BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 PERCENT = 75
 LEAST_FOR_BANDS = 3
+#: Digests that are broadcast at most; more are joined by a shuffle.
+BROADCAST_DIGESTS = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -144,16 +146,19 @@ def add_sketch(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(digest, shingles) of the wanted digests, one row for each."""
+    """(digest, shingles) of the wanted (distinct) digests.
+
+    Texts are read again and only those that are wanted go on: a shuffle of all
+    texts is spared as long as the list is small enough to be sent to them."""
+    if wanted.count() <= BROADCAST_DIGESTS:
+        wanted = F.broadcast(wanted)
+    one = (add_digest(docs.select(F.col(quoted(text)).cast("binary").alias("text")), "text")
+           .join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text")))
+
     def make(texts: list) -> list[pa.Array]:
-        sets = shingle_sets(texts)
-        return [pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
+        return [pa.array([s.view(np.int64) for s in shingle_sets(texts)], pa.list_(pa.int64()))]
 
-    every = add_columns(docs.select(F.col(quoted(text)).alias("text")), "text", [
-        T.StructField("digest", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))], make)
-    return (every.select("digest", "shingles").join(wanted, "digest", "left_semi")
-            .groupBy("digest").agg(F.first("shingles").alias("shingles")))
+    return add_columns(one, "text", [T.StructField("shingles", T.ArrayType(T.LongType()))], make).drop("text")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -180,7 +185,7 @@ def link_digests(sketch: DataFrame, docs: DataFrame, text: str, percent: int = P
             .where("size > 1").select("key", F.col("c.digest").alias("centre"), F.col("c.n").alias("cn")))
     # the members of buckets that hold two or more: all that later rounds need
     met = checkpointed(member.join(star, "key"))
-    sets = checkpointed(_sets(docs, text, met.select("digest").distinct()))
+    sets = checkpointed(_sets(docs, text, checkpointed(met.select("digest").distinct())))
     links = checkpointed(_confirmed(_pairs(met, percent), sets, percent))
     root = checkpointed(connected_components(links))
 
