@@ -65,8 +65,10 @@ def test_matches_brute_force(spark, sent, monkeypatch):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
-def test_rounds_find_links_that_the_first_centre_misses(spark, monkeypatch):
+@pytest.mark.parametrize("pairs", [N.PAIRS_PER_ROW, 0])
+def test_rounds_find_links_that_the_first_centre_misses(spark, monkeypatch, pairs):
     """One bucket for all texts: everything rests on the rounds of centres."""
+    monkeypatch.setattr(N, "PAIRS_PER_ROW", pairs)
     monkeypatch.setattr(N, "add_sketch", lambda docs, text: _one_bucket(docs, text))
     r = random.Random(9)
     drift = [f"w{r.randrange(5000)}" for _ in range(60)]

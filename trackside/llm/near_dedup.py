@@ -18,8 +18,9 @@ start (rows of a group are counted before the shuffle, so their number is free).
 Candidates.  In each bucket the smallest node is the centre of a star; only its pairs
 with the others are confirmed.  A bucket whose nodes are then in one component is
 done, whatever links are left inside it.  In the others the centres of the next
-round are the next nodes in order, twice as many each time, and a centre meets only
-nodes after it that are in another component.  At the end every bucket is either of one component
+round are the next nodes in order, four times as many as before, or all of them once the
+pairs left are few for the size of the input; a centre meets only nodes after it that
+are in another component.  At the end every bucket is either of one component
 or has had all its pairs between components confirmed: no link is lost, and a
 group of near copies costs about as many pairs as it has members.
 
@@ -49,6 +50,8 @@ PERCENT = 75
 LEAST_FOR_BANDS = 3
 #: Digests that are broadcast at most; more are joined by a shuffle.
 BROADCAST_DIGESTS = 1_000_000
+#: Open buckets with at most so many ordered pairs for each row of the input are finished in one round.
+PAIRS_PER_ROW = 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -190,7 +193,7 @@ def link_digests(sketch: DataFrame, docs: DataFrame, text: str, percent: int = P
     root = checkpointed(connected_components(links))
 
     member = met.select("key", "digest", "n")
-    start = 1
+    start, rows = 1, sketch.count()
     while True:
         named = (member.join(root.withColumnRenamed("node", "digest"), "digest", "left")
                  .withColumn("root", F.coalesce("root", "digest")))
@@ -198,10 +201,13 @@ def link_digests(sketch: DataFrame, docs: DataFrame, text: str, percent: int = P
         # the order of nodes inside an open bucket is the same in all rounds: buckets never gain nodes
         ranked = checkpointed(named.join(open_, "key", "left_semi").withColumn("rank", F.row_number().over(
             Window.partitionBy("key").orderBy("digest")) - 1))
-        largest = ranked.agg(F.max("rank")).first()[0]
-        if largest is None or largest < start:
+        size = ranked.groupBy("key").agg(F.count("*").alias("n"))
+        largest, pairs = size.agg(F.max("n"), F.sum(F.col("n") * (F.col("n") - 1))).first()
+        if largest is None or largest <= start:
             return root
-        centres = ranked.where(F.col("rank").between(start, 2 * start - 1)).select(
+        # few pairs are left in proportion to the input: one round for all of them
+        stop = largest if pairs <= PAIRS_PER_ROW * rows else 4 * start
+        centres = ranked.where(F.col("rank").between(start, stop - 1)).select(
             "key", F.col("digest").alias("centre"), F.col("n").alias("cn"), F.col("root").alias("centre_root"),
             F.col("rank").alias("centre_rank"))
         met = ranked.join(centres, "key").where("rank > centre_rank AND root <> centre_root")
@@ -209,7 +215,7 @@ def link_digests(sketch: DataFrame, docs: DataFrame, text: str, percent: int = P
         if not links.isEmpty():
             root = checkpointed(_merged(root, links))
         member = ranked.select("key", "digest", "n")
-        start *= 2
+        start = stop
 
 
 def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
