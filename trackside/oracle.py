@@ -350,6 +350,8 @@ SELECT COUNT(CASE WHEN msg_type = '0003' THEN 1 END) AS ok,
        COUNT(CASE WHEN msg_type <> '0003' THEN 1 END) AS skipped,
        0::BIGINT AS bad_time, {frames} AS bad_element, 1::BIGINT AS bad_frame
 FROM msg"""
+    q["object_overwrite_two_runs"] = q["object_key_dedup"].replace(
+        "ORDER BY event_id DESC", "ORDER BY (event_id // 50) % 2 = 0 DESC, event_id DESC")
     q["bad_times"] = "WITH " + MESSAGES_CTE + """,
 s AS (SELECT ms, CASE WHEN msg_type <> '0003' THEN 'skipped'
              WHEN event_id % 11 BETWEEN 3 AND 8 THEN 'bad_time' ELSE 'ok' END AS status FROM msg)

@@ -33,7 +33,7 @@ from trackside.operators.flatten import complete_rows, flatten, require_columns
 from trackside.operators.quality import quality_aggs
 from trackside.schema import KEY_COLUMNS, MOVEMENTS_SCHEMA, TABLE_COLUMNS, documented
 from trackside.session import jvm_path, path_exists
-from trackside.sources.lake import read_lake_objects
+from trackside.sources.lake import last_writer, read_lake_objects
 
 
 @dataclasses.dataclass
@@ -117,13 +117,16 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
               days: list[str] | None = None, whole_objects: bool = False,
               dedup_keys: list[str] | None = None, verify: str | bool | None = "days",
               allow_drop: bool = False, lake_format: str = "json",
-              summary_path: str | None = None) -> LoadReport:
+              summary_path: str | None = None, last_writer_wins: bool = False) -> LoadReport:
     """Load the given London days (all lake days when ``None``) into the table.
 
     ``whole_objects`` reads lakes of one (pretty-printed) object a file.  Objects that
     are no JSON object are counted (``invalid_objects``) and skipped.  A lake or a day
     that is not there loads nothing and leaves the table as it was.
 
+    ``last_writer_wins``: of objects with one name, written by any number of runs, the
+    last alone is loaded (as in a lake that keeps one object for each name).
+
     With ``summary_path`` the movement summary of the loaded days is
     refreshed after the write (one day's scan, see ``operators.summary``).
 
@@ -135,7 +138,8 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     found = Observation("objects")
     objects = read_lake_objects(spark, lake_base, days, whole_objects, lake_format)
     require_columns(objects, ["event_type", "toc_id", "variation_status", "raw_data"])
-    flat = flatten(objects.observe(found, F.count_if(~F.col("ok")).alias("invalid")).where("ok"))
+    objects = objects.observe(found, F.count_if(~F.col("ok")).alias("invalid")).where("ok")
+    flat = flatten(last_writer(objects) if last_writer_wins else objects)
     day_set = [_dt.date.fromisoformat(d) for d in days] if days else None
     in_days = F.col("uk_date").isin(day_set) if day_set else F.lit(True)
     complete = F.lit(True)

@@ -29,7 +29,7 @@ from trackside.schema import EVENT_TYPES, TABLE_COLUMNS, VARIATION_STATUSES
 from trackside.session import scratch_dir, use_utc
 from trackside.sinks.lake import lake_rows, publish_messages, write_ndjson
 from trackside.sources.feed import read_frames, read_topic, single_message_frames
-from trackside.sources.lake import read_lake, read_ndjson
+from trackside.sources.lake import last_writer, read_lake, read_ndjson
 from trackside.sources.standin import (plant_quality_failures, standin_bad_time_frames,
                                        standin_frames, standin_full_frames,
                                        standin_movements, standin_td_frames)
@@ -454,6 +454,15 @@ def q_load_report_partial(spark, sf_dir):
     return report_frame(spark, report).select(*cols)
 
 
+def q_object_overwrite_two_runs(spark, sf_dir):
+    """Two runs write objects of the same names; each name's last object counts."""
+    lake, frames = scratch_dir(spark, "olake"), _frames(spark, sf_dir)
+    for part in (F.lit(True), F.col("frame_id") % 2 == 0):
+        ingest_frames(frames.where(part), lake, processed_at=PROCESSED_AT, last_writer_wins=True, keep=["frame_id"])
+    return last_writer(read_lake(spark, lake)).select(
+        "object_name", "toc_id", F.col("raw_data").getField("train_id").alias("train_id"), "variation_status")
+
+
 def q_append_table(spark, sf_dir):
     """Typed append in two parts, one without a column of the schema."""
     table, m = scratch_dir(spark, "atable"), movements(spark, sf_dir)
@@ -498,6 +507,7 @@ def feed_and_load_queries() -> dict[str, Query]:
         "whole_objects_load": q_whole_objects_load,
         "load_report_partial": q_load_report_partial,
         "append_table": q_append_table,
+        "object_overwrite_two_runs": q_object_overwrite_two_runs,
         "maintained_summary_toc_ranking": q_maintained_summary_toc_ranking,
     }
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
+from trackside.operators.dedup import dedup_object_key
 from trackside.schema import STAGING_COLUMNS
 from trackside.session import jvm_path, path_exists
 
@@ -65,8 +66,16 @@ def _files(spark: SparkSession, base: str, days: list[str] | None) -> list[str]:
 
 
 def _path_keys() -> list[Column]:
+    """The day of an object and when its file was written."""
     path = F.col("_metadata.file_path")
-    return [F.regexp_extract(path, f"/{k}=([0-9]+)/", 1).alias(k) for k in ("year", "month", "day")]
+    return [*[F.regexp_extract(path, f"/{k}=([0-9]+)/", 1).alias(k) for k in ("year", "month", "day")],
+            F.col("_metadata.file_modification_time").alias("landed")]
+
+
+def last_writer(objects: DataFrame) -> DataFrame:
+    """Of the objects of one name (one operator in one London second) that several runs wrote, the
+    last: by the time its file was written, then its processing stamp."""
+    return dedup_object_key(objects, ["landed", "processed_at"])
 
 
 def read_json_objects(spark: SparkSession, path: str, multiline: bool = False,
