@@ -65,10 +65,10 @@ def test_matches_brute_force(spark, sent, monkeypatch):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
-@pytest.mark.parametrize("pairs", [N.PAIRS_PER_ROW, 0])
-def test_rounds_find_links_that_the_first_centre_misses(spark, monkeypatch, pairs):
-    """One bucket for all texts: everything rests on the rounds of centres."""
-    monkeypatch.setattr(N, "PAIRS_PER_ROW", pairs)
+@pytest.mark.parametrize("rows", [N.BLOCK_ROWS, 7])
+def test_groups_find_links_that_the_first_centre_misses(spark, monkeypatch, rows):
+    """One bucket for all texts: everything rests on the second step, in one block or many."""
+    monkeypatch.setattr(N, "BLOCK_ROWS", rows)
     monkeypatch.setattr(N, "add_sketch", lambda docs, text: _one_bucket(docs, text))
     r = random.Random(9)
     drift = [f"w{r.randrange(5000)}" for _ in range(60)]
@@ -90,6 +90,15 @@ def _one_bucket(docs, text):
     return _real(docs, text).withColumn("bands", F.array(F.lit(1).cast("long")))
 
 
+def test_common_counts():
+    r = np.random.default_rng(4)
+    for size in (3, 40, 400):
+        rows = [np.unique(r.integers(0, size * 4, size)) for _ in range(30)] + [np.empty(0, int)]
+        cols = [np.unique(np.concatenate([rows[k % 30][:size // 2], r.integers(0, size * 9, size)])) for k in range(50)]
+        got = N.common_counts(rows, cols)
+        assert (got == [[len(set(a) & set(b)) for b in cols] for a in rows]).all()
+
+
 def test_bucket_probability_and_densification():
     r = np.random.default_rng(1)
     missed = 0

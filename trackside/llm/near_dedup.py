@@ -17,12 +17,14 @@ start (rows of a group are counted before the shuffle, so their number is free).
 
 Candidates.  In each bucket the smallest node is the centre of a star; only its pairs
 with the others are confirmed.  A bucket whose nodes are then in one component is
-done, whatever links are left inside it.  In the others the centres of the next
-round are the next nodes in order, four times as many as before, or all of them once the
-pairs left are few for the size of the input; a centre meets only nodes after it that
-are in another component.  At the end every bucket is either of one component
-or has had all its pairs between components confirmed: no link is lost, and a
-group of near copies costs about as many pairs as it has members.
+done, whatever links are left inside it.  Buckets that still hold several components
+(near copies of one text that are too far from its centre, say) go into an exact second
+step: nodes that such buckets connect are a group, and in each group every node outside
+the group's largest component is compared with all its nodes.  These comparisons are
+counted as matrix products over blocks of bounded size, one task for each pair of
+blocks; no row is made for a pair, and what comes out is at most one link for each node and
+component.  So no link is lost, and a group of near copies costs about as many
+rows as it has members.
 
 Defined cases: a null text, or one without words, has an empty set, is linked with
 nothing and kept.  Rows with a null id belong to the group of their text but do not
@@ -34,9 +36,10 @@ Extra columns pass through; those named like a result are replaced.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,8 +53,8 @@ PERCENT = 75
 LEAST_FOR_BANDS = 3
 #: Digests that are broadcast at most; more are joined by a shuffle.
 BROADCAST_DIGESTS = 1_000_000
-#: Open buckets with at most so many ordered pairs for each row of the input are finished in one round.
-PAIRS_PER_ROW = 16
+#: A block of nodes that are compared with another block in one task.
+BLOCK_ROWS, BLOCK_SHINGLES = 2000, 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -192,30 +195,100 @@ def link_digests(sketch: DataFrame, docs: DataFrame, text: str, percent: int = P
     links = checkpointed(_confirmed(_pairs(met, percent), sets, percent))
     root = checkpointed(connected_components(links))
 
-    member = met.select("key", "digest", "n")
-    start, rows = 1, sketch.count()
-    while True:
-        named = (member.join(root.withColumnRenamed("node", "digest"), "digest", "left")
-                 .withColumn("root", F.coalesce("root", "digest")))
-        open_ = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        # the order of nodes inside an open bucket is the same in all rounds: buckets never gain nodes
-        ranked = checkpointed(named.join(open_, "key", "left_semi").withColumn("rank", F.row_number().over(
-            Window.partitionBy("key").orderBy("digest")) - 1))
-        size = ranked.groupBy("key").agg(F.count("*").alias("n"))
-        largest, pairs = size.agg(F.max("n"), F.sum(F.col("n") * (F.col("n") - 1))).first()
-        if largest is None or largest <= start:
-            return root
-        # few pairs are left in proportion to the input: one round for all of them
-        stop = largest if pairs <= PAIRS_PER_ROW * rows else 4 * start
-        centres = ranked.where(F.col("rank").between(start, stop - 1)).select(
-            "key", F.col("digest").alias("centre"), F.col("n").alias("cn"), F.col("root").alias("centre_root"),
-            F.col("rank").alias("centre_rank"))
-        met = ranked.join(centres, "key").where("rank > centre_rank AND root <> centre_root")
-        links = checkpointed(_confirmed(_pairs(met, percent), sets, percent))
-        if not links.isEmpty():
-            root = checkpointed(_merged(root, links))
-        member = ranked.select("key", "digest", "n")
-        start = stop
+    named = (met.select("key", "digest", "n").join(root.withColumnRenamed("node", "digest"), "digest", "left")
+             .withColumn("root", F.coalesce("root", "digest")))
+    several = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    left = checkpointed(named.join(several, "key", "left_semi"))
+    if left.isEmpty():
+        return root
+    links = checkpointed(_links_in_groups(left, sets, percent))
+    return root if links.isEmpty() else checkpointed(_merged(root, links))
+
+
+def _links_in_groups(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of the nodes that buckets connect; ``left`` has key, digest, n, root."""
+    centre = left.groupBy("key").agg(F.min("digest").alias("b"))
+    group = checkpointed(connected_components(left.join(centre, "key").select(F.col("digest").alias("a"), "b").distinct()))
+    node = checkpointed(left.select("digest", "n", "root").distinct()
+                        .join(group.select(F.col("node").alias("digest"), F.col("root").alias("grp")), "digest"))
+    main = (node.groupBy("grp", "root").agg(F.count("*").alias("size"))
+            .groupBy("grp").agg(F.max(F.struct("size", "root")).alias("m")).select("grp", F.col("m.root").alias("main")))
+    node = node.join(main, "grp").withColumn("outside", F.col("root") != F.col("main"))
+
+    def blocks(inside) -> DataFrame:
+        """How many blocks of bounded rows and shingles the nodes of a group make."""
+        return F.greatest(F.ceil(F.count_if(inside) / BLOCK_ROWS),
+                          F.ceil(F.sum(F.when(inside, F.col("n")).otherwise(0)) / BLOCK_SHINGLES)).cast("long")
+
+    counts = node.groupBy("grp").agg(blocks(F.col("outside")).alias("rows"), blocks(F.lit(True)).alias("cols"))
+    node = node.join(counts, "grp").join(sets, "digest")
+    spot = F.xxhash64("digest", F.lit(1))
+    a = node.where("outside").select("grp", "digest", "root", "shingles", F.lit(True).alias("is_row"),
+                                     F.pmod(spot, F.col("rows")).alias("i"),
+                                     F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1)).alias("j"))
+    b = node.select("grp", "digest", "root", "shingles", F.lit(False).alias("is_row"),
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"),
+                    F.pmod(spot, F.col("cols")).alias("j"))
+    return (a.select(*b.columns).unionByName(b).groupBy("grp", "i", "j")
+            .applyInPandas(lambda pdf: _block_links(pdf, percent), "a binary, b binary"))
+
+
+def _block_links(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between the rows and the columns of a pair of blocks, one for each row and component."""
+    rows, cols = pdf[pdf["is_row"]], pdf[~pdf["is_row"]]
+    if not len(rows) or not len(cols):
+        return pd.DataFrame({"a": [], "b": []})
+    both = common_counts(list(rows["shingles"]), list(cols["shingles"]))
+    n_rows, n_cols = rows["shingles"].map(len).to_numpy(), cols["shingles"].map(len).to_numpy()
+    root_of = {r: k for k, r in enumerate(pd.unique(pdf["root"]))}
+    row_root, col_root = rows["root"].map(root_of).to_numpy(), cols["root"].map(root_of).to_numpy()
+    r, c = np.nonzero((100 * both >= percent * (n_rows[:, None] + n_cols[None, :] - both))
+                      & (row_root[:, None] != col_root[None, :]))
+    _, first = np.unique(r * len(root_of) + col_root[c], return_index=True)
+    return pd.DataFrame({"a": rows["digest"].to_numpy()[r[first]], "b": cols["digest"].to_numpy()[c[first]]})
+
+
+def common_counts(rows: list[np.ndarray], cols: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``rows`` shares with each of ``cols``.
+
+    Elements that are common on both sides are counted as a product of 0/1 matrices,
+    some thousand at a time, the others one pair of places after another."""
+    def postings(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+
+    (rv, ri), (cv, ci) = postings(rows), postings(cols)
+    shared = np.intersect1d(rv, cv)
+    out = np.zeros((len(rows), len(cols)), np.float32)
+    if not len(shared):
+        return out.astype(np.int64)
+    keep_r, keep_c = np.isin(rv, shared), np.isin(cv, shared)
+    rk, ri = np.searchsorted(shared, rv[keep_r]), ri[keep_r]
+    ck, ci = np.searchsorted(shared, cv[keep_c]), ci[keep_c]
+    pairs = np.bincount(rk, minlength=len(shared)) * np.bincount(ck, minlength=len(shared))
+    dense = pairs * 64 >= out.size
+    place = np.cumsum(dense) - 1
+    width = 2048
+    for start in range(0, int(dense.sum()), width):
+        def matrix(k: np.ndarray, i: np.ndarray, n: int) -> np.ndarray:
+            m = np.zeros((n, width), np.float32)
+            here = dense[k] & (place[k] >= start) & (place[k] < start + width)
+            m[i[here], place[k[here]] - start] = 1
+            return m
+
+        out += matrix(rk, ri, len(rows)) @ matrix(ck, ci, len(cols)).T
+    few_r, few_c = ~dense[rk], ~dense[ck]
+    rk, ri, ck, ci = rk[few_r], ri[few_r], ck[few_c], ci[few_c]
+    order = np.argsort(ck, kind="stable")
+    ck, ci = ck[order], ci[order]
+    low, n = np.searchsorted(ck, rk, "left"), np.searchsorted(ck, rk, "right")
+    n = n - low
+    step = 4_000_000
+    cut = np.concatenate(([0], np.flatnonzero(np.diff(np.cumsum(n) // step)) + 1, [len(n)]))
+    for a, b in zip(cut, cut[1:]):
+        m = n[a:b]
+        col = np.repeat(low[a:b] - np.cumsum(m) + m, m) + np.arange(m.sum())
+        np.add.at(out, (np.repeat(ri[a:b], m), ci[col]), 1)
+    return out.astype(np.int64)
 
 
 def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
