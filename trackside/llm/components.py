@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from trackside.llm.common import checkpointed
 
 
+EDGES_PER_PARTITION, LEAST_PARTITIONS = 250_000, 6
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node reachable.
 
@@ -19,14 +22,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = _fingerprint(now)
     while True:
+        # edges never grow in number: as many partitions as they need
+        parts = max(LEAST_PARTITIONS, -(-mark[0] // EDGES_PER_PARTITION))
+        now = now.coalesce(parts)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .unionByName(least.where("u <> m").select("u", F.col("m").alias("v"))).distinct()
+            .unionByName(least.where("u <> m").select("u", F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        now = checkpointed(small)
+        now = checkpointed(small.coalesce(parts))
         last, mark = mark, _fingerprint(now)
         if last == mark:
             break

@@ -193,7 +193,7 @@ def link_digests(sketch: DataFrame, docs: DataFrame, text: str, percent: int = P
     met = checkpointed(member.join(star, "key"))
     sets = checkpointed(_sets(docs, text, checkpointed(met.select("digest").distinct())))
     links = checkpointed(_confirmed(_pairs(met, percent), sets, percent))
-    root = checkpointed(connected_components(links))
+    root = connected_components(links)
 
     named = (met.select("key", "digest", "n").join(root.withColumnRenamed("node", "digest"), "digest", "left")
              .withColumn("root", F.coalesce("root", "digest")))
@@ -202,13 +202,13 @@ def link_digests(sketch: DataFrame, docs: DataFrame, text: str, percent: int = P
     if left.isEmpty():
         return root
     links = checkpointed(_links_in_groups(left, sets, percent))
-    return root if links.isEmpty() else checkpointed(_merged(root, links))
+    return root if links.isEmpty() else _merged(root, links)
 
 
 def _links_in_groups(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components of the nodes that buckets connect; ``left`` has key, digest, n, root."""
     centre = left.groupBy("key").agg(F.min("digest").alias("b"))
-    group = checkpointed(connected_components(left.join(centre, "key").select(F.col("digest").alias("a"), "b").distinct()))
+    group = connected_components(left.join(centre, "key").select(F.col("digest").alias("a"), "b"))
     node = checkpointed(left.select("digest", "n", "root").distinct()
                         .join(group.select(F.col("node").alias("digest"), F.col("root").alias("grp")), "digest"))
     main = (node.groupBy("grp", "root").agg(F.count("*").alias("size"))
@@ -298,7 +298,7 @@ def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
 
     ends = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
             .select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
-    over = checkpointed(connected_components(ends)).withColumnRenamed("root", "over").withColumnRenamed("node", "root")
+    over = connected_components(ends).withColumnRenamed("root", "over").withColumnRenamed("node", "root")
     moved = root.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root"))
     new = over.select(F.col("root").alias("node"), F.col("over").alias("root"))
     return moved.unionByName(new.join(root.select("node"), "node", "left_anti"))
