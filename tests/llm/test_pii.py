@@ -123,3 +123,27 @@ def test_columns_repeated_rows_empty_table(spark):
     got = out.collect()
     assert len(got) == 2 and got[0] == got[1] and got[0].found == 1
     assert P.replace_entities(df.limit(0), "key").count() == 0
+
+
+def replaced(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    return sorted(P.replace_entities(df, "key").collect(), key=lambda r: r.doc_id)
+
+
+def test_long_entities_are_replaced_to_their_end(spark):
+    r = random.Random(3)
+    cases = []
+    for n in (129, 300, 5000):
+        jwt, hexa, digits, key, local = ("".join(r.choice(a) for _ in range(n)) for a in (
+            "abcXYZ019_-", "0123456789abcdef", "0123456789", "abcdeXYZ0123", "abcdeXYZ0123"))
+        cases += [("secret", f"token={jwt}Q", jwt), ("secret", hexa, hexa), ("secret", digits, digits),
+                  ("secret", f"sk-{key}", key), ("mail", f"{local}.{key}@mail.example.org", local + key),
+                  ("mail", f"{'a.' * n}b@{'x1.' * 9}{'y' * 70}.org", "y1." * 9)]
+    mails = ["555-123-4567.bob@mail.org", "a@b.com.5.x", "Mr Bob.Smith@mail.org"]
+    rows = replaced(spark, [f"at {t}, end" for _, t, _ in cases] + mails)
+    for (kind, text, value), row in zip(cases, rows):
+        assert [e.kind for e in row.entities] == [kind], text[:40]
+        assert row.text == f"at {row.entities[0].surrogate}, end"
+        assert not any(value[i:i + 16] in row.text for i in range(0, len(value) - 16, 8))
+    for text, row in zip(mails, rows[len(cases):]):
+        assert "mail" in [e.kind for e in row.entities] and "mail.org" not in row.text and "b.com" not in row.text

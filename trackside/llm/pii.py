@@ -50,22 +50,27 @@ _FIRST = "".join(sorted({t[0] for ts in TITLES.values() for t in ts}))
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _LABEL = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?"
 _END = r"(?![\p{L}\p{N}])"
+_LOCAL = r"[\p{L}\p{N}._%+-]"
 
 #: What may be an entity, in the order of the alternation: kind, pattern, what must not follow.
-#: All start where no letter or digit stands before.
+#: All start where no letter or digit stands before.  No pattern has an upper bound that would cut
+#: an entity; loops without a bound are possessive or over one character, so that long texts take
+#: neither stack nor quadratic time (a mail address is tried once a run of its characters, and
+#: behind each match).  Over 128 times the same digit is no secret.
 PATTERNS = [
-    ("secret", rf"{_LABEL}[^\s\"']{{7,127}}[^\s\"'.,;:!?)]", ""),
+    ("secret", rf"{_LABEL}[^\s\"']{{7,}}[^\s\"'.,;:!?)]", ""),
     ("address", rf"(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}", r"(?![\p{L}\p{N}]|\.[0-9])"),
     ("card", r"[0-9](?:[ -]?[0-9]){12,18}", _END),
     ("social", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![\p{L}\p{N}-])"),
     ("phone", r"(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", _END),
     ("phone", r"\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}", _END),
     ("phone", r"(?:1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}", r"(?![\p{L}\p{N}-])"),
-    ("secret", r"(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}"
-               r"|sk-[A-Za-z0-9]{20,64}+)", _END),
+    ("secret", rf"(?:(?!(?<one>[0-9])\k<one>{{128,}}+{_END})(?:[0-9a-f]{{32,}}+|[0-9A-F]{{32,}}+)|AKIA[0-9A-Z]{{16}}"
+               r"|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)", _END),
     ("account", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?", _END),
     ("name", rf"(?=[{_FIRST}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]{{1,40}}+(?: \p{{Lu}}[\p{{L}}'-]{{1,40}}+)?", ""),
-    ("mail", r"[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}[\p{L}]{2,24}+", ""),
+    ("mail", rf"(?:(?<!{_LOCAL})|\G|(?<=\G[._%+-])){_LOCAL}++@(?:(?:[\p{{L}}\p{{N}}-]++\.(?=[\p{{L}}\p{{N}}-]++\.|\p{{L}}{{2}}))++"
+             r"\p{L}{2,}+|(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}+)", ""),
 ]
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"{p}{end}" for _, p, end in PATTERNS) + ")"
 #: No entity without one of these: most texts need no more than this look.
@@ -155,12 +160,12 @@ def _written_into(found: Column, digits: Column) -> Column:
 def _turned_letters(s: Column, key: Column) -> Column:
     """Each character replaced by another of its class: digit, small, capital, Cyrillic; hexadecimal
     strings stay so; other characters stay."""
-    stream = F.array_join(F.transform(F.sequence(F.lit(0), (F.char_length(s) / 32).cast("int")),
-                                      lambda b: F.sha2(F.concat_ws("|", key, b), 256)), "")
+    stream = F.transform(F.sequence(F.lit(0), (F.char_length(s) / 32).cast("int")),
+                         lambda b: F.sha2(F.concat_ws("|", key, b), 256))
     hexa = s.rlike(r"\A(?:[0-9a-f]{16,}|[0-9A-F]{16,})\z")
 
     def turned(c: Column, i: Column, keys: Column, is_hex: Column) -> Column:
-        step = F.conv(F.substring(keys, i * 2 + 1, F.lit(2)), 16, 10).cast("int")
+        step = F.conv(F.substring(F.get(keys, (i / 32).cast("int")), i % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
         def within(alphabet: str, c: Column) -> Column:
             return F.substring(F.lit(alphabet), (F.instr(F.lit(alphabet), c) - 1 + step) % len(alphabet) + 1, F.lit(1))
