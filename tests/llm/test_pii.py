@@ -147,3 +147,19 @@ def test_long_entities_are_replaced_to_their_end(spark):
         assert not any(value[i:i + 16] in row.text for i in range(0, len(value) - 16, 8))
     for text, row in zip(mails, rows[len(cases):]):
         assert "mail" in [e.kind for e in row.entities] and "mail.org" not in row.text and "b.com" not in row.text
+
+
+def test_numbers_beside_each_other_are_each_found(spark):
+    card, odd = "4111 1111 1111 1111", "4111 1111-1111 1111"
+    cases = {
+        "555-123-4567 555-987-6543": ["phone"] * 2, "123-45-6789 987-65-4321": ["social"] * 2,
+        "555-123-4567 2024": ["phone"], f"555-123-4567 {card}": ["phone", "card"], f"{card} 555-123-4567": ["card", "phone"],
+        f"+49 30 1234567 {card} 2024": ["phone", "card"], f"2025 {card} 4242424242424242": ["card"] * 2,
+        f"123-45-6789 {odd} 555-123-4567 12": ["social", "card", "phone"], f"{card} {card}-{card}": ["card"] * 3,
+        "17 2024 1999 2001 555-123-4567": ["phone"], " ".join(["555-123-4567"] * 40): ["phone"] * 40,
+    }
+    for (text, kinds), row in zip(cases.items(), replaced(spark, cases)):
+        assert [e.kind for e in row.entities] == kinds, text
+        assert re.sub("[0-9]", "0", row.text) == re.sub("[0-9]", "0", text)
+        for number in ("555-123-4567", "555-987-6543", "123-45-6789", "987-65-4321", card, odd, "4242424242424242", "1234567"):
+            assert number not in row.text, text

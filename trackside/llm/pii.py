@@ -1,7 +1,9 @@
 """Personal data: each detected entity gets a keyed surrogate of its own kind.
 
-Detection is one alternation of patterns, each match classified and checked (card
-numbers by their check digit, addresses by their ranges).  Replacement
+Detection is one alternation of patterns, each match classified and checked (addresses by
+their ranges).  Cards are looked for first, at the start of each group of digits, and
+only numbers whose check digit fits enter the text's alternation, behind social security and phone
+numbers: what is no card hides nothing that stands in or beside it.  Replacement
 cuts the text at the matches and joins it again around the surrogates, so that
 only the matched characters change.
 
@@ -50,6 +52,9 @@ _FIRST = "".join(sorted({t[0] for ts in TITLES.values() for t in ts}))
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _LABEL = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?"
 _END = r"(?![\p{L}\p{N}])"
+#: Numbers of a grouping of their own: social security, phone, card.
+_APART = r"(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|(?:1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\p{L}\p{N}-])"
+_NEXT = rf"(?:{_APART}|(?:[0-9]{{4}}[ -]){{3}}[0-9]{{4}}|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{4,5}}|[0-9]{{13,19}}){_END}"
 _LOCAL = r"[\p{L}\p{N}._%+-]"
 
 #: What may be an entity, in the order of the alternation: kind, pattern, what must not follow.
@@ -60,11 +65,11 @@ _LOCAL = r"[\p{L}\p{N}._%+-]"
 PATTERNS = [
     ("secret", rf"{_LABEL}[^\s\"']{{7,}}[^\s\"'.,;:!?)]", ""),
     ("address", rf"(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}", r"(?![\p{L}\p{N}]|\.[0-9])"),
-    ("card", r"[0-9](?:[ -]?[0-9]){12,18}", _END),
     ("social", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![\p{L}\p{N}-])"),
     ("phone", r"(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", _END),
-    ("phone", r"\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}", _END),
+    ("phone", rf"\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2}}(?:(?! {_NEXT})[ .-]?[0-9]{{2,4}}){{0,3}}", _END),
     ("phone", r"(?:1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}", r"(?![\p{L}\p{N}-])"),
+    ("card", r"[0-9](?:[ -]?[0-9]){12,18}", _END),
     ("secret", rf"(?:(?!(?<one>[0-9])\k<one>{{128,}}+{_END})(?:[0-9a-f]{{32,}}+|[0-9A-F]{{32,}}+)|AKIA[0-9A-Z]{{16}}"
                r"|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)", _END),
     ("account", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?", _END),
@@ -72,7 +77,32 @@ PATTERNS = [
     ("mail", rf"(?:(?<!{_LOCAL})|\G|(?<=\G[._%+-])){_LOCAL}++@(?:(?:[\p{{L}}\p{{N}}-]++\.(?=[\p{{L}}\p{{N}}-]++\.|\p{{L}}{{2}}))++"
              r"\p{L}{2,}+|(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}+)", ""),
 ]
-ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"{p}{end}" for _, p, end in PATTERNS) + ")"
+_BEFORE = r"(?<![\p{L}\p{N}])"
+_CARD = next(p for kind, p, _ in PATTERNS if kind == "card")
+_MORE = rf"[0-9](?:(?![ -]{_APART})[ -]?[0-9])"
+#: What may be a card: digits to the end of their run; the usual groupings wherever they stand; other
+#: digits, as many as there are, or of the usual lengths.
+CARDS = [rf"{_BEFORE}(?=({_CARD})(?![\p{{L}}\p{{N}}]|[ -][0-9]))",
+         rf"{_BEFORE}(?=([0-9]{{13,19}}|[0-9]{{4}}([ -])[0-9]{{4}}\2[0-9]{{4}}\2[0-9]{{4}}"
+         rf"|[0-9]{{4}}([ -])[0-9]{{6}}\3[0-9]{{4,5}}){_END})",
+         *[rf"{_BEFORE}(?=({_MORE}{{{n}}}){_END})" for n in ("12,18", "15", "14")]]
+
+
+def pattern(text: Column) -> Column:
+    """The alternation for a text; its cards are those numbers in it whose last digit fits, so that
+    digits which are no card are left to the other patterns and to cards that begin later."""
+    def every(card: str) -> str:
+        return f"{_BEFORE}(?:" + "|".join(f"{card if kind == 'card' else p}{end}" for kind, p, end in PATTERNS) + ")"
+
+    # the sign between the halves stands in no pattern
+    before, behind = every("\0").split("\0")
+    maybe = F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in CARDS]))
+    valid = F.filter(maybe, lambda c: _check_digit(F.regexp_replace(c, "[^0-9]", "")) & ~c.rlike(_BEFORE + _APART))
+    with_cards = let(valid, lambda cards: F.when(F.size(cards) > 0, F.concat(
+        F.lit(f"{before}(?={_CARD})(?:"), F.array_join(cards, "|"), F.lit(f"){behind}"))))
+    return F.coalesce(F.when(text.rlike(_CARD), with_cards), F.lit(every("(?!)")))
+
+
 #: No entity without one of these: most texts need no more than this look.
 HINT = rf"[0-9@:=]|(?=[{_FIRST}])(?:{_TITLE})\b"
 HEX = "0123456789abcdef"
@@ -117,7 +147,7 @@ def mentions(text: Column) -> Column:
         return let(kind_of(found), lambda k: F.struct(k.alias("kind"), canonical(k, found).alias("canonical"),
                                                       found.alias("found")))
 
-    every = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), mention)
+    every = F.transform(F.regexp_extract_all(text, pattern(text), F.lit(0)), mention)
     return F.when(text.rlike(HINT), every).otherwise(F.array().cast(f"array<{MENTION}>"))
 
 
@@ -303,7 +333,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
 
     def joined(text: Column, new: Column) -> Column:
         """New text, and the places of the surrogates."""
-        gaps = F.split(text, ANY, -1)
+        gaps = F.split(text, pattern(text), F.lit(-1))
         places = "array<struct<kind:string,surrogate:string,start:int>>"
         parts = F.zip_with(gaps, new, lambda g, m: F.concat(g, F.coalesce(m["made"], F.lit(""))))
         ends = F.transform(F.zip_with(gaps, new, lambda g, m: F.struct(g.alias("g"), m.alias("m"))),
