@@ -163,3 +163,19 @@ def test_numbers_beside_each_other_are_each_found(spark):
         assert re.sub("[0-9]", "0", row.text) == re.sub("[0-9]", "0", text)
         for number in ("555-123-4567", "555-987-6543", "123-45-6789", "987-65-4321", card, odd, "4242424242424242", "1234567"):
             assert number not in row.text, text
+
+
+def test_names_are_replaced_to_their_last_word(spark):
+    long = "A" + "b" * 5000
+    texts = ["Mrs Anna Maria Schmidt", "Mrs Schmidt", "Dr Martin Luther King Jr", "Mr J. Smith", "Dr A Jones", "Herr von der Leyen",
+             f"Mr {long}", "Mr J.R. Smith", "Mr Smith", "Mrs Anna K. Schmidt", "Frau Anna van Beethoven", "Mr John J.Smith",
+             "Dr Jones I", "Mrs Anna K", "Sra María O’Neill Gómez"]
+    got = [r.text for r in replaced(spark, [f"by {t}, and" for t in texts])]
+    for text, new in zip(texts, got):
+        assert new.startswith(f"by {text.split()[0]} ") and new.endswith(", and") and len(new.split()) == len(text.split()) + 2
+        for word in text.split()[1:]:
+            assert word in ("von", "der", "van", "I") or word not in new.split(), text
+    family = [new.rstrip(", and").split()[-1] for new in (g.replace(", and", "") for g in got)]
+    assert family[0] == family[1] == family[9] and family[3] == family[7] == family[8]
+    assert re.fullmatch(r"by Mr [A-Z]\. \w+, and", got[3]) and "b" * 50 not in got[6] and " von der " in got[5]
+    assert got[0].split()[2].endswith("na") and got[0].split()[3].endswith("na")

@@ -17,8 +17,9 @@ in all texts: coreference holds without any table.  They keep the form:
 - secrets: character by character within hexadecimal, digits, small and capital letters;
 - mail: the local part character by character, the domain label by label, under the
   reserved top-level name ``example``;
-- names after a title: a name of like script, gender (told by the title) and
-  capitals; a family name has one surrogate with or without a given name.
+- names after a title: all words of the name, the last as family name and those before as given
+  names, each one of like script, gender (told by the title) and capitals; particles stay and
+  initials get other letters; a family name has one surrogate with or without given names.
 A permutation gives different entities of one form different surrogates.
 
 Collision check.  All distinct entities of the corpus are gathered (kind and
@@ -36,6 +37,8 @@ Extra columns pass through, those named like a result are replaced.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +59,15 @@ _END = r"(?![\p{L}\p{N}])"
 _APART = r"(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|(?:1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\p{L}\p{N}-])"
 _NEXT = rf"(?:{_APART}|(?:[0-9]{{4}}[ -]){{3}}[0-9]{{4}}|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{4,5}}|[0-9]{{13,19}}){_END}"
 _LOCAL = r"[\p{L}\p{N}._%+-]"
+#: Particles of names stay as they are.
+PARTICLES = ("von", "vom", "van", "der", "den", "dem", "de", "del", "della", "dei", "des", "di", "da", "dal", "das", "do",
+             "dos", "du", "la", "le", "las", "los", "el", "al", "bin", "bint", "ibn", "ben", "zu", "zum", "zur", "ter", "ten",
+             "te", "y", "e", "und", "af", "av", "фон", "де", "ван")
+_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) )*+"
+#: A name of two letters or more, initials joined to it included; initials on their own; an initial that ends a name.
+_WORD = r"(?:\p{Lu}\.)*+\p{Lu}[\p{L}\p{M}'’-]++"
+_INITIAL = r"(?:(?:\p{Lu}\.)++|\p{Lu}(?![\p{L}\p{M}'’.-]))"
+_LAST = r"(?![AI](?!\.))\p{Lu}(?:\.\p{Lu})*+(?![\p{L}\p{M}'’-])"
 
 #: What may be an entity, in the order of the alternation: kind, pattern, what must not follow.
 #: All start where no letter or digit stands before.  No pattern has an upper bound that would cut
@@ -73,7 +85,8 @@ PATTERNS = [
     ("secret", rf"(?:(?!(?<one>[0-9])\k<one>{{128,}}+{_END})(?:[0-9a-f]{{32,}}+|[0-9A-F]{{32,}}+)|AKIA[0-9A-Z]{{16}}"
                r"|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)", _END),
     ("account", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?", _END),
-    ("name", rf"(?=[{_FIRST}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]{{1,40}}+(?: \p{{Lu}}[\p{{L}}'-]{{1,40}}+)?", ""),
+    ("name", rf"(?=[{_FIRST}])(?:{_TITLE})\.? (?:{_INITIAL} )*+{_PARTICLES}{_WORD}(?: {_PARTICLES}{_WORD}| {_INITIAL}(?= {_PARTICLES}\p{{Lu}})"
+             rf"| {_LAST})*+", ""),
     ("mail", rf"(?:(?<!{_LOCAL})|\G|(?<=\G[._%+-])){_LOCAL}++@(?:(?:[\p{{L}}\p{{N}}-]++\.(?=[\p{{L}}\p{{N}}-]++\.|\p{{L}}{{2}}))++"
              r"\p{L}{2,}+|(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}+)", ""),
 ]
@@ -225,7 +238,7 @@ LATIN_SIDE, CYRILLIC_SIDE = "abdefgiklmnorstvz", "абдефгиклмнорст
 
 def _name(token: Column, role: str, gender: Column, key: Column) -> Column:
     """A name for one name: syllables, an ending by gender for given names, script and capitals kept."""
-    n = F.greatest(F.lit(3), (F.char_length(token) / 2).cast("int"))
+    n = F.least(F.greatest(F.lit(3), (F.char_length(token) / 2).cast("int")), F.lit(20))
     stem = F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.get(
         F.array(*map(F.lit, SYLLABLES)), _number(F.concat_ws("|", key, F.lit(role), F.lower(token)), i,
                                                  len(SYLLABLES)).cast("int"))), "")
@@ -235,6 +248,21 @@ def _name(token: Column, role: str, gender: Column, key: Column) -> Column:
     return F.when(token.rlike(r"\A\p{Lu}{2,}\z"), F.upper(name)).otherwise(F.initcap(name))
 
 
+#: Words of a name that are none to replace, and initials.
+LOWER_WORD, INITIALS = r"\A\p{Ll}", r"\A\p{Lu}(?:\.\p{Lu})*\.?\z"
+
+
+def _turned_initials(token: Column, key: str) -> Column:
+    """Other initials: a keyed turn of the alphabet, the same one in all texts; X for letters of neither script."""
+    def turned(alphabet: str) -> str:
+        by = 1 + int(hashlib.sha256(f"{key}|initial".encode()).hexdigest(), 16) % (len(alphabet) - 1)
+        return alphabet[by:] + alphabet[:by]
+
+    latin, cyrillic = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", CYRILLIC.upper()
+    return F.translate(F.regexp_replace(token, rf"[\p{{Lu}}&&[^A-Z{cyrillic}]]", "X"), latin + cyrillic,
+                       turned(latin) + turned(cyrillic))
+
+
 def surrogate(kind: Column, found: Column, key: str, attempt: Column) -> Column:
     """What replaces a match; ``attempt`` counts collisions, 0 for almost all."""
     base = F.concat_ws("|", F.lit(key), kind, attempt)
@@ -264,10 +292,11 @@ def surrogate(kind: Column, found: Column, key: str, attempt: Column) -> Column:
     title = F.regexp_extract(found, rf"\A({_TITLE})\.?", 0)
     bare = F.regexp_replace(title, r"\.", "")
     gender = F.when(bare.isin(*TITLES["f"]), "f").when(bare.isin(*TITLES["m"]), "m").otherwise("")
-    names = F.split(F.substr(found, F.char_length(title) + 2), " ")
-    family = _name(F.element_at(names, -1), "family", gender, F.concat_ws("|", F.lit(key), attempt))
-    given = _name(F.element_at(names, 1), "given", gender, F.concat_ws("|", F.lit(key), attempt))
-    name = F.concat_ws(" ", title, F.when(F.size(names) > 1, given), family)
+    tokens = F.split(F.substr(found, F.char_length(title) + 2), " ")
+    name = let(tokens, lambda names: F.concat_ws(" ", title, F.transform(names, lambda token, i: F.when(
+        token.rlike(LOWER_WORD), token).when(token.rlike(INITIALS), _turned_initials(token, key)).otherwise(let(
+            F.concat_ws("|", F.lit(key), attempt), lambda k: F.when(
+                i == F.size(names) - 1, _name(token, "family", gender, k)).otherwise(_name(token, "given", gender, k)))))))
     return (F.when(kind == "phone", _written_into(found, phone))
             .when(kind == "card", _written_into(found, card))
             .when(kind == "social", _written_into(found, _permuted_digits(digits, base)))
