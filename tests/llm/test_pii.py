@@ -179,3 +179,23 @@ def test_names_are_replaced_to_their_last_word(spark):
     assert family[0] == family[1] == family[9] and family[3] == family[7] == family[8]
     assert re.fullmatch(r"by Mr [A-Z]\. \w+, and", got[3]) and "b" * 50 not in got[6] and " von der " in got[5]
     assert got[0].split()[2].endswith("na") and got[0].split()[3].endswith("na")
+
+
+def test_more_names_than_short_surrogates(spark):
+    """100,000 family names of up to 7 letters, for which 3 syllables give 85,184 surrogates."""
+    words = spark.range(100_000).select(F.lit("family").alias("kind"), F.concat(F.lit("q"), F.translate(F.format_string(
+        "%06d", F.col("id")), "0123456789", "abcdefghij")).alias("canonical"))
+    odd = P.checkpointed(P.collisions(P.checkpointed(words), "key"))
+    made = words.join(odd, ["kind", "canonical"], "left").select(P._stem(
+        F.col("canonical"), F.col("kind"), "key", F.coalesce("attempt", F.lit(0))).alias("made"))
+    assert made.distinct().count() == 100_000
+
+
+def test_each_family_name_has_one_surrogate_of_its_own(spark):
+    texts = [f"by {t} {n}" for n in ("Smith", "Jones", "Brown", "Ibn", "Kent") for t in ("Mr", "Mrs", "Dr Bob")]
+    clash = [r.text for r in replaced(spark, texts)]
+    family = [t.split()[-1] for t in clash]
+    assert len(set(family)) == 5 and all(len(set(family[i:i + 3])) == 1 for i in range(0, 15, 3))
+    # a surrogate that is itself a name of the corpus: another attempt, the same under all titles
+    again = [r.text.split()[-1] for r in replaced(spark, [*texts, f"by Mr {family[0]}"])]
+    assert len({*again}) == 6 and family[0] not in again and len(set(again[:3])) == 1 and again[3:15] == family[3:]

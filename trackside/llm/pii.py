@@ -23,7 +23,7 @@ in all texts: coreference holds without any table.  They keep the form:
 A permutation gives different entities of one form different surrogates.
 
 Collision check.  All distinct entities of the corpus are gathered (kind and
-canonical form; pre-aggregated, so a hot entity is one row a task) and their
+canonical form, of names each family and given name; pre-aggregated, so a hot entity is one row a task) and their
 surrogates counted.  Of entities that share a surrogate all but one, and those whose
 surrogate is an entity of the corpus itself, try again with the next number, until
 none is left.  Only these exceptions are looked up when texts are replaced.
@@ -38,6 +38,7 @@ Extra columns pass through, those named like a result are replaced.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -236,18 +237,49 @@ SYLLABLES = ("ba", "be", "bo", "da", "de", "di", "do", "fa", "fe", "fi", "ga", "
 LATIN_SIDE, CYRILLIC_SIDE = "abdefgiklmnorstvz", "абдефгиклмнорствз"
 
 
-def _name(token: Column, role: str, gender: Column, key: Column) -> Column:
-    """A name for one name: syllables, an ending by gender for given names, script and capitals kept."""
-    n = F.least(F.greatest(F.lit(3), (F.char_length(token) / 2).cast("int")), F.lit(20))
+def _stem(token: Column, role: Column, key: str, attempt: Column) -> Column:
+    """Small syllables for a name in its script; each attempt has one more, so that the space grows."""
+    n = F.least(F.greatest(F.lit(3), (F.char_length(token) / 2).cast("int")), F.lit(20)) + attempt
+    base = F.concat_ws("|", F.lit(key), attempt, role, F.lower(token))
     stem = F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.get(
-        F.array(*map(F.lit, SYLLABLES)), _number(F.concat_ws("|", key, F.lit(role), F.lower(token)), i,
-                                                 len(SYLLABLES)).cast("int"))), "")
-    end = F.when(gender == "f", "na").when(gender == "m", "n").otherwise("s") if role == "given" else F.lit("r")
-    name = F.concat(stem, end)
-    name = F.when(token.rlike(r"\p{IsCyrillic}"), F.translate(name, LATIN_SIDE, CYRILLIC_SIDE)).otherwise(name)
+        F.array(*map(F.lit, SYLLABLES)), _number(base, i, len(SYLLABLES)).cast("int"))), "")
+    return F.when(token.rlike(r"\p{IsCyrillic}"), F.translate(stem, LATIN_SIDE, CYRILLIC_SIDE)).otherwise(stem)
+
+
+def _name(token: Column, role: Column, gender: Column, key: str, attempt: Column) -> Column:
+    """A name for one name: its stem, an ending by gender for given names, script and capitals kept."""
+    end = F.when(role == "family", "r").when(gender == "f", "na").when(gender == "m", "n").otherwise("s")
+    end = F.when(token.rlike(r"\p{IsCyrillic}"), F.translate(end, LATIN_SIDE, CYRILLIC_SIDE)).otherwise(end)
+    name = F.concat(_stem(token, role, key, attempt), end)
     return F.when(token.rlike(r"\A\p{Lu}{2,}\z"), F.upper(name)).otherwise(F.initcap(name))
 
 
+def _stem_of(token: Column, role: Column) -> Column:
+    """The stem that a name of the corpus would be made of (null: none)."""
+    found = F.when(role == "family", F.regexp_extract(token, r"\A(.+)[rр]\z", 1)).otherwise(
+        F.regexp_extract(token, r"\A(.+?)(?:na|на|[nsнс])\z", 1))
+    return F.when(found != "", found)
+
+
+def _name_words(found: Column) -> Column:
+    """The words of a match of kind name, its title left out."""
+    return F.split(F.regexp_replace(found, rf"\A(?:{_TITLE})\.? ", ""), " ")
+
+
+def _role(i: Column, words: Column) -> Column:
+    return F.when(i == F.size(words) - 1, "family").otherwise("given")
+
+
+def entities_of(kind: Column, canonical: Column) -> Column:
+    """What has a surrogate of its own in a match, as structs of kind and canonical: of a name each
+    family and given name in small letters, otherwise the match."""
+    one = F.array(F.struct(kind.alias("kind"), canonical.alias("canonical")))
+    names = let(_name_words(canonical), lambda words: F.filter(F.transform(words, lambda word, i: F.when(
+        ~word.rlike(LOWER_WORD) & ~word.rlike(INITIALS),
+        F.struct(_role(i, words).alias("kind"), F.lower(word).alias("canonical")))), lambda e: e.isNotNull()))
+    return F.when(kind == "name", names).otherwise(one)
+
+
 #: Words of a name that are none to replace, and initials.
 LOWER_WORD, INITIALS = r"\A\p{Ll}", r"\A\p{Lu}(?:\.\p{Lu})*\.?\z"
 
@@ -263,6 +295,20 @@ def _turned_initials(token: Column, key: str) -> Column:
                        turned(latin) + turned(cyrillic))
 
 
+def name_surrogate(found: Column, key: str, attempt: Callable[[Column, Column], Column]) -> Column:
+    """What replaces a name; ``attempt`` gives that of a role and a word."""
+    title = F.regexp_extract(found, rf"\A({_TITLE})\.?", 0)
+    bare = F.regexp_replace(title, r"\.", "")
+    gender = F.when(bare.isin(*TITLES["f"]), "f").when(bare.isin(*TITLES["m"]), "m").otherwise("")
+
+    def made(word: Column, role: Column) -> Column:
+        return F.when(word.rlike(LOWER_WORD), word).when(word.rlike(INITIALS), _turned_initials(word, key)).otherwise(
+            let(attempt(role, word), lambda n: _name(word, role, gender, key, n)))
+
+    return let(_name_words(found), lambda words: F.concat_ws(" ", title, F.transform(
+        words, lambda word, i: made(word, _role(i, words)))))
+
+
 def surrogate(kind: Column, found: Column, key: str, attempt: Column) -> Column:
     """What replaces a match; ``attempt`` counts collisions, 0 for almost all."""
     base = F.concat_ws("|", F.lit(key), kind, attempt)
@@ -286,61 +332,54 @@ def surrogate(kind: Column, found: Column, key: str, attempt: Column) -> Column:
     at = F.instr(found, "@")
     domain = F.lower(F.substr(found, at + 1))
     labels = F.split(F.regexp_replace(domain, r"\.[^.]*\z", ""), r"\.")
-    mail = F.concat(_turned_letters(F.substr(found, F.lit(1), at - 1), F.concat_ws("|", base, F.lower(found))),
-                    F.lit("@"), F.array_join(F.transform(labels, lambda x: _turned_letters(
+    mail = F.concat(_turned_letters(F.concat(F.substr(found, F.lit(1), at - 1), F.repeat(F.lit("a"), attempt)),
+                                    F.concat_ws("|", base, F.lower(found))), F.lit("@"), F.array_join(F.transform(labels, lambda x: _turned_letters(
                         x, F.concat_ws("|", F.lit(key), F.lit("domain"), domain, x))), "."), F.lit(".example"))
-    title = F.regexp_extract(found, rf"\A({_TITLE})\.?", 0)
-    bare = F.regexp_replace(title, r"\.", "")
-    gender = F.when(bare.isin(*TITLES["f"]), "f").when(bare.isin(*TITLES["m"]), "m").otherwise("")
-    tokens = F.split(F.substr(found, F.char_length(title) + 2), " ")
-    name = let(tokens, lambda names: F.concat_ws(" ", title, F.transform(names, lambda token, i: F.when(
-        token.rlike(LOWER_WORD), token).when(token.rlike(INITIALS), _turned_initials(token, key)).otherwise(let(
-            F.concat_ws("|", F.lit(key), attempt), lambda k: F.when(
-                i == F.size(names) - 1, _name(token, "family", gender, k)).otherwise(_name(token, "given", gender, k)))))))
     return (F.when(kind == "phone", _written_into(found, phone))
             .when(kind == "card", _written_into(found, card))
             .when(kind == "social", _written_into(found, _permuted_digits(digits, base)))
             .when(kind == "address", address)
             .when(kind == "mail", mail)
-            .when(kind == "name", name)
+            .when(kind == "name", name_surrogate(found, key, lambda role, word: attempt))
             .when(kind == "account", _turned_letters(found, F.concat_ws("|", base, canonical(kind, found))))
             .when(kind == "secret", let(canonical(kind, found), lambda value: F.concat(
                 F.substr(found, F.lit(1), F.char_length(found) - F.char_length(value)),
-                _turned_letters(value, F.concat_ws("|", base, value)))))
+                _turned_letters(F.concat(value, F.repeat(F.lit("a"), attempt - 3)), F.concat_ws("|", base, value)))))
             .otherwise(found))
 
 
-def collisions(entities: DataFrame, key: str, rounds: int = 8) -> DataFrame:
-    """Entities (kind, canonical, distinct) that need another attempt than 0, with that attempt.
+def collisions(entities: DataFrame, key: str) -> DataFrame:
+    """Entities (kind, canonical, distinct; names by role, see ``entities_of``) that need another
+    attempt than 0, with that attempt.
 
-    A round looks at all entities with the attempts so far; RuntimeError if some still
-    collide after ``rounds`` rounds."""
+    A round looks at all entities with the attempts so far, until none collides.  Names, mail
+    and secrets get longer with the attempts, so their space never gives out; the spaces of numbers and
+    addresses are as large as their form."""
+    name = F.col("kind").isin("family", "given")
+    made = F.when(name, _stem(F.col("canonical"), F.col("kind"), key, F.col("attempt"))).otherwise(canonical(
+        F.col("kind"), surrogate(F.col("kind"), F.col("canonical"), key, F.col("attempt"))))
+    own = F.when(name, _stem_of(F.col("canonical"), F.col("kind"))).otherwise(F.col("canonical"))
     named = entities.withColumn("attempt", F.lit(0))
-    for _ in range(rounds):
-        made = checkpointed(named.withColumn("made", canonical(F.col("kind"), surrogate(
-            F.col("kind"), F.col("canonical"), key, F.col("attempt")))))
-        taken = made.groupBy("kind", "made").agg(F.count("*").alias("n"), F.min("canonical").alias("first"))
-        clash = (taken.where("n > 1").select("kind", "made", "first")
-                 .unionByName(taken.join(made.select("kind", F.col("canonical").alias("made")), ["kind", "made"],
-                                         "left_semi").select("kind", "made", F.lit(None).cast("string").alias("first")))
-                 .groupBy("kind", "made").agg(F.min(F.when(F.col("first").isNull(), F.lit(None)).otherwise(F.col("first"))
-                                                    ).alias("first"), F.max(F.col("first").isNull()).alias("real")))
-        again = checkpointed(made.join(clash, ["kind", "made"])
+    while True:
+        now = checkpointed(named.withColumn("made", made))
+        taken = now.groupBy("kind", "made").agg(F.count("*").alias("n"), F.min("canonical").alias("first"))
+        real = now.select("kind", own.alias("made")).where("made IS NOT NULL").distinct().withColumn("real", F.lit(True))
+        clash = (taken.join(real, ["kind", "made"], "left").where("n > 1 OR real")
+                 .select("kind", "made", "first", F.coalesce("real", F.lit(False)).alias("real")))
+        again = checkpointed(now.join(clash, ["kind", "made"])
                              .where(F.col("real") | (F.col("canonical") != F.col("first")))
-                             .select("kind", "canonical"))
+                             .select("kind", "canonical", F.lit(1).alias("more")))
         if again.isEmpty():
-            return made.where("attempt > 0").select("kind", "canonical", "attempt")
-        more = again.withColumn("more", F.lit(1))
-        named = (made.drop("made").join(more, ["kind", "canonical"], "left")
+            return now.where("attempt > 0").select("kind", "canonical", "attempt")
+        named = (now.drop("made").join(again, ["kind", "canonical"], "left")
                  .select("kind", "canonical", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt")))
-    raise RuntimeError("surrogates still collide")
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` replaced, and ``entities``: kind, surrogate, and place in the new
     text (start from 0, in characters)."""
     seen = (docs.select(F.explode(mentions(F.col(quoted(text)))).alias("m")).where("m.kind IS NOT NULL")
-            .select("m.kind", "m.canonical").distinct())
+            .select(F.explode(entities_of(F.col("m.kind"), F.col("m.canonical"))).alias("e")).select("e.*").distinct())
     odd = checkpointed(collisions(checkpointed(seen), key))
     row = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), F.col(quoted(text)).cast("string").alias("text"))
     row = row.withColumn("found", mentions(F.col("text")))
@@ -349,16 +388,21 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     else:
         # the exceptions of each text that has one, keyed by the text
         per_text = (row.where(F.size("found") > 0).select(F.sha2("text", 256).alias("id"), F.explode("found").alias("m"))
-                    .select("id", "m.kind", "m.canonical").distinct().join(odd, ["kind", "canonical"])
+                    .where("m.kind IS NOT NULL")
+                    .select("id", F.explode(entities_of(F.col("m.kind"), F.col("m.canonical"))).alias("e"))
+                    .select("id", "e.*").distinct().join(odd, ["kind", "canonical"])
                     .groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct(
                         F.concat_ws("|", "kind", "canonical"), "attempt"))).alias("attempts")))
         row = (row.withColumn("id", F.when(F.size("found") > 0, F.sha2("text", 256)).otherwise(F.uuid()))
                .join(per_text, "id", "left").drop("id"))
 
     def made(m: Column, attempts: Column) -> Column:
-        attempt = F.coalesce(F.try_element_at(attempts, F.concat_ws("|", m["kind"], m["canonical"])), F.lit(0))
-        return F.struct(m["kind"].alias("kind"), F.when(m["kind"].isNull(), m["found"]).otherwise(
-            surrogate(m["kind"], m["found"], key, attempt)).alias("made"))
+        def attempt(kind: Column, canonical: Column) -> Column:
+            return F.coalesce(F.try_element_at(attempts, F.concat_ws("|", kind, canonical)), F.lit(0))
+
+        name = name_surrogate(m["found"], key, lambda role, word: attempt(role, F.lower(word)))
+        return F.struct(m["kind"].alias("kind"), F.when(m["kind"].isNull(), m["found"]).when(m["kind"] == "name", name)
+                        .otherwise(surrogate(m["kind"], m["found"], key, attempt(m["kind"], m["canonical"]))).alias("made"))
 
     def joined(text: Column, new: Column) -> Column:
         """New text, and the places of the surrogates."""
