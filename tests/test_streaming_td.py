@@ -175,3 +175,24 @@ def test_out_of_range_times_are_bad_and_do_not_stop_a_stream(spark, scratch):
     assert read_lake(spark, lake).count() == 1
     seen = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p["observedMetrics"].get("ingest")]
     assert sum(m["bad_time"] for m in seen) == 3
+
+
+def test_live_counters_count_batches_whose_reports_are_gone(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from trackside import registry
+    from trackside.operators.decode import decode_frames
+    from trackside.session import scratch_dir
+
+    def five_files(spark, sf_dir, label):
+        path = scratch_dir(spark, label)
+        registry._frames(spark, sf_dir).select("value").repartition(5).write.mode("append").text(path)
+        return path
+
+    monkeypatch.setattr(registry, "_frames_dir", five_files)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        got = registry.queries()["live_counters"](spark, SF_SMALL).first().asDict()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    want = {r.status: r["count"] for r in decode_frames(registry._frames(spark, SF_SMALL)).groupBy("status").count().collect()}
+    assert {k: v for k, v in got.items() if v} == want and want["ok"] > 0

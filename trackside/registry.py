@@ -33,7 +33,7 @@ from trackside.sources.lake import last_writer, read_lake, read_ndjson
 from trackside.sources.standin import (plant_quality_failures, standin_bad_time_frames,
                                        standin_frames, standin_full_frames,
                                        standin_movements, standin_td_frames)
-from trackside.streaming.ingest import (DEDUP_KEYS, dedup_stream, stream_ingest, stream_publish,
+from trackside.streaming.ingest import (DEDUP_KEYS, counter_totals, dedup_stream, stream_ingest, stream_publish,
                                         stream_to_table, stream_to_table_append)
 
 AS_OF = "2024-01-31 00:00:00"
@@ -387,13 +387,10 @@ def q_topic_lane_streams(spark, sf_dir):
 def q_live_counters(spark, sf_dir):
     """The stream's own status counters, summed over its micro-batches."""
     src = _frames_dir(spark, sf_dir, "frames")
-    q = stream_ingest(read_frames(spark, src, streaming=True, max_files_per_trigger=1), scratch_dir(spark, "lake"),
-                      scratch_dir(spark, "ck"), processed_at=PROCESSED_AT)
-    q.awaitTermination()
-    seen = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p["observedMetrics"].get("ingest")]
-    names = ["ok", "skipped", "bad_time", "bad_element", "bad_frame"]
-    return spark.createDataFrame([tuple(sum(m[n] for m in seen) for n in names)],
-                                 ", ".join(f"{n} bigint" for n in names))
+    counters = scratch_dir(spark, "counters")
+    stream_ingest(read_frames(spark, src, streaming=True, max_files_per_trigger=1), scratch_dir(spark, "lake"),
+                  scratch_dir(spark, "ck"), processed_at=PROCESSED_AT, counters=counters).awaitTermination()
+    return counter_totals(spark, counters).select("ok", "skipped", "bad_time", "bad_element", "bad_frame")
 
 
 def q_bad_times(spark, sf_dir):

@@ -55,24 +55,46 @@ def _trigger(writer, trigger: dict | None):
 
 def stream_ingest(frames: DataFrame, lake_base: str, checkpoint: str,
                   processed_at=None, compat: bool = False, trigger: dict | None = None,
-                  query_name: str | None = None, lake_format: str = "json"):
+                  query_name: str | None = None, lake_format: str = "json",
+                  counters: str | None = None):
     """Start frames -> lake (file sink, exactly once).  Returns the StreamingQuery.
 
-    ``lake_format="parquet"`` lands the columnar lake (see ``sinks.lake``).
+    ``lake_format="parquet"`` lands the columnar lake (see ``sinks.lake``).  With
+    ``counters``, each micro-batch's status counts are kept below that folder under the batch's
+    name, for ``counter_totals``: a query's progress reports are only its last ones.
     """
     refuse_sink_log(frames.sparkSession, lake_base)
-    env = to_envelope(only_movements(ingest_observed(frames, compat=compat)), processed_at,
-                      ["pos"])
+    decoded = ingest_observed(frames, compat=compat)
+
+    def rows(d: DataFrame) -> DataFrame:
+        return lake_rows(to_envelope(only_movements(d), processed_at, ["pos"]))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         land_batch(batch, lake_base, batch_name(batch.sparkSession, checkpoint, batch_id), lake_format)
 
-    w = lake_rows(env).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    def each_counted(batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(batch.sparkSession, checkpoint, batch_id)
+        batch = batch.persist()
+        try:
+            land_batch(rows(batch), lake_base, name, lake_format)
+            (batch.agg(*[F.count_if(F.col("status") == s).alias(s) for s in STATUSES])
+             .write.mode("overwrite").parquet(f"{counters.rstrip('/')}/batch={name}"))
+        finally:
+            batch.unpersist()
+
+    w = (decoded.writeStream.foreachBatch(each_counted) if counters else rows(decoded).writeStream.foreachBatch(each))
+    w = w.option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
 
 
+def counter_totals(spark: SparkSession, counters: str) -> DataFrame:
+    """One row: the status counts of all micro-batches below ``counters``."""
+    counts = spark.read.schema(", ".join(f"{s} bigint" for s in STATUSES)).parquet(counters)
+    return counts.agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in STATUSES])
+
+
 def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
     """A name no other batch has: the stream's id is kept in its checkpoint, numbers start anew in each."""
     stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
