@@ -96,6 +96,28 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(coalesce(sum(sofar) FILTER (role = 'assistant'), 0) AS BIGINT) AS example_chars
 FROM s GROUP BY conv_id"""
 
+HARD_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (
+  SELECT a.vec_id AS a, a.label = b.label AS same, b.vec_id AS b,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT a, b AS p, score AS ps FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+neg AS (
+  SELECT pos.a, p, ps, s.b AS n, s.score AS ns,
+         row_number() OVER (PARTITION BY pos.a, p ORDER BY s.score DESC, s.b) AS r
+  FROM pos JOIN s ON s.a = pos.a AND NOT same AND 50 * ps <= 100 * s.score AND 100 * s.score <= 95 * ps)
+SELECT a AS anchor_id, p AS positive_id, CAST(r AS INTEGER) AS rank, n AS negative_id, ps AS positive_score,
+       ns AS negative_score
+FROM neg WHERE r <= 3"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -103,4 +125,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_filter": URL_FILTER,
         "op7_minhash_near_dedup": NEAR_DEDUP,
         "op8_chat_format": CHAT,
+        "op11_hard_negatives": HARD_NEGATIVES,
     }

@@ -12,6 +12,7 @@ from trackside.llm import oracle
 from trackside.llm.chat import format_turns, read_back
 from trackside.llm.common import checkpointed
 from trackside.llm.decontaminate import find_contamination
+from trackside.llm.hard_negatives import mine
 from trackside.llm.katz import score_documents
 from trackside.llm.licenses import scan_licenses
 from trackside.llm.near_dedup import near_duplicates
@@ -105,6 +106,12 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(responses_from_pages(pages, keep=["page_id"]), keep=["page_id"])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    noisy = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine(noisy, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -117,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": op8_chat_format,
         "op9_pii_surrogates": op9_pii_surrogates,
         "op10_warc_derivatives": op10_warc_derivatives,
+        "op11_hard_negatives": op11_hard_negatives,
     }
 
 
