@@ -3,6 +3,7 @@ derives the digest columns its contract names from what the operator returns."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +15,13 @@ from trackside.llm.common import checkpointed
 from trackside.llm.decontaminate import find_contamination
 from trackside.llm.hard_negatives import mine
 from trackside.llm.katz import score_documents
+from trackside.llm.language_id import learn, predict
 from trackside.llm.licenses import scan_licenses
 from trackside.llm.near_dedup import near_duplicates
 from trackside.llm.pii import replace_entities
 from trackside.llm.quality_rules import COUNTS, judge, text_counts
 from trackside.llm.sentencepiece_viterbi import decode, encode, read_model
+from trackside.llm.spelling_variants import count_words, group_variants
 from trackside.llm.url_filter import filter_urls
 from trackside.llm.warc import derive, responses_from_pages
 
@@ -112,6 +115,25 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(noisy, F.col("vec_id") % 50 == 0)
 
 
+def drop_letters(doc_id: str, runs: list[str]) -> list[str]:
+    """The runs, one of 31 without the letter that its checksum names."""
+    start = zlib.crc32(f"{doc_id}:".encode())
+    sums = [zlib.crc32(run.encode(), start) for run in runs]
+    return [run if h % 31 else run[:h % len(run)] + run[h % len(run) + 1:] for run, h in zip(runs, sums)]
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return group_variants(count_words(docs, drop_letters)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    profiles = learn(docs.select("doc_id", "text", "lang"), ~held_out)
+    return predict(docs.select("doc_id", held_out.alias("held_out"), "text"), profiles).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -125,6 +147,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pii_surrogates": op9_pii_surrogates,
         "op10_warc_derivatives": op10_warc_derivatives,
         "op11_hard_negatives": op11_hard_negatives,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_language_id": op13_language_id,
     }
 
 
