@@ -50,7 +50,7 @@ def explode_messages(frames: DataFrame, value: str = "value",
 
     Columns in ``keep`` (e.g. a frame id or arrival order) are carried along.
     An empty array yields no rows; a frame that is not an array yields one
-    row with ``frame_ok = false``.
+    row with ``frame_ok = false`` and its whole text as ``element``.
 
     Each element is parsed inside ``transform`` before the explode, so the
     parsed maps are generator outputs: later filters on the status read them
@@ -69,7 +69,7 @@ def explode_messages(frames: DataFrame, value: str = "value",
         F.lit(True).alias("frame_ok")))
     null_map = F.lit(None).cast("map<string,string>")
     bad_frame = F.array(F.struct(
-        F.lit(None).cast("string").alias("element"), F.lit(False).alias("is_object"),
+        F.col(value).cast("string").alias("element"), F.lit(False).alias("is_object"),
         null_map.alias("header"), null_map.alias("body"), F.lit(False).alias("frame_ok")))
     it = F.col("_it")
     return (frames.select(*keep, F.posexplode(F.coalesce(items, bad_frame)).alias("_pos", "_it"))

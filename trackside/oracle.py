@@ -352,6 +352,13 @@ SELECT COUNT(CASE WHEN msg_type = '0003' THEN 1 END) AS ok,
 FROM msg"""
     q["object_overwrite_two_runs"] = q["object_key_dedup"].replace(
         "ORDER BY event_id DESC", "ORDER BY (event_id // 50) % 2 = 0 DESC, event_id DESC")
+    q["arrival_order_objects"] = q["object_key_dedup"].replace(
+        "ORDER BY event_id DESC", "ORDER BY (event_id // 50) % 3 DESC, event_id DESC")
+    q["stream_gauge"] = with_movements(f"""
+SELECT CAST(actual_timestamp AS DATE) AS date, COUNT(*) AS movements, {PCT_ON} AS current_punctuality_percentage
+FROM movements GROUP BY 1 UNION ALL SELECT DATE '2031-01-01', 0::BIGINT, NULL""")
+    q["stream_dedup_exact"] = q["stream_dedup"]
+    q["stream_progress"] = q["live_counters"]
     q["bad_times"] = "WITH " + MESSAGES_CTE + """,
 s AS (SELECT ms, CASE WHEN msg_type <> '0003' THEN 'skipped'
              WHEN event_id % 11 BETWEEN 3 AND 8 THEN 'bad_time' ELSE 'ok' END AS status FROM msg)
@@ -359,6 +366,15 @@ SELECT status, COUNT(*) AS messages FROM s GROUP BY status
 UNION ALL SELECT 'latest ms', MAX(ms) FROM s WHERE status = 'ok'"""
     # position of a message among its frame's elements
     pos = "event_id - MIN(event_id) OVER (PARTITION BY event_id // 50)"
+    q["quarantine_lanes"] = "WITH " + MESSAGES_CTE + f""",
+p AS (SELECT *, {pos} AS pos FROM msg),
+f AS (SELECT COUNT(*) AS n FROM p GROUP BY event_id // 50),
+e AS (SELECT 'accepted' AS reason, NULL AS pos FROM p WHERE msg_type = '0003'
+  UNION ALL SELECT 'bad_element', n FROM f
+  UNION ALL SELECT 'bad_frame', NULL
+  UNION ALL SELECT CASE WHEN event_id % 11 BETWEEN 3 AND 8 THEN 'bad_time' ELSE 'accepted' END,
+                   CASE WHEN event_id % 11 BETWEEN 3 AND 8 THEN pos END FROM p WHERE msg_type = '0003')
+SELECT reason, COUNT(*) AS elements, CAST(SUM(pos) AS BIGINT) AS positions FROM e GROUP BY reason"""
     q["ndjson_bad_lines"] = "WITH " + MESSAGES_CTE + f""",
 p AS (SELECT msg_type, {pos} AS pos FROM msg)
 SELECT pos % 10 <> 3 AS ok, COUNT(*) AS lines FROM p WHERE msg_type = '0003' GROUP BY 1"""

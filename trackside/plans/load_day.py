@@ -12,6 +12,9 @@ One Spark job per call, whatever the number of days:
   data stays (the "abort" of the load gates, without a delete-then-load gap).
 * One date definition (the London date) drives the lake directory, the
   table partition and the replacement.
+* The lake is scanned once, for a list of days and for all of it alike: which days were written,
+  and what the report counts, is observed in the write itself, so files that land
+  meanwhile are either in the table and in the report or in neither.
 * Only the directories of the days are opened, in the lake and in the table,
   and each once: a load costs its own days, whatever lies beside them.
 * The quality report is collected with ``observe`` during the same pass,
@@ -25,7 +28,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trackside.operators.dedup import dedup_exact
@@ -113,6 +116,29 @@ def ensure_compatible(spark: SparkSession, table_path: str, allow_drop: bool = F
     return "dropped"
 
 
+#: The days that a bitmap has a place for, from the first on (to 2059-09-18).
+_BITMAP_DAYS, _FIRST = 32_768, _dt.date(1970, 1, 1)
+
+
+def _day_number(date: str) -> Column:
+    return F.datediff(F.col(date), F.lit(_FIRST))
+
+
+def written_days(date: str = "uk_date") -> list[Column]:
+    """Aggregates for ``observe``: the ``rows``, which dates they hold (a bitmap, a bit for each date), and how many
+    rows have a date that the bitmap has no place for."""
+    n = _day_number(date)
+    here = n.between(0, _BITMAP_DAYS - 1)
+    return [F.count(F.lit(1)).alias("rows"), F.bitmap_construct_agg(F.when(here, n)).alias("days"),
+            F.count_if(~here).alias("elsewhere")]
+
+
+def days_of(observed: dict) -> list[str]:
+    """The dates in the bitmap of ``written_days``, in order."""
+    return [(_FIRST + _dt.timedelta(8 * i + j)).isoformat()
+            for i, byte in enumerate(observed.get("days") or b"") if byte for j in range(8) if byte >> j & 1]
+
+
 def load_days(spark: SparkSession, lake_base: str, table_path: str,
               days: list[str] | None = None, whole_objects: bool = False,
               dedup_keys: list[str] | None = None, verify: str | bool | None = "days",
@@ -151,10 +177,9 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     clean = complete_rows(observed).where(in_days)
     if dedup_keys:
         clean = dedup_exact(clean, dedup_keys)
-    # counted at the writer, by day (a day list is short; a London day is one number)
+    # what is written is counted at the writer: the rows, and the days as a bitmap
     landed = Observation("landed")
-    clean = clean.observe(landed, F.count(F.lit(1)).alias("rows"),
-                          *[F.count_if(F.col("uk_date") == d).alias(f"day_{d}") for d in day_set or []])
+    clean = clean.observe(landed, *written_days())
 
     old = _read_days(spark, table_path, days)
     before = {r.uk_date.isoformat(): r["count"] for r in old.groupBy("uk_date").count().collect()} if old else {}
@@ -169,14 +194,13 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     m, w = obs.get, landed.get
     written = w.get("rows", 0)
     why = "aborted: no rows" if m.get("total_rows", 0) == 0 else "aborted: no complete row"
-    if days:
-        day_status = {d: "loaded" if w.get(f"day_{d}", 0) else why for d in days}
-        replaced = [d for d, s in day_status.items() if s == "loaded"]
-    else:
-        # a whole-lake load replaces the days that it wrote
-        replaced = [r.uk_date.isoformat() for r in complete_rows(flat).select("uk_date").distinct().collect()] \
-            if written else []
-        day_status = {d: "loaded" for d in replaced}
+    replaced = days_of(w)
+    if w.get("elsewhere", 0):
+        # dates before 1970 or after 2059 (a clock gone wrong): these few rows are looked up again
+        odd = clean.where(~_day_number("uk_date").between(0, _BITMAP_DAYS - 1)).select("uk_date").distinct().collect()
+        replaced = sorted([*replaced, *[r.uk_date.isoformat() for r in odd]])
+    # a whole-lake load replaces the days that it wrote
+    day_status = {d: "loaded" if d in replaced else why for d in days or replaced}
     status = why if not written else "loaded" if not days or len(replaced) == len(days) else "partly loaded"
     report = LoadReport(
         days=days, status=status, day_status=day_status, invalid_objects=found.get.get("invalid", 0),

@@ -28,11 +28,15 @@ from trackside.plans.load_day import append_table, load_day, load_days, report_f
 from trackside.schema import EVENT_TYPES, TABLE_COLUMNS, VARIATION_STATUSES
 from trackside.session import scratch_dir, use_utc
 from trackside.sinks.lake import lake_rows, publish_messages, write_ndjson
+from trackside.sinks.lanes import movements_lane, read_rejects
 from trackside.sources.feed import read_frames, read_topic, single_message_frames
 from trackside.sources.lake import last_writer, read_lake, read_ndjson
 from trackside.sources.standin import (plant_quality_failures, standin_bad_time_frames,
                                        standin_frames, standin_full_frames,
                                        standin_movements, standin_td_frames)
+from trackside.streaming.exact import stream_to_table_exact
+from trackside.streaming.gauge import gauge_days, live_gauge, stream_gauge
+from trackside.streaming.progress import ProgressTable, progress_totals, read_progress, settled
 from trackside.streaming.ingest import (DEDUP_KEYS, counter_totals, dedup_stream, stream_ingest, stream_publish,
                                         stream_to_table, stream_to_table_append)
 
@@ -460,6 +464,84 @@ def q_object_overwrite_two_runs(spark, sf_dir):
         "object_name", "toc_id", F.col("raw_data").getField("train_id").alias("train_id"), "variation_status")
 
 
+def _parts(spark, frames: DataFrame, label: str, part) -> str:
+    """Some of the frames as text files in their order (by file name, then line)."""
+    path = scratch_dir(spark, label)
+    (frames.where(part).select("frame_id", "value").repartitionByRange("frame_id").sortWithinPartitions("frame_id")
+     .select("value").write.mode("append").text(path))
+    return path
+
+
+def q_arrival_order_objects(spark, sf_dir):
+    """A batch run, then two micro-batches of a stream, each with objects of the same names; every object
+    is kept, the one of each name that arrived last counts."""
+    lake, ckpt, frames = scratch_dir(spark, "olake"), scratch_dir(spark, "sckpt"), _frames(spark, sf_dir)
+    third = F.pmod(F.col("frame_id"), F.lit(3))
+    ingest_frames(read_frames(spark, _parts(spark, frames, "frames", third == 0)), lake, processed_at=PROCESSED_AT)
+    src = scratch_dir(spark, "frames")
+    for k in (1, 2):
+        (frames.where(third == k).select("frame_id", "value").repartitionByRange("frame_id").sortWithinPartitions("frame_id")
+         .select("value").write.mode("append").text(f"{src}/run={k}"))
+        stream_ingest(read_frames(spark, f"{src}/run=*", streaming=True), lake, ckpt,
+                      processed_at=PROCESSED_AT).awaitTermination()
+    return last_writer(read_lake(spark, lake)).select(
+        "object_name", "toc_id", F.col("raw_data").getField("train_id").alias("train_id"), "variation_status")
+
+
+def q_stream_gauge(spark, sf_dir):
+    """The live gauge of every day and of a day without movements, after a restart with late movements."""
+    src, gauge, ckpt = scratch_dir(spark, "frames"), scratch_dir(spark, "gauge"), scratch_dir(spark, "sckpt")
+    f = _frames(spark, sf_dir).select("frame_id", "value")
+    for run, part in enumerate([F.col("frame_id") % 3 != 0, F.col("frame_id") % 3 == 0]):
+        f.where(part).select("value").write.mode("append").text(f"{src}/run={run}")
+        stream_gauge(read_frames(spark, f"{src}/run=*", streaming=True, max_files_per_trigger=4), gauge, ckpt).awaitTermination()
+    days = gauge_days(spark, gauge).select("date", "movements", "current_punctuality_percentage")
+    empty = live_gauge(spark, gauge, "2031-01-01").select(
+        F.lit("2031-01-01").cast("date").alias("date"), F.lit(0).cast("bigint").alias("movements"), "current_punctuality_percentage")
+    return days.unionByName(empty)
+
+
+def q_stream_dedup_exact(spark, sf_dir):
+    """Every frame delivered three times over three runs, the last in an order of days that no watermark would
+    outlast: each movement is in the table once, none is lost."""
+    src, table, ckpt = scratch_dir(spark, "frames"), scratch_dir(spark, "xtable"), scratch_dir(spark, "sckpt")
+    f = _frames(spark, sf_dir).select("frame_id", "value")
+    for run, part in enumerate([F.col("frame_id") % 3 != 0, F.lit(True), F.col("frame_id") % 3 != 1]):
+        f.where(part).select("value").write.mode("append").text(f"{src}/run={run}")
+        stream_to_table_exact(read_frames(spark, f"{src}/run=*", streaming=True), table, ckpt,
+                              processed_at=PROCESSED_AT).awaitTermination()
+    return as_ntz(spark.read.parquet(table).select(*DEDUP_KEYS))
+
+
+def q_quarantine_lanes(spark, sf_dir):
+    """Frames with unusable times, elements and texts through one stream: what was accepted and what was rejected, why and where."""
+    use_utc(spark)
+    src, root = scratch_dir(spark, "frames"), scratch_dir(spark, "lanes")
+    for k, f in enumerate([standin_frames(events(spark, sf_dir)), standin_bad_time_frames(events(spark, sf_dir))]):
+        f.select("value").write.mode("append").text(f"{src}/feed={k}")
+    stream_ingest(read_frames(spark, f"{src}/feed=*", streaming=True), root, scratch_dir(spark, "sckpt"),
+                  processed_at=PROCESSED_AT, lanes=True).awaitTermination()
+    taken = read_lake(spark, movements_lane(root)).agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("elements"),
+                                                       F.lit(None).cast("bigint").alias("positions"))
+    refused = read_rejects(spark, root).groupBy("reason").agg(F.count("text").alias("elements"), F.sum("pos").alias("positions"))
+    return taken.unionByName(refused)
+
+
+def q_stream_progress(spark, sf_dir):
+    """The ingest counters out of the progress reports, which a listener files as a table."""
+    src, reports = _frames_dir(spark, sf_dir, "frames"), scratch_dir(spark, "progress")
+    listener = ProgressTable(spark, reports)
+    spark.streams.addListener(listener)
+    try:
+        q = stream_ingest(read_frames(spark, src, streaming=True, max_files_per_trigger=1), scratch_dir(spark, "lake"),
+                          scratch_dir(spark, "ck"), processed_at=PROCESSED_AT)
+        q.awaitTermination()
+        settled(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    return progress_totals(read_progress(spark, reports).where(F.col("query") == str(q.id)))
+
+
 def q_append_table(spark, sf_dir):
     """Typed append in two parts, one without a column of the schema."""
     table, m = scratch_dir(spark, "atable"), movements(spark, sf_dir)
@@ -505,6 +587,11 @@ def feed_and_load_queries() -> dict[str, Query]:
         "load_report_partial": q_load_report_partial,
         "append_table": q_append_table,
         "object_overwrite_two_runs": q_object_overwrite_two_runs,
+        "arrival_order_objects": q_arrival_order_objects,
+        "stream_gauge": q_stream_gauge,
+        "stream_dedup_exact": q_stream_dedup_exact,
+        "quarantine_lanes": q_quarantine_lanes,
+        "stream_progress": q_stream_progress,
         "maintained_summary_toc_ranking": q_maintained_summary_toc_ranking,
     }
 

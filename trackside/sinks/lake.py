@@ -22,8 +22,9 @@ ENVELOPE_FIELDS = ["message_type", "event_type", "toc_id", "variation_status",
 
 def lake_rows(envelopes: DataFrame, ts: str = "actual_ts",
               extra: list[str] | None = None) -> DataFrame:
-    """Envelope + London partition keys + object name (K1 / P11 / P12)."""
-    return envelopes.select(*ENVELOPE_FIELDS, *(extra or []), *partition_keys(F.col(ts)),
+    """Envelope + London partition keys + object name (K1 / P11 / P12), and the arrival if it is there."""
+    extra = [*(extra or []), *[c for c in ("arrival",) if c in envelopes.columns and c not in (extra or [])]]
+    return envelopes.select(*ENVELOPE_FIELDS, *extra, *partition_keys(F.col(ts)),
                             object_name(F.col(ts), F.col("toc_id")).alias("object_name"))
 
 
@@ -41,9 +42,10 @@ def land_batch(rows: DataFrame, base: str, batch: str, fmt: str = "json",
     ``batch`` must therefore be unique to the stream and its batch.
     """
     refuse_sink_log(rows.sparkSession, base)
+    lane = [c for c in ("lane",) if c in rows.columns]
     (rows.withColumn("batch", F.lit(batch)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy("year", "month", "day", "batch").format(fmt).save(base))
+     .partitionBy(*lane, "year", "month", "day", "batch").format(fmt).save(base))
 
 
 def write_lake(envelopes: DataFrame, base: str, mode: str = "append",

@@ -12,15 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackside.sinks.arrivals import ORDER, file_order
+
+
 def read_frames(spark: SparkSession, path: str, streaming: bool = False,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """One row per frame from text files (one frame per line): ``value``."""
+    """One row per frame from text files (one frame per line): ``value`` and its place, ``frame_order``."""
     if streaming:
         r = spark.readStream.format("text")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        return r.load(path)
-    return spark.read.text(path)
+        lines = r.load(path)
+    else:
+        lines = spark.read.text(path)
+    return lines.select("value", file_order(lines=not streaming).alias(ORDER))
 
 
 def kafka_options(bootstrap: str, topic: str, group_id: str | None = None,

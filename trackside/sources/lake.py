@@ -25,7 +25,7 @@ from trackside.schema import STAGING_COLUMNS
 from trackside.session import jvm_path, path_exists
 
 _ENVELOPE_KEYS = ["message_type", "event_type", "toc_id", "variation_status", "uk_datetime",
-                  "timestamp", "processed_at", "object_name"]
+                  "timestamp", "processed_at", "object_name", "arrival"]
 _BARE_KEYS = [c for c in STAGING_COLUMNS if c not in _ENVELOPE_KEYS]
 CORRUPT = "_corrupt_record"
 
@@ -73,9 +73,10 @@ def _path_keys() -> list[Column]:
 
 
 def last_writer(objects: DataFrame) -> DataFrame:
-    """Of the objects of one name (one operator in one London second) that several runs wrote, the
-    last: by the time its file was written, then its processing stamp."""
-    return dedup_object_key(objects, ["landed", "processed_at"])
+    """Of the objects of one name (one operator in one London second), however many runs wrote them, the one
+    that arrived last (``sinks.arrivals``).  Objects of a lake from before arrivals were kept come
+    before all others, by the time their file was written, then by their processing stamp."""
+    return dedup_object_key(objects, [c for c in ("arrival", "landed", "processed_at") if c in objects.columns])
 
 
 def read_json_objects(spark: SparkSession, path: str, multiline: bool = False,
@@ -108,7 +109,7 @@ def normalize_objects(df: DataFrame) -> DataFrame:
         *[F.col(c) for c in ["message_type", "event_type", "toc_id", "variation_status",
                              "uk_datetime"]],
         F.col("timestamp").try_cast("double").alias("timestamp"),
-        "processed_at", "object_name",
+        "processed_at", "object_name", "arrival",
         F.when(F.col("raw_data").isNotNull(), F.col("raw_data"))
          .when(F.col(CORRUPT).isNull(), bare).alias("raw_data"))
 

@@ -25,6 +25,9 @@
   per day instead (``dedup_keys``).
 * ``ingest_observed`` (T6): status counters via ``observe``; each
   micro-batch's values appear in ``query.lastProgress["observedMetrics"]``.
+
+Beside it: ``streaming.exact`` (T4 without loss), ``streaming.gauge`` (Q17 live) and
+``streaming.progress`` (all progress reports as a table).
 """
 
 from __future__ import annotations
@@ -32,61 +35,74 @@ from __future__ import annotations
 import datetime as _dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trackside.operators.decode import (STATUSES, decode_frames, explode_messages,
                                         only_movements, to_envelope)
 from trackside.plans.load_day import load_days
+from trackside.sinks.arrivals import ORDER, arrival, claim, numbered, ordered
 from trackside.sinks.lake import lake_rows, land_batch, refuse_sink_log
+from trackside.sinks.lanes import lane_rows, movements_lane, reject_text
 
 DEDUP_KEYS = ["train_id", "loc_stanox", "event_type", "actual_timestamp"]
 
 
-def ingest_observed(frames: DataFrame, name: str = "ingest", compat: bool = False) -> DataFrame:
+def _status_counts() -> list:
+    return [F.count_if(F.col("status") == s).alias(s) for s in STATUSES]
+
+
+def ingest_observed(frames: DataFrame, name: str = "ingest", compat: bool = False,
+                    keep: list[str] | None = None) -> DataFrame:
     """Decoded elements with live status counters attached (T6)."""
-    return decode_frames(frames, compat=compat).observe(
-        name, *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES])
+    return decode_frames(frames, compat=compat, keep=keep).observe(name, *_status_counts())
 
 
-def _trigger(writer, trigger: dict | None):
-    return writer.trigger(**(trigger or {"availableNow": True}))
+def started(writer, checkpoint: str, trigger: dict | None):
+    """Start a stream's writer on its checkpoint; without a trigger it takes what is there and ends."""
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def stream_ingest(frames: DataFrame, lake_base: str, checkpoint: str,
                   processed_at=None, compat: bool = False, trigger: dict | None = None,
                   query_name: str | None = None, lake_format: str = "json",
-                  counters: str | None = None):
-    """Start frames -> lake (file sink, exactly once).  Returns the StreamingQuery.
+                  counters: str | None = None, lanes: bool = False):
+    """Start frames -> lake (a directory for each batch, exactly once).  Returns the StreamingQuery.
 
     ``lake_format="parquet"`` lands the columnar lake (see ``sinks.lake``).  With
-    ``counters``, each micro-batch's status counts are kept below that folder under the batch's
-    name, for ``counter_totals``: a query's progress reports are only its last ones.
+    ``counters``, each micro-batch's status counts, observed in its own write, are kept below that folder
+    under the batch's name, for ``counter_totals``: a query's progress reports are only its last ones.
+    With ``lanes``, ``lake_base`` is the root of two lanes and rejected elements are kept too (``sinks.lanes``).
+    Objects carry their arrival (``sinks.arrivals``).
     """
     refuse_sink_log(frames.sparkSession, lake_base)
-    decoded = ingest_observed(frames, compat=compat)
-
-    def rows(d: DataFrame) -> DataFrame:
-        return lake_rows(to_envelope(only_movements(d), processed_at, ["pos"]))
+    decoded = ingest_observed(ordered(frames), compat=compat, keep=[ORDER])
+    # a batch is handed over as rows: what is not needed is left out before
+    text = [reject_text()] if lanes else []
+    decoded = decoded.select("status", ORDER, "pos", "msg_type", "actual_ms",
+                             F.when(F.col("status") == "ok", F.col("body")).alias("body"), *text)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, lake_base, batch_name(batch.sparkSession, checkpoint, batch_id), lake_format)
-
-    def each_counted(batch: DataFrame, batch_id: int) -> None:
-        name = batch_name(batch.sparkSession, checkpoint, batch_id)
-        batch = batch.persist()
-        try:
-            land_batch(rows(batch), lake_base, name, lake_format)
-            (batch.agg(*[F.count_if(F.col("status") == s).alias(s) for s in STATUSES])
-             .write.mode("overwrite").parquet(f"{counters.rstrip('/')}/batch={name}"))
-        finally:
-            batch.unpersist()
-
-    w = (decoded.writeStream.foreachBatch(each_counted) if counters else rows(decoded).writeStream.foreachBatch(each))
-    w = w.option("checkpointLocation", checkpoint)
+        spark = batch.sparkSession
+        name = batch_name(spark, checkpoint, batch_id)
+        run = claim(spark, movements_lane(lake_base) if lanes else lake_base, *name.rsplit("-", 1))
+        counted = Observation()
+        batch = numbered(batch).observe(counted, *_status_counts())
+        if lanes:
+            rows = lane_rows(batch, run, processed_at)
+        else:
+            moves = only_movements(batch).withColumn("arrival", arrival(run))
+            rows = lake_rows(to_envelope(moves, processed_at, ["arrival"]))
+        land_batch(rows, lake_base, name, lake_format)
+        if counters:
+            counts = counted.get
+            (spark.createDataFrame([tuple(counts[s] for s in STATUSES)], ", ".join(f"{s} bigint" for s in STATUSES))
+             .coalesce(1).write.mode("overwrite").parquet(f"{counters.rstrip('/')}/batch={name}"))
+
+    w = decoded.writeStream.foreachBatch(each)
     if query_name:
         w = w.queryName(query_name)
-    return _trigger(w, trigger).start()
+    return started(w, checkpoint, trigger)
 
 
 def counter_totals(spark: SparkSession, counters: str) -> DataFrame:
@@ -95,10 +111,14 @@ def counter_totals(spark: SparkSession, counters: str) -> DataFrame:
     return counts.agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in STATUSES])
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's persistent id, kept in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
-    """A name no other batch has: the stream's id is kept in its checkpoint, numbers start anew in each."""
-    stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
-    return f"{stream}-{batch_id}"
+    """A name no other batch has: numbers start anew in each checkpoint."""
+    return f"{stream_id(spark, checkpoint)}-{batch_id}"
 
 
 def replace_touched_days(spark: SparkSession, env: DataFrame, batch: str, lake_base: str,
@@ -126,15 +146,16 @@ def stream_to_table(frames: DataFrame, lake_base: str, table_path: str, checkpoi
     checkpoints, batch ingest): a day is always re-loaded with all its objects.
     """
     spark = frames.sparkSession
-    env = to_envelope(only_movements(decode_frames(frames, compat=compat)), processed_at,
-                      ["pos"])
+    env = to_envelope(only_movements(decode_frames(ordered(frames), compat=compat, keep=[ORDER])), processed_at,
+                      [ORDER, "pos"])
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        replace_touched_days(spark, batch, batch_name(spark, checkpoint, batch_id), lake_base,
+        name = batch_name(spark, checkpoint, batch_id)
+        run = claim(spark, lake_base, *name.rsplit("-", 1))
+        replace_touched_days(spark, numbered(batch).withColumn("arrival", arrival(run)), name, lake_base,
                              table_path, verify=False, **load_kw)
 
-    w = env.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return started(env.writeStream.foreachBatch(each), checkpoint, trigger)
 
 
 def stream_to_table_append(frames: DataFrame, table_path: str, checkpoint: str,
@@ -146,9 +167,8 @@ def stream_to_table_append(frames: DataFrame, table_path: str, checkpoint: str,
     env = to_envelope(only_movements(decode_frames(frames, compat=compat)), processed_at)
     rows = complete_rows(flatten(env))
     w = (documented(rows.select(*TABLE_COLUMNS)).writeStream.format("parquet")
-         .outputMode("append").option("path", table_path)
-         .option("checkpointLocation", checkpoint).partitionBy("uk_date"))
-    return _trigger(w, trigger).start()
+         .outputMode("append").option("path", table_path).partitionBy("uk_date"))
+    return started(w, checkpoint, trigger)
 
 
 def stream_publish(frames: DataFrame, checkpoint: str, sink: dict, fmt: str = "kafka",
@@ -162,9 +182,7 @@ def stream_publish(frames: DataFrame, checkpoint: str, sink: dict, fmt: str = "k
     """
     records = (explode_messages(frames).where(F.col("is_object"))
                .select(F.col("element").alias("value")))
-    w = (records.writeStream.format(fmt).options(**sink)
-         .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    return started(records.writeStream.format(fmt).options(**sink), checkpoint, trigger)
 
 
 def dedup_stream(movements: DataFrame, keys: list[str] | None = None,
