@@ -2,7 +2,11 @@
 
 import base64
 import hashlib
+import random
 import re
+import time
+
+import pytest
 
 from trackside.llm import warc as W
 
@@ -79,6 +83,49 @@ def test_edge_cases(spark):
     assert W.derive(W.responses_from_pages(df.limit(0))).count() == 0
 
 
+# The rules as single patterns, which take time that grows with the square of a broken page.
+BLOCK = rf"(?ai) ?</?(?:{W.BLOCKS})\b[^>]*> ?"
+
+
+def by_pattern(html):
+    t = re.sub(rf"(?ais)<!--.*?-->|<({W.HIDDEN})\b.*?</\1\s*>", " ", html)
+    t = re.sub(BLOCK, "\n", re.sub(r"(?a)\s+", " ", t))
+    t = W.unescape_entities(re.sub(r"<[a-zA-Z/!?][^>]*>", "", t))
+    head = re.search(r"(?ais)<title\b[^>]*>(.*?)</title\s*>", html)
+    lang = re.search(r"""(?ai)<html\b[^>]*\blang\s*=\s*["']?([^"'\s>]*)""", html)
+    links = re.findall(r"""(?ai)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)""", html)
+    return (re.sub(r" *\n[ \n]*", "\n", t).strip(" \n"), W.unescape_entities(head[1]) if head else "", lang[1] if lang else "",
+            [W.unescape_entities(x) for x in links])
+
+
+PARTS = ["<!--", "-->", "<script>", "</script >", "<SCRIPT x>", "<style", "</style>", "<head>", "</head>", "<header>", "<p", "<p>", "</P>", "<br/>",
+         "<b>", "</b", ">", "<", " ", "\n", "\x0b", "\u00a0", "x", "é", "ſ", "&amp;", "&#65;", "&lt", "<title>", "<title ", "</title>", "<html", " lang=",
+         " lang='de'", " LANG = fr", " data-lang=q", "<a", "<a ", " href=", " href = '/u", "\"", "'", "/v&amp;w", "<area href=z", "<td>", "<template>", "</template>"]
+
+
+def test_scans_agree_with_the_patterns():
+    r = random.Random(1)
+    for _ in range(20_000):
+        html = "".join(r.choice(PARTS) for _ in range(r.randint(0, 25)))
+        assert (W.plain_text(html), W.title_of(html), W.language_of(html), W.links_of(html)) == by_pattern(html), html
+
+
+@pytest.mark.parametrize("part", ["<script>", "<script>x", "<!--", "<!--x", "<a ", "<a href=", "<title ", "<title>", "<html ", "<html lang=", "<p ", "<p",
+                                  "<", "<b ", "</script ", "&#", "&", "<a href=x ", " ", "\n ", "<head><style><!--", "<template></templat"])
+def test_very_long_broken_pages(part):
+    html = part * (1_000_000 // len(part))
+    began = time.perf_counter()
+    W.plain_text(html), W.title_of(html), W.language_of(html), W.links_of(html)
+    assert time.perf_counter() - began < 5
+
+
+def test_clashing_names_stay(spark):
+    df = spark.createDataFrame([(1, "u", "<p>x", "mine", "also", "text")], "page_id long, url string, html string, record_type string, refers_to string, text string")
+    made = W.derive(W.responses_from_pages(df, keep=["record_type", "text"]), keep=["record_type", "text"])
+    assert made.columns[:2] == ["record_type", "text"] and made.count() == 2
+    assert {r[0] for r in made.collect()} == {"mine"} and {r[1] for r in made.collect()} == {"text"}
+
+
 def test_only_text_is_converted(spark):
     head = "HTTP/1.1 404 Not Found\r\nContent-Type: {}"
     df = spark.createDataFrame([("r1", "u", "d", head.format("application/pdf"), "%PDF"), ("r2", "u", "d", head.format("text/plain"), "a <b> c"),

@@ -55,14 +55,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def replace_matches(text: Column, pattern: str, made: Callable[[Column], Column]) -> Column:
-    """``text`` with each match of ``pattern`` (never empty) replaced by ``made`` of it."""
-    gaps = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.when(text.rlike(pattern), F.array_join(
-        F.zip_with(gaps, found, lambda g, m: F.concat(g, F.coalesce(made(m), F.lit("")))), "")).otherwise(text)
-
-
 def slices(batch: pa.RecordBatch, at: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose text column holds about ``limit`` bytes (one row at least)."""
     if not batch.num_rows:
