@@ -49,7 +49,7 @@ TABLE_WORDS = 200_000
 FILTER_BYTES = 32 << 20
 BLOCK_BITS, BLOCK_WORDS = 512, 8
 #: Blocks that are built by one task.
-SEGMENT = 4096
+SEGMENT = 512
 #: Edits that are held at once.
 EDITS = 1_000_000
 
