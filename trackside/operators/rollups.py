@@ -135,20 +135,24 @@ class Rollups:
                                            F.count_distinct("date").alias("dates"), F.min("first").alias("first"),
                                            F.max("last").alias("last"))
 
-    def basic_stats(self) -> DataFrame:
+    def scorecards(self, diversity_base: int = 50) -> DataFrame:
+        """One row with the columns of ``basic_stats``, ``kpi_scorecard`` and ``network_health``."""
         return self._totals().select(
             F.col("movements").alias("total_movements"), F.col("train").alias("unique_trains"), F.col("toc").alias("unique_tocs"),
-            F.col("dates").alias("unique_dates"), F.col("first").alias("earliest_movement"), F.col("last").alias("latest_movement"))
+            F.col("dates").alias("unique_dates"), F.col("first").alias("earliest_movement"), F.col("last").alias("latest_movement"),
+            F.col("toc").alias("active_tocs"), pct("on_time", "movements").alias("overall_punctuality_percentage"),
+            pct("on_time", "movements").alias("punctuality_score"), pct("train", "movements").alias("coverage_score"),
+            pct("not_late", "movements").alias("reliability_score"), pct(F.col("toc"), F.lit(diversity_base)).alias("diversity_score"))
+
+    def basic_stats(self) -> DataFrame:
+        return self.scorecards().select("total_movements", "unique_trains", "unique_tocs", "unique_dates", "earliest_movement",
+                                        "latest_movement")
 
     def kpi_scorecard(self) -> DataFrame:
-        return self._totals().select(
-            F.col("movements").alias("total_movements"), F.col("train").alias("unique_trains"), F.col("toc").alias("active_tocs"),
-            pct("on_time", "movements").alias("overall_punctuality_percentage"))
+        return self.scorecards().select("total_movements", "unique_trains", "active_tocs", "overall_punctuality_percentage")
 
     def network_health(self, diversity_base: int = 50) -> DataFrame:
-        return self._totals().select(
-            pct("on_time", "movements").alias("punctuality_score"), pct("train", "movements").alias("coverage_score"),
-            pct("not_late", "movements").alias("reliability_score"), pct(F.col("toc"), F.lit(diversity_base)).alias("diversity_score"))
+        return self.scorecards(diversity_base).select("punctuality_score", "coverage_score", "reliability_score", "diversity_score")
 
     def top_stations(self, min_count: int = 5, limit: int = 20) -> DataFrame:
         on_time = F.when(F.col("variation_status") == ON_TIME, F.col("movements")).otherwise(0)

@@ -52,9 +52,10 @@ def register_views(spark: SparkSession, movements: DataFrame,
     return views
 
 
-def register_catalog_views(spark: SparkSession, table_path: str, location: str,
-                           staging_db: str = "staging", reporting_db: str = "reporting") -> list[str]:
-    """Catalog views in a staging and a reporting schema over the table path.
+def register_catalog_views(spark: SparkSession, table_path: str | None, location: str,
+                           staging_db: str = "staging", reporting_db: str = "reporting",
+                           catalog_table: str | None = None) -> list[str]:
+    """Catalog views in a staging and a reporting schema over the table path, or over a catalog table.
 
     The views are SQL over the Parquet path, so every read expands them
     against the current files (a replaced day is visible at once) and keeps
@@ -65,7 +66,7 @@ def register_catalog_views(spark: SparkSession, table_path: str, location: str,
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {reporting_db} "
               f"LOCATION '{location}/{reporting_db}'")
     cols = ", ".join(STAGING_COLUMNS)
-    src = f"parquet.`{table_path}`"
+    src = catalog_table or f"parquet.`{table_path}`"
     spark.sql(f"CREATE OR REPLACE VIEW {staging_db}.stg_movements AS SELECT {cols} FROM {src}")
     cases = " ".join(f"WHEN toc_id = '{k}' THEN '{v}'" for k, v in TOC_NAMES.items())
     spark.sql(f"CREATE OR REPLACE VIEW {reporting_db}.operating_company_performance AS "

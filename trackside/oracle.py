@@ -357,6 +357,26 @@ FROM msg"""
     q["stream_gauge"] = with_movements(f"""
 SELECT CAST(actual_timestamp AS DATE) AS date, COUNT(*) AS movements, {PCT_ON} AS current_punctuality_percentage
 FROM movements GROUP BY 1 UNION ALL SELECT DATE '2031-01-01', 0::BIGINT, NULL""")
+    q["rollup_scorecards"] = with_movements(f"""
+SELECT COUNT(*) AS total_movements, COUNT(DISTINCT train_id) AS unique_trains, COUNT(DISTINCT toc_id) AS unique_tocs,
+       COUNT(DISTINCT CAST(actual_timestamp AS DATE)) AS unique_dates, MIN(actual_timestamp) AS earliest_movement,
+       MAX(actual_timestamp) AS latest_movement, COUNT(DISTINCT toc_id) AS active_tocs,
+       {PCT_ON} AS overall_punctuality_percentage, {PCT_ON} AS punctuality_score,
+       ROUND(COUNT(DISTINCT train_id) * 100e0 / COUNT(*), 2) AS coverage_score,
+       ROUND(COUNT(CASE WHEN variation_status <> 'LATE' THEN 1 END) * 100e0 / COUNT(*), 2) AS reliability_score,
+       ROUND(COUNT(DISTINCT toc_id) * 100e0 / 50, 2) AS diversity_score
+FROM movements""")
+    q["rollup_charts"] = with_movements(f"""
+SELECT * FROM (SELECT 'station' AS chart, loc_stanox AS label, COUNT(*) AS n, {PCT_ON} AS value
+  FROM movements WHERE loc_stanox IS NOT NULL GROUP BY 2 HAVING COUNT(*) > 5 ORDER BY n DESC, label LIMIT 20)
+UNION ALL SELECT 'delay', NULL, COUNT(*), ROUND({DELAY_MIN}, 0) AS d FROM movements
+  WHERE variation_status = 'LATE' AND planned_timestamp IS NOT NULL GROUP BY d
+UNION ALL SELECT 'flow', event_type, COUNT(*),
+  ROUND(SUM(CASE WHEN variation_status = 'LATE' THEN epoch_ms(actual_timestamp) - CAST(planned_timestamp AS BIGINT) ELSE 0 END)
+        / 60000e0 / COUNT(CASE WHEN variation_status <> 'LATE' OR planned_timestamp IS NOT NULL THEN 1 END), 2)
+  FROM movements GROUP BY event_type""")
+    q["compacted_stream_table"] = with_movements(TABLE_SELECT)
+    q["catalog_table_views"] = with_movements(ANALYTICS["operating_company_performance"])
     q["stream_dedup_exact"] = q["stream_dedup"]
     q["stream_progress"] = q["live_counters"]
     q["bad_times"] = "WITH " + MESSAGES_CTE + """,
@@ -375,6 +395,13 @@ e AS (SELECT 'accepted' AS reason, NULL AS pos FROM p WHERE msg_type = '0003'
   UNION ALL SELECT CASE WHEN event_id % 11 BETWEEN 3 AND 8 THEN 'bad_time' ELSE 'accepted' END,
                    CASE WHEN event_id % 11 BETWEEN 3 AND 8 THEN pos END FROM p WHERE msg_type = '0003')
 SELECT reason, COUNT(*) AS elements, CAST(SUM(pos) AS BIGINT) AS positions FROM e GROUP BY reason"""
+    q["migrated_table"] = "WITH " + MESSAGES_CTE + f""",
+p AS (SELECT *, {pos} AS pos FROM msg),
+m AS (SELECT CAST({_local(0)} AS DATE) AS day, toc_id, (event_id // 50 * 50 + pos) % 13 = 5 AS bad FROM p WHERE msg_type = '0003')
+SELECT CAST(day AS VARCHAR) AS day, COUNT(*) AS rows, COUNT(CASE WHEN bad THEN 1 END) AS bad_bodies,
+       COUNT(CASE WHEN NOT bad AND toc_id IS NULL THEN 1 END) AS incomplete,
+       COUNT(CASE WHEN NOT bad THEN toc_id END) AS written
+FROM m GROUP BY 1"""
     q["ndjson_bad_lines"] = "WITH " + MESSAGES_CTE + f""",
 p AS (SELECT msg_type, {pos} AS pos FROM msg)
 SELECT pos % 10 <> 3 AS ok, COUNT(*) AS lines FROM p WHERE msg_type = '0003' GROUP BY 1"""

@@ -143,7 +143,8 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
               days: list[str] | None = None, whole_objects: bool = False,
               dedup_keys: list[str] | None = None, verify: str | bool | None = "days",
               allow_drop: bool = False, lake_format: str = "json",
-              summary_path: str | None = None, last_writer_wins: bool = False) -> LoadReport:
+              summary_path: str | None = None, last_writer_wins: bool = False,
+              rollup_path: str | None = None, catalog_table: str | None = None) -> LoadReport:
     """Load the given London days (all lake days when ``None``) into the table.
 
     ``whole_objects`` reads lakes of one (pretty-printed) object a file.  Objects that
@@ -154,7 +155,8 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     last alone is loaded (as in a lake that keeps one object for each name).
 
     With ``summary_path`` the movement summary of the loaded days is
-    refreshed after the write (one day's scan, see ``operators.summary``).
+    refreshed after the write (one day's scan, see ``operators.summary``), with ``rollup_path`` the
+    rollups (``operators.rollups``); ``catalog_table`` names a table whose days they become (``plans.catalog``).
 
     ``verify``: ``"days"`` (default) counts the rows now in the loaded days,
     a partition-pruned count; ``"table"`` also counts the whole table, which
@@ -211,6 +213,15 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     if summary_path and written:
         from trackside.operators.summary import refresh_summary
         refresh_summary(spark, table_path, summary_path, replaced if days else None)
+    if rollup_path and written:
+        from trackside.operators.rollups import refresh_rollups
+        refresh_rollups(spark, table_path, rollup_path, replaced)
+    if catalog_table and written:
+        from trackside.plans.catalog import add_days, create_table
+        if spark.catalog.tableExists(catalog_table):
+            add_days(spark, catalog_table, replaced)
+        else:
+            create_table(spark, catalog_table, table_path)
     if verify:
         now = _read_days(spark, table_path, days)
         report.day_rows = now.count() if now else 0

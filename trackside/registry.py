@@ -23,8 +23,11 @@ from trackside.operators.flatten import complete_rows, flatten
 from trackside.operators.summary import charts, dashboard
 from trackside.operators.quality import (accepted_failures, ingest_stats, quality_report,
                                          run_checks)
+from trackside.operators.rollups import Rollups
+from trackside.plans.compact import compact
 from trackside.plans.ingest import ingest_frames
 from trackside.plans.load_day import append_table, load_day, load_days, report_frame
+from trackside.plans.migrate import migrate_table, migration_frame
 from trackside.schema import EVENT_TYPES, TABLE_COLUMNS, VARIATION_STATUSES
 from trackside.session import scratch_dir, use_utc
 from trackside.sinks.lake import lake_rows, publish_messages, write_ndjson
@@ -542,6 +545,66 @@ def q_stream_progress(spark, sf_dir):
     return progress_totals(read_progress(spark, reports).where(F.col("query") == str(q.id)))
 
 
+def _rollups(spark, sf_dir) -> Rollups:
+    """Rollups kept by the load: all days, then one day is replaced."""
+    lake, table, path = _lake(spark, sf_dir), scratch_dir(spark, "table"), scratch_dir(spark, "rollups")
+    load_days(spark, lake, table, rollup_path=path, verify=None)
+    load_day(spark, lake, table, REPLAY_DAY, rollup_path=path, verify=None)
+    return Rollups(spark, path)
+
+
+def q_rollup_scorecards(spark, sf_dir):
+    """Q1, Q19 and Q20 out of the kept rollups: distinct trains and operators from merged bitmaps."""
+    return as_ntz(_rollups(spark, sf_dir).scorecards())
+
+
+def q_rollup_charts(spark, sf_dir):
+    """Q13, Q15 and Q21 out of the kept rollups."""
+    r = _rollups(spark, sf_dir)
+    stations = r.top_stations().select(F.lit("station").alias("chart"), F.col("station_code").alias("label"), F.col("movement_count").alias("n"),
+                                       F.col("punctuality_percentage").alias("value"))
+    delays = r.delay_distribution().select(F.lit("delay"), F.lit(None).cast("string"), "frequency", "delay_minutes")
+    flow = r.journey_flow().select(F.lit("flow"), "event_type", "movement_count", "avg_delay_minutes")
+    return stations.union(delays).union(flow)
+
+
+def q_catalog_table_views(spark, sf_dir):
+    """The mart view of a reporting schema over the staging view of another, over the catalog table that loads keep."""
+    lake, table, home = _lake(spark, sf_dir), scratch_dir(spark, "table"), scratch_dir(spark, "catalog")
+    tag = home.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS warehouse_{tag} LOCATION '{home}/warehouse'")
+    name = f"warehouse_{tag}.movements"
+    days = [r["d"] for r in read_lake(spark, lake).select(F.concat_ws("-", "year", "month", "day").alias("d")).distinct().toLocalIterator()]
+    load_days(spark, lake, table, sorted(days)[:10], verify=None, catalog_table=name)
+    load_days(spark, lake, table, verify=None, catalog_table=name)
+    _, mart = V.register_catalog_views(spark, None, home, f"staging_{tag}", f"reporting_{tag}", catalog_table=name)
+    return as_ntz(spark.table(mart))
+
+
+def q_compacted_stream_table(spark, sf_dir):
+    """A stream's table in small batches, packed, then fed further: the rows of every batch once, few files a day."""
+    src, table, ckpt = scratch_dir(spark, "frames"), scratch_dir(spark, "atable"), scratch_dir(spark, "sckpt")
+    f = _frames(spark, sf_dir).select("frame_id", "value")
+    for run in range(3):
+        f.where(F.pmod(F.col("frame_id"), F.lit(3)) == run).select("value").write.mode("append").text(f"{src}/run={run}")
+        stream_to_table_append(read_frames(spark, f"{src}/run=*", streaming=True), table, ckpt,
+                               processed_at=PROCESSED_AT).awaitTermination()
+        compact(spark, table)
+    return as_ntz(spark.read.parquet(table).select(*TABLE_COLUMNS))
+
+
+def q_migrated_table(spark, sf_dir):
+    """A table with bodies as text (every thirteenth damaged), migrated day by day, over two calls: counts by day."""
+    old, table = scratch_dir(spark, "old"), scratch_dir(spark, "table")
+    rows = lake_rows(_envelopes(spark, sf_dir), extra=["frame_id", "pos"])
+    text = F.to_json("raw_data")
+    body = F.when((F.col("frame_id") * 50 + F.col("pos")) % 13 == 5, F.substr(text, F.lit(1), F.lit(30))).otherwise(text)
+    (rows.select("event_type", "toc_id", "variation_status", "processed_at", body.alias("raw_data"),
+                 F.concat_ws("-", "year", "month", "day").alias("uk_date")).write.mode("append").partitionBy("uk_date").parquet(old))
+    migrate_table(spark, old, table, [REPLAY_DAY])
+    return migration_frame(spark, migrate_table(spark, old, table))
+
+
 def q_append_table(spark, sf_dir):
     """Typed append in two parts, one without a column of the schema."""
     table, m = scratch_dir(spark, "atable"), movements(spark, sf_dir)
@@ -592,6 +655,11 @@ def feed_and_load_queries() -> dict[str, Query]:
         "stream_dedup_exact": q_stream_dedup_exact,
         "quarantine_lanes": q_quarantine_lanes,
         "stream_progress": q_stream_progress,
+        "rollup_scorecards": q_rollup_scorecards,
+        "rollup_charts": q_rollup_charts,
+        "catalog_table_views": q_catalog_table_views,
+        "compacted_stream_table": q_compacted_stream_table,
+        "migrated_table": q_migrated_table,
         "maintained_summary_toc_ranking": q_maintained_summary_toc_ranking,
     }
 

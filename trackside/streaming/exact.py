@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from trackside.operators.decode import decode_frames, only_movements, to_envelope
 from trackside.operators.dedup import dedup_exact
 from trackside.operators.flatten import complete_rows, flatten
-from trackside.schema import TABLE_COLUMNS, documented
+from trackside.schema import TABLE_COLUMNS
 from trackside.session import path_exists
-from trackside.streaming.ingest import DEDUP_KEYS, batch_name, started
+from trackside.streaming.ingest import DEDUP_KEYS, append_batch, batch_name, started
 
 
 def _equal(left: DataFrame, right: DataFrame, keys: list[str]):
@@ -45,9 +45,7 @@ def append_new(rows: DataFrame, table_path: str, batch: str, keys: list[str] | N
         # planner may send either small side to the other instead of shuffling the day
         seen = old.join(mine, _equal(old, mine, keys), "left_semi").distinct()
         new = rows.join(seen, _equal(rows, seen, keys), "left_anti")
-    (documented(new.select(*TABLE_COLUMNS)).withColumn("batch", F.lit(batch))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("uk_date", "batch").parquet(table_path))
+    append_batch(new.select(*TABLE_COLUMNS), table_path, batch)
     rows.unpersist()
 
 

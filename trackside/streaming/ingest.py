@@ -12,12 +12,12 @@
   never dropped: they re-open their day.  Only the touched-day list (a few
   dates per batch) reaches the driver.
 * ``stream_to_table_append`` (T3, O(batch)): the complete movements of each
-  micro-batch go straight into the day-partitioned table through the
-  checkpointed file sink.  A late movement is appended to its own old day,
-  a retried batch cannot land twice (the sink's commit log), and each
-  trigger costs only its own rows.  Readers see committed files only.  Use
-  this table on its own: day replacement by ``load_day`` writes outside the
-  sink's log, so it belongs to the lake-fed table of ``stream_to_table``.
+  micro-batch go straight into the day-partitioned table, below each day into a
+  directory of the batch's own.  A late movement is appended to its own old day,
+  a batch that runs again replaces itself, and each trigger costs only its own
+  rows: they are rebalanced by day first, so that a small batch makes one file a day, not one for
+  each task and day, and ``plans.compact`` packs the files of settled batches.  Use
+  this table on its own: days that ``load_day`` replaces have no batches below them.
 * ``dedup_stream`` (T4): ``dropDuplicatesWithinWatermark`` on the movement
   keys; the watermark bounds the state.  Rows arriving after the watermark
   are dropped by Spark's stateful operators, so this is for live views alone
@@ -163,12 +163,23 @@ def stream_to_table_append(frames: DataFrame, table_path: str, checkpoint: str,
                            trigger: dict | None = None):
     """Start frames -> typed complete movements -> table, append-only (T3); late rows are kept."""
     from trackside.operators.flatten import complete_rows, flatten
-    from trackside.schema import TABLE_COLUMNS, documented
+    from trackside.schema import TABLE_COLUMNS
     env = to_envelope(only_movements(decode_frames(frames, compat=compat)), processed_at)
-    rows = complete_rows(flatten(env))
-    w = (documented(rows.select(*TABLE_COLUMNS)).writeStream.format("parquet")
-         .outputMode("append").option("path", table_path).partitionBy("uk_date"))
-    return started(w, checkpoint, trigger)
+    refuse_sink_log(frames.sparkSession, table_path)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, table_path, batch_name(batch.sparkSession, checkpoint, batch_id))
+
+    rows = complete_rows(flatten(env)).select(*TABLE_COLUMNS)
+    return started(rows.writeStream.foreachBatch(each), checkpoint, trigger)
+
+
+def append_batch(rows: DataFrame, table_path: str, batch: str) -> None:
+    """Rows (table columns) of one micro-batch into its directories ``uk_date=/batch=``, which they replace."""
+    from trackside.schema import documented
+    (documented(rows).withColumn("batch", F.lit(batch)).hint("rebalance", "uk_date")
+     .sortWithinPartitions("uk_date", "actual_timestamp")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("uk_date", "batch").parquet(table_path))
 
 
 def stream_publish(frames: DataFrame, checkpoint: str, sink: dict, fmt: str = "kafka",
