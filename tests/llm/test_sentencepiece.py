@@ -106,9 +106,51 @@ def test_round_trips_and_edge_cases(spark, content, sample):
     assert S.decode(S.encode(df.limit(0), content), content).count() == 0
 
 
+def test_id_slices_hold_every_row_once(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(S, "DECODE_IDS", 10)
+    for sizes in ([], [0], [3, 30, 0, 0, 4, 4, 4, 25], [100], [1] * 35):
+        got = S.id_slices(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))))
+        assert [i for a, b in got for i in range(a, b)] == list(range(len(sizes)))
+        assert all(b - a == 1 or sum(sizes[a:b - 1]) <= 20 for a, b in got)
+
+
+def test_round_trip_column_is_that_of_decoding(spark, content, sample):
+    df = spark.createDataFrame([(t,) for t in [None, "", "x" * 3000, *sample[:20], "é\n "]], "text string")
+    df = df.unionByName(df.limit(0)).selectExpr("text", "cast(x'41ff42' as string) as broken")
+    both = S.decode(S.encode(df, content, round_trip="same"), content)
+    assert both.where("NOT same OR NOT decoded <=> text").count() == 0
+    assert S.encode(df.limit(1), content, text="broken", round_trip="same").first().same is False
+    assert S.encode(df.limit(0), content, round_trip="same").count() == 0
+
+
+def test_long_words_keep_a_bounded_state(model):
+    import random
+    import tracemalloc
+
+    import numpy as np
+    r = random.Random(2)
+    words = ["z" * 200_000, "".join(r.choice("abcdeé\U0001F600") for _ in range(200_000))]
+    tracemalloc.start()
+    together = model.segment([*words, words[0][:-1] + "y", words[1][:300], words[1][:70] + "q"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    for w, ids in together.items():
+        assert b"".join(model.bytes_of[i] for i in np.frombuffer(ids, np.int32).tolist()) == w.encode()
+        if len(w) < 1000:
+            assert model.segment([w])[w] == ids and score(model, np.frombuffer(ids, np.int32).tolist()) == pytest.approx(best_score(model, w))
+
+
 def test_full_cache_changes_nothing(model, content, sample, monkeypatch, spark):
     df = spark.createDataFrame([(t,) for t in sample], "text string").coalesce(1)
     want = [r.ids for r in S.encode(df, content).collect()]
+    import numpy as np
+    monkeypatch.setattr(S, "CACHE_WORDS", 10)
+    known = {}
+    for t, ids in zip(sample, want):
+        coded = S.encode_texts(model, known, [t and t.encode()])
+        assert np.frombuffer(coded[0], np.int32).tolist() == (ids or []) and len(known) <= 10
     words = sorted({w for t in sample for w in S.WORD.findall(" " + t)})
     half = model.segment(words[: len(words) // 2]) | model.segment(words[len(words) // 2:])
     import numpy as np

@@ -20,7 +20,7 @@ from trackside.llm.licenses import scan_licenses
 from trackside.llm.near_dedup import near_duplicates
 from trackside.llm.pii import replace_entities
 from trackside.llm.quality_rules import COUNTS, judge, text_counts
-from trackside.llm.sentencepiece_viterbi import decode, encode, read_model
+from trackside.llm.sentencepiece_viterbi import encode, read_model
 from trackside.llm.spelling_variants import count_words, group_variants
 from trackside.llm.url_filter import filter_urls
 from trackside.llm.warc import derive, responses_from_pages
@@ -79,9 +79,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = read_model(spark, PIECE_MODEL)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, model), model)
-    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = encode(docs, model, round_trip="round_trip")
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip")
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

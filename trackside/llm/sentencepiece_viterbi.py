@@ -21,7 +21,10 @@ drops the leading space.  A mark character (U+2581) in a text is not a space: it
 is encoded by bytes, so every text comes back unchanged.
 
 The work stays in the tasks that read the rows (no shuffle): memory is bounded by
-the words of some 8 MB of text and a cache of at most ``CACHE_WORDS`` words.
+the words of some ``SLICE_BYTES`` of text (one text at least), by ``DECODE_IDS`` ids and by a cache of at most
+``CACHE_WORDS`` words.  Of a word, the pieces begun at each character are kept for the first ``STACK``
+characters, which later words may share; behind them a character takes 16 bytes.  ``encode`` can say in the
+same pass whether the ids decode to the text; a worker that only decodes holds no trie.
 
 Defined cases: a null text has null ids and decodes to null, an empty text has no
 ids.  Bytes that are not UTF-8 become U+FFFD before encoding.  Repeated rows give
@@ -46,13 +49,15 @@ from trackside.llm.common import add_columns
 
 MARK = "▁"
 WORD = re.compile(r" *[^ \n]+| +|\n")
-#: Bounds of what a task holds: text encoded at once, words kept for later, rows decoded at once.
-SLICE_BYTES, CACHE_WORDS, DECODE_ROWS = 8 << 20, 200_000, 1000
+#: Bounds of what a task holds: text encoded at once, words kept for later, ids decoded at once (one row at least).
+SLICE_BYTES, CACHE_WORDS, DECODE_IDS = 2 << 20, 100_000, 500_000
+#: Characters of a word whose search state later words may go on from.
+STACK = 64
 RANK_OFFSET = 100
 
 
-class Model:
-    """Pieces and scores of a model file's content, marks written as spaces."""
+class Pieces:
+    """Pieces and scores of a model file's content, marks written as spaces; decoding."""
 
     def __init__(self, content: bytes):
         import sentencepiece
@@ -72,6 +77,25 @@ class Model:
                 self.pieces[marked] = (i, sp.get_score(i))
                 out = marked.encode()
             self.bytes_of.append(out)
+        self.sizes = np.array([len(b) for b in self.bytes_of])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes of each row of ids; ``ends`` are the rows' ends among all ids, after a 0."""
+        size = self.sizes[ids]
+        stop = np.cumsum(size)
+        place = np.arange(stop[-1] if len(stop) else 0) + np.repeat(self.starts[ids] - (stop - size), size)
+        text = self.all_bytes[place].tobytes()
+        cut = np.concatenate(([0], stop))[ends].tolist()
+        return [text[a + text.startswith(b" ", a, b):b] for a, b in zip(cut, cut[1:])]
+
+
+class Model(Pieces):
+    """The pieces as a trie, for encoding."""
+
+    def __init__(self, content: bytes):
+        super().__init__(content)
         if -1 in self.byte_ids:
             raise ValueError("the model needs byte pieces, or unknown characters would be lost")
         if any("\n" in p or " " in p.lstrip(" ") for p in self.pieces):
@@ -86,30 +110,28 @@ class Model:
             for c in piece:
                 node = node[0].setdefault(c, [{}, -1, 0.0])
             node[1:] = i, score
-        self.sizes = np.array([len(b) for b in self.bytes_of])
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
     def segment(self, words: list[str]) -> dict[str, bytes]:
         """Ids (32-bit) of each of some distinct words.
 
         At each depth stand the best score of the prefix, the start and id of its last
-        piece, and the pieces begun in it that may go on: (their start's score, start, node)."""
+        piece, and (to depth ``STACK``) the pieces begun in it that may go on: (their start's score, start, node)."""
         out = {}
         first = self.root[0]
-        score, back, ids, begun = [0.0], [0], [-1], [()]
+        score, back, ids, begun = array("d", [0.0]), array("l", [0]), array("i", [-1]), [()]
         last = ""
         for word in sorted(words):
             shared = 0
-            for a, b in zip(last, word):
+            for a, b in zip(last[:STACK], word):
                 if a != b:
                     break
                 shared += 1
             del score[shared + 1:], back[shared + 1:], ids[shared + 1:], begun[shared + 1:]
+            state = begun[shared]
             for at in range(shared, len(word)):
                 c = word[at]
                 best, start, piece, going = None, at, -1, []
-                for s, from_, node in begun[at]:   # those that began first come first
+                for s, from_, node in state:   # those that began first come first
                     node = node[0].get(c)
                     if node is not None:
                         if node[1] >= 0 and (best is None or s + node[2] > best):
@@ -128,7 +150,9 @@ class Model:
                 score.append(best)
                 back.append(start)
                 ids.append(piece)
-                begun.append(going)
+                state = going
+                if at < STACK:
+                    begun.append(going)
             path, end = [], len(word)
             while end:
                 if ids[end] >= 0:
@@ -141,14 +165,10 @@ class Model:
             last = word
         return out
 
-    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        """The bytes of each row of ids; ``ends`` are the rows' ends among all ids, after a 0."""
-        size = self.sizes[ids]
-        stop = np.cumsum(size)
-        place = np.arange(stop[-1] if len(stop) else 0) + np.repeat(self.starts[ids] - (stop - size), size)
-        text = self.all_bytes[place].tobytes()
-        cut = np.concatenate(([0], stop))[ends].tolist()
-        return [text[a + text.startswith(b" ", a, b):b] for a, b in zip(cut, cut[1:])]
+
+@lru_cache(maxsize=2)
+def _pieces(content: bytes) -> Pieces:
+    return Pieces(content)
 
 
 @lru_cache(maxsize=2)
@@ -161,28 +181,45 @@ def read_model(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
-def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the array of piece ids of column ``text``."""
+def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", round_trip: str | None = None) -> DataFrame:
+    """``df`` with the array of piece ids of column ``text``, and (if ``round_trip`` names a column) whether
+    decoding them gives the text's very bytes back (null ids give a null text back)."""
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def make(texts: list) -> list[pa.Array]:
         m, known = _model(sent.value)
-        numbers: dict[str, int] = {}
-        number = numbers.setdefault
-        rows = [[number(w, len(numbers)) for w in WORD.findall(" " + t.decode("utf-8", "replace"))] if t else ()
-                for t in texts]
-        known.update(m.segment([w for w in numbers if w not in known]))
-        parts = [known[w] for w in numbers]
-        if len(known) > CACHE_WORDS:
-            # words of these rows are the likeliest to come again
-            known.clear()
-            known.update(itertools.islice(zip(numbers, parts), CACHE_WORDS))
-        coded = [b"".join([parts[i] for i in row]) for row in rows]
+        coded = encode_texts(m, known, texts)
         ends = np.cumsum([0, *[len(c) // 4 for c in coded]]).astype(np.int32)
-        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)),
-                                         mask=pa.array([t is None for t in texts]))]
-
-    return add_columns(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make, SLICE_BYTES)
+        flat = np.frombuffer(b"".join(coded), np.int32)
+        made = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=pa.array([t is None for t in texts]))]
+        if round_trip:
+            same = [back == (t or b"")
+                    for (a, b) in id_slices(ends) for back, t in zip(m.decode_all(flat[ends[a]:ends[b]], ends[a:b + 1] - ends[a]), texts[a:b])]
+            made.append(pa.array(same, pa.bool_()))
+        return made
+
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), *([T.StructField(round_trip, T.BooleanType())] if round_trip else [])]
+    return add_columns(df, text, fields, make, SLICE_BYTES)
+
+
+def encode_texts(model: Model, known: dict[str, bytes], texts: list[bytes | None]) -> list[bytes]:
+    """The ids (32-bit) of each text; ``known`` are the words segmented before, ``CACHE_WORDS`` at most between calls."""
+    numbers: dict[str, int] = {}
+    number = numbers.setdefault
+    rows = [[number(w, len(numbers)) for w in WORD.findall(" " + t.decode("utf-8", "replace"))] if t else () for t in texts]
+    known.update(model.segment([w for w in numbers if w not in known]))
+    parts = [known[w] for w in numbers]
+    if len(known) > CACHE_WORDS:
+        # words of these rows are the likeliest to come again
+        known.clear()
+        known.update(itertools.islice(zip(numbers, parts), CACHE_WORDS))
+    return [b"".join([parts[i] for i in row]) for row in rows]
+
+
+def id_slices(ends: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of rows with about ``DECODE_IDS`` ids together; ``ends`` are the rows' ends among all ids, after a 0."""
+    starts = np.flatnonzero(np.diff(ends[:-1] // DECODE_IDS, prepend=-1)).tolist()
+    return list(zip(starts, [*starts[1:], len(ends) - 1]))
 
 
 def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -193,12 +230,13 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded")
     at = keep.index(ids)
 
     def run(batches):
-        m, _ = _model(sent.value)
+        m = _pieces(sent.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, DECODE_ROWS):
-                part = batch.slice(start, DECODE_ROWS)
+            sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy()
+            for a, b in id_slices(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))):
+                part = batch.slice(a, b - a)
                 rows = part.column(at)
-                ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy())))
+                ends = np.concatenate(([0], np.cumsum(sizes[a:b], dtype=np.int64)))
                 texts = m.decode_all(rows.flatten().to_numpy(), ends)
                 made = pa.array([t.decode("utf-8", "replace") if ok else None
                                  for t, ok in zip(texts, rows.is_valid().to_pylist())], pa.string())
