@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.llm.common import let, others, quoted
+from trackside.session import scratch_dir
 
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -207,7 +208,12 @@ def quality_rules(docs: DataFrame, text: str = "text", keep_at: float = 0.5) ->
 
 
 def keep_good(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, columns as they were."""
-    row = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"),
-                      text_counts(F.col(quoted(text))).alias("counts"))
-    return judge(row, "counts", keep_at).where("kept").select("row.*")
+    """The rows of ``docs`` that the rules keep, columns as they were.
+
+    Rows and counts are written to the shared folder first: counting takes longer than that by far, and both the
+    votes of all rows and each row's verdict need the counts."""
+    spark = docs.sparkSession
+    at = f"{scratch_dir(spark, 'counted')}/rows"
+    (docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), text_counts(F.col(quoted(text))).alias("counts"))
+     .write.parquet(at))
+    return judge(spark.read.parquet(at), "counts", keep_at).where("kept").select("row.*")
