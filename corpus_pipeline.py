@@ -17,14 +17,13 @@ repeats part of one stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trackside.llm.decontaminate import decontaminate
 from trackside.llm.near_dedup import drop_near_duplicates
 from trackside.llm.pii import replace_entities
 from trackside.llm.quality_rules import keep_good
 from trackside.llm.queries import PIECE_MODEL, SURROGATE_KEY, table
-from trackside.llm.sentencepiece_viterbi import decode, encode, read_model
+from trackside.llm.sentencepiece_viterbi import encode, read_model
 from trackside.session import scratch_dir
 
 
@@ -45,9 +44,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = read_model(spark, PIECE_MODEL)
-    both = decode(encode(docs, model), model)
-    return both.withColumn("round_trip", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
+    return encode(docs, read_model(spark, PIECE_MODEL), round_trip="round_trip")
 
 
 STAGES = [
