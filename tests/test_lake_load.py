@@ -231,3 +231,31 @@ def test_counters_after_dedup_and_last_writer(spark, scratch):
     last = scratch("llake")
     s = ingest_frames(standin_frames(ev), last, processed_at="P", last_writer_wins=True)
     assert s["written"] + s["replaced"] == s["ok"] and s["written"] == read_lake(spark, last).count()
+
+
+def test_a_whole_lake_load_scans_the_lake_once(spark, scratch, monkeypatch):
+    """Files that land after the scan change neither the table nor the report; dates far off are named too."""
+    import json
+    from trackside.plans import load_day as L
+    from trackside.plans.ingest import ingest_frames
+    ms = {"2024-01-01": 1704067207179, "2024-01-03": 1704240007179, "1950-06-01": -618105600000, "2100-01-01": 4102444800000}
+
+    def land(lake, *days):
+        text = json.dumps([{"header": {"msg_type": "0003"}, "body": {"actual_timestamp": str(ms[d]), "toc_id": "88", "train_id": "T"}} for d in days])
+        ingest_frames(spark.createDataFrame([(text,)], "value string"), lake, processed_at="P")
+
+    lake, table = scratch("lake"), scratch("table")
+    land(lake, "2024-01-01", "2024-01-01", "2024-01-03")
+    get = L.days_of
+
+    def late(observed):
+        land(lake, "2100-01-01", "2024-01-03")       # lands when the table is written, before the report is made
+        return get(observed)
+
+    monkeypatch.setattr(L, "days_of", late)
+    r = L.load_days(spark, lake, table)
+    assert r.day_status == {"2024-01-01": "loaded", "2024-01-03": "loaded"} and (r.written, r.day_rows) == (3, 3)
+    monkeypatch.undo()
+    land(lake, "1950-06-01")
+    r = L.load_days(spark, lake, table)
+    assert sorted(r.day_status) == sorted(ms) and r.written == 6 and r.deleted == 3
