@@ -53,6 +53,8 @@ PERCENT = 75
 LEAST_FOR_BANDS = 3
 #: Digests that are broadcast at most; more are joined by a shuffle.
 BROADCAST_DIGESTS = 1_000_000
+#: Text whose shingles are held at once in a task (one text at least).
+SHINGLE_BYTES = 4 << 20
 #: A block of nodes that are compared with another block in one task.
 BLOCK_ROWS, BLOCK_SHINGLES = 2000, 1_000_000
 
@@ -133,7 +135,7 @@ def add_digest(docs: DataFrame, text: str) -> DataFrame:
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())]
 
     return add_columns(docs, text, [T.StructField("n_shingles", T.LongType()),
-                                    T.StructField("digest", T.BinaryType())], make)
+                                    T.StructField("digest", T.BinaryType())], make, SHINGLE_BYTES)
 
 
 def add_sketch(docs: DataFrame, text: str) -> DataFrame:
@@ -148,7 +150,7 @@ def add_sketch(docs: DataFrame, text: str) -> DataFrame:
 
     return add_columns(docs, text, [T.StructField("n_shingles", T.LongType()),
                                     T.StructField("digest", T.BinaryType()),
-                                    T.StructField("bands", T.ArrayType(T.LongType()))], make)
+                                    T.StructField("bands", T.ArrayType(T.LongType()))], make, SHINGLE_BYTES)
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -164,7 +166,7 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     def make(texts: list) -> list[pa.Array]:
         return [pa.array([s.view(np.int64) for s in shingle_sets(texts)], pa.list_(pa.int64()))]
 
-    return add_columns(one, "text", [T.StructField("shingles", T.ArrayType(T.LongType()))], make).drop("text")
+    return add_columns(one, "text", [T.StructField("shingles", T.ArrayType(T.LongType()))], make, SHINGLE_BYTES).drop("text")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -329,14 +331,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each group, that with the smallest id; columns as they were."""
-    keys = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).alias("text"))
-    sketch = checkpointed(add_sketch(keys, "text").drop("text"))
+    """``docs`` with one row of each group, that with the smallest id; columns as they were.
+
+    Rows are known by 128 bits of hashes of id and text, so that their shingles need not be made once more."""
+    id_, body = F.col(quoted(doc_id)), F.col(quoted(text))
+    same = [F.xxhash64(id_, body).alias("h1"), F.xxhash64(F.lit(1), body, id_).alias("h2")]
+    sketch = checkpointed(add_sketch(docs.select(id_.alias("doc_id"), body.alias("text"), *same), "text").drop("text"))
     keepers = (components(sketch, docs, text, "doc_id", percent).where("keeper")
                .select(F.col("digest").alias("kd"), F.col("component_id").alias("kid")))
-    row = add_digest(docs.select(F.struct(*map(quoted, docs.columns)).alias("row"),
-                                 F.col(quoted(text)).alias("text")), "text")
-    with_words = (row.where("digest IS NOT NULL")
-                  .join(keepers, (F.col("digest") == F.col("kd")) & F.col("row")[doc_id].eqNullSafe(F.col("kid")), "left_semi")
-                  .dropDuplicates(["digest"]))
-    return with_words.select("row.*").unionByName(row.where("digest IS NULL").select("row.*"))
+    # of texts with one set and one id (they differ in case or spaces, say) one stays
+    kept = (sketch.where("digest IS NOT NULL")
+            .join(keepers, (F.col("digest") == F.col("kd")) & F.col("doc_id").eqNullSafe(F.col("kid")))
+            .groupBy("digest").agg(F.min(F.struct("h1", "h2")).alias("h")).select("h.*"))
+    row = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), *same,
+                      F.coalesce(body.rlike(r"[^\x09-\x0D\x20]"), F.lit(False)).alias("has_words"))
+    with_words = row.where("has_words").groupBy("h1", "h2").agg(F.first("row").alias("row")).join(kept, ["h1", "h2"], "left_semi")
+    return with_words.select("row.*").unionByName(row.where("NOT has_words").select("row.*"))
