@@ -10,10 +10,13 @@ only the matched characters change.
 Surrogates depend on the key, the kind and the entity's canonical form alone (case
 of an address, spacing of a number do not matter), so one entity has one surrogate
 in all texts: coreference holds without any table.  They keep the form:
-- numbers (phone, card, social security, bank account): a keyed Feistel permutation of
+- numbers (phone, card, social security): a keyed Feistel permutation of
   the digits, written into the entity's own punctuation.  A card keeps its first
-  digit and gets a valid check digit, a phone number keeps its country code;
-- addresses of machines: a keyed permutation of the 32 bits;
+  digit and gets a valid check digit, a phone number keeps its country code (after a ``+`` by the numbering plan);
+- bank accounts: country and length stay, digits and letters are turned each among themselves, the check digits fit;
+  the spacing is the entity's own and plays no part;
+- addresses of machines: a keyed permutation of the bits; those of private networks stay in their network, public
+  ones stay public;
 - secrets: character by character within hexadecimal, digits, small and capital letters;
 - mail: the local part character by character, the domain label by label, under the
   reserved top-level name ``example``;
@@ -80,7 +83,7 @@ PATTERNS = [
     ("address", rf"(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}", r"(?![\p{L}\p{N}]|\.[0-9])"),
     ("social", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![\p{L}\p{N}-])"),
     ("phone", r"(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", _END),
-    ("phone", rf"\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2}}(?:(?! {_NEXT})[ .-]?[0-9]{{2,4}}){{0,3}}", _END),
+    ("phone", rf"\+[0-9]{{1,3}}[ .-]?[0-9]{{1,4}}[ .-]?[0-9]{{2,4}}(?:(?! {_NEXT})[ .-]?[0-9]{{2,4}}){{0,3}}", _END),
     ("phone", r"(?:1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}", r"(?![\p{L}\p{N}-])"),
     ("card", r"[0-9](?:[ -]?[0-9]){12,18}", _END),
     ("secret", rf"(?:(?!(?<one>[0-9])\k<one>{{128,}}+{_END})(?:[0-9a-f]{{32,}}+|[0-9A-F]{{32,}}+)|AKIA[0-9A-Z]{{16}}"
@@ -117,8 +120,9 @@ def pattern(text: Column) -> Column:
     return F.coalesce(F.when(text.rlike(_CARD), with_cards), F.lit(every("(?!)")))
 
 
-#: No entity without one of these: most texts need no more than this look.
-HINT = rf"[0-9@:=]|(?=[{_FIRST}])(?:{_TITLE})\b"
+#: No entity without one of these: most texts need no more than this look.  Secrets alone can be
+#: without a digit, sign or title; their own beginnings stand here.
+HINT = rf"[0-9@:=]|AKIA|gh[pousr]_|sk-|[a-f]{{32}}|[A-F]{{32}}|(?=[{_FIRST}])(?:{_TITLE})\b"
 HEX = "0123456789abcdef"
 CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
 
@@ -149,7 +153,8 @@ def _luhn_sum(digits: Column) -> Column:
 
 def canonical(kind: Column, found: Column) -> Column:
     return F.when(kind == "mail", F.lower(found)) \
-        .when(kind.isin("card", "phone", "social"), F.regexp_replace(found, "[^0-9]", "")) \
+        .when(kind == "phone", F.regexp_replace(found, r"(?!\A\+)[^0-9]", "")) \
+        .when(kind.isin("card", "social"), F.regexp_replace(found, "[^0-9]", "")) \
         .when(kind == "account", F.regexp_replace(found, " ", "")) \
         .when(kind == "secret", F.regexp_replace(found, rf"\A{_LABEL}", "")) \
         .otherwise(found)
@@ -194,16 +199,16 @@ def _turned(half: Column, other: Column, r: Column, key: Column, power) -> Colum
     return F.when(n == 0, half).otherwise(F.lpad(turned.cast("string"), n, "0"))
 
 
-def _written_into(found: Column, digits: Column) -> Column:
-    """``found`` with its digits replaced in order."""
-    gaps = F.split(found, "[0-9]", -1)
+def _written_into(found: Column, digits: Column, signs: str = "[0-9]") -> Column:
+    """``found`` with its digits (or other ``signs``) replaced in order."""
+    gaps = F.split(found, signs, -1)
     return F.array_join(F.zip_with(gaps, F.split(digits, ""), lambda g, d: F.concat(F.coalesce(g, F.lit("")),
                                                                                    F.coalesce(d, F.lit("")))), "")
 
 
-def _turned_letters(s: Column, key: Column) -> Column:
+def _turned_letters(s: Column, key: Column, hexadecimal: bool = True) -> Column:
     """Each character replaced by another of its class: digit, small, capital, Cyrillic; hexadecimal
-    strings stay so; other characters stay."""
+    strings stay so (unless they are something else); other characters stay."""
     stream = F.transform(F.sequence(F.lit(0), (F.char_length(s) / 32).cast("int")),
                          lambda b: F.sha2(F.concat_ws("|", key, b), 256))
     hexa = s.rlike(r"\A(?:[0-9a-f]{16,}|[0-9A-F]{16,})\z")
@@ -225,6 +230,7 @@ def _turned_letters(s: Column, key: Column) -> Column:
                 .when(c.rlike(r"\p{L}"), F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), step % 26 + 1, F.lit(1)))
                 .otherwise(c))
 
+    hexa = hexa if hexadecimal else F.lit(False)
     out = let(stream, lambda keys: let(hexa, lambda h: F.array_join(F.transform(
         F.filter(F.split(s, ""), lambda c: c != ""), lambda c, i: turned(c, i, keys, h)), "")))
     return F.when(hexa & s.rlike("[A-F]"), F.upper(out)).otherwise(out)
@@ -309,26 +315,68 @@ def name_surrogate(found: Column, key: str, attempt: Callable[[Column, Column],
         words, lambda word, i: made(word, _role(i, words)))))
 
 
+# Country codes of one and of two digits (all others have three).
+COUNTRY_1, COUNTRY_2 = "[17]", "2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+# Networks that are not public: first octets, and the bits behind them.
+PRIVATE = [(r"10\.", 24), (r"127\.", 24), (r"172\.(?:1[6-9]|2[0-9]|3[01])\.", 20), (r"192\.168\.", 16), (r"169\.254\.", 16)]
+
+
+def _account(found: Column, key: str, attempt: Column) -> Column:
+    """A bank account in its own spacing: country and length stay, the rest is turned by kind of character, and the
+    two check digits fit."""
+    plain = F.regexp_replace(found, " ", "")
+    turned = _turned_letters(F.substr(plain, F.lit(5)), F.concat_ws("|", F.lit(key), F.lit("account"), attempt, plain), hexadecimal=False)
+
+    def rest(s: Column) -> Column:
+        """The remainder by 97 of a text whose letters count from 10 (A) to 35 (Z)."""
+        return F.aggregate(F.filter(F.split(s, ""), lambda c: c != ""), F.lit(0), lambda r, c: F.when(
+            c.rlike("[0-9]"), (r * 10 + c.cast("int")) % 97).otherwise((r * 100 + F.ascii(c) - 55) % 97))
+
+    country = F.substring(plain, 1, 2)
+    return let(turned, lambda t: _written_into(found, F.concat(country, F.lpad(
+        (98 - rest(F.concat(t, country, F.lit("00")))).cast("string"), 2, "0"), t), "[A-Z0-9]"))
+
+
+def _address(found: Column, base: Column) -> Column:
+    """A keyed permutation of the addresses of a network: those of a private one stay in it, public ones stay public."""
+    octets = F.split(found, r"\.")
+    number = F.aggregate(octets, F.lit(0).cast("long"), lambda n, o: n * 256 + o.cast("long"))
+    bits = F.lit(32)
+    for start, behind in PRIVATE:
+        bits = F.when(found.rlike(rf"\A{start}"), F.lit(behind)).otherwise(bits)
+
+    def text(n: Column) -> Column:
+        return F.concat_ws(".", *[(F.shiftright(n, k).bitwiseAND(F.lit(255))).cast("string") for k in (24, 16, 8, 0)])
+
+    def permuted(n: Column, half: Column) -> Column:
+        """Six Feistel rounds on the last 2 * half bits."""
+        mask = F.pow(F.lit(2.0), half).cast("long")
+
+        def turn(s: Column, r: Column) -> Column:
+            return F.struct(s["b"].alias("a"), s["a"].bitwiseXOR(_number(F.concat_ws("|", base, half, s["b"]), r, 65536) % mask).alias("b"))
+
+        low = n % (mask * mask)
+        halves = F.struct((low / mask).cast("long").alias("a"), (low % mask).alias("b"))
+        return let(F.aggregate(F.sequence(F.lit(0), F.lit(5)), halves, turn), lambda s: n - low + s["a"] * mask + s["b"])
+
+    special = "|".join(start for start, _ in PRIVATE)
+    # a public address that becomes a private one goes on; eight times in a row does not happen
+    return let(F.struct(number.alias("n"), (bits / 2).cast("int").alias("half")), lambda x: text(F.aggregate(
+        F.sequence(F.lit(1), F.lit(8)), permuted(x["n"], x["half"]),
+        lambda n, _: F.when((x["half"] == 16) & text(n).rlike(rf"\A(?:{special})"), permuted(n, x["half"])).otherwise(n))))
+
+
 def surrogate(kind: Column, found: Column, key: str, attempt: Column) -> Column:
     """What replaces a match; ``attempt`` counts collisions, 0 for almost all."""
     base = F.concat_ws("|", F.lit(key), kind, attempt)
     digits = F.regexp_replace(found, "[^0-9]", "")
-    phone = let(F.greatest(F.char_length(digits) - 10, F.lit(0)), lambda n: F.concat(
+    country = F.when(~found.startswith("+"), F.greatest(F.char_length(digits) - 10, F.lit(0))) \
+        .when(digits.rlike(rf"\A{COUNTRY_1}"), 1).when(digits.rlike(rf"\A(?:{COUNTRY_2})"), 2).otherwise(3)
+    phone = let(country, lambda n: F.concat(
         F.substr(digits, F.lit(1), n), _permuted_digits(F.substr(digits, n + 1), base)))
     card = let(F.concat(F.substring(digits, 1, 1), _permuted_digits(
         F.substr(digits, F.lit(2), F.char_length(digits) - 2), base)),
         lambda d: F.concat(d, ((10 - _luhn_sum(F.concat(d, F.lit("0"))) % 10) % 10).cast("string")))
-    octets = F.split(found, r"\.")
-    high = F.get(octets, F.lit(0)).cast("long") * 256 + F.get(octets, F.lit(1)).cast("long")
-    low = F.get(octets, F.lit(2)).cast("long") * 256 + F.get(octets, F.lit(3)).cast("long")
-
-    def address_round(s: Column, r: Column) -> Column:
-        return F.struct(s["b"].alias("a"), s["a"].bitwiseXOR(
-            _number(F.concat_ws("|", base, s["b"]), r, 65536)).alias("b"))
-
-    address = let(F.aggregate(F.sequence(F.lit(0), F.lit(5)), F.struct(high.alias("a"), low.alias("b")), address_round),
-                  lambda s: F.concat_ws(".", *[x.cast("string") for h in ("a", "b") for x in
-                                               ((s[h] / 256).cast("long"), s[h] % 256)]))
     at = F.instr(found, "@")
     domain = F.lower(F.substr(found, at + 1))
     labels = F.split(F.regexp_replace(domain, r"\.[^.]*\z", ""), r"\.")
@@ -338,10 +386,10 @@ def surrogate(kind: Column, found: Column, key: str, attempt: Column) -> Column:
     return (F.when(kind == "phone", _written_into(found, phone))
             .when(kind == "card", _written_into(found, card))
             .when(kind == "social", _written_into(found, _permuted_digits(digits, base)))
-            .when(kind == "address", address)
+            .when(kind == "address", _address(found, base))
             .when(kind == "mail", mail)
             .when(kind == "name", name_surrogate(found, key, lambda role, word: attempt))
-            .when(kind == "account", _turned_letters(found, F.concat_ws("|", base, canonical(kind, found))))
+            .when(kind == "account", _account(found, key, attempt))
             .when(kind == "secret", let(canonical(kind, found), lambda value: F.concat(
                 F.substr(found, F.lit(1), F.char_length(found) - F.char_length(value)),
                 _turned_letters(F.concat(value, F.repeat(F.lit("a"), attempt - 3)), F.concat_ws("|", base, value)))))
