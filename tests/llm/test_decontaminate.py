@@ -82,3 +82,17 @@ def test_empty_tables(spark):
     b = spark.createDataFrame([], "item_id long, text string")
     assert [(r.n_words, r.n_hit, r.items, r.matches) for r in D.find_contamination(d, b).collect()] == [(3, 0, [], [])]
     assert D.find_contamination(d.limit(0), b).count() == 0
+
+
+def test_ids_of_other_types(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    d = spark.createDataFrame([(1, text), (1, text), (2, "none")], SCHEMA)
+    for kind in ("smallint", "decimal(5,1)", "date", "string"):
+        b = spark.createDataFrame([("2024-01-02" if kind == "date" else "7", text), (None, "a " + text)], "item_id string, text string").selectExpr(
+            f"cast(item_id as {kind}) as item_id", "text")
+        for chars in (8_000_000, 60):
+            rows = D.find_contamination(d, b, block_chars=chars).collect()
+            want = b.selectExpr("item_id", "cast(item_id as string) as s").where("s IS NOT NULL").first()
+            for r in rows:
+                assert r.items == ([want.s, "null"] if r.doc_id == 1 else []) and r.n_hit == (11 if r.doc_id == 1 else 0)
+                assert {m.item_id for m in r.matches} == ({want.item_id, None} if r.doc_id == 1 else set())

@@ -12,8 +12,10 @@ one word): no other suffix can be the answer to any search.
 
 A row's text lies in one shard whole, so nothing is shuffled, and identity and
 order of the rows play no part.  The benchmark goes to the tasks in blocks of at
-most about ``block_chars`` characters, one pass over the texts for each block,
-so that what is broadcast has a bound however large the benchmark is.
+most about ``block_chars`` characters, whose texts are sent and indexed by each worker, one pass over the
+texts for each block.  A block's matches are kept in the checkpoint folder, by a hash of the text, and its
+broadcast is destroyed before the next block is read; so driver and tasks hold one block at a time,
+however large the benchmark is.  A benchmark of one block needs no such table.
 
 Words: A-Z made small; letters, digits and non-ASCII characters.  A window is
 ``window`` consecutive words of an item; an item with fewer, but not none, is one
@@ -21,7 +23,7 @@ window.
 
 Defined cases: a null text, or one without words, has no words and no match; so
 has an item.  A null item_id is listed as null and is an item like others; rows
-that repeat an item_id are one item.  Empty tables give no match.  Extra columns
+that repeat an item_id are one item.  Ids may be of any type that text can be cast back to.  Empty tables give no match.  Extra columns
 pass through; those named like a result are replaced.
 """
 
@@ -29,17 +31,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackside.llm.common import add_columns, byte_words, quoted
+from trackside.llm.common import add_columns, byte_words, checkpointed, quoted
 
 WINDOW = 10
-MATCH = T.StructType([T.StructField("item", T.IntegerType()),
+MATCH = T.StructType([T.StructField("item_id", T.StringType()),
                       T.StructField("doc_word", T.LongType()),
                       T.StructField("item_word", T.LongType()),
                       T.StructField("n_words", T.LongType())])
+ARROW_MATCH = pa.list_(pa.struct([("item_id", pa.string()), ("doc_word", pa.int64()), ("item_word", pa.int64()), ("n_words", pa.int64())]))
 
 
 class Items:
@@ -147,45 +151,64 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     """``docs`` with n_words, n_hit (words inside any occurrence of a window), items
     (distinct item_ids with occurring windows, sorted as strings) and matches (the
     longest verbatim ones: item_id, doc_word, item_word, n_words), in text order."""
-    spark = docs.sparkSession
-    bench = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
+    id_type = benchmark.schema["item_id"].dataType.simpleString()
+    bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     chars = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
-    id_type = bench.schema["item_id"].dataType
-    match = T.StructType([T.StructField("item_id", id_type), *MATCH.fields[1:]])
-    arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type.simpleString()]
-    arrow_match = pa.list_(pa.struct([("item_id", arrow_id), ("doc_word", pa.int64()),
-                                      ("item_word", pa.int64()), ("n_words", pa.int64())]))
-    fields = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-              T.StructField("matches", T.ArrayType(match))]
-    found = docs
-    for block in range(blocks):
-        rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        sent = spark.sparkContext.broadcast(
-            ([r.item_id for r in rows], Items([r.text.encode() if r.text else None for r in rows], window)))
-
-        def make(texts: list, sent=sent) -> list[pa.Array]:
-            ids, items = sent.value
-            sizes, n_hit, longest = items.search(texts)
-            return [pa.array(sizes), pa.array(n_hit),
-                    pa.array([[{"item_id": ids[i], "doc_word": p, "item_word": a, "n_words": n}
-                               for i, p, a, n in sorted(m, key=lambda x: x[1])] for m in longest], arrow_match)]
-
-        if block:
-            # earlier blocks' matches are set aside while this block's are found
-            before = F.struct("n_hit", "matches")
-            found = add_columns(found.withColumn(_BEFORE, before), text, fields, make)
-            both = F.concat(F.col(f"{_BEFORE}.matches"), F.col("matches"))
-            found = (found.withColumn("matches", F.array_sort(both, _by_place))
-                     .withColumn("n_hit", _union_size("matches")).drop(_BEFORE))
-        else:
-            found = add_columns(docs, text, fields, make)
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: F.coalesce(m["item_id"].cast("string"), F.lit("null")))))
-    return found.withColumn("items", items).select(
+    body = F.col(quoted(text))
+    key = [F.xxhash64(body).alias(_KEY[0]), F.xxhash64(F.lit(1), body).alias(_KEY[1])]
+    # all blocks but the last: the matches of each text that has any, by 128 bits of its hash
+    stored = []
+    for block in range(blocks - 1):
+        sent, found = _searched(docs.select(*key, body.alias("text")), _block(bench, blocks, block), "text", window)
+        stored.append(checkpointed(found.where(F.size("matches") > 0).groupBy(*_KEY).agg(F.first("matches").alias("matches"))))
+        sent.destroy()
+    if not stored:
+        _, found = _searched(docs, _block(bench, 1, 0), text, window)
+    else:
+        _, found = _searched(docs.select("*", *key), _block(bench, blocks, blocks - 1), text, window)
+        others_ = stored[0]
+        for more in stored[1:]:
+            others_ = others_.unionByName(more)
+        # one list a block and text
+        others_ = others_.groupBy(*_KEY).agg(F.flatten(F.collect_list("matches")).alias(_EARLIER))
+        both = F.concat(F.coalesce(_EARLIER, F.array().cast(others_.schema[_EARLIER].dataType)), F.col("matches"))
+        found = (found.join(others_, list(_KEY), "left").withColumn("matches", F.array_sort(both, _by_place))
+                 .withColumn("n_hit", _union_size("matches")).drop(*_KEY, _EARLIER))
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: F.coalesce(m["item_id"], F.lit("null")))))
+    typed = F.transform("matches", lambda m: F.struct(m["item_id"].cast(id_type).alias("item_id"), *[m[f.name] for f in MATCH.fields[1:]]))
+    return found.withColumn("items", items).withColumn("matches", typed).select(
         *[c for c in found.columns if c not in ("matches", "items")], "items", "matches")
 
 
-_BEFORE = "__earlier_blocks"
+_KEY, _EARLIER = ("__text_hash", "__text_hash_2"), "__earlier_blocks"
+#: The index of the block that this worker searched last, by the number of its broadcast.
+_INDEX: dict[int, Items] = {}
+
+
+def _block(bench: DataFrame, blocks: int, block: int) -> list[tuple]:
+    """The items of a block: some ``block_chars`` characters."""
+    rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+    return [(r.item_id, r.text.encode() if r.text else None) for r in rows]
+
+
+def _searched(docs: DataFrame, block: list[tuple], text: str, window: int) -> tuple[Broadcast, DataFrame]:
+    """``docs`` with n_words, n_hit and matches of one block, whose texts are sent; each worker indexes them itself."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+    number = sent._jbroadcast.id()
+
+    def make(texts: list) -> list[pa.Array]:
+        ids = [i for i, _ in sent.value]
+        if number not in _INDEX:
+            _INDEX.clear()
+            _INDEX[number] = Items([t for _, t in sent.value], window)
+        sizes, n_hit, longest = _INDEX[number].search(texts)
+        return [pa.array(sizes), pa.array(n_hit),
+                pa.array([[{"item_id": ids[i], "doc_word": p, "item_word": a, "n_words": n}
+                           for i, p, a, n in sorted(m, key=lambda x: x[1])] for m in longest], ARROW_MATCH)]
+
+    return sent, add_columns(docs, text, [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
+                                          T.StructField("matches", T.ArrayType(MATCH))], make)
 
 
 def _by_place(a, b):
