@@ -179,6 +179,9 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     clean = complete_rows(observed).where(in_days)
     if dedup_keys:
         clean = dedup_exact(clean, dedup_keys)
+    if whole_objects:
+        # a task reads a few dozen objects: without this each of them writes files of its own to the table
+        clean = clean.hint("rebalance", "uk_date")
     # what is written is counted at the writer: the rows, and the days as a bitmap
     landed = Observation("landed")
     clean = clean.observe(landed, *written_days())

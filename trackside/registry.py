@@ -30,7 +30,7 @@ from trackside.plans.load_day import append_table, load_day, load_days, report_f
 from trackside.plans.migrate import migrate_table, migration_frame
 from trackside.schema import EVENT_TYPES, TABLE_COLUMNS, VARIATION_STATUSES
 from trackside.session import scratch_dir, use_utc
-from trackside.sinks.lake import lake_rows, publish_messages, write_ndjson
+from trackside.sinks.lake import lake_rows, publish_messages, write_ndjson, write_objects
 from trackside.sinks.lanes import movements_lane, read_rejects
 from trackside.sources.feed import read_frames, read_topic, single_message_frames
 from trackside.sources.lake import last_writer, read_lake, read_ndjson
@@ -441,8 +441,7 @@ def q_whole_objects_load(spark, sf_dir):
                                "timestamp", "processed_at", "raw_data"), pretty)
     n = F.col("pos") % 10
     text = F.when(n == 4, F.to_json("raw_data", pretty)).when(n == 8, F.substr(whole, F.lit(1), F.lit(60))).otherwise(whole)
-    (rows.select("year", "month", "day", text.alias("value")).write.option("maxRecordsPerFile", 1)
-     .partitionBy("year", "month", "day").mode("append").text(lake))
+    write_objects(rows, lake, text, F.concat_ws("-", F.lit("object"), "frame_id", "pos"))
     report = load_days(spark, lake, table, whole_objects=True)
     cols = ["status", "invalid_objects", "total_rows", "valid_rows", "written", "deleted", "day_rows"]
     return report_frame(spark, report).select(*cols)

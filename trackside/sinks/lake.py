@@ -10,10 +10,16 @@ task would serialise the write.  ``maxRecordsPerFile`` bounds file size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import tempfile
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.functions.times import object_name, partition_keys
+from trackside.session import jvm_path
 from trackside.sources.lake import has_sink_log
 
 ENVELOPE_FIELDS = ["message_type", "event_type", "toc_id", "variation_status",
@@ -67,6 +73,44 @@ def write_lake(envelopes: DataFrame, base: str, mode: str = "append",
      .partitionBy("year", "month", "day", *extra).format(fmt).save(base))
 
 
+def write_objects(rows: DataFrame, base: str, text: Column, name: Column) -> None:
+    """One file an object, as the feed client wrote them: ``text`` and a line feed, below the row's day.
+
+    ``name`` must be unique in its day and the same whenever the row is made again: a task that
+    runs twice then replaces its own files.  On a local or mounted file system the tasks put the files there
+    themselves: without Hadoop's native library its writer starts two processes (``chmod``) for each file,
+    and its commit moves every file once more, one after another, on the driver.  Elsewhere Spark writes them.
+    """
+    refuse_sink_log(rows.sparkSession, base)
+    fs, path = jvm_path(rows.sparkSession, base)
+    if fs.getScheme() != "file":
+        (rows.select("year", "month", "day", text.alias("value")).write.option("maxRecordsPerFile", 1)
+         .partitionBy("year", "month", "day").mode("append").text(base))
+        return
+    root = path.toUri().getPath()
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            days = set()
+            for day, file, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                folder = f"{root}/{day}"
+                if folder not in days:
+                    os.makedirs(folder, exist_ok=True)
+                    days.add(folder)
+                # readers pass over names with a dot until the file is whole
+                fd, unfinished = tempfile.mkstemp(prefix=".", dir=folder)
+                with open(fd, "w", encoding="utf-8", newline="") as f:
+                    f.write(f"{value or ''}\n")
+                os.chmod(unfinished, 0o644)
+                os.replace(unfinished, f"{folder}/{file}.json")
+            yield pa.RecordBatch.from_pydict({"objects": [batch.num_rows]}, pa.schema([("objects", pa.int64())]))
+
+    day = F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.coalesce(k, F.lit("__HIVE_DEFAULT_PARTITION__")))
+                             for k in ("year", "month", "day")])
+    rows.select(day.alias("day"), name.alias("name"), text.alias("value")).mapInArrow(put, "objects long") \
+        .agg(F.sum("objects")).collect()
+
+
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> str | None:
     """One compact JSON object per line (K4); ``None`` when no row was written.
 
