@@ -13,6 +13,7 @@ from trackside.schema import TABLE_COLUMNS
 from trackside.sinks.lanes import movements_lane, read_rejects
 from trackside.sources.feed import read_frames
 from trackside.sources.lake import read_lake
+from trackside.streaming import exact
 from trackside.streaming.exact import append_new, stream_to_table_exact
 from trackside.streaming.gauge import gauge_days, live_gauge, stream_gauge, upsert_days
 from trackside.streaming.ingest import DEDUP_KEYS, batch_name, counter_totals, stream_ingest
@@ -124,6 +125,31 @@ def test_a_batch_that_runs_again_lands_once(spark, scratch):
         assert spark.read.parquet(table).select(*DEDUP_KEYS).count() == 5
 
 
+@pytest.mark.parametrize("sent", [0, 200_000])
+def test_small_and_large_batches_keep_the_same_rows(spark, scratch, monkeypatch, sent):
+    """Null keys, repeats inside a batch (the smallest row stays) and keys of the table, by either way."""
+    monkeypatch.setattr(exact, "SENT_ROWS", sent)
+    table = scratch("table")
+    rows = lambda *ms: complete_rows(flatten(frames_to_envelopes(spark.createDataFrame(
+        [(json.dumps(ms),)], "value string"), processed_at="P"))).select(*TABLE_COLUMNS)
+    exact.append_new(rows(movement(T0, train="A", loc_stanox=None), movement(T0, train="B", route="2"),
+                          movement(T0, train="B", route="1")), table, "s-0")
+    exact.append_new(rows(movement(T0, train="A", loc_stanox=None, route="0"), movement(T0, train="B", route="0"),
+                          movement(T0, train="C", route="4"), movement(T0, train="C", route="3")), table, "s-1")
+    got = {(r.train_id, r.route, r.batch) for r in spark.read.parquet(table).collect()}
+    assert {(t, b) for t, _, b in got} == {("A", "s-0"), ("B", "s-0"), ("C", "s-1")} and len(got) == 3
+    assert {(t, r) for t, r, _ in got if t != "A"} == {("B", "1"), ("C", "3")}
+
+
+def test_whole_rows_are_dealt_by_key_once(spark):
+    """Repeats inside the batch and keys that are there fall out in one exchange, not one each."""
+    rows = spark.range(10).selectExpr(*[f"{'id' if c in DEDUP_KEYS else 'null'} AS {c}" for c in TABLE_COLUMNS])
+    new = exact.new_rows(rows, rows.where("train_id < 4").select(*DEDUP_KEYS), DEDUP_KEYS)
+    plan = new._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 0 and new._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(r.train_id for r in new.collect()) == [4, 5, 6, 7, 8, 9]
+
+
 def test_only_touched_days_are_read(spark, scratch, monkeypatch):
     """A damaged file in another day does not matter: that day is not opened."""
     src, table, ck = scratch("frames"), scratch("table"), scratch("ck")

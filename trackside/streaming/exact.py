@@ -2,8 +2,8 @@
 
 A watermark drops what comes after it, duplicate or not.  Here each micro-batch is compared with what is
 already in the table instead: the keys of the days it touches, read from the table's own partitions, are
-cut down to those the batch holds, and the batch is anti-joined against the rest.  What is held is
-bounded by the batch; the table itself is the state, so nothing is kept in a state store.
+dealt by key together with the batch, and of each key that only the batch has one row is kept.  A small batch
+cuts the days' keys down to its own before.  The table itself is the state, so nothing is kept in a state store.
 
 The table is partitioned by London date and batch; a batch that runs again leaves its own directories out of
 the comparison and overwrites them, so a retry lands once.  Equal keys have equal times, hence one
@@ -19,33 +19,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackside.operators.decode import decode_frames, only_movements, to_envelope
-from trackside.operators.dedup import dedup_exact
 from trackside.operators.flatten import complete_rows, flatten
 from trackside.schema import TABLE_COLUMNS
 from trackside.session import path_exists
 from trackside.streaming.ingest import DEDUP_KEYS, append_batch, batch_name, started
 
 
-def _equal(left: DataFrame, right: DataFrame, keys: list[str]):
-    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+#: Batches of up to so many rows are sent to the table's keys; for larger ones both are dealt by key.
+SENT_ROWS = 200_000
+
+
+def new_rows(rows: DataFrame, old: DataFrame | None, keys: list[str]) -> DataFrame:
+    """The smallest row of each key that is not among ``old`` (its key columns), in one pass dealt by key:
+    duplicates inside the batch and keys that are there already fall out together."""
+    rest = [c for c in rows.columns if c not in keys]
+    rows = rows.select(*keys, F.struct(F.lit(True).alias("_new"), *rest).alias("_row"))
+    if old is not None:
+        rows = rows.unionByName(old.select(*keys), allowMissingColumns=True)
+    # rows of the table have no _row: a key that counts one is not new
+    return (rows.groupBy(*keys).agg(F.min("_row").alias("_row"), F.max(F.col("_row").isNull()).alias("_old"))
+            .where(~F.col("_old")).select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest]))
 
 
 def append_new(rows: DataFrame, table_path: str, batch: str, keys: list[str] | None = None) -> None:
     """Append those rows (of one micro-batch, table columns) whose keys the table does not have yet."""
     keys = keys or DEDUP_KEYS
     spark = rows.sparkSession
-    rows = dedup_exact(rows, keys).persist()   # the batch is read twice: for its days, then for its rows
+    rows = rows.select(*TABLE_COLUMNS).persist()   # the batch is read twice: for its days, then for its rows
     # a few dates; their directories alone are listed and read
-    days = [r["uk_date"].isoformat() for r in rows.select("uk_date").distinct().collect()]
-    new, there = rows, [p for p in (f"{table_path.rstrip('/')}/uk_date={d}" for d in days) if path_exists(spark, p)]
+    days = {r["uk_date"].isoformat(): r["count"] for r in rows.groupBy("uk_date").count().collect()}
+    old, there = None, [p for p in (f"{table_path.rstrip('/')}/uk_date={d}" for d in days) if path_exists(spark, p)]
     if there:
         old = spark.read.option("basePath", table_path).parquet(*there).where(F.col("batch") != batch).select(*keys)
-        mine = rows.select(*keys)
-        # the day's keys meet the batch's first: what is left is no larger than the batch, and the
-        # planner may send either small side to the other instead of shuffling the day
-        seen = old.join(mine, _equal(old, mine, keys), "left_semi").distinct()
-        new = rows.join(seen, _equal(rows, seen, keys), "left_anti")
-    append_batch(new.select(*TABLE_COLUMNS), table_path, batch)
+        if sum(days.values()) <= SENT_ROWS:
+            # a small batch meets the day's keys first, so that the day is not dealt by key
+            mine = rows.select(*keys)
+            old = old.join(F.broadcast(mine), reduce(and_, [old[k].eqNullSafe(mine[k]) for k in keys]), "left_semi")
+    append_batch(new_rows(rows, old, keys).select(*TABLE_COLUMNS), table_path, batch)
     rows.unpersist()
 
 
