@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -73,3 +74,30 @@ def test_unescape_is_the_inverse(text):
 def test_empty_table(spark):
     segments = C.format_turns(spark.createDataFrame([], SCHEMA))
     assert C.read_back(segments).count() == C.write_out(segments).count() == C.examples(segments).count() == 0
+
+
+def test_the_digests_come_from_the_written_examples(spark):
+    """Other words in a written example, or a context that is not the one before it, show in what is read back."""
+    turn = lambda role, text: f"{C.START}{role}\n{text}{C.END}\n"
+    first, whole = turn("user", "a") + turn("assistant", "b"), turn("user", "a") + turn("assistant", "b") + turn("assistant", "c")
+    at = lambda text, of: text.rindex(f"{of}{C.END}")
+
+    def read(one, two):
+        rows = [(5, 0, one, at(one, "b"), at(one, "b") + 1), (5, 1, two, at(two, "c"), at(two, "c") + 1), (5, None, two, None, None)]
+        return C.read_examples(spark.createDataFrame(rows, "conv_id long, example int, text string, loss_start long, loss_end long")
+                               .coalesce(1)).collect()
+
+    r, = read(first, whole)
+    assert (r.n_turns, r.n_examples, r.loss_chars, r.formatted_chars) == (3, 2, 2, len(whole))
+    assert r.loss_sha256 == hashlib.sha256(b"bc").hexdigest() and r.example_chars == len(first) + len(whole)
+    with pytest.raises(Exception, match="does not start with the one before it"):
+        read(first.replace("a", "x", 1), whole)
+
+
+def test_read_back_runs_on_the_expansion(spark):
+    turns = [(1, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(6)] + [(2, 0, "user", "no reply")]
+    segments = C.format_turns(spark.createDataFrame(turns, SCHEMA))
+    plan = C.read_back(segments)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 2   # the examples are written out, then read
+    assert {r.conv_id: r.example_chars for r in C.read_back(segments).collect()} == {
+        1: sum(len(e.text) for e in C.write_out(segments).collect()), 2: 0}

@@ -1,12 +1,16 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn becomes an example: all preceding turns are its context
-and only its own text is trainable.  Written out, the examples of one
-conversation hold each turn once for every later reply, all pairs of a group.
-So the formatted conversation is kept once, as one segment for each turn, and an
-example names the prefix of segments it consists of: example k of a conversation
-is the segments 0..seq of its target, its trainable characters lie at
-[loss_start, loss_end) of that prefix.  ``write_out`` makes the full texts.
+and only its own text is trainable.  ``format_turns`` makes one segment of each
+turn, with its place in the conversation; ``examples`` names the prefix each example
+consists of: example k of a conversation is the segments 0..seq of its target, its
+trainable characters lie at [loss_start, loss_end) of that prefix.  ``write_out``
+expands them to full texts, and ``read_back`` reads those: each reply out of its own
+example, the turns out of the whole conversation that closes its examples.
+
+The examples of one conversation hold each turn once for every later reply, so what is
+written grows with the square of its turns.  A task holds one conversation's text and
+the examples it hands over next (BATCH_CHARS, or one example if that is longer).
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn.  Inside role and
 text a backslash is doubled and ``<|`` becomes ``<\\|`` (and in a role a line feed
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 TRAINED = "assistant"
+BATCH_CHARS = 4_000_000
 
 
 def escape(c: Column) -> Column:
@@ -82,17 +87,37 @@ def examples(segments: DataFrame) -> DataFrame:
 
 def write_out(segments: DataFrame) -> DataFrame:
     """The examples with their whole text: as many characters as all prefixes together."""
+    return _expand(segments, closed=False)
+
+
+def _expand(segments: DataFrame, closed: bool) -> DataFrame:
+    """The written examples of each conversation in order; if ``closed``, then the whole
+    conversation as one more row without example and span."""
+    cols = ["conv_id", "example", "text", "loss_start", "loss_end"]
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=cols).astype({"example": "Int32", "loss_start": "Int64", "loss_end": "Int64"})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        conv, text = None, ""
+        conv, text, rows, size = None, None, [], 0
         for batch in batches:
             for r in batch.itertuples(index=False):
-                this = None if pd.isna(r.conv_id) else r.conv_id
-                if r.seq == 0 or this != conv:
-                    conv, text = this, ""
+                if r.seq == 0:
+                    if closed and text is not None:
+                        rows.append((conv, None, text, None, None))
+                        size += len(text)
+                    conv, text = None if pd.isna(r.conv_id) else r.conv_id, ""
                 text += r.segment
                 if not pd.isna(r.example):
-                    yield pd.DataFrame([(conv, int(r.example), text, int(r.loss_start), int(r.loss_end))],
-                                       columns=["conv_id", "example", "text", "loss_start", "loss_end"])
+                    rows.append((conv, int(r.example), text, int(r.loss_start), int(r.loss_end)))
+                    size += len(text)
+                if size >= BATCH_CHARS:
+                    yield frame(rows)
+                    rows, size = [], 0
+        if closed and text is not None:
+            rows.append((conv, None, text, None, None))
+        if rows:
+            yield frame(rows)
 
     return (segments.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
             .mapInPandas(run, f"conv_id {segments.schema['conv_id'].dataType.simpleString()}, "
@@ -100,45 +125,48 @@ def write_out(segments: DataFrame) -> DataFrame:
 
 
 def read_back(segments: DataFrame) -> DataFrame:
-    """Digests of what the segments say: one pass in order, a conversation is never held.
+    """Digests of what the written examples say.
 
     n_turns; turns_sha256 of role, line feed, text, line feed for each turn;
     loss_chars and loss_sha256 of the trainable text, unescaped; formatted_chars;
-    n_examples and example_chars, the characters of all examples if written out.
+    n_examples and example_chars, the characters of all examples.
     """
-    kind = segments.schema["conv_id"].dataType.simpleString()
+    return read_examples(_expand(segments, closed=True))
+
+
+def read_examples(written: DataFrame) -> DataFrame:
+    """The digests of ``read_back`` out of written examples, each conversation's in order and closed
+    by its whole text.  An example that does not continue the one before it is refused."""
+    kind = written.schema["conv_id"].dataType.simpleString()
     cols = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
             "n_examples", "example_chars"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = None
+        context, loss, loss_chars, n_examples, example_chars = "", hashlib.sha256(), 0, 0, 0
         for batch in batches:
             done = []
             for r in batch.itertuples(index=False):
-                if r.seq == 0:
-                    if state:
-                        done.append(_digest_row(state))
-                    state = [None if pd.isna(r.conv_id) else r.conv_id, 0, hashlib.sha256(), 0,
-                             hashlib.sha256(), 0, 0, 0]
-                role, text = parse_segment(r.segment)
-                state[1] += 1
-                state[2].update(f"{role}\n{text}\n".encode())
-                state[5] += len(r.segment)
+                if not r.text.startswith(context):
+                    raise ValueError("an example does not start with the one before it")
                 if not pd.isna(r.example):
-                    under = unescape(r.segment[int(r.loss_start - r.char_start):int(r.loss_end - r.char_start)])
-                    state[3] += len(under)
-                    state[4].update(under.encode())
-                    state[6] += 1
-                    state[7] += int(r.char_end)
+                    under = unescape(r.text[int(r.loss_start):int(r.loss_end)])
+                    loss.update(under.encode())
+                    context, loss_chars = r.text, loss_chars + len(under)
+                    n_examples, example_chars = n_examples + 1, example_chars + len(r.text)
+                    continue
+                turns, n_turns = hashlib.sha256(), 0
+                *formatted, after = r.text.split(END + "\n")
+                if after:
+                    raise ValueError("not a formatted conversation")
+                for segment in formatted:
+                    role, text = parse_segment(segment + END + "\n")
+                    turns.update(f"{role}\n{text}\n".encode())
+                    n_turns += 1
+                done.append((None if pd.isna(r.conv_id) else r.conv_id, n_turns, turns.hexdigest(), loss_chars,
+                             loss.hexdigest(), len(r.text), n_examples, example_chars))
+                context, loss, loss_chars, n_examples, example_chars = "", hashlib.sha256(), 0, 0, 0
             if done:
                 yield pd.DataFrame(done, columns=cols)
-        if state:
-            yield pd.DataFrame([_digest_row(state)], columns=cols)
-
-    return (segments.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-            .mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, "
-                              "loss_sha256 string, formatted_chars long, n_examples long, example_chars long"))
-
 
-def _digest_row(state: list) -> tuple:
-    return tuple(x.hexdigest() if hasattr(x, "hexdigest") else x for x in state)
+    return written.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, "
+                                    "loss_sha256 string, formatted_chars long, n_examples long, example_chars long")
