@@ -116,6 +116,23 @@ def test_collisions_take_another_attempt(spark, monkeypatch):
     assert {got[i].split()[3] for i in range(4)} == {got[0].split()[1]}
 
 
+def test_plans_name_each_value_once(spark, monkeypatch):
+    """Expressions written out where they are used had the driver plan over a million nodes."""
+    sizes, kept = [], P.checkpointed
+
+    def size(df):
+        return df._jdf.queryExecution().analyzed().toJSON().count('"class":')
+
+    def recorded(df):
+        sizes.append(size(df))
+        return kept(df)
+
+    monkeypatch.setattr(P, "checkpointed", recorded)
+    df = spark.createDataFrame([(1, "mail a.b@example.com, Mrs. Jane Smith")], SCHEMA)
+    sizes.append(size(P.replace_entities(df, "key")))
+    assert max(sizes) < 100_000
+
+
 def test_columns_repeated_rows_empty_table(spark):
     df = spark.createDataFrame([(1, "at 9.8.7.6", "e", 1, "n")] * 2, SCHEMA + ", entities string, found int, new string")
     out = P.replace_entities(df, "key")

@@ -187,9 +187,11 @@ def _permuted_digits(digits: Column, key: Column) -> Column:
             r % 2 == 0, F.struct(_turned(s["a"], s["b"], r, key, power).alias("a"), s["b"].alias("b")))
             .otherwise(F.struct(s["a"].alias("a"), _turned(s["b"], s["a"], r, key, power).alias("b"))))
 
-    half = (F.char_length(digits) / 2).cast("int")
-    start = F.struct(F.substr(digits, F.lit(1), half).alias("a"), F.substr(digits, half + 1).alias("b"))
-    return let(rounds(start), lambda s: F.concat(s["a"], s["b"]))
+    def halves(digits: Column) -> Column:
+        half = (F.char_length(digits) / 2).cast("int")
+        return F.struct(F.substr(digits, F.lit(1), half).alias("a"), F.substr(digits, half + 1).alias("b"))
+
+    return let(rounds(let(digits, halves)), lambda s: F.concat(s["a"], s["b"]))
 
 
 def _turned(half: Column, other: Column, r: Column, key: Column, power) -> Column:
@@ -209,13 +211,14 @@ def _written_into(found: Column, digits: Column, signs: str = "[0-9]") -> Column
 def _turned_letters(s: Column, key: Column, hexadecimal: bool = True) -> Column:
     """Each character replaced by another of its class: digit, small, capital, Cyrillic; hexadecimal
     strings stay so (unless they are something else); other characters stay."""
-    stream = F.transform(F.sequence(F.lit(0), (F.char_length(s) / 32).cast("int")),
-                         lambda b: F.sha2(F.concat_ws("|", key, b), 256))
-    hexa = s.rlike(r"\A(?:[0-9a-f]{16,}|[0-9A-F]{16,})\z")
+    def stream(s: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), (F.char_length(s) / 32).cast("int")),
+                           lambda b: F.sha2(F.concat_ws("|", key, b), 256))
 
-    def turned(c: Column, i: Column, keys: Column, is_hex: Column) -> Column:
-        step = F.conv(F.substring(F.get(keys, (i / 32).cast("int")), i % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    def step(i: Column, keys: Column) -> Column:
+        return F.conv(F.substring(F.get(keys, (i / 32).cast("int")), i % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
+    def turned(c: Column, step: Column, is_hex: Column) -> Column:
         def within(alphabet: str, c: Column) -> Column:
             return F.substring(F.lit(alphabet), (F.instr(F.lit(alphabet), c) - 1 + step) % len(alphabet) + 1, F.lit(1))
 
@@ -230,10 +233,15 @@ def _turned_letters(s: Column, key: Column, hexadecimal: bool = True) -> Column:
                 .when(c.rlike(r"\p{L}"), F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), step % 26 + 1, F.lit(1)))
                 .otherwise(c))
 
-    hexa = hexa if hexadecimal else F.lit(False)
-    out = let(stream, lambda keys: let(hexa, lambda h: F.array_join(F.transform(
-        F.filter(F.split(s, ""), lambda c: c != ""), lambda c, i: turned(c, i, keys, h)), "")))
-    return F.when(hexa & s.rlike("[A-F]"), F.upper(out)).otherwise(out)
+    def whole(s: Column, keys: Column, is_hex: Column) -> Column:
+        each = F.transform(F.filter(F.split(s, ""), lambda c: c != ""),
+                           lambda c, i: let(step(i, keys), lambda n: turned(c, n, is_hex)))
+        return let(F.array_join(each, ""), lambda out: F.when(is_hex & s.rlike("[A-F]"), F.upper(out)).otherwise(out))
+
+    def hexa(s: Column) -> Column:
+        return s.rlike(r"\A(?:[0-9a-f]{16,}|[0-9A-F]{16,})\z") if hexadecimal else F.lit(False)
+
+    return let(s, lambda s: let(stream(s), lambda keys: let(hexa(s), lambda h: whole(s, keys, h))))
 
 
 # What surrogate names are made of; Cyrillic letters stand below their Latin ones.
@@ -256,8 +264,8 @@ def _name(token: Column, role: Column, gender: Column, key: str, attempt: Column
     """A name for one name: its stem, an ending by gender for given names, script and capitals kept."""
     end = F.when(role == "family", "r").when(gender == "f", "na").when(gender == "m", "n").otherwise("s")
     end = F.when(token.rlike(r"\p{IsCyrillic}"), F.translate(end, LATIN_SIDE, CYRILLIC_SIDE)).otherwise(end)
-    name = F.concat(_stem(token, role, key, attempt), end)
-    return F.when(token.rlike(r"\A\p{Lu}{2,}\z"), F.upper(name)).otherwise(F.initcap(name))
+    return let(F.concat(_stem(token, role, key, attempt), end), lambda name: F.when(
+        token.rlike(r"\A\p{Lu}{2,}\z"), F.upper(name)).otherwise(F.initcap(name)))
 
 
 def _stem_of(token: Column, role: Column) -> Column:
@@ -304,15 +312,16 @@ def _turned_initials(token: Column, key: str) -> Column:
 def name_surrogate(found: Column, key: str, attempt: Callable[[Column, Column], Column]) -> Column:
     """What replaces a name; ``attempt`` gives that of a role and a word."""
     title = F.regexp_extract(found, rf"\A({_TITLE})\.?", 0)
-    bare = F.regexp_replace(title, r"\.", "")
-    gender = F.when(bare.isin(*TITLES["f"]), "f").when(bare.isin(*TITLES["m"]), "m").otherwise("")
 
-    def made(word: Column, role: Column) -> Column:
+    def gender(bare: Column) -> Column:
+        return F.when(bare.isin(*TITLES["f"]), "f").when(bare.isin(*TITLES["m"]), "m").otherwise("")
+
+    def made(word: Column, role: Column, told: Column) -> Column:
         return F.when(word.rlike(LOWER_WORD), word).when(word.rlike(INITIALS), _turned_initials(word, key)).otherwise(
-            let(attempt(role, word), lambda n: _name(word, role, gender, key, n)))
+            let(attempt(role, word), lambda n: _name(word, role, told, key, n)))
 
-    return let(_name_words(found), lambda words: F.concat_ws(" ", title, F.transform(
-        words, lambda word, i: made(word, _role(i, words)))))
+    return let(_name_words(found), lambda words: let(let(F.regexp_replace(title, r"\.", ""), gender), lambda told: F.concat_ws(
+        " ", title, F.transform(words, lambda word, i: let(_role(i, words), lambda role: made(word, role, told))))))
 
 
 # Country codes of one and of two digits (all others have three).
@@ -324,17 +333,19 @@ PRIVATE = [(r"10\.", 24), (r"127\.", 24), (r"172\.(?:1[6-9]|2[0-9]|3[01])\.", 20
 def _account(found: Column, key: str, attempt: Column) -> Column:
     """A bank account in its own spacing: country and length stay, the rest is turned by kind of character, and the
     two check digits fit."""
-    plain = F.regexp_replace(found, " ", "")
-    turned = _turned_letters(F.substr(plain, F.lit(5)), F.concat_ws("|", F.lit(key), F.lit("account"), attempt, plain), hexadecimal=False)
-
     def rest(s: Column) -> Column:
         """The remainder by 97 of a text whose letters count from 10 (A) to 35 (Z)."""
         return F.aggregate(F.filter(F.split(s, ""), lambda c: c != ""), F.lit(0), lambda r, c: F.when(
             c.rlike("[0-9]"), (r * 10 + c.cast("int")) % 97).otherwise((r * 100 + F.ascii(c) - 55) % 97))
 
-    country = F.substring(plain, 1, 2)
-    return let(turned, lambda t: _written_into(found, F.concat(country, F.lpad(
-        (98 - rest(F.concat(t, country, F.lit("00")))).cast("string"), 2, "0"), t), "[A-Z0-9]"))
+    def made(plain: Column) -> Column:
+        country = F.substring(plain, 1, 2)
+        turned = _turned_letters(F.substr(plain, F.lit(5)), F.concat_ws("|", F.lit(key), F.lit("account"), attempt, plain),
+                                 hexadecimal=False)
+        return let(turned, lambda t: _written_into(found, F.concat(country, F.lpad(
+            (98 - rest(F.concat(t, country, F.lit("00")))).cast("string"), 2, "0"), t), "[A-Z0-9]"))
+
+    return let(F.regexp_replace(found, " ", ""), made)
 
 
 def _address(found: Column, base: Column) -> Column:
@@ -350,14 +361,14 @@ def _address(found: Column, base: Column) -> Column:
 
     def permuted(n: Column, half: Column) -> Column:
         """Six Feistel rounds on the last 2 * half bits."""
-        mask = F.pow(F.lit(2.0), half).cast("long")
+        def of(low: Column, mask: Column) -> Column:
+            def turn(s: Column, r: Column) -> Column:
+                return F.struct(s["b"].alias("a"), s["a"].bitwiseXOR(_number(F.concat_ws("|", base, half, s["b"]), r, 65536) % mask).alias("b"))
 
-        def turn(s: Column, r: Column) -> Column:
-            return F.struct(s["b"].alias("a"), s["a"].bitwiseXOR(_number(F.concat_ws("|", base, half, s["b"]), r, 65536) % mask).alias("b"))
+            halves = F.struct((low / mask).cast("long").alias("a"), (low % mask).alias("b"))
+            return let(F.aggregate(F.sequence(F.lit(0), F.lit(5)), halves, turn), lambda s: n - low + s["a"] * mask + s["b"])
 
-        low = n % (mask * mask)
-        halves = F.struct((low / mask).cast("long").alias("a"), (low % mask).alias("b"))
-        return let(F.aggregate(F.sequence(F.lit(0), F.lit(5)), halves, turn), lambda s: n - low + s["a"] * mask + s["b"])
+        return let(F.pow(F.lit(2.0), half).cast("long"), lambda mask: let(n % (mask * mask), lambda low: of(low, mask)))
 
     special = "|".join(start for start, _ in PRIVATE)
     # a public address that becomes a private one goes on; eight times in a row does not happen
@@ -367,33 +378,48 @@ def _address(found: Column, base: Column) -> Column:
 
 
 def surrogate(kind: Column, found: Column, key: str, attempt: Column) -> Column:
-    """What replaces a match; ``attempt`` counts collisions, 0 for almost all."""
-    base = F.concat_ws("|", F.lit(key), kind, attempt)
-    digits = F.regexp_replace(found, "[^0-9]", "")
-    country = F.when(~found.startswith("+"), F.greatest(F.char_length(digits) - 10, F.lit(0))) \
-        .when(digits.rlike(rf"\A{COUNTRY_1}"), 1).when(digits.rlike(rf"\A(?:{COUNTRY_2})"), 2).otherwise(3)
-    phone = let(country, lambda n: F.concat(
-        F.substr(digits, F.lit(1), n), _permuted_digits(F.substr(digits, n + 1), base)))
-    card = let(F.concat(F.substring(digits, 1, 1), _permuted_digits(
-        F.substr(digits, F.lit(2), F.char_length(digits) - 2), base)),
-        lambda d: F.concat(d, ((10 - _luhn_sum(F.concat(d, F.lit("0"))) % 10) % 10).cast("string")))
-    at = F.instr(found, "@")
-    domain = F.lower(F.substr(found, at + 1))
-    labels = F.split(F.regexp_replace(domain, r"\.[^.]*\z", ""), r"\.")
-    mail = F.concat(_turned_letters(F.concat(F.substr(found, F.lit(1), at - 1), F.repeat(F.lit("a"), attempt)),
-                                    F.concat_ws("|", base, F.lower(found))), F.lit("@"), F.array_join(F.transform(labels, lambda x: _turned_letters(
-                        x, F.concat_ws("|", F.lit(key), F.lit("domain"), domain, x))), "."), F.lit(".example"))
-    return (F.when(kind == "phone", _written_into(found, phone))
-            .when(kind == "card", _written_into(found, card))
-            .when(kind == "social", _written_into(found, _permuted_digits(digits, base)))
-            .when(kind == "address", _address(found, base))
-            .when(kind == "mail", mail)
-            .when(kind == "name", name_surrogate(found, key, lambda role, word: attempt))
-            .when(kind == "account", _account(found, key, attempt))
-            .when(kind == "secret", let(canonical(kind, found), lambda value: F.concat(
-                F.substr(found, F.lit(1), F.char_length(found) - F.char_length(value)),
-                _turned_letters(F.concat(value, F.repeat(F.lit("a"), attempt - 3)), F.concat_ws("|", base, value)))))
-            .otherwise(found))
+    """What replaces a match; ``attempt`` counts collisions, 0 for almost all.
+
+    What several kinds use is bound by ``let``: written out at each place, it would stand in the plan many thousand times."""
+    def phone(digits: Column, base: Column) -> Column:
+        country = F.when(~found.startswith("+"), F.greatest(F.char_length(digits) - 10, F.lit(0))) \
+            .when(digits.rlike(rf"\A{COUNTRY_1}"), 1).when(digits.rlike(rf"\A(?:{COUNTRY_2})"), 2).otherwise(3)
+        return let(country, lambda n: F.concat(
+            F.substr(digits, F.lit(1), n), _permuted_digits(F.substr(digits, n + 1), base)))
+
+    def card(digits: Column, base: Column) -> Column:
+        return let(F.concat(F.substring(digits, 1, 1), _permuted_digits(
+            F.substr(digits, F.lit(2), F.char_length(digits) - 2), base)),
+            lambda d: F.concat(d, ((10 - _luhn_sum(F.concat(d, F.lit("0"))) % 10) % 10).cast("string")))
+
+    def domain(name: Column) -> Column:
+        labels = F.split(F.regexp_replace(name, r"\.[^.]*\z", ""), r"\.")
+        return F.array_join(F.transform(labels, lambda x: _turned_letters(
+            x, F.concat_ws("|", F.lit(key), F.lit("domain"), name, x))), ".")
+
+    def mail(attempt: Column, base: Column) -> Column:
+        at = F.instr(found, "@")
+        local = _turned_letters(F.concat(F.substr(found, F.lit(1), at - 1), F.repeat(F.lit("a"), attempt)),
+                                F.concat_ws("|", base, F.lower(found)))
+        return F.concat(local, F.lit("@"), let(F.lower(F.substr(found, at + 1)), domain), F.lit(".example"))
+
+    def secret(value: Column, attempt: Column, base: Column) -> Column:
+        return F.concat(F.substr(found, F.lit(1), F.char_length(found) - F.char_length(value)),
+                        _turned_letters(F.concat(value, F.repeat(F.lit("a"), attempt - 3)), F.concat_ws("|", base, value)))
+
+    def made(attempt: Column, base: Column, digits: Column) -> Column:
+        return (F.when(kind == "phone", _written_into(found, phone(digits, base)))
+                .when(kind == "card", _written_into(found, card(digits, base)))
+                .when(kind == "social", _written_into(found, _permuted_digits(digits, base)))
+                .when(kind == "address", _address(found, base))
+                .when(kind == "mail", mail(attempt, base))
+                .when(kind == "name", name_surrogate(found, key, lambda role, word: attempt))
+                .when(kind == "account", _account(found, key, attempt))
+                .when(kind == "secret", let(canonical(kind, found), lambda value: secret(value, attempt, base)))
+                .otherwise(found))
+
+    return let(attempt, lambda attempt: let(F.concat_ws("|", F.lit(key), kind, attempt), lambda base: let(
+        F.regexp_replace(found, "[^0-9]", ""), lambda digits: made(attempt, base, digits))))
 
 
 def collisions(entities: DataFrame, key: str) -> DataFrame:
@@ -404,8 +430,8 @@ def collisions(entities: DataFrame, key: str) -> DataFrame:
     and secrets get longer with the attempts, so their space never gives out; the spaces of numbers and
     addresses are as large as their form."""
     name = F.col("kind").isin("family", "given")
-    made = F.when(name, _stem(F.col("canonical"), F.col("kind"), key, F.col("attempt"))).otherwise(canonical(
-        F.col("kind"), surrogate(F.col("kind"), F.col("canonical"), key, F.col("attempt"))))
+    made = F.when(name, _stem(F.col("canonical"), F.col("kind"), key, F.col("attempt"))).otherwise(let(
+        surrogate(F.col("kind"), F.col("canonical"), key, F.col("attempt")), lambda found: canonical(F.col("kind"), found)))
     own = F.when(name, _stem_of(F.col("canonical"), F.col("kind"))).otherwise(F.col("canonical"))
     named = entities.withColumn("attempt", F.lit(0))
     while True:
@@ -454,11 +480,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
 
     def joined(text: Column, new: Column) -> Column:
         """New text, and the places of the surrogates."""
-        gaps = F.split(text, pattern(text), F.lit(-1))
         places = "array<struct<kind:string,surrogate:string,start:int>>"
-        parts = F.zip_with(gaps, new, lambda g, m: F.concat(g, F.coalesce(m["made"], F.lit(""))))
-        ends = F.transform(F.zip_with(gaps, new, lambda g, m: F.struct(g.alias("g"), m.alias("m"))),
-                           lambda x: F.struct(F.char_length(x["g"]).alias("gap"), x["m"].alias("m")))
 
         def place(s: Column, x: Column) -> Column:
             begin = s["at"] + x["gap"]
@@ -467,9 +489,15 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
                 F.when(x["m"]["kind"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(F.struct(
                     x["m"]["kind"].alias("kind"), x["m"]["made"].alias("surrogate"), begin.alias("start"))))).alias("out"))
 
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(places).alias("out"))
-        return F.struct(F.array_join(parts, "").alias("text"),
-                        F.aggregate(ends, zero, place, lambda s: s["out"]).alias("entities"))
+        def around(gaps: Column) -> Column:
+            parts = F.zip_with(gaps, new, lambda g, m: F.concat(g, F.coalesce(m["made"], F.lit(""))))
+            ends = F.transform(F.zip_with(gaps, new, lambda g, m: F.struct(g.alias("g"), m.alias("m"))),
+                               lambda x: F.struct(F.char_length(x["g"]).alias("gap"), x["m"].alias("m")))
+            zero = F.struct(F.lit(0).alias("at"), F.array().cast(places).alias("out"))
+            return F.struct(F.array_join(parts, "").alias("text"),
+                            F.aggregate(ends, zero, place, lambda s: s["out"]).alias("entities"))
+
+        return let(F.split(text, pattern(text), F.lit(-1)), around)
 
     nothing = F.struct(F.col("text"), F.array().cast("array<struct<kind:string,surrogate:string,start:int>>").alias("entities"))
     new = F.when(F.exists("found", lambda m: m["kind"].isNotNull()), let(
