@@ -108,7 +108,7 @@ def write_objects(rows: DataFrame, base: str, text: Column, name: Column) -> Non
     day = F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.coalesce(k, F.lit("__HIVE_DEFAULT_PARTITION__")))
                              for k in ("year", "month", "day")])
     rows.select(day.alias("day"), name.alias("name"), text.alias("value")).mapInArrow(put, "objects long") \
-        .agg(F.sum("objects")).collect()
+        .agg(F.sum("objects")).first()
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> str | None:
