@@ -12,9 +12,10 @@ One Spark job per call, whatever the number of days:
   data stays (the "abort" of the load gates, without a delete-then-load gap).
 * One date definition (the London date) drives the lake directory, the
   table partition and the replacement.
-* The lake is scanned once, for a list of days and for all of it alike: which days were written,
+* The lake is read once, for a list of days and for all of it alike: which days were written,
   and what the report counts, is observed in the write itself, so files that land
-  meanwhile are either in the table and in the report or in neither.
+  meanwhile are either in the table and in the report or in neither.  Objects of a file each are
+  packed into a few files first, by the tasks: their number never reaches the driver.
 * Only the directories of the days are opened, in the lake and in the table,
   and each once: a load costs its own days, whatever lies beside them.
 * The quality report is collected with ``observe`` during the same pass,
@@ -36,7 +37,7 @@ from trackside.operators.flatten import complete_rows, flatten, require_columns
 from trackside.operators.quality import quality_aggs
 from trackside.schema import KEY_COLUMNS, MOVEMENTS_SCHEMA, TABLE_COLUMNS, documented
 from trackside.session import jvm_path, path_exists
-from trackside.sources.lake import last_writer, read_lake_objects
+from trackside.sources.lake import last_writer, pack_objects, read_lake_objects, read_packed
 
 
 @dataclasses.dataclass
@@ -164,7 +165,9 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     """
     ensure_compatible(spark, table_path, allow_drop)
     found = Observation("objects")
-    objects = read_lake_objects(spark, lake_base, days, whole_objects, lake_format)
+    packed = pack_objects(spark, lake_base, days) if whole_objects and lake_format != "parquet" else None
+    objects = (read_packed(spark, packed) if packed
+               else read_lake_objects(spark, lake_base, days, whole_objects, lake_format))
     require_columns(objects, ["event_type", "toc_id", "variation_status", "raw_data"])
     objects = objects.observe(found, F.count_if(~F.col("ok")).alias("invalid")).where("ok")
     flat = flatten(last_writer(objects) if last_writer_wins else objects)
@@ -180,7 +183,7 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
     if dedup_keys:
         clean = dedup_exact(clean, dedup_keys)
     if whole_objects:
-        # a task reads a few dozen objects: without this each of them writes files of its own to the table
+        # every task reads objects of all days: without this each of them writes files of its own to the table
         clean = clean.hint("rebalance", "uk_date")
     # what is written is counted at the writer: the rows, and the days as a bitmap
     landed = Observation("landed")
@@ -204,6 +207,9 @@ def load_days(spark: SparkSession, lake_base: str, table_path: str,
         # dates before 1970 or after 2059 (a clock gone wrong): these few rows are looked up again
         odd = clean.where(~_day_number("uk_date").between(0, _BITMAP_DAYS - 1)).select("uk_date").distinct().collect()
         replaced = sorted([*replaced, *[r.uk_date.isoformat() for r in odd]])
+    if packed:
+        fs, p = jvm_path(spark, packed)
+        fs.delete(p, True)
     # a whole-lake load replaces the days that it wrote
     day_status = {d: "loaded" if d in replaced else why for d in days or replaced}
     status = why if not written else "loaded" if not days or len(replaced) == len(days) else "partly loaded"
